@@ -162,3 +162,48 @@ def column_info(df: DataFrame, sample: int = 3, order_col: str | None = None) ->
              samples.get(f.name)) for i, f in enumerate(df.schema.fields)]
     return spark.createDataFrame(data, "column string, position int, type string, n_rows long, "
                                        "n_columns int, sample array<string>")
+
+
+def half_open_range(df: DataFrame, key_col: str, from_val=None, to_val=None) -> DataFrame:
+    """Rows with ``from < key <= to``; ``key > from`` when ``to`` is None;
+    no filter when ``from`` is None (``to`` alone is ignored)."""
+    if from_val is None:
+        return df
+    cond = c(key_col) > F.lit(from_val)
+    if to_val is not None:
+        cond = cond & (c(key_col) <= F.lit(to_val))
+    return df.where(cond)
+
+
+def crosstab(df: DataFrame, col1: str, col2: str, from_val=None, to_val=None) -> DataFrame:
+    """Contingency counts in long form (col1, col2, count), 0 for absent
+    combinations, NULL keys dropped, optional half-open range on col1.
+
+    Dense output comes from ``pivot`` (Spark gathers col2's distinct values,
+    capped by ``spark.sql.pivotMaxValues``) and ``unpivot`` -- no cross
+    product of the two value sets.
+    """
+    keyed = half_open_range(df, col1, from_val, to_val).where(
+        c(col1).isNotNull() & c(col2).isNotNull())
+    wide = crosstab_wide(keyed, col1, col2)
+    values = [n for n in wide.columns if n != col1]
+    if not values:
+        return df.sparkSession.createDataFrame(
+            [], f"`{col1}` {df.schema[col1].dataType.simpleString()}, "
+                f"`{col2}` string, count long")
+    long = wide.unpivot([c(col1)], [c(v) for v in values], col2, "count")
+    return long.select(c(col1), c(col2), F.col("count").cast("long").alias("count"))
+
+
+def crosstab_wide(df: DataFrame, col1: str, col2: str) -> DataFrame:
+    """The crosstab as a matrix: one row per col1 value, one column per col2
+    value."""
+    keyed = df.where(c(col1).isNotNull() & c(col2).isNotNull())
+    return keyed.groupBy(c(col1)).pivot(col2).count().na.fill(0)
+
+
+def crosstab_total(df: DataFrame, col1: str, col2: str, from_val=None, to_val=None) -> DataFrame:
+    """Column sums of the (range-filtered) crosstab: (col2, total)."""
+    keyed = half_open_range(df, col1, from_val, to_val).where(
+        c(col1).isNotNull() & c(col2).isNotNull())
+    return keyed.groupBy(c(col2)).agg(F.count(F.lit(1)).alias("total"))

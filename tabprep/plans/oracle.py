@@ -197,3 +197,229 @@ from t, w"""
 
 ORACLE["variance_decomposition"] = _vd("count(*)")
 ORACLE["variance_decomposition_k3"] = _vd("3")
+
+
+# ---------------------------------------------------------------- outliers
+def _outliers_sql(table: str, cols: list[str], m: float) -> str:
+    parts = []
+    for col in cols:
+        parts.append(f"""
+select '{col}' as "column", q1, q3, lo, hi, mn, mx, n,
+       (select count(*) from {table} where {col} < lo or {col} > hi) as total_outliers
+from (select quantile_cont({col}, 0.25) as q1, quantile_cont({col}, 0.75) as q3,
+             min({col})::double as mn, max({col})::double as mx, count(*) as n from {table}) s,
+     lateral (select q1 - {m} * (q3 - q1) as lo, q3 + {m} * (q3 - q1) as hi) b""")
+    return "\nunion all".join(parts)
+
+
+def _analyze_outliers(table, cols, m):
+    return f"""
+with o as ({_outliers_sql(table, cols, m)})
+select "column", cast(total_outliers as bigint) as total_outliers,
+       round(total_outliers / n * 100.0, 6) as outlier_pct,
+       printf('%.1f%%', round(total_outliers / n * 100.0, 1)) as percentage,
+       round(q1, 6) as q1, round(q3, 6) as q3, round(lo, 6) as lower_bound, round(hi, 6) as upper_bound,
+       round(mn, 6) as actual_min, round(mx, 6) as actual_max
+from o"""
+
+
+_LI_NUM = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+           "l_discount", "l_tax"]
+ORACLE["analyze_outliers"] = _analyze_outliers("lineitem", _LI_NUM, 1.5)
+ORACLE["analyze_outliers_selected"] = _analyze_outliers("lineitem", ["l_quantity", "l_extendedprice", "l_tax"], 0.5)
+ORACLE["detect_outliers"] = f"""
+with o as ({_outliers_sql("events", ["value"], 1.5)})
+select "column", cast(total_outliers as bigint) as total_outliers,
+       printf('%.1f%%', round(total_outliers / n * 100.0, 1)) as percentage,
+       round(lo, 6) as lower_bound, round(hi, 6) as upper_bound from o"""
+ORACLE["outlier_rows"] = """
+with b as (select 'value' as col, quantile_cont(value, 0.25) as q1, quantile_cont(value, 0.75) as q3 from events
+           union all
+           select 'user_id', quantile_cont(user_id, 0.25), quantile_cont(user_id, 0.75) from events),
+f as (select col, q1 - 1.5 * (q3 - q1) as lo, q3 + 1.5 * (q3 - q1) as hi from b),
+long as (select event_id, 'value' as col, value as v from events
+         union all select event_id, 'user_id', cast(user_id as double) from events)
+select event_id, long.col as "column", round(v, 6) as value from long join f on long.col = f.col
+where v < lo or v > hi"""
+ORACLE["boxplot_stats"] = """
+with q as (select event_type, quantile_cont(value, 0.25) as q1, quantile_cont(value, 0.5) as median,
+                  quantile_cont(value, 0.75) as q3 from events
+           where event_type is not null and value is not null group by event_type),
+f as (select *, q1 - 1.5 * (q3 - q1) as lo, q3 + 1.5 * (q3 - q1) as hi from q)
+select e.event_type, round(any_value(q1), 6) as q1, round(any_value(median), 6) as median,
+       round(any_value(q3), 6) as q3,
+       round(min(value) filter (where value >= lo and value <= hi), 6) as whisker_low,
+       round(max(value) filter (where value >= lo and value <= hi), 6) as whisker_high,
+       cast(count(*) filter (where not (value >= lo and value <= hi)) as bigint) as n_fliers
+from events e join f on e.event_type = f.event_type where value is not null group by e.event_type"""
+
+
+# ---------------------------------------------------------------- correlation
+def _r(a: str, b: str) -> str:
+    both = f"{a} is not null and {b} is not null"
+    xa, xb = f"case when {both} then {a} end", f"case when {both} then {b} end"
+    return (f"covar_samp({xa}, {xb}) / nullif(stddev_samp({xa}) * stddev_samp({xb}), 0)")
+
+
+_LC_ALL = ["loan_id", "revol_util", "installment", "dti", "not_fully_paid", "revol_dup",
+           "installment_near", "constant_col"]
+_LC_FEAT = ["revol_util", "installment", "dti", "revol_dup", "installment_near", "constant_col"]
+
+
+def _corr_long(cols: list[str]) -> str:
+    parts = []
+    for j, b in enumerate(cols):
+        for i, a in enumerate(cols):
+            parts.append(f"select '{a}' as col_a, '{b}' as col_b, {i} as idx_a, {j} as idx_b, "
+                         f"{_r(a, b)} as r from loans_corr")
+    return "\nunion all ".join(parts)
+
+
+ORACLE["corr_matrix"] = wv(f"""
+select col_a, col_b, cast(idx_a as integer) as idx_a, cast(idx_b as integer) as idx_b, round(r, 6) as r
+from ({_corr_long(_LC_ALL)})""", "loans_corr")
+ORACLE["target_correlation"] = wv("\nunion all ".join(
+    f"select '{a}' as feature, round({_r(a, 'not_fully_paid')}, 6) as corr from loans_corr" for a in _LC_ALL),
+    "loans_corr")
+ORACLE["high_corr_pairs"] = wv(f"""
+select col_a as feature_1, col_b as feature_2, round(abs(r), 6) as abs_corr,
+       cast(idx_a as integer) as idx_1, cast(idx_b as integer) as idx_2
+from ({_corr_long(_LC_FEAT)}) where idx_a < idx_b and abs(r) > 0.7""", "loans_corr")
+_DROP_FEAT = [x for x in _LC_ALL if x not in ("loan_id", "not_fully_paid")]
+ORACLE["drop_high_corr"] = wv(f"""
+with pairs as (select col_a as f1, col_b as f2, idx_a, idx_b from ({_corr_long(_DROP_FEAT)})
+               where idx_a < idx_b and abs(r) > 0.7),
+tc as ({' union all '.join(f"select '{a}' as feature, round(abs({_r(a, 'not_fully_paid')}), 12) as tc from loans_corr"
+                            for a in _DROP_FEAT)}),
+d as (select case when t1.tc < t2.tc then f1 else f2 end as feature, idx_b, idx_a
+      from pairs left join tc t1 on t1.feature = f1 left join tc t2 on t2.feature = f2),
+firsts as (select feature, min(idx_b * 100000 + idx_a) as pos from d group by feature)
+select feature, cast(row_number() over (order by pos) as integer) as drop_order from firsts""", "loans_corr")
+
+
+# ---------------------------------------------------------------- histograms
+def _hist_sql(long_sql: str, keys: list[str], bins: int = 30) -> str:
+    k = ", ".join(keys)
+    on = " and ".join(f"l.{x} = r.{x}" for x in keys)
+    return f"""
+with long as ({long_sql}),
+rng as (select {k}, min(value) as mn, max(value) as mx from long where value is not null group by {k}),
+r2 as (select {k}, case when mx > mn then mn else mn - 0.5 end as lo,
+              ((case when mx > mn then mx else mx + 0.5 end) - (case when mx > mn then mn else mn - 0.5 end))
+              / {float(bins)} as w from rng),
+cnt as (select {', '.join('l.' + x for x in keys)},
+               least({bins - 1}, cast(floor((value - lo) / w) as integer)) as bin, count(*) as n
+        from long l join r2 r on {on} where value is not null group by all),
+grid as (select {k}, lo, w, cast(unnest(range(0, {bins})) as integer) as bin from r2)
+select {', '.join('g.' + x for x in keys)}, g.bin, round(lo + g.bin * w, 6) as bin_start,
+       round(lo + (g.bin + 1) * w, 6) as bin_end, cast(coalesce(n, 0) as bigint) as count
+from grid g left join cnt c on {' and '.join(f'g.{x} = c.{x}' for x in keys)} and g.bin = c.bin"""
+
+
+ORACLE["class_histogram"] = wv(_hist_sql(" union all ".join(
+    f"select '{f}' as feature, not_fully_paid as class, cast({f} as double) as value from loans"
+    for f in ["revol_util", "dti", "inq_last_6mths", "installment"]), ["feature", "class"]), "loans")
+ORACLE["group_histogram"] = _hist_sql(
+    "select event_type, value from events where event_type is not null", ["event_type"])
+ORACLE["category_by_target"] = wv("""
+with per as (select purpose, not_fully_paid, count(*) as count from loans
+             where purpose is not null and not_fully_paid is not null group by all),
+tot as (select purpose, count(*) as category_total from loans
+        where purpose is not null and not_fully_paid is not null group by purpose)
+select per.purpose, not_fully_paid, cast(count as bigint) as count, cast(category_total as bigint) as category_total
+from per join tot on per.purpose = tot.purpose""", "loans")
+
+
+# ---------------------------------------------------------------- crosstab / value counts
+ORACLE["value_counts_pct"] = wv("""
+select purpose, cast(count(*) as bigint) as count,
+       round(count(*) * 100.0 / (select count(*) from loans), 6) as percent
+from loans where purpose is not null group by purpose""", "loans")
+ORACLE["crosstab"] = wv("""
+with k1 as (select distinct purpose from loans where purpose is not null and inq_last_6mths is not null),
+k2 as (select distinct inq_last_6mths from loans where purpose is not null and inq_last_6mths is not null),
+n as (select purpose, inq_last_6mths, count(*) as c from loans
+      where purpose is not null and inq_last_6mths is not null group by all)
+select k1.purpose, cast(k2.inq_last_6mths as varchar) as inq_last_6mths, cast(coalesce(n.c, 0) as bigint) as count
+from k1, k2 left join n on n.purpose = k1.purpose and n.inq_last_6mths = k2.inq_last_6mths""", "loans")
+ORACLE["crosstab_range"] = wv("""
+with f as (select * from loans where inq_last_6mths > 2 and inq_last_6mths <= 6
+           and purpose is not null and inq_last_6mths is not null),
+k1 as (select distinct inq_last_6mths from f), k2 as (select distinct purpose from f),
+n as (select inq_last_6mths, purpose, count(*) as c from f group by all)
+select k1.inq_last_6mths, k2.purpose, cast(coalesce(n.c, 0) as bigint) as count
+from k1, k2 left join n on n.inq_last_6mths = k1.inq_last_6mths and n.purpose = k2.purpose""", "loans")
+ORACLE["crosstab_total"] = wv("""
+select purpose, cast(count(*) as bigint) as total from loans
+where inq_last_6mths > 2 and inq_last_6mths <= 6 and purpose is not null group by purpose""", "loans")
+
+
+# ---------------------------------------------------------------- imbalance
+def _sev(r: str) -> str:
+    return (f"case when {r} < 1.5 then 'Balanced ✅' when {r} < 3 then 'Slight Imbalance ⚠️' "
+            f"when {r} < 9 then 'Moderate Imbalance 🟡' when {r} < 99 then 'Severe Imbalance 🟠' "
+            f"else 'Extreme Imbalance 🔴' end")
+
+
+def _act(r: str) -> str:
+    return (f"case when {r} < 1.5 then 'No special handling needed' when {r} < 3 then 'Monitor metrics closely' "
+            f"when {r} < 9 then 'Use class weights or resampling' "
+            f"when {r} < 99 then 'Special techniques required (SMOTE, heavy class weights)' "
+            f"else 'Consider anomaly detection approaches' end")
+
+
+def _label(x: str, labels: dict | None) -> str:
+    base = f"'Class ' || cast({x} as varchar)"
+    if not labels:
+        return base
+    cases = " ".join(f"when {k} then ' ({v})'" for k, v in labels.items())
+    return f"{base} || coalesce(case {x} {cases} end, '')"
+
+
+def _counts(view: str, col: str) -> str:
+    return f"select {col} as class, count(*) as count from {view} where {col} is not null group by {col}"
+
+
+def _check_sql(view: str, col: str, labels: dict | None) -> str:
+    return wv(f"""
+with cnt as ({_counts(view, col)}),
+e as (select sum(count) as total, count(*) as n_classes, max(count) as majority_count,
+             min(count) as minority_count,
+             (select class from cnt order by count desc, class asc limit 1) as majority_class,
+             (select class from cnt order by count asc, class asc limit 1) as minority_class from cnt),
+r as (select *, majority_count / minority_count as ratio from e)
+select '{col}' as target_column, cast(n_classes as bigint) as n_classes, cast(total as bigint) as total_samples,
+       majority_class, cast(majority_count as bigint) as majority_count, minority_class,
+       cast(minority_count as bigint) as minority_count,
+       {_label('majority_class', labels)} as majority_label, {_label('minority_class', labels)} as minority_label,
+       printf('%.2f%%', round(minority_count * 100.0 / total, 2)) as minority_percentage,
+       round(ratio, 6) as ratio, printf('%.2f:1', round(ratio, 2)) as imbalance_ratio,
+       {_sev('ratio')} as severity, {_act('ratio')} as recommended_action from r""", view)
+
+
+_LL = {0: "Paid", 1: "Default"}
+ORACLE["imbalance_classes"] = wv(f"""
+with cnt as ({_counts('loans', 'not_fully_paid')})
+select class, {_label('class', _LL)} as class_label_display, cast(count as bigint) as count,
+       round(count * 100.0 / sum(count) over (), 6) as percentage,
+       round(max(count) over () / count, 6) as ratio_to_majority,
+       round(count / min(count) over (), 6) as ratio_to_minority from cnt""", "loans")
+ORACLE["check_imbalance"] = _check_sql("loans", "not_fully_paid", _LL)
+ORACLE["check_imbalance_toxic"] = _check_sql("doc_labels", "toxic", None)
+
+
+def _weights_sql(view, col):
+    return wv(f"""
+with cnt as ({_counts(view, col)}),
+w as (select class, count, sum(count) over () / (count(*) over () * count) as weight from cnt)
+select class, cast(count as bigint) as count, round(weight, 6) as weight,
+       round(case when (select count(*) from cnt) = 2 then
+             (select weight from w order by class desc limit 1) / (select weight from w order by class limit 1)
+             end, 6) as weight_ratio from w""", view)
+
+
+ORACLE["class_weights"] = _weights_sql("loans", "not_fully_paid")
+ORACLE["class_weights_quality"] = _weights_sql("doc_labels", "quality")
+ORACLE["scale_pos_weight"] = wv("""
+select round(count(*) filter (where not_fully_paid = 0) / count(*) filter (where not_fully_paid = 1), 6)
+       as scale_pos_weight from loans""", "loans")

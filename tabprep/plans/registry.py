@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import c
-from ..operators import clean, groups, profile
+from ..operators import clean, corr, groups, hist, imbalance, outliers, profile
 from ..operators.clean import CaseStyle, FillStrategy
 from ..sources import fixtures as fx
 from ..sources.tables import read_table
@@ -217,3 +217,137 @@ QUERIES = {
     "variance_decomposition": q_variance_decomposition,
     "variance_decomposition_k3": q_variance_decomposition_k3,
 }
+
+
+# ---------------------------------------------------------------- outliers
+def q_analyze_outliers(spark, sf):
+    return finish(outliers.analyze_outliers(_t(spark, sf, "lineitem")))
+
+
+def q_analyze_outliers_wide(spark, sf):
+    return finish(outliers.analyze_outliers(_t(spark, sf, "lineitem"), iqr_multiplier=0.5,
+                                            include_columns=["l_quantity", "l_extendedprice", "l_tax",
+                                                             "l_returnflag"]))
+
+
+def q_detect_outliers(spark, sf):
+    return finish(outliers.detect_outliers(_t(spark, sf, "events"), "value"))
+
+
+def q_outlier_rows(spark, sf):
+    return finish(outliers.outlier_rows(_t(spark, sf, "events"), ["event_id"], ["value", "user_id"]))
+
+
+def q_boxplot_stats(spark, sf):
+    return finish(outliers.boxplot_stats(_t(spark, sf, "events"), "event_type", "value"))
+
+
+# ---------------------------------------------------------------- correlation
+_CORR_FEATURES = ["revol_util", "installment", "dti", "revol_dup", "installment_near", "constant_col"]
+
+
+def q_corr_matrix(spark, sf):
+    return finish(corr.corr_matrix(fx.loans_corr(spark, sf)))
+
+
+def q_target_correlation(spark, sf):
+    return finish(corr.target_correlation(fx.loans_corr(spark, sf), "not_fully_paid"))
+
+
+def q_high_corr_pairs(spark, sf):
+    return finish(corr.high_corr_pairs(fx.loans_corr(spark, sf), 0.7, _CORR_FEATURES))
+
+
+def q_drop_high_corr(spark, sf):
+    lc = fx.loans_corr(spark, sf).drop("loan_id")
+    return corr.features_to_drop(lc, "not_fully_paid", 0.7)
+
+
+# ---------------------------------------------------------------- histograms / plot tables
+def q_class_histogram(spark, sf):
+    return finish(hist.class_histogram(fx.loans(spark, sf), "not_fully_paid",
+                                       ["revol_util", "dti", "inq_last_6mths", "installment"]))
+
+
+def q_group_histogram(spark, sf):
+    return finish(hist.group_histogram(_t(spark, sf, "events"), "event_type", "value"))
+
+
+def q_group_density(spark, sf):
+    return finish(hist.group_density(_t(spark, sf, "events"), "event_type", "value"))
+
+
+def q_category_by_target(spark, sf):
+    return hist.category_by_target(fx.loans(spark, sf), "purpose", "not_fully_paid")
+
+
+# ---------------------------------------------------------------- crosstab / value counts
+def q_value_counts_pct(spark, sf):
+    return finish(profile.value_counts_pct(fx.loans(spark, sf), "purpose"))
+
+
+def q_crosstab(spark, sf):
+    return profile.crosstab(fx.loans(spark, sf), "purpose", "inq_last_6mths")
+
+
+def q_crosstab_range(spark, sf):
+    return profile.crosstab(fx.loans(spark, sf), "inq_last_6mths", "purpose", 2, 6)
+
+
+def q_crosstab_total(spark, sf):
+    return profile.crosstab_total(fx.loans(spark, sf), "inq_last_6mths", "purpose", 2, 6)
+
+
+# ---------------------------------------------------------------- imbalance
+_LOAN_LABELS = {0: "Paid", 1: "Default"}
+
+
+def q_imbalance_classes(spark, sf):
+    return finish(imbalance.imbalance_classes(fx.loans(spark, sf), "not_fully_paid", _LOAN_LABELS))
+
+
+def q_check_imbalance(spark, sf):
+    return finish(imbalance.check_imbalance(fx.loans(spark, sf), "not_fully_paid", _LOAN_LABELS))
+
+
+def q_check_imbalance_toxic(spark, sf):
+    return finish(imbalance.check_imbalance(fx.doc_labels(spark, sf), "toxic"))
+
+
+def q_class_weights(spark, sf):
+    return finish(imbalance.class_weights(fx.loans(spark, sf), "not_fully_paid"))
+
+
+def q_class_weights_quality(spark, sf):
+    return finish(imbalance.class_weights(fx.doc_labels(spark, sf), "quality"))
+
+
+def q_scale_pos_weight(spark, sf):
+    return finish(imbalance.scale_pos_weight(fx.loans(spark, sf), "not_fully_paid"))
+
+
+QUERIES.update({
+    "analyze_outliers": q_analyze_outliers,
+    "analyze_outliers_selected": q_analyze_outliers_wide,
+    "detect_outliers": q_detect_outliers,
+    "outlier_rows": q_outlier_rows,
+    "boxplot_stats": q_boxplot_stats,
+    "corr_matrix": q_corr_matrix,
+    "target_correlation": q_target_correlation,
+    "high_corr_pairs": q_high_corr_pairs,
+    "drop_high_corr": q_drop_high_corr,
+    "class_histogram": q_class_histogram,
+    "group_histogram": q_group_histogram,
+    "group_density": q_group_density,
+    "category_by_target": q_category_by_target,
+    "value_counts_pct": q_value_counts_pct,
+    "crosstab": q_crosstab,
+    "crosstab_range": q_crosstab_range,
+    "crosstab_total": q_crosstab_total,
+    "imbalance_classes": q_imbalance_classes,
+    "check_imbalance": q_check_imbalance,
+    "check_imbalance_toxic": q_check_imbalance_toxic,
+    "class_weights": q_class_weights,
+    "class_weights_quality": q_class_weights_quality,
+    "scale_pos_weight": q_scale_pos_weight,
+})
