@@ -423,3 +423,110 @@ ORACLE["class_weights_quality"] = _weights_sql("doc_labels", "quality")
 ORACLE["scale_pos_weight"] = wv("""
 select round(count(*) filter (where not_fully_paid = 0) / count(*) filter (where not_fully_paid = 1), 6)
        as scale_pos_weight from loans""", "loans")
+
+
+# ---------------------------------------------------------------- metrics
+_PRED = "(select *, cast(score >= {t} as integer) as prediction from scored)"
+
+
+def _counts_sql(t: float) -> str:
+    return f"""
+select count(*) filter (where label = 0 and prediction = 0) as tn,
+       count(*) filter (where label = 0 and prediction = 1) as fp,
+       count(*) filter (where label = 1 and prediction = 0) as fn,
+       count(*) filter (where label = 1 and prediction = 1) as tp
+from {_PRED.format(t=t)}"""
+
+
+def _rates_sql(tn="tn", fp="fp", fn="fn", tp="tp") -> str:
+    return (f"round(coalesce(({tp} + {tn}) / nullif({tp} + {tn} + {fp} + {fn}, 0), 0), 6) as accuracy, "
+            f"round(coalesce({tp} / nullif({tp} + {fp}, 0), 0), 6) as precision, "
+            f"round(coalesce({tp} / nullif({tp} + {fn}, 0), 0), 6) as recall, "
+            f"round(coalesce(2.0 * {tp} / nullif(2.0 * {tp} + {fp} + {fn}, 0), 0), 6) as f1")
+
+
+_CM = f"""
+with p as {_PRED.format(t=0.5)},
+cls as (select label as v from p union select prediction from p),
+n as (select label as actual, prediction as predicted, count(*) as c from p group by all)
+select a.v as actual, b.v as predicted, cast(coalesce(n.c, 0) as bigint) as count
+from cls a, cls b left join n on n.actual = a.v and n.predicted = b.v"""
+ORACLE["confusion_matrix"] = wv(_CM, "scored")
+ORACLE["confusion_matrix_norm"] = wv(f"""
+with cm as ({_CM})
+select actual, predicted, count, round(count / sum(count) over (partition by actual), 6) as share from cm""",
+                                     "scored")
+ORACLE["confusion_rates"] = wv(f"""
+with k as ({_counts_sql(0.5)})
+select cast(tn as bigint) as tn, cast(fp as bigint) as fp, cast(fn as bigint) as fn, cast(tp as bigint) as tp,
+       round(tn / (tn + fp) * 100, 6) as tn_pct, round(fp / (tn + fp) * 100, 6) as fp_pct,
+       round(fn / (fn + tp) * 100, 6) as fn_pct, round(tp / (fn + tp) * 100, 6) as tp_pct from k""", "scored")
+ORACLE["basic_metrics"] = wv(f"with k as ({_counts_sql(0.4)}) select {_rates_sql()} from k", "scored")
+ORACLE["classification_report"] = wv(f"""
+with cm as ({_CM}),
+per as (select actual as cls, sum(case when actual = predicted then count else 0 end) as tp,
+               sum(count) as support from cm group by actual),
+pred as (select predicted as cls, sum(count) as pred_total from cm group by predicted),
+t as (select per.cls, tp, support, coalesce(tp / nullif(pred_total, 0), 0) as precision,
+             coalesce(tp / nullif(support, 0), 0) as recall from per join pred on per.cls = pred.cls),
+t2 as (select *, coalesce(2.0 * precision * recall / nullif(precision + recall, 0), 0) as f1_score from t)
+select cast(cls as varchar) as class, round(precision, 6) as precision, round(recall, 6) as recall,
+       round(f1_score, 6) as f1_score, cast(support as bigint) as support from t2
+union all select 'accuracy', null, null, round(sum(tp) / sum(support), 6), cast(sum(support) as bigint) from t2
+union all select 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1_score), 6),
+                 cast(sum(support) as bigint) from t2
+union all select 'weighted avg', round(sum(precision * support) / sum(support), 6),
+                 round(sum(recall * support) / sum(support), 6), round(sum(f1_score * support) / sum(support), 6),
+                 cast(sum(support) as bigint) from t2""", "scored")
+_CUM = """
+with st as (select cast(score as double) as score, count(*) filter (where label = 1) as pos,
+                   count(*) filter (where label <> 1) as neg
+            from scored where score is not null and label is not null group by score),
+cum as (select score, pos, neg,
+               sum(pos) over (order by score desc rows between unbounded preceding and current row) as cum_pos,
+               sum(neg) over (order by score desc rows between unbounded preceding and current row) as cum_neg,
+               sum(pos) over () as tot_pos, sum(neg) over () as tot_neg from st)"""
+ORACLE["roc_curve"] = wv(_CUM + """
+select 'inf'::double as threshold, 0.0::double as fpr, 0.0::double as tpr
+union all select score, round(cum_neg / tot_neg, 6), round(cum_pos / tot_pos, 6) from cum""", "scored")
+ORACLE["roc_auc"] = wv(_CUM + """,
+a as (select sum(pos * ((tot_neg - cum_neg) + neg / 2.0)) / (max(tot_pos) * max(tot_neg)) as roc_auc from cum)
+select round(roc_auc, 6) as roc_auc,
+       case when roc_auc >= 0.9 then 'Excellent discrimination ability'
+            when roc_auc >= 0.8 then 'Good discrimination ability'
+            when roc_auc >= 0.7 then 'Fair discrimination ability' else 'Poor discrimination ability' end as grade
+from a""", "scored")
+ORACLE["pr_curve"] = wv(_CUM + """
+select score as threshold, round(coalesce(cum_pos / nullif(cum_pos + cum_neg, 0), 0), 6) as precision,
+       round(coalesce(cum_pos / nullif(tot_pos, 0), 1), 6) as recall from cum
+union all select null, 1.0, 0.0""", "scored")
+ORACLE["pr_baseline"] = wv("select round(avg(case when label = 1 then 1.0 else 0.0 end), 6) as positive_rate "
+                           "from scored", "scored")
+
+
+def _sweep_sql(ts, metric_expr: str) -> str:
+    rows = " union all ".join(f"select {i} as seq, {t}::double as threshold" for i, t in enumerate(ts))
+    return f"""
+with th as ({rows}),
+k as (select seq, threshold,
+             count(*) filter (where score >= threshold and label = 1) as tp,
+             count(*) filter (where score >= threshold and label <> 1) as fp,
+             count(*) filter (where label = 1) - count(*) filter (where score >= threshold and label = 1) as fn,
+             count(*) filter (where label <> 1) - count(*) filter (where score >= threshold and label <> 1) as tn
+      from th, scored group by seq, threshold),
+r as (select *, coalesce((tp + tn) / nullif(tp + tn + fp + fn, 0), 0) as accuracy,
+             coalesce(tp / nullif(tp + fp, 0), 0) as precision, coalesce(tp / nullif(tp + fn, 0), 0) as recall,
+             coalesce(2.0 * tp / nullif(2.0 * tp + fp + fn, 0), 0) as f1 from k)
+select cast(seq as integer) as seq, threshold, cast(tn as bigint) as tn, cast(fp as bigint) as fp,
+       cast(fn as bigint) as fn, cast(tp as bigint) as tp, round(accuracy, 6) as accuracy,
+       round(precision, 6) as precision, round(recall, 6) as recall, round(f1, 6) as f1,
+       round({metric_expr}, 6) as metric_value from r"""
+
+
+ORACLE["threshold_sweep"] = wv(_sweep_sql([0.3, 0.4, 0.5, 0.6, 0.7], "f1"), "scored")
+ORACLE["threshold_sweep_recall_weighted"] = wv(_CUM.replace("with st as", "with st as") + ",\n" + """
+auc as (select sum(pos * ((tot_neg - cum_neg) + neg / 2.0)) / (max(tot_pos) * max(tot_neg)) as roc_auc from cum),
+""" + _sweep_sql([0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8],
+                 "0.3 * (select roc_auc from auc) + 0.6 * recall + 0.1 * f1").lstrip()[5:], "scored")
+ORACLE["best_threshold"] = wv(_sweep_sql([0.3, 0.4, 0.5, 0.6, 0.7], "f1")
+                              + " order by metric_value desc, seq asc limit 1", "scored")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import c
-from ..operators import clean, corr, groups, hist, imbalance, outliers, profile
+from ..operators import clean, corr, groups, hist, imbalance, metrics, outliers, profile
 from ..operators.clean import CaseStyle, FillStrategy
 from ..sources import fixtures as fx
 from ..sources.tables import read_table
@@ -351,3 +351,76 @@ QUERIES.update({
     "class_weights_quality": q_class_weights_quality,
     "scale_pos_weight": q_scale_pos_weight,
 })
+
+
+# ---------------------------------------------------------------- metrics over a scored table
+def _scored(spark, sf, threshold=0.5):
+    return metrics.with_prediction(fx.scored(spark, sf), "score", threshold)
+
+
+def q_confusion_matrix(spark, sf):
+    return metrics.confusion_matrix(_scored(spark, sf), "label", "prediction")
+
+
+def q_confusion_matrix_norm(spark, sf):
+    cm = metrics.confusion_matrix(_scored(spark, sf), "label", "prediction")
+    return finish(metrics.confusion_matrix_norm(cm))
+
+
+def q_confusion_rates(spark, sf):
+    return finish(metrics.confusion_rates(_scored(spark, sf)))
+
+
+def q_basic_metrics(spark, sf):
+    return finish(metrics.basic_metrics(_scored(spark, sf, 0.4)))
+
+
+def q_classification_report(spark, sf):
+    return finish(metrics.classification_report(_scored(spark, sf)))
+
+
+def q_roc_curve(spark, sf):
+    return finish(metrics.roc_curve(fx.scored(spark, sf)))
+
+
+def q_roc_auc(spark, sf):
+    return finish(metrics.roc_auc(fx.scored(spark, sf)))
+
+
+def q_pr_curve(spark, sf):
+    return finish(metrics.pr_curve(fx.scored(spark, sf)))
+
+
+def q_pr_baseline(spark, sf):
+    return finish(metrics.pr_baseline(fx.scored(spark, sf)))
+
+
+def q_threshold_sweep(spark, sf):
+    return finish(metrics.threshold_sweep(fx.scored(spark, sf)))
+
+
+def q_threshold_sweep_recall_weighted(spark, sf):
+    sc = fx.scored(spark, sf)
+    auc = metrics.roc_auc_value(sc)
+    return finish(metrics.threshold_sweep(sc, metric="recall_weighted", roc_auc=auc,
+                                          thresholds=[0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8]))
+
+
+def q_best_threshold(spark, sf):
+    return finish(metrics.best_threshold(metrics.threshold_sweep(fx.scored(spark, sf))))
+
+
+QUERIES.update({
+    "confusion_matrix": q_confusion_matrix,
+    "confusion_matrix_norm": q_confusion_matrix_norm,
+    "confusion_rates": q_confusion_rates,
+    "basic_metrics": q_basic_metrics,
+    "classification_report": q_classification_report,
+    "roc_curve": q_roc_curve,
+    "roc_auc": q_roc_auc,
+    "pr_curve": q_pr_curve,
+    "pr_baseline": q_pr_baseline,
+    "threshold_sweep": q_threshold_sweep,
+    "threshold_sweep_recall_weighted": q_threshold_sweep_recall_weighted,
+    "best_threshold": q_best_threshold,
+})
