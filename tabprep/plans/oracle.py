@@ -530,3 +530,92 @@ auc as (select sum(pos * ((tot_neg - cum_neg) + neg / 2.0)) / (max(tot_pos) * ma
                  "0.3 * (select roc_auc from auc) + 0.6 * recall + 0.1 * f1").lstrip()[5:], "scored")
 ORACLE["best_threshold"] = wv(_sweep_sql([0.3, 0.4, 0.5, 0.6, 0.7], "f1")
                               + " order by metric_value desc, seq asc limit 1", "scored")
+
+
+# ---------------------------------------------------------------- features, encoding, split, scaling
+_LOAN_COLS = ["loan_id", "purpose", "revol_util", "inq_last_6mths", "installment", "log_annual_inc",
+              "days_with_cr_line", "dti", "not_fully_paid"]
+_DBL = {"revol_util", "installment", "log_annual_inc", "days_with_cr_line", "dti"}
+
+
+def _loan_col(x: str) -> str:
+    return f"round({x}, 6) as {x}" if x in _DBL else x
+
+
+ORACLE["loan_features"] = wv(f"""
+select {', '.join(_loan_col(x) for x in _LOAN_COLS)},
+       round(revol_util / 100.0, 6) as credit_util_ratio, inq_last_6mths * 2 as annual_inquiry_rate,
+       round(installment / exp(log_annual_inc), 6) as debt_burden,
+       round(days_with_cr_line / 365.25, 6) as credit_history_years,
+       cast(coalesce(dti > 20, false) or coalesce(revol_util > 80, false) as integer) as high_debt,
+       round(revol_util / 100.0 * 0.3 + (inq_last_6mths / 10.0) * 0.2 + (dti / 30.0) * 0.3
+             + (1.0 - least(greatest(days_with_cr_line / 365.25 / 20.0, 0.0), 1.0)) * 0.2, 6) as risk_score
+from loans""", "loans")
+
+# The five order priorities of the orders table, sorted.
+_PURPOSES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+
+def _dummies(x: str = "purpose") -> str:
+    return ", ".join(f"cast(coalesce({x} = '{v}', false) as integer) as \"{x}_{v}\"" for v in _PURPOSES[1:])
+
+
+ORACLE["one_hot"] = wv(f"""
+select {', '.join(_loan_col(x) for x in _LOAN_COLS if x != 'purpose')}, {_dummies()} from loans""", "loans")
+
+
+def _split_sql(view: str, key: str, label: str | None, test: float, val: float, seed: int) -> str:
+    """split per key; quotas by largest remainder in integer arithmetic"""
+    cls = label if label else "'__all__'"
+    return f"""
+split_base as (select {key} as k, {cls} as cls,
+                      row_number() over (partition by {cls} order by md5(cast({key} as varchar) || ':{seed}')) - 1 as rk
+               from {view}),
+cnt as (select cls, count(*) as n_c from split_base group by cls),
+tot as (select sum(n_c) as n, cast(ceil(cast({test} as double) * sum(n_c)) as bigint) as n_test from cnt),
+q1 as (select cls, n_c, (n_test * n_c) // n as base, (n_test * n_c) % n as rem, n, n_test from cnt, tot),
+q1r as (select *, row_number() over (order by rem desc, cls asc) as r1,
+               n_test - sum(base) over () as left1 from q1),
+q1f as (select cls, n_c, n, n_test, base + case when r1 <= left1 then 1 else 0 end as qt from q1r),
+q2 as (select *, n_c - qt as rest, n - n_test as n_rest,
+              cast(ceil(cast({val} as double) * (n - n_test)) as bigint) as n_val from q1f),
+q2b as (select *, case when n_rest = 0 then 0 else (n_val * rest) // n_rest end as base2,
+               case when n_rest = 0 then 0 else (n_val * rest) % n_rest end as rem2 from q2),
+q2r as (select *, row_number() over (order by rem2 desc, cls asc) as r2, n_val - sum(base2) over () as left2
+        from q2b),
+quota as (select cls, qt, base2 + case when r2 <= left2 then 1 else 0 end as qv from q2r),
+splits as (select k, case when rk < qt then 'test' when rk < qt + qv then 'val' else 'train' end as split
+           from split_base join quota using (cls))"""
+
+
+ORACLE["stratified_split"] = wv("with " + _split_sql("loans", "loan_id", "not_fully_paid", 0.3, 0.2, 42)
+                                + "\nselect k as loan_id, split from splits", "loans")
+ORACLE["random_split"] = wv("with " + _split_sql("loans", "loan_id", None, 0.25, 0.1, 7)
+                            + "\nselect k as loan_id, split from splits", "loans")
+ORACLE["split_class_distribution"] = wv("with " + _split_sql("loans", "loan_id", "not_fully_paid", 0.3, 0.2, 42) + """,
+per as (select split, not_fully_paid as class, count(*) as count from loans join splits on loan_id = k
+        group by all)
+select split, class, cast(count as bigint) as count,
+       round(count * 100.0 / sum(count) over (partition by split), 6) as percent from per""", "loans")
+_SC = ["revol_util", "inq_last_6mths", "installment", "log_annual_inc", "days_with_cr_line", "dti"]
+
+
+def _scaled(cols: list[str]) -> tuple[str, str]:
+    stats = ", ".join(f'avg("{x}") as m_{i}, coalesce(nullif(stddev_pop("{x}"), 0), 1) as s_{i}'
+                      for i, x in enumerate(cols))
+    exprs = ", ".join(f'round(("{x}" - m_{i}) / s_{i}, 6) as "{x}"' for i, x in enumerate(cols))
+    return stats, exprs
+
+
+_st, _ex = _scaled(_SC)
+ORACLE["standard_scale"] = wv("with " + _split_sql("loans", "loan_id", "not_fully_paid", 0.3, 0.2, 42) + f""",
+d as (select loans.*, split from loans join splits on loan_id = k),
+st as (select {_st} from d where split = 'train')
+select loan_id, split, {_ex} from d, st""", "loans")
+_PREP_FEATS = _SC + [f"purpose_{v}" for v in _PURPOSES[1:]]
+_st2, _ex2 = _scaled(_PREP_FEATS)
+ORACLE["prepare_data"] = wv("with " + _split_sql("loans", "loan_id", "not_fully_paid", 0.3, 0.2, 42) + f""",
+enc as (select loan_id, {', '.join(_SC)}, {_dummies()}, not_fully_paid from loans),
+d as (select enc.*, split from enc join splits on loan_id = k),
+st as (select {_st2} from d where split = 'train')
+select loan_id, {_ex2}, not_fully_paid, split from d, st""", "loans")

@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import c
-from ..operators import clean, corr, groups, hist, imbalance, metrics, outliers, profile
+from ..operators import (clean, corr, encode, features, groups, hist, imbalance, metrics, outliers,
+                         profile, scale, split)
+from . import preparation
 from ..operators.clean import CaseStyle, FillStrategy
 from ..sources import fixtures as fx
 from ..sources.tables import read_table
@@ -424,3 +426,52 @@ QUERIES.update({
     "threshold_sweep_recall_weighted": q_threshold_sweep_recall_weighted,
     "best_threshold": q_best_threshold,
 })
+
+
+# ---------------------------------------------------------------- features, encoding, split, scaling
+LOAN_NAMES = {"revol.util": "revol_util", "inq.last.6mths": "inq_last_6mths", "installment": "installment",
+              "log.annual.inc": "log_annual_inc", "days.with.cr.line": "days_with_cr_line", "dti": "dti"}
+SCALED = ["revol_util", "inq_last_6mths", "installment", "log_annual_inc", "days_with_cr_line", "dti"]
+
+
+def q_loan_features(spark, sf):
+    return finish(features.create_loan_features(fx.loans(spark, sf), LOAN_NAMES))
+
+
+def q_one_hot(spark, sf):
+    return finish(encode.one_hot(fx.loans(spark, sf), ["purpose"]))
+
+
+def q_stratified_split(spark, sf):
+    return split.stratified_split(fx.loans(spark, sf), "loan_id", "not_fully_paid").select("loan_id", "split")
+
+
+def q_random_split(spark, sf):
+    return split.random_split(fx.loans(spark, sf), "loan_id", 0.25, 0.1, seed=7).select("loan_id", "split")
+
+
+def q_split_class_distribution(spark, sf):
+    sp = split.stratified_split(fx.loans(spark, sf), "loan_id", "not_fully_paid")
+    return finish(split.split_class_distribution(sp, "not_fully_paid"))
+
+
+def q_standard_scale(spark, sf):
+    sp = split.stratified_split(fx.loans(spark, sf), "loan_id", "not_fully_paid")
+    out, _ = scale.standard_scale(sp, SCALED)
+    return finish(out.select("loan_id", "split", *SCALED))
+
+
+def q_prepare_data(spark, sf):
+    lo = fx.loans(spark, sf)
+    return finish(preparation.prepare_data(lo, "not_fully_paid", "loan_id").data)
+
+
+QUERIES.update({
+    "loan_features": q_loan_features,
+    "one_hot": q_one_hot,
+    "stratified_split": q_stratified_split,
+    "random_split": q_random_split,
+    "split_class_distribution": q_split_class_distribution,
+    "standard_scale": q_standard_scale,
+    "prepare_data": q_prepare_data,
+})
