@@ -20,7 +20,7 @@ straddle a boundary are ranked row by row.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -59,43 +59,60 @@ def split_quotas(counts: Mapping, test_size: float, val_size: float) -> dict:
     return {k: (test[k], val[k]) for k in counts}
 
 
-def stratified_split(df: DataFrame, key_col: str, label_col: str | None, test_size: float = 0.3,
-                     val_size: float = 0.2, seed: int = 42, split_col: str = "split") -> DataFrame:
-    """Add ``split`` in {'train', 'val', 'test'}.  ``label_col=None`` splits
-    without class quotas (one pseudo-class)."""
-    if not 0 <= test_size < 1 or not 0 <= val_size < 1:
-        raise ValueError("test_size and val_size must be in [0, 1)")
-    cls = c(label_col) if label_col else F.lit(_ALL)
+def quota_assign(df: DataFrame, key_col: str, cls: Column, quotas: Mapping, names: Sequence[str],
+                 rest: str, seed: int, out_col: str) -> DataFrame:
+    """Label rows by their rank in md5 order within their class: the first
+    ``quotas[cls][0]`` rows get ``names[0]``, the next ``quotas[cls][1]``
+    get ``names[1]``, ...; the remaining rows get ``rest``.  Whole md5-prefix
+    buckets are labelled directly; only buckets straddling a cut are ranked
+    row by row."""
     h = order_key(key_col, seed)
     tagged = df.select("*", cls.alias("_cls"), h.alias("_h"),
                        F.conv(F.substring(h, 1, _BUCKET_HEX), 16, 10).cast("int").alias("_bk"))
     per_bucket = tagged.groupBy("_cls", "_bk").agg(F.count(F.lit(1)).alias("_n"))
-    # class totals: one row per class reaches the driver
-    totals = {r["_cls"]: r["n"] for r in per_bucket.groupBy("_cls").agg(F.sum("_n").alias("n")).collect()}
-    quotas = split_quotas(totals, test_size, val_size)
-    qmap = F.create_map(*[x for k, (t, v) in quotas.items() for x in (F.lit(k), F.array(F.lit(t), F.lit(v)))])
+    cuts_of = {k: [sum(q[:i + 1]) for i in range(len(q))] for k, q in quotas.items()}
+    cmap = F.create_map(*[x for k, cs in cuts_of.items()
+                          for x in (F.lit(k), F.array(*[F.lit(int(v)) for v in cs]))])
     # starting rank of each bucket; the window spans <= 65,536 rows per class
     w = Window.partitionBy("_cls").orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     starts = per_bucket.select("_cls", "_bk", "_n",
                                F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_start"))
-    starts = starts.select("*", qmap[F.col("_cls")][0].alias("_qt"), qmap[F.col("_cls")][1].alias("_qv"))
-    cut1, cut2 = F.col("_qt"), F.col("_qt") + F.col("_qv")
+    cuts = cmap[F.col("_cls")]
     end = F.col("_start") + F.col("_n")
-    straddles = ((F.col("_start") < cut1) & (end > cut1)) | ((F.col("_start") < cut2) & (end > cut2))
-    starts = starts.withColumn("_edge", straddles)
+    straddles = F.exists(cuts, lambda x: (F.col("_start") < x) & (end > x))
+    starts = starts.select("_cls", "_bk", "_start", F.coalesce(straddles, F.lit(False)).alias("_edge"),
+                           cuts.alias("_cuts"))
     # classes x 65,536 rows at most: small enough to broadcast
-    joined = tagged.join(F.broadcast(starts.drop("_n")), ["_cls", "_bk"])
+    joined = tagged.join(F.broadcast(starts), ["_cls", "_bk"])
 
     def label(rank: Column) -> Column:
-        return (F.when(rank < cut1, F.lit("test")).when(rank < cut2, F.lit("val"))
-                .otherwise(F.lit("train")))
+        out = F.lit(rest)
+        for i in reversed(range(len(names))):
+            out = F.when(rank < F.col("_cuts")[i], F.lit(names[i])).otherwise(out)
+        return out
 
-    whole = joined.where(~F.col("_edge")).withColumn(split_col, label(F.col("_start")))
+    whole = joined.where(~F.col("_edge")).withColumn(out_col, label(F.col("_start")))
     ranked = Window.partitionBy("_cls", "_bk").orderBy("_h")
     edge = joined.where(F.col("_edge")).withColumn(
-        split_col, label(F.col("_start") + F.row_number().over(ranked) - 1))
-    out = whole.unionByName(edge)
-    return out.drop("_cls", "_h", "_bk", "_start", "_qt", "_qv", "_edge")
+        out_col, label(F.col("_start") + F.row_number().over(ranked) - 1))
+    return whole.unionByName(edge).drop("_cls", "_h", "_bk", "_start", "_edge", "_cuts")
+
+
+def class_totals(df: DataFrame, cls: Column) -> dict:
+    """{class: rows}; one row per class reaches the driver."""
+    return {r["k"]: r["n"] for r in df.groupBy(cls.alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def stratified_split(df: DataFrame, key_col: str, label_col: str | None, test_size: float = 0.3,
+                     val_size: float = 0.2, seed: int = 42, split_col: str = "split") -> DataFrame:
+    """Add ``split`` in {'train', 'val', 'test'}.  ``label_col=None`` splits
+    without class quotas (one pseudo-class)."""
+    if not 0 <= test_size < 1 or not 0 <= val_size < 1:
+        raise ValueError("test_size and val_size must be in [0, 1)")
+    cls = c(label_col) if label_col else F.lit(_ALL)
+    quotas = split_quotas(class_totals(df, cls), test_size, val_size)
+    return quota_assign(df, key_col, cls, {k: list(v) for k, v in quotas.items()}, ["test", "val"],
+                        "train", seed, split_col)
 
 
 def random_split(df: DataFrame, key_col: str, test_size: float = 0.3, val_size: float = 0.2,

@@ -619,3 +619,28 @@ enc as (select loan_id, {', '.join(_SC)}, {_dummies()}, not_fully_paid from loan
 d as (select enc.*, split from enc join splits on loan_id = k),
 st as (select {_st2} from d where split = 'train')
 select loan_id, {_ex2}, not_fully_paid, split from d, st""", "loans")
+
+
+# ---------------------------------------------------------------- neighbours and SMOTE
+_KF = ["revol_util", "inq_last_6mths", "installment", "dti"]
+
+
+def _d2(a: str, b: str) -> str:
+    s = "0.0"
+    for f in _KF:
+        s = f"({s} + ({a}.{f} - {b}.{f}) * ({a}.{f} - {b}.{f}))"
+    return f"sqrt({s})"
+
+
+ORACLE["knn_self_join"] = wv(f"""
+with m as (select loan_id, {', '.join(f'cast({f} as double) as {f}' for f in _KF)} from loans
+           where not_fully_paid = 1),
+p as (select a.loan_id as id, b.loan_id as nbr_id, {_d2('a', 'b')} as dist from m a join m b on a.loan_id <> b.loan_id),
+r as (select *, row_number() over (partition by id order by dist, nbr_id) as nbr_rank from p)
+select id, nbr_id, cast(nbr_rank as integer) as nbr_rank, round(dist, 6) as dist from r where nbr_rank <= 5""",
+                            "loans")
+ORACLE["smote_class_counts"] = wv("""
+with cnt as (select not_fully_paid as class, count(*) as n from loans group by 1),
+mx as (select max(n) as n_maj from cnt)
+select class, cast(case when n = n_maj then n else greatest(n, cast(floor(0.5 * n_maj) as bigint)) end as bigint)
+       as count from cnt, mx""", "loans")

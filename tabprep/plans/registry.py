@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import c
-from ..operators import (clean, corr, encode, features, groups, hist, imbalance, metrics, outliers,
-                         profile, scale, split)
+from ..operators import (clean, corr, encode, features, groups, hist, imbalance, metrics, neighbors,
+                         outliers, profile, resample, scale, split)
 from . import preparation
 from ..operators.clean import CaseStyle, FillStrategy
 from ..sources import fixtures as fx
@@ -475,3 +475,43 @@ QUERIES.update({
     "standard_scale": q_standard_scale,
     "prepare_data": q_prepare_data,
 })
+
+
+# ---------------------------------------------------------------- neighbours and SMOTE
+KNN_FEATURES = ["revol_util", "inq_last_6mths", "installment", "dti"]
+
+
+def q_knn_self_join(spark, sf):
+    lo = fx.loans(spark, sf).where(F.col("not_fully_paid") == 1)
+    return finish(neighbors.knn(lo, "loan_id", KNN_FEATURES, k=5))
+
+
+def _smote(spark, sf, ratio):
+    return resample.smote(fx.loans(spark, sf), "loan_id", "not_fully_paid", KNN_FEATURES, ratio=ratio)
+
+
+def q_smote(spark, sf):
+    out = _smote(spark, sf, 0.5)
+    return finish(out.select("loan_id", "not_fully_paid", *KNN_FEATURES, "synthetic", "source_key",
+                             "neighbor_key", "copy"))
+
+
+def q_smote_class_counts(spark, sf):
+    out = _smote(spark, sf, 0.5)
+    return resample.class_distribution(out, "not_fully_paid")
+
+
+def q_smote_doc_labels(spark, sf):
+    dl = fx.doc_labels(spark, sf)
+    out = resample.smote(dl, "doc_id", "quality", ["n_chars", "toxic"], ratio=1.0)
+    return finish(out.groupBy("quality", "synthetic").agg(F.count(F.lit(1)).alias("count"),
+                                                          F.min("n_chars").alias("min_n_chars"),
+                                                          F.max("n_chars").alias("max_n_chars")))
+
+
+QUERIES.update({
+    "knn_self_join": q_knn_self_join,
+    "smote": q_smote,
+    "smote_class_counts": q_smote_class_counts,
+    "smote_doc_labels": q_smote_doc_labels,
+})
