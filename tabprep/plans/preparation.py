@@ -18,6 +18,7 @@ from ..operators.encode import categories, one_hot
 from ..operators.scale import ScalerModel, fit_standard_scaler
 from ..operators.split import stratified_split
 from ..functions.columns import string_columns
+from ..session import ensure_checkpoint_dir
 
 
 @dataclass(frozen=True)
@@ -49,7 +50,7 @@ class PreparedData:
 def prepare_data(df: DataFrame, target_col: str, key_col: str,
                  categorical_cols: Sequence[str] | None = None, test_size: float = 0.3,
                  val_size: float = 0.2, scale_features: bool = True, random_state: int = 42,
-                 stratify: bool = True) -> PreparedData:
+                 stratify: bool = True, materialize: bool = True) -> PreparedData:
     """Encode the categorical columns (first category dropped), split
     (exact stratified quotas, reproducible per key), and scale the features
     on the training rows.  The key column is carried along but is not a
@@ -70,4 +71,9 @@ def prepare_data(df: DataFrame, target_col: str, key_col: str,
                                      numeric_columns(split, features))
         data = scaler.transform(split)
     data = data.select(c(key_col), *[c(f) for f in features], c(target_col), "split")
+    if materialize:
+        # every fit and report reads this table many times: cut the lineage
+        # (split windows, joins, scaler) once, in the shared checkpoint folder
+        ensure_checkpoint_dir(df.sparkSession)
+        data = data.checkpoint()
     return PreparedData(data, encoded, tuple(features), target_col, key_col, cats, scaler)

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from ..functions.columns import c
 from ..operators import (clean, corr, encode, features, groups, hist, imbalance, metrics, neighbors,
                          outliers, profile, resample, scale, split)
-from . import preparation
+from . import evaluation, preparation, selection
 from ..operators.clean import CaseStyle, FillStrategy
 from ..sources import fixtures as fx
 from ..sources.tables import read_table
@@ -515,3 +515,88 @@ QUERIES.update({
     "smote_class_counts": q_smote_class_counts,
     "smote_doc_labels": q_smote_doc_labels,
 })
+
+
+# ---------------------------------------------------------------- training, comparison, selection
+from ..operators import train as T_  # noqa: E402
+
+
+def _prepared(spark, sf):
+    return preparation.prepare_data(fx.loans(spark, sf), "not_fully_paid", "loan_id")
+
+
+def q_class_weighted_fit(spark, sf):
+    """Logistic regression with balanced class weights, scored on the test rows."""
+    p = _prepared(spark, sf)
+    cfg = T_.ModelConfig(T_.ModelType.LOGISTIC_REGRESSION, "Logistic Regression", class_weight="balanced")
+    res = selection.train_and_evaluate(cfg, p.train, p.test, "not_fully_paid", list(p.feature_names), "loan_id")
+    return finish(res.scored)
+
+
+def q_compare_models(spark, sf):
+    p = _prepared(spark, sf)
+    configs = T_.default_configs(use_logistic=True, use_gradient_boosting=True)
+    table, _ = selection.compare_models(configs, p.train, p.test, "not_fully_paid", list(p.feature_names))
+    return finish(table.drop("train_time_s"))
+
+
+def q_feature_importance(spark, sf):
+    p = _prepared(spark, sf)
+    cfg = T_.ModelConfig(T_.ModelType.RANDOM_FOREST, "Random Forest", class_weight="balanced")
+    res = selection.train_and_evaluate(cfg, p.train, p.test, "not_fully_paid", list(p.feature_names))
+    return finish(res.importance)
+
+
+def q_optimize_strategy(spark, sf):
+    p = _prepared(spark, sf)
+    table, _ = selection.optimize_strategy(
+        lambda: T_.ModelConfig(T_.ModelType.LOGISTIC_REGRESSION, "Logistic Regression"),
+        p.train, p.val, "loan_id", "not_fully_paid", list(p.feature_names), smote_ratios=(0.3, 0.5))
+    return finish(table.drop("train_time_s"))
+
+
+def q_training_history(spark, sf):
+    p = _prepared(spark, sf)
+    cfg = T_.ModelConfig(T_.ModelType.GRADIENT_BOOSTING, "Gradient Boosting",
+                         params={"n_estimators": 30, "max_depth": 4, "learning_rate": 0.1, "random_state": 42})
+    model, _ = T_.fit(cfg, p.train, list(p.feature_names), "not_fully_paid")
+    hist = T_.boosting_history(model, p.train, p.val, list(p.feature_names), "not_fully_paid", spark)
+    return finish(hist)
+
+
+def q_best_epoch(spark, sf):
+    return finish(selection.best_epoch(q_training_history(spark, sf), "val_loss", "min"))
+
+
+def q_evaluate_model(spark, sf):
+    p = _prepared(spark, sf)
+    cfg = T_.ModelConfig(T_.ModelType.LOGISTIC_REGRESSION, "Logistic Regression", class_weight="balanced")
+    model, _ = T_.fit(cfg, p.train, list(p.feature_names), "not_fully_paid", "balanced")
+    ev = evaluation.evaluate_model(model, p.test, list(p.feature_names), "not_fully_paid", "loan_id")
+    return finish(ev.threshold_sweep)
+
+
+def q_selection_summary(spark, sf):
+    p = _prepared(spark, sf)
+    feats = list(p.feature_names)
+    table, results = selection.optimize_strategy(
+        lambda: T_.ModelConfig(T_.ModelType.LOGISTIC_REGRESSION, "Logistic Regression"),
+        p.train, p.val, "loan_id", "not_fully_paid", feats,
+        strategies=["none", "class_weights", "smote_partial"], optimize_for="recall_weighted")
+    best = table.orderBy("rank").first()["name"]
+    scored = T_.score(results[best].model, p.test, feats, keep=["loan_id", "not_fully_paid"])
+    sweep = metrics.threshold_sweep(scored, "not_fully_paid", "probability")
+    thr = metrics.best_threshold(sweep).first()["threshold"]
+    return finish(selection.selection_summary(table, scored, "not_fully_paid", thr, best))
+
+
+QUERIES.update({
+    "class_weighted_fit": q_class_weighted_fit,
+    "compare_models": q_compare_models,
+    "feature_importance": q_feature_importance,
+    "optimize_strategy": q_optimize_strategy,
+    "training_history": q_training_history,
+    "best_epoch": q_best_epoch,
+    "evaluate_model": q_evaluate_model,
+    "selection_summary": q_selection_summary,
+})
