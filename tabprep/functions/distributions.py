@@ -15,10 +15,17 @@ from __future__ import annotations
 
 import math
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# ship this module's code with the UDF (by value), so executors need no
+# copy of the package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _EPS = 1e-15
 _TINY = 1e-300
 _MAXIT = 100_000

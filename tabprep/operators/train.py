@@ -140,7 +140,8 @@ def fit(config: ModelConfig, train: DataFrame, feature_cols: Sequence[str], labe
     ``class_weights="balanced"`` computes n / (k n_c) from the labels.
     For XGBoost ``scale_pos_weight`` multiplies the positive rows' weight.
     """
-    data = assemble(train, feature_cols)
+    # MLlib resolves column names as paths: give the label a plain name
+    data = assemble(train, feature_cols).withColumn("__label", c(label_col).cast("double"))
     weights = None
     if class_weights == "balanced":
         weights = class_weight_dict(train, label_col)
@@ -157,7 +158,7 @@ def fit(config: ModelConfig, train: DataFrame, feature_cols: Sequence[str], labe
             wcol = None
     n_train = data.agg(F.sum(F.col(wcol)) if wcol else F.count(F.lit(1))).first()[0] \
         if config.model_type == ModelType.LOGISTIC_REGRESSION else None
-    est = build_model(config, len(feature_cols), label_col, wcol, n_train)
+    est = build_model(config, len(feature_cols), "__label", wcol, n_train)
     t0 = time.time()
     model = est.fit(data)
     return model, time.time() - t0
@@ -188,7 +189,7 @@ def boosting_history(model: Any, train: DataFrame, val: DataFrame, feature_cols:
                      label_col: str, spark) -> DataFrame:
     """Loss after each boosting round on train and validation (the re-aimed
     training history): (round, train_loss, val_loss)."""
-    tr = model.evaluateEachIteration(assemble(train, feature_cols))
-    va = model.evaluateEachIteration(assemble(val, feature_cols))
+    tr = model.evaluateEachIteration(assemble(train, feature_cols).withColumn("__label", c(label_col).cast("double")))
+    va = model.evaluateEachIteration(assemble(val, feature_cols).withColumn("__label", c(label_col).cast("double")))
     rows = [(i + 1, float(a), float(b)) for i, (a, b) in enumerate(zip(tr, va))]
     return spark.createDataFrame(rows, "round int, train_loss double, val_loss double")

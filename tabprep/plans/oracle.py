@@ -27,7 +27,7 @@ def SPACES(x: str) -> str:
 
 
 def TITLE(x: str) -> str:
-    return (f"array_to_string(list_transform(range(1, length({x}) + 1), i -> case when i = 1 or not "
+    return (f"array_to_string(list_transform(range(1, length({x}) + 1), lambda i: case when i = 1 or not "
             f"regexp_matches(substr({x}, i - 1, 1), '\\p{{L}}') then upper(substr({x}, i, 1)) "
             f"else lower(substr({x}, i, 1)) end), '')")
 
@@ -38,7 +38,10 @@ def CLEANED(x: str, replacement: str = "null") -> str:
 
 
 def R(x: str, d: int = 6) -> str:
-    return f"round({x}, {d})"
+    """Round like Spark: half-up on the shortest decimal form of the double
+    (DuckDB's own round multiplies first and can tip near-ties the other way)."""
+    return (f"(case when isfinite(({x})::double) then cast(round(cast(cast(({x})::double as varchar) "
+            f"as decimal(38, 18)), {d}) as double) else ({x})::double end)")
 
 
 def _fill_sql(stat_a: str, stat_b: str) -> str:
@@ -55,10 +58,10 @@ def _mode(col: str) -> str:
 
 def _group_stats_sql(table: str, key: str, val: str, where: str = "") -> str:
     return f"""
-select {key}, count({val}) as count, round(coalesce(sum({val}), 0), 2) as sum,
-       round(avg({val}), 2) as mean, round(stddev_samp({val}), 2) as std,
-       round(var_samp({val}), 2) as var, round(min({val}), 2) as min, round(max({val}), 2) as max,
-       round(median({val}), 2) as median
+select {key}, count({val}) as count, {R(f"coalesce(sum({val}), 0)", 2)} as sum,
+       {R(f"avg({val})", 2)} as mean, {R(f"stddev_samp({val})", 2)} as std,
+       {R(f"var_samp({val})", 2)} as var, {R(f"min({val})", 2)} as min, {R(f"max({val})", 2)} as max,
+       {R(f"median({val})", 2)} as median
 from {table} where {key} is not null {where} group by {key}"""
 
 

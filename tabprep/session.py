@@ -27,7 +27,13 @@ _DEFAULT_CONF = {
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app_name: str = "tabprep") -> SparkSession:
-    """A local session for tests and benchmarks."""
+    """A local session for tests and benchmarks.  Python workers inherit the
+    package through ``PYTHONPATH``; on a cluster ship it with
+    ``spark-submit --py-files`` instead."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        os.environ["PYTHONPATH"] = os.pathsep.join([root, *paths])
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app_name)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", os.environ.get("TABPREP_DRIVER_MEMORY", "8g"))
