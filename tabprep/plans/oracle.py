@@ -647,3 +647,23 @@ with cnt as (select not_fully_paid as class, count(*) as n from loans group by 1
 mx as (select max(n) as n_maj from cnt)
 select class, cast(case when n = n_maj then n else greatest(n, cast(floor(0.5 * n_maj) as bigint)) end as bigint)
        as count from cnt, mx""", "loans")
+
+
+ORACLE["group_density"] = """
+with v as (select event_type, value from events where event_type is not null and value is not null),
+st as (select event_type, count(*) as n, min(value) as mn, max(value) as mx,
+              coalesce(nullif(stddev_samp(value), 0), 1.0) * pow(cast(count(*) as double), -0.2) as h
+       from v group by event_type),
+g as (select event_type, n, mn, mx, h, cast(unnest(range(0, 64)) as integer) as point from st),
+p as (select event_type, n, h, point, mn + point * ((mx - mn) / 63.0) as x from g)
+select p.event_type, p.point, round(any_value(p.x), 6) as x,
+       round(sum(exp(-0.5 * ((v.value - p.x) / p.h) * ((v.value - p.x) / p.h)) / (p.h * p.n * sqrt(2 * pi()))), 6)
+       as density
+from p join v on p.event_type = v.event_type group by p.event_type, p.point"""
+
+
+# ---------------------------------------------------------------- streaming
+ORACLE["streaming_confusion_counts"] = wv(f"with k as ({_counts_sql(0.5)}) select cast(tn as bigint) as tn, "
+                                          f"cast(fp as bigint) as fp, cast(fn as bigint) as fn, "
+                                          f"cast(tp as bigint) as tp, {_rates_sql()} from k", "scored")
+ORACLE["streaming_clean"] = ORACLE["clean_dataframe"]

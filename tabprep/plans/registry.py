@@ -600,3 +600,29 @@ QUERIES.update({
     "evaluate_model": q_evaluate_model,
     "selection_summary": q_selection_summary,
 })
+
+
+# ---------------------------------------------------------------- streaming
+from ..streaming import stream as S_  # noqa: E402
+
+
+def q_streaming_confusion(spark, sf):
+    """Running confusion counts and F1 over the events stream at 0.5."""
+    ev = S_.read_table_stream(spark, sf, "events")
+    scored = S_.score_stream(fx.scored_of(ev), "score", 0.5)
+    return finish(S_.run_available(S_.confusion_counts(scored), "complete"))
+
+
+def q_streaming_clean(spark, sf):
+    """Fill values fitted on the batch table, applied to the event stream."""
+    prep = S_.fit_preparation(fx.dirty_events(spark, sf),
+                              {"case_style": CaseStyle.LOWER, "normalize_spaces": True},
+                              FillStrategy.MEDIAN, ["value", "bucket"])
+    stream = fx.dirty_events_of(S_.read_table_stream(spark, sf, "events"))
+    return finish(S_.run_available(prep.apply(stream), "append"))
+
+
+QUERIES.update({
+    "streaming_confusion_counts": q_streaming_confusion,
+    "streaming_clean": q_streaming_clean,
+})

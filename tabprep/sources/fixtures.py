@@ -19,7 +19,11 @@ def _d(x) -> F.Column:
 
 def dirty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events with placeholder text, padding, case noise and NULLs injected."""
-    ev = read_table(spark, sf_dir, "events")
+    return dirty_events_of(read_table(spark, sf_dir, "events"))
+
+
+def dirty_events_of(ev: DataFrame) -> DataFrame:
+    """The dirty_events projection of an events DataFrame (batch or stream)."""
     k9 = F.col("event_id") % 9
     label = (F.when(k9 == 0, F.lit("N/A"))
              .when(k9 == 1, F.concat(F.lit("  "), F.col("event_type"), F.lit("  ")))
@@ -60,7 +64,11 @@ def loans_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events")
+    return scored_of(read_table(spark, sf_dir, "events"))
+
+
+def scored_of(ev: DataFrame) -> DataFrame:
+    """The scored projection of an events DataFrame (batch or stream)."""
     hot = F.col("event_type").isin("purchase", "signup")
     return ev.select(
         F.col("event_id").alias("id"),
