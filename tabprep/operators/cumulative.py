@@ -89,6 +89,7 @@ def _global(df, order_col, sum_cols, descending, rows_per_bucket, max_buckets):
                                             F.col("_b")), F.lit(0))
                     for i in range(len(sum_cols))]
     else:
+        # at most rows_per_bucket rows: a single window partition is bounded
         tagged = df.withColumn("_b", F.lit(0))
         off_cols = [F.lit(0) for _ in sum_cols]
     w = (Window.partitionBy("_b").orderBy(_order(order_col, descending))
@@ -116,7 +117,14 @@ def _grouped(df, order_col, sum_cols, part, descending, rows_per_bucket, max_buc
             bounds = F.broadcast(bounds)  # n_big rows of <= max_buckets doubles
         tagged = df.join(bounds, part, "left").withColumn("_b", _bucket_of(F.col("_q"), key)).drop("_q")
     else:
-        tagged = df.withColumn("_b", F.lit(0))
+        # every group has at most rows_per_bucket rows: one window partition
+        # per group is already bounded, no range offsets needed
+        w = (Window.partitionBy(*part).orderBy(_order(order_col, descending))
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        whole = Window.partitionBy(*part)
+        return df.select(*[c(x) for x in df.columns],
+                         *[F.sum(c(s)).over(w).alias(f"cum_{s}") for s in sum_cols],
+                         *[F.sum(c(s)).over(whole).alias(f"tot_{s}") for s in sum_cols])
     sums = [F.sum(c(s)).alias(f"_bt{i}") for i, s in enumerate(sum_cols)]
     per_bucket = tagged.groupBy(*part, "_b").agg(*sums)
     prev = Window.partitionBy(*part).orderBy(_order("_b", descending)).rowsBetween(

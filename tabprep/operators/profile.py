@@ -19,7 +19,7 @@ from ..functions.numeric import safe_div
 from ..functions.text import DEFAULT_MISSING_VALUES, strip
 
 # spread each column's distinct values over this many buckets before ranking
-_TOPK_SALT = 64
+_TOPK_SALT = 1024
 
 
 def _long(df: DataFrame, names: Sequence[str], value_name: str) -> DataFrame:
@@ -139,11 +139,12 @@ def first_seen_values(df: DataFrame, order_col: str, max_unique: int = 50,
 
 def value_counts_pct(df: DataFrame, col: str) -> DataFrame:
     """Count per value (NULL dropped) and its percent of **all** rows."""
-    counts = df.groupBy(c(col)).agg(F.count(F.lit(1)).alias("count"))
-    w = Window.partitionBy()  # over the per-value table, one row per value
-    return (counts.select(c(col), "count",
-                          (safe_div(F.col("count"), F.sum("count").over(w)) * F.lit(100.0)).alias("percent"))
-            .where(c(col).isNotNull()))
+    # the denominator is one scalar (all rows, NULL included); the per-value
+    # table may be large, so it is not windowed into one task
+    total = df.agg(F.count(F.lit(1))).first()[0]
+    counts = df.where(c(col).isNotNull()).groupBy(c(col)).agg(F.count(F.lit(1)).alias("count"))
+    return counts.select(c(col), "count",
+                         (safe_div(F.col("count"), F.lit(total)) * F.lit(100.0)).alias("percent"))
 
 
 def column_info(df: DataFrame, sample: int = 3, order_col: str | None = None) -> DataFrame:
