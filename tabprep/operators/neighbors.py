@@ -4,17 +4,18 @@ For every point v we need the k points w != v closest in Euclidean
 distance (ties by id).  Emitting all pairs is quadratic, so the search is
 bounded in two steps, both exact:
 
-1. **Upper bound.**  Points are ordered along a projection p1 and each
-   looks at its ``2 * window`` neighbours in that order; the k-th smallest
-   of those distances, r_v, bounds v's true k-th neighbour distance from
-   above.  Range buckets (bounds from ``percentile_approx``) keep each
-   window partition at ``rows_per_bucket`` rows.
+1. **Upper bound.**  Points are ordered along each of up to three
+   orthonormal projections and each looks at its ``2 * window`` neighbours
+   in every order; the k-th smallest of those distances, r_v, bounds v's
+   true k-th neighbour distance from above.  Range buckets (bounds from
+   ``percentile_approx``) keep each window partition at ``rows_per_bucket``
+   rows.
 2. **Grid probe.**  Any true neighbour w has ``|p(w) - p(v)| <= ||w - v||
-   <= r_v`` for every unit projection p.  With two projections (p1, p2) and
-   a hierarchy of square grids of side s0 * 2^L, each point is stored once
-   per level and each point probes, at the first level whose side is >=
-   r_v, the at most 3 x 3 cells covering its r_v box.  Candidates are
-   filtered by true distance <= r_v and the best k kept per point.
+   <= r_v`` for every unit projection p.  With those projections and a
+   hierarchy of cubic grids of side s0 * 2^L, each point is stored once per
+   level and each point probes, at the first level whose side is >= r_v,
+   the at most 3^m cells covering its r_v box.  Candidates are filtered by
+   true distance <= r_v and the best k kept per point.
 
 Work is linear in the points times the number of levels plus the number of
 candidates found -- output-sensitive, never all pairs.  Points should be
@@ -31,15 +32,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import c
+from ..session import ensure_checkpoint_dir
 
 ROWS_PER_BUCKET = 1_000_000
 WINDOW = 8
 
 
-def _projections(dim: int, seed: int) -> np.ndarray:
+GRID_DIMS = 3
+
+
+def _projections(dim: int, seed: int, m: int) -> np.ndarray:
+    """m orthonormal directions (QR of a seeded Gaussian matrix)."""
     rng = np.random.default_rng(seed)
-    p = rng.normal(size=(2, dim))
-    return p / np.linalg.norm(p, axis=1, keepdims=True)
+    q, _ = np.linalg.qr(rng.normal(size=(dim, m)))
+    return q.T
 
 
 def _dot(cols: Sequence[Column], w: np.ndarray) -> Column:
@@ -56,74 +62,106 @@ def _dist(a: Sequence[Column], b: Sequence[Column]) -> Column:
     return F.sqrt(s)
 
 
+def _range_bucket(pts: DataFrame, col: str, n: int, rows_per_bucket: int) -> Column:
+    """Bucket id of ``col`` by approximate quantiles (0 when n is small)."""
+    if n <= rows_per_bucket:
+        return F.lit(0)
+    want = min(4096, -(-n // rows_per_bucket))
+    q = pts.select(F.percentile_approx(col, [i / want for i in range(1, want)], 10 * want)
+                   .alias("q")).first()["q"]
+    bounds = F.array(*[F.lit(float(b)) for b in sorted(set(q))])  # <= 4095 literals
+    return F.size(F.filter(bounds, lambda b: b <= F.col(col)))
+
+
 def knn(df: DataFrame, id_col: str, feature_cols: Sequence[str], k: int = 5, seed: int = 0,
         rows_per_bucket: int = ROWS_PER_BUCKET, window: int = WINDOW) -> DataFrame:
     """(id, nbr_id, nbr_rank, dist) for the k nearest other points of each
     point (fewer when the table has <= k points)."""
     feats = list(feature_cols)
     d = len(feats)
-    proj = _projections(d, seed)
+    m = min(d, GRID_DIMS)
+    proj = _projections(d, seed, m)
     xs = [c(f).cast("double") for f in feats]
+    P = [f"p{j}" for j in range(m)]
     pts = df.select(c(id_col).alias("id"), *[x.alias(f"x{i}") for i, x in enumerate(xs)],
-                    _dot(xs, proj[0]).alias("p1"), _dot(xs, proj[1]).alias("p2"))
+                    *[_dot(xs, proj[j]).alias(P[j]) for j in range(m)])
     X = [F.col(f"x{i}") for i in range(d)]
     n = pts.count()
     if n <= 1:
         return df.sparkSession.createDataFrame([], "id long, nbr_id long, nbr_rank int, dist double")
 
-    # -- 1. upper bound r_v from neighbours along p1 ------------------------------
-    if n > rows_per_bucket:
-        want = min(4096, -(-n // rows_per_bucket))
-        q = pts.select(F.percentile_approx("p1", [i / want for i in range(1, want)], 10 * want)
-                       .alias("q")).first()["q"]
-        bounds = F.array(*[F.lit(float(b)) for b in sorted(set(q))])  # <= 4095 literals
-        pts_b = pts.withColumn("_b", F.size(F.filter(bounds, lambda b: b <= F.col("p1"))))
-    else:
-        pts_b = pts.withColumn("_b", F.lit(0))
-    w = Window.partitionBy("_b").orderBy("p1", "id")
+    # -- 1. upper bound r_v: neighbours along Z-order curves ---------------------
+    # Quantise the projections to 2^bits steps, interleave their bits (a
+    # Z-order key) and look at the neighbours in key order; a second curve
+    # shifted by half the range catches points split by a curve's seams.
+    ext = pts.agg(*[F.struct(F.min(p).alias("lo"), F.max(p).alias("hi")).alias(p) for p in P],
+                  *[F.struct(F.min(x), F.max(x)).alias(f"_r{i}") for i, x in enumerate(X)]).first()
+    bits = 60 // m
     near = []
-    for j in range(1, window + 1):
-        for fn in (F.lag, F.lead):
-            other = [fn(x, j).over(w) for x in X]
-            near.append(_dist(X, other))
-    dists = F.array_sort(F.filter(F.array(*near), lambda v: v.isNotNull()))
+    staged = pts
+    for shift in (0.0, 0.5):
+        qs = []
+        for j in range(m):
+            lo, hi = ext[P[j]]["lo"], ext[P[j]]["hi"]
+            span = (hi - lo) or 1.0
+            top = float(2 ** bits - 1)
+            q = F.floor((F.col(P[j]) - F.lit(lo - shift * span)) / F.lit(span * (1 + shift)) * F.lit(top))
+            qs.append(F.least(F.greatest(q, F.lit(0)), F.lit(int(top))).cast("long"))
+        zkey = F.lit(0).cast("long")
+        for b in range(bits):
+            for j in range(m):
+                zkey = zkey.bitwiseOR(F.shiftleft(F.shiftright(qs[j], b).bitwiseAND(F.lit(1)), b * m + j))
+        zname = f"_z{int(shift * 10)}"
+        staged = staged.withColumn(zname, zkey)
+        bname = f"_b{int(shift * 10)}"
+        staged = staged.withColumn(bname, _range_bucket(staged, zname, n, rows_per_bucket))
+        w = Window.partitionBy(bname).orderBy(zname, "id")
+        for step in range(1, window + 1):
+            for fn in (F.lag, F.lead):
+                near.append(F.struct(_dist(X, [fn(x, step).over(w) for x in X]).alias("d"),
+                                     fn("id", step).over(w).alias("i")))
+    # the same neighbour can be met on both curves: count each point once
+    dists = F.array_sort(F.array_distinct(F.filter(F.array(*near), lambda v: v["d"].isNotNull())))
     need = min(k, n - 1)
     # A range bucket with fewer than k + 1 points leaves r NULL.  Those points
     # take the table's diameter (per-feature ranges), an upper bound on any
     # distance, so they probe the coarsest grid level: still exact.
-    ranges = pts.agg(*[F.struct(F.min(x), F.max(x)).alias(f"_r{i}") for i, x in enumerate(X)]).first()
+    ranges = ext
     diameter = math.sqrt(sum(((r[1] or 0.0) - (r[0] or 0.0)) ** 2
                              for r in (ranges[f"_r{i}"] for i in range(d)))) or 1.0
-    bounded = pts_b.select("id", *X, "p1", "p2",
-                           F.coalesce(F.element_at(dists, need), F.lit(diameter)).alias("r"))
+    bounded = staged.select("id", *X, *P, F.coalesce(F.element_at(dists, need)["d"], F.lit(diameter)).alias("r"))
+    # read three times below (grid size, stored side, probe side): computed
+    # once and written to the shared checkpoint folder
+    ensure_checkpoint_dir(df.sparkSession)
+    bounded = bounded.checkpoint()
 
     # -- 2. multi-level grid probe ------------------------------------------------
     st = bounded.agg(F.percentile_approx(F.when(F.col("r") > 0, F.col("r")), 0.05, 1000).alias("s0"),
                      F.max("r").alias("rmax")).first()
     s0 = st["s0"] or 1.0
     levels = max(0, math.ceil(math.log2(max(st["rmax"] * (1 + 1e-9) + 1e-12, s0) / s0))) + 1
-    lvl = F.greatest(F.lit(0), F.ceil(F.log2(F.col("rs") / F.lit(s0)))).cast("int")
     side = F.lit(s0) * F.pow(F.lit(2.0), F.col("L"))
+    cells = [f"c{j}" for j in range(m)]
 
-    stored = bounded.select("id", *X, "p1", "p2",
-                            F.explode(F.sequence(F.lit(0), F.lit(levels - 1))).alias("L"))
+    stored = bounded.select("id", *X, *P, F.explode(F.sequence(F.lit(0), F.lit(levels - 1))).alias("L"))
     stored = stored.select(F.col("id").alias("nbr_id"), *[x.alias(f"y{i}") for i, x in enumerate(X)],
-                           F.col("p1").alias("q1"), F.col("p2").alias("q2"), "L",
-                           F.floor(F.col("p1") / side).alias("cx"), F.floor(F.col("p2") / side).alias("cy"))
+                           *[F.col(P[j]).alias(f"q{j}") for j in range(m)], "L",
+                           *[F.floor(F.col(P[j]) / side).alias(cells[j]) for j in range(m)])
 
     # rs: r plus a hair of slack, so that rounding in the projections can
     # never exclude a neighbour lying exactly at distance r
-    probe = bounded.withColumn("rs", F.col("r") * F.lit(1 + 1e-9) + F.lit(1e-12)).withColumn("L", lvl)
-    lo1, hi1 = F.floor((F.col("p1") - F.col("rs")) / side), F.floor((F.col("p1") + F.col("rs")) / side)
-    lo2, hi2 = F.floor((F.col("p2") - F.col("rs")) / side), F.floor((F.col("p2") + F.col("rs")) / side)
-    probe = (probe.select("*", F.explode(F.sequence(lo1, hi1)).alias("cx"))
-             .select("*", F.explode(F.sequence(lo2, hi2)).alias("cy")))
+    probe = bounded.withColumn("rs", F.col("r") * F.lit(1 + 1e-9) + F.lit(1e-12))
+    probe = probe.withColumn("L", F.greatest(F.lit(0), F.ceil(F.log2(F.col("rs") / F.lit(s0)))).cast("int"))
+    for j in range(m):
+        lo = F.floor((F.col(P[j]) - F.col("rs")) / side)
+        hi = F.floor((F.col(P[j]) + F.col("rs")) / side)
+        probe = probe.select("*", F.explode(F.sequence(lo, hi)).alias(cells[j]))
 
     Y = [F.col(f"y{i}") for i in range(d)]
-    cand = probe.join(stored, ["L", "cx", "cy"]).where(
-        (F.col("nbr_id") != F.col("id"))
-        & (F.abs(F.col("q1") - F.col("p1")) <= F.col("rs"))
-        & (F.abs(F.col("q2") - F.col("p2")) <= F.col("rs")))
+    near_enough = F.lit(True)
+    for j in range(m):
+        near_enough = near_enough & (F.abs(F.col(f"q{j}") - F.col(P[j])) <= F.col("rs"))
+    cand = probe.join(stored, ["L", *cells]).where((F.col("nbr_id") != F.col("id")) & near_enough)
     cand = cand.select("id", "nbr_id", "rs", _dist(X, Y).alias("dist")).where(F.col("dist") <= F.col("rs"))
     rank = Window.partitionBy("id").orderBy("dist", "nbr_id")
     return (cand.withColumn("nbr_rank", F.row_number().over(rank)).where(F.col("nbr_rank") <= k)
