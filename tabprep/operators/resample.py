@@ -22,30 +22,20 @@ with a salted two-stage top-k, never by collecting a whole group.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import c
 from .neighbors import knn
+from ..session import ensure_checkpoint_dir
 from .split import class_totals, quota_assign
 
 _SALT = 64
 _U_BITS = 2 ** 53
 
 
-def smote_plan(counts: dict, ratio: float) -> tuple:
-    """(minority class, majority class, n_minority, n_majority, n_new)."""
-    if len(counts) != 2:
-        raise ValueError(f"SMOTE needs exactly two classes, found {len(counts)}")
-    (mi, n_mi), (ma, n_ma) = sorted(counts.items(), key=lambda kv: (kv[1], kv[0]))
-    n_new = int(ratio * n_ma) - n_mi
-    if n_new < 0:
-        raise ValueError("The specified ratio required to remove samples from the minority class "
-                         "while trying to generate new samples.")
-    return mi, ma, n_mi, n_ma, n_new
-
-
 def _smallest_keys(rows: DataFrame, group_cols: Sequence[str], key: str, n: int) -> DataFrame:
     """(group..., keys) with the n smallest keys per group, ascending."""
     salted = rows.select(*group_cols, key, F.pmod(F.xxhash64(key), F.lit(_SALT)).alias("_s"))
@@ -55,20 +45,26 @@ def _smallest_keys(rows: DataFrame, group_cols: Sequence[str], key: str, n: int)
     return pre.groupBy(*group_cols).agg(F.slice(F.array_sort(F.collect_list(key)), 1, n).alias("keys"))
 
 
-def smote(df: DataFrame, key_col: str, label_col: str, feature_cols: Sequence[str], ratio: float = 1.0,
-          k: int = 5, seed: int = 42) -> DataFrame:
-    """Original rows plus synthetic minority rows.
+@dataclass(frozen=True)
+class SmoteBasis:
+    """The ratio-independent part of SMOTE: class counts and, for every
+    minority row, its candidate neighbour list (checkpointed).  Fit once,
+    then draw any number of ratios from it."""
+    key_col: str
+    label_col: str
+    feature_cols: tuple
+    minority: object
+    n_minority: int
+    n_majority: int
+    rows: DataFrame  # _key, _f0.., _cand
+    seed: int
 
-    Added columns: ``synthetic`` (bool), and for synthetic rows
-    ``source_key``, ``neighbor_key``, ``copy``.  Synthetic rows carry the
-    label and the features; their key and other columns are NULL.
-    """
+
+def smote_basis(df: DataFrame, key_col: str, label_col: str, feature_cols: Sequence[str], k: int = 5,
+                seed: int = 42) -> SmoteBasis:
     feats = list(feature_cols)
     counts = class_totals(df, c(label_col))
-    mi, _, n_mi, _, n_new = smote_plan(counts, ratio)
-    orig = df.withColumn("synthetic", F.lit(False))
-    if n_new == 0:
-        return orig
+    mi, _, n_mi, n_ma = _classes(counts)
     if n_mi <= k:
         raise ValueError(f"Expected n_neighbors <= n_samples: {k + 1} > {n_mi}")
     minority = df.where(c(label_col) == F.lit(mi)).select(
@@ -89,13 +85,7 @@ def smote(df: DataFrame, key_col: str, label_col: str, feature_cols: Sequence[st
              .groupBy(F.col("id").alias("vid"))
              .agg(F.array_sort(F.collect_list(F.struct("nbr_rank", "nbr_keys", "nbr_x"))).alias("nbrs")))
     per_vec = vecs.join(lists, "vid", "left")
-
-    # copies per row: n_new // n_mi each, one more for the first n_new % n_mi rows in md5 order
-    base, extra = divmod(n_new, n_mi)
-    rows = quota_assign(minority, "_key", F.lit(mi), {mi: [extra]}, ["extra"], "base", seed, "_part")
-    rows = rows.withColumn("_copies", F.lit(base) + (F.col("_part") == "extra").cast("int"))
-    rows = rows.join(per_vec, fcols)  # one row per distinct vector on the right side
-
+    rows = minority.join(per_vec, fcols)  # one row per distinct vector on the right side
     me = F.array(*[F.col(f) for f in fcols])
     same = F.transform(F.filter(F.col("keys"), lambda x: x != F.col("_key")),
                        lambda x: F.struct(x.alias("key"), me.alias("x")))
@@ -103,8 +93,33 @@ def smote(df: DataFrame, key_col: str, label_col: str, feature_cols: Sequence[st
     others = F.flatten(F.transform(F.coalesce(F.col("nbrs"), F.array().cast(
         f"array<struct<nbr_rank:int,nbr_keys:array<{key_t}>,nbr_x:array<double>>>")),
         lambda s: F.transform(s["nbr_keys"], lambda x: F.struct(x.alias("key"), s["nbr_x"].alias("x")))))
-    cand = F.slice(F.concat(same, others), 1, k)
-    rows = rows.select("_key", *fcols, cand.alias("_cand"), "_copies")
+    rows = rows.select("_key", *fcols, F.slice(F.concat(same, others), 1, k).alias("_cand"))
+    ensure_checkpoint_dir(df.sparkSession)
+    return SmoteBasis(key_col, label_col, tuple(feats), mi, n_mi, n_ma, rows.checkpoint(), seed)
+
+
+def _classes(counts: dict) -> tuple:
+    if len(counts) != 2:
+        raise ValueError(f"SMOTE needs exactly two classes, found {len(counts)}")
+    (mi, n_mi), (ma, n_ma) = sorted(counts.items(), key=lambda kv: (kv[1], kv[0]))
+    return mi, ma, n_mi, n_ma
+
+
+def smote_from(df: DataFrame, basis: SmoteBasis, ratio: float) -> DataFrame:
+    """Original rows of ``df`` plus the synthetic rows for ``ratio``."""
+    n_new = int(ratio * basis.n_majority) - basis.n_minority
+    if n_new < 0:
+        raise ValueError("The specified ratio required to remove samples from the minority class "
+                         "while trying to generate new samples.")
+    orig = df.withColumn("synthetic", F.lit(False))
+    if n_new == 0:
+        return orig
+    mi, seed, feats = basis.minority, basis.seed, list(basis.feature_cols)
+    fcols = [f"_f{i}" for i in range(len(feats))]
+    # copies per row: n_new // n_mi each, one more for the first n_new % n_mi rows in md5 order
+    base, extra = divmod(n_new, basis.n_minority)
+    rows = quota_assign(basis.rows, "_key", F.lit(mi), {mi: [extra]}, ["extra"], "base", seed, "_part")
+    rows = rows.withColumn("_copies", F.lit(base) + (F.col("_part") == "extra").cast("int"))
     rows = rows.select("*", F.explode(F.when(F.col("_copies") > 0, F.sequence(F.lit(1), F.col("_copies")))
                                       .otherwise(F.array().cast("array<int>"))).alias("copy"))
     pick = F.pmod(F.xxhash64(F.col("_key"), F.col("copy"), F.lit(seed), F.lit(1)), F.size("_cand")) + 1
@@ -112,8 +127,8 @@ def smote(df: DataFrame, key_col: str, label_col: str, feature_cols: Sequence[st
         float(_U_BITS))
     rows = rows.select("*", F.element_at("_cand", pick.cast("int")).alias("_nb"), u.alias("_u"))
     synth = rows.select(
-        F.lit(None).cast(df.schema[key_col].dataType).alias(key_col),
-        F.lit(mi).cast(df.schema[label_col].dataType).alias(label_col),
+        F.lit(None).cast(df.schema[basis.key_col].dataType).alias(basis.key_col),
+        F.lit(mi).cast(df.schema[basis.label_col].dataType).alias(basis.label_col),
         *[(F.col(f) + F.col("_u") * (F.col("_nb.x")[i] - F.col(f))).alias(feats[i])
           for i, f in enumerate(fcols)],
         F.lit(True).alias("synthetic"), F.col("_key").alias("source_key"),
@@ -121,6 +136,24 @@ def smote(df: DataFrame, key_col: str, label_col: str, feature_cols: Sequence[st
     return orig.unionByName(synth, allowMissingColumns=True)
 
 
+def smote(df: DataFrame, key_col: str, label_col: str, feature_cols: Sequence[str], ratio: float = 1.0,
+          k: int = 5, seed: int = 42) -> DataFrame:
+    """Original rows plus synthetic minority rows.
+
+    Added columns: ``synthetic`` (bool), and for synthetic rows
+    ``source_key``, ``neighbor_key``, ``copy``.  Synthetic rows carry the
+    label and the features; their key and other columns are NULL.
+    """
+    counts = class_totals(df, c(label_col))
+    _, _, n_mi, n_ma = _classes(counts)
+    if int(ratio * n_ma) - n_mi < 0:
+        raise ValueError("The specified ratio required to remove samples from the minority class "
+                         "while trying to generate new samples.")
+    if int(ratio * n_ma) == n_mi:
+        return df.withColumn("synthetic", F.lit(False))
+    return smote_from(df, smote_basis(df, key_col, label_col, feature_cols, k, seed), ratio)
+
+
 def class_distribution(df: DataFrame, label_col: str) -> DataFrame:
     """(class, count) -- used before and after resampling."""
     return df.groupBy(c(label_col).alias("class")).agg(F.count(F.lit(1)).alias("count"))

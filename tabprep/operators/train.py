@@ -87,7 +87,8 @@ def build_model(config: ModelConfig, n_features: int, label_col: str = "label",
     min-split).  XGBoost and gradient boosting: ``GBTClassifier`` (class
     weights are ignored for gradient boosting, like the reference).
     Logistic regression: L2 with C = 1 is ``regParam = 1 / n`` without
-    standardisation (MLlib averages the loss where C multiplies its sum).
+    standardisation (MLlib averages the loss where C multiplies its sum);
+    tolerance 1e-4 as in the usual library default (MLlib's is 1e-6).
     Neural network: ``MultilayerPerceptronClassifier`` (sigmoid hidden
     layers, no dropout, no weights -- weights become row replication).
     """
@@ -105,7 +106,8 @@ def build_model(config: ModelConfig, n_features: int, label_col: str = "label",
     elif t == ModelType.LOGISTIC_REGRESSION:
         c_inv = 1.0 / float(p.get("C", 1.0))
         est = LogisticRegression(maxIter=int(p.get("max_iter", 100)), regParam=c_inv / max(n_train or 1.0, 1.0),
-                                 elasticNetParam=0.0, standardization=False, **common)
+                                 elasticNetParam=0.0, standardization=False, tol=float(p.get("tol", 1e-4)),
+                                 **common)
     elif t == ModelType.NEURAL_NETWORK:
         est = MultilayerPerceptronClassifier(layers=[n_features, *p.get("layers", [32, 16]), 2],
                                              maxIter=int(p.get("epochs", 50)),

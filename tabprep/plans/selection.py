@@ -18,7 +18,7 @@ from ..functions.columns import c
 from ..functions.numeric import safe_div
 from ..operators import metrics as M
 from ..operators.imbalance import class_weight_dict
-from ..operators.resample import class_distribution, smote
+from ..operators.resample import SmoteBasis, class_distribution, smote_basis, smote_from
 from ..operators.train import ModelConfig, ModelType, feature_importance, fit, score
 
 
@@ -46,7 +46,7 @@ def parse_strategy(s) -> ImbalanceStrategy:
 
 def resample_for_strategy(train: DataFrame, key_col: str, label_col: str, feature_cols: Sequence[str],
                           strategy, smote_ratio: float = 0.5, class_weights: Mapping | None = None,
-                          auto_calculate_weights: bool = True, seed: int = 42
+                          auto_calculate_weights: bool = True, seed: int = 42, basis: SmoteBasis | None = None
                           ) -> tuple[DataFrame, dict | None]:
     """(training table, class weights or None) for a strategy.  Weights are
     computed from the labels **before** any oversampling."""
@@ -58,10 +58,11 @@ def resample_for_strategy(train: DataFrame, key_col: str, label_col: str, featur
     weights = None
     if st in _WEIGHTED:
         weights = dict(class_weights) if class_weights is not None else class_weight_dict(train, label_col)
-    if st == ImbalanceStrategy.SMOTE_FULL:
-        train = smote(train, key_col, label_col, feature_cols, ratio=1.0, seed=seed).checkpoint()
-    elif st in (ImbalanceStrategy.SMOTE_PARTIAL, ImbalanceStrategy.SMOTE_PARTIAL_WEIGHTS):
-        train = smote(train, key_col, label_col, feature_cols, ratio=smote_ratio, seed=seed).checkpoint()
+    if st in (ImbalanceStrategy.SMOTE_FULL, ImbalanceStrategy.SMOTE_PARTIAL,
+              ImbalanceStrategy.SMOTE_PARTIAL_WEIGHTS):
+        ratio = 1.0 if st == ImbalanceStrategy.SMOTE_FULL else smote_ratio
+        basis = basis or smote_basis(train, key_col, label_col, feature_cols, seed=seed)
+        train = smote_from(train, basis, ratio).checkpoint()
     # (the oversampled table is read by every optimiser iteration: its kNN
     # lineage is cut once)
     return train, weights
@@ -90,14 +91,15 @@ class StrategyResult:
 def train_with_strategy(model_config: ModelConfig, train: DataFrame, val: DataFrame, key_col: str,
                         label_col: str, feature_cols: Sequence[str], strategy, smote_ratio: float = 0.5,
                         class_weights: Mapping | None = None, auto_calculate_weights: bool = True,
-                        threshold: float = 0.5, seed: int = 42) -> StrategyResult:
+                        threshold: float = 0.5, seed: int = 42, basis: SmoteBasis | None = None
+                        ) -> StrategyResult:
     """Resample or weight, fit, score the validation rows at ``threshold``,
     and record sample counts and class distributions before and after."""
     st = parse_strategy(strategy)
     if class_weights is not None:
         auto_calculate_weights = False
     data, weights = resample_for_strategy(train, key_col, label_col, feature_cols, st, smote_ratio,
-                                          class_weights, auto_calculate_weights, seed)
+                                          class_weights, auto_calculate_weights, seed, basis)
     before = {r["class"]: r["count"] for r in class_distribution(train, label_col).collect()}
     after = {r["class"]: r["count"] for r in class_distribution(data, label_col).collect()}
     model, secs = fit(model_config, data, feature_cols, label_col, weights)
@@ -127,6 +129,10 @@ def optimize_strategy(model_builder: Callable[[], ModelConfig], train: DataFrame
     ``strategy@ratio``) with a fresh model from ``model_builder``; a table
     ranked by ``optimize_for`` (ties by name) and the results by key."""
     results: dict[str, StrategyResult] = {}
+    # the neighbour graph does not depend on the strategy or the ratio: once
+    needs_smote = any(parse_strategy(s) not in (ImbalanceStrategy.NONE, ImbalanceStrategy.CLASS_WEIGHTS)
+                      for s in strategies)
+    basis = smote_basis(train, key_col, label_col, feature_cols, seed=seed) if needs_smote else None
     for s in strategies:
         st = parse_strategy(s)
         ratios = smote_ratios if st in (ImbalanceStrategy.SMOTE_PARTIAL,
@@ -134,7 +140,7 @@ def optimize_strategy(model_builder: Callable[[], ModelConfig], train: DataFrame
         for r in ratios:
             name = st.value if r is None else f"{st.value}@{r}"
             results[name] = train_with_strategy(model_builder(), train, val, key_col, label_col, feature_cols,
-                                                st, r if r is not None else 0.5, seed=seed)
+                                                st, r if r is not None else 0.5, seed=seed, basis=basis)
     rows = []
     for name, res in results.items():
         m = res.metrics
