@@ -54,6 +54,12 @@ def corr_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     return upper.select("col_a", "col_b", "idx_a", "idx_b", "r").unionByName(lower)
 
 
+def corr_lower_triangle(matrix: DataFrame) -> DataFrame:
+    """The cells a masked heat map shows: the upper triangle and the
+    diagonal are masked, so only pairs with idx_a > idx_b remain."""
+    return matrix.where(F.col("idx_a") > F.col("idx_b"))
+
+
 def target_correlation(df: DataFrame, target_col: str, columns: Sequence[str] | None = None) -> DataFrame:
     """(feature, corr) of each numeric column with the target (target
     included, 1.0), ordered by corr descending."""

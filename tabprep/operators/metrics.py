@@ -278,3 +278,10 @@ def threshold_sweep(df: DataFrame, label_col: str = "label", score_col: str = "s
 def best_threshold(sweep: DataFrame) -> DataFrame:
     """The sweep row with the largest metric; the first threshold on ties."""
     return sweep.orderBy(F.col("metric_value").desc_nulls_last(), F.col("seq").asc()).limit(1)
+
+
+def cost_benefit(sweep: DataFrame, fn, name: str = "cost") -> DataFrame:
+    """Evaluate a user function of (threshold, fn, fp, tp, tn) -- written
+    with Column arithmetic, e.g. ``lambda t, fn, fp, tp, tn: 500 * fn + 50 * fp``
+    -- on every row of a threshold sweep."""
+    return sweep.withColumn(name, fn(F.col("threshold"), F.col("fn"), F.col("fp"), F.col("tp"), F.col("tn")))

@@ -195,3 +195,45 @@ def boosting_history(model: Any, train: DataFrame, val: DataFrame, feature_cols:
     va = model.evaluateEachIteration(assemble(val, feature_cols).withColumn("__label", c(label_col).cast("double")))
     rows = [(i + 1, float(a), float(b)) for i, (a, b) in enumerate(zip(tr, va))]
     return spark.createDataFrame(rows, "round int, train_loss double, val_loss double")
+
+
+def fit_with_early_stopping(config: ModelConfig, train: DataFrame, val: DataFrame, feature_cols: Sequence[str],
+                            label_col: str, tol: float = 0.01) -> tuple[Model, float]:
+    """Boosting with early stopping: the validation rows ride along with an
+    indicator column and MLlib stops adding trees once the validation loss
+    stops improving by ``tol`` (relative)."""
+    if config.model_type not in (ModelType.XGBOOST, ModelType.GRADIENT_BOOSTING):
+        raise ValueError("early stopping is available for the boosting models")
+    both = (train.withColumn("__is_val", F.lit(False))
+            .unionByName(val.withColumn("__is_val", F.lit(True))))
+    data = assemble(both, feature_cols).withColumn("__label", c(label_col).cast("double"))
+    est = build_model(config, len(feature_cols), "__label")
+    est.setValidationIndicatorCol("__is_val")
+    est.set(est.validationTol, float(tol))
+    t0 = time.time()
+    model = est.fit(data)
+    return model, time.time() - t0
+
+
+def score_with_function(df: DataFrame, feature_cols: Sequence[str], predict_proba, threshold: float = 0.5,
+                        keep: Sequence[str] = ()) -> DataFrame:
+    """Score with a model that is not an MLlib model: ``predict_proba`` maps
+    a 2-D numpy array of features to positive-class probabilities.  It runs
+    on Arrow batches inside the executors (``mapInPandas``), never row by row
+    and never on the driver."""
+    import numpy as np
+    feats = list(feature_cols)
+    keep = list(keep)
+    sel = df.select(*[c(k) for k in keep], *[c(f).cast("double").alias(f"__f{i}") for i, f in enumerate(feats)])
+    keep_fields = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keep)
+    schema = (keep_fields + ", " if keep_fields else "") + "probability double, prediction int"
+
+    def run(batches):
+        for pdf in batches:
+            x = pdf[[f"__f{i}" for i in range(len(feats))]].to_numpy(dtype=float)
+            p = np.asarray(predict_proba(x), dtype=float).reshape(len(pdf), -1)[:, -1]
+            out = pdf[keep].copy() if keep else pdf.iloc[:, :0].copy()
+            out["probability"] = p
+            out["prediction"] = (p >= threshold).astype("int32")
+            yield out
+    return sel.mapInPandas(run, schema)

@@ -667,3 +667,36 @@ ORACLE["streaming_confusion_counts"] = wv(f"with k as ({_counts_sql(0.5)}) selec
                                           f"cast(fp as bigint) as fp, cast(fn as bigint) as fn, "
                                           f"cast(tp as bigint) as tp, {_rates_sql()} from k", "scored")
 ORACLE["streaming_clean"] = ORACLE["clean_dataframe"]
+
+
+# ---------------------------------------------------------------- composites and recipes
+ORACLE["anova_for_column"] = f"""
+with s as ({_group_stats_sql("events", "event_type", "value")}),
+r as (select event_type, max(value) - min(value) as range from events where event_type is not null
+      group by event_type),
+q as (select event_type, quantile_cont(value, 0.25) as p25, quantile_cont(value, 0.5) as p50,
+             quantile_cont(value, 0.75) as p75, quantile_cont(value, 0.9) as p90, quantile_cont(value, 0.95) as p95,
+             quantile_cont(value, 0.25) - 1.5 * (quantile_cont(value, 0.75) - quantile_cont(value, 0.25)) as lo,
+             quantile_cont(value, 0.75) + 1.5 * (quantile_cont(value, 0.75) - quantile_cont(value, 0.25)) as hi
+      from events where event_type is not null and value is not null group by event_type),
+b as (select e.event_type, min(value) filter (where value >= lo and value <= hi) as whisker_low,
+             max(value) filter (where value >= lo and value <= hi) as whisker_high,
+             count(*) filter (where not (value >= lo and value <= hi)) as n_fliers
+      from events e join q on e.event_type = q.event_type where value is not null group by e.event_type)
+select s.*, round(std / nullif(mean, 0) * 100.0, 6) as cv, round(r.range, 6) as range,
+       round(p25, 6) as p25, round(p50, 6) as p50, round(p75, 6) as p75, round(p90, 6) as p90,
+       round(p95, 6) as p95, round(whisker_low, 6) as whisker_low, round(whisker_high, 6) as whisker_high,
+       cast(n_fliers as bigint) as n_fliers
+from s left join r on s.event_type = r.event_type left join q on s.event_type = q.event_type
+left join b on s.event_type = b.event_type"""
+ORACLE["convert_recipes"] = """
+select o_orderkey, try_cast(substr(o_orderpriority, 1, 1) as double) as priority_num,
+       try_cast(o_orderpriority as double) as priority_bad,
+       strftime(try_cast(cast(o_orderdate as varchar) as timestamp), '%Y-%m-%d %H:%M:%S') as order_ts,
+       cast(case when (o_custkey % 10) in (0, 9) then null else o_custkey % 10 end as double) as cust_digit
+from orders"""
+ORACLE["threshold_cost"] = wv("with sw as (" + _sweep_sql([0.3, 0.4, 0.5, 0.6, 0.7], "f1")
+                              + ") select *, fn * 500 + fp * 50 as cost from sw", "scored")
+ORACLE["corr_mask_upper"] = wv(f"""
+select col_a, col_b, cast(idx_a as integer) as idx_a, cast(idx_b as integer) as idx_b, round(r, 6) as r
+from ({_corr_long(_LC_ALL)}) where idx_a > idx_b""", "loans_corr")

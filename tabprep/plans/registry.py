@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from ..functions.columns import c
 from ..operators import (clean, corr, encode, features, groups, hist, imbalance, metrics, neighbors,
                          outliers, profile, resample, scale, split)
-from . import evaluation, preparation, selection
+from . import analysis, evaluation, preparation, selection
 from ..operators.clean import CaseStyle, FillStrategy
 from ..sources import fixtures as fx
 from ..sources.tables import read_table
@@ -626,3 +626,62 @@ QUERIES.update({
     "streaming_confusion_counts": q_streaming_confusion,
     "streaming_clean": q_streaming_clean,
 })
+
+
+# ---------------------------------------------------------------- composites and recipes
+from ..functions import convert  # noqa: E402
+
+
+def q_anova_for_column(spark, sf):
+    return finish(analysis.anova_for_column(_t(spark, sf, "events"), "event_type", "value").per_group)
+
+
+def q_convert_recipes(spark, sf):
+    o = _t(spark, sf, "orders")
+    return o.select("o_orderkey",
+                    convert.to_numeric(F.substring("o_orderpriority", 1, 1)).alias("priority_num"),
+                    convert.to_numeric(F.col("o_orderpriority")).alias("priority_bad"),
+                    convert.to_datetime(F.col("o_orderdate").cast("string")).cast("string").alias("order_ts"),
+                    convert.sentinel_to_null(F.col("o_custkey") % 10, [0, 9]).cast("double").alias("cust_digit"))
+
+
+def q_threshold_cost(spark, sf):
+    sweep = metrics.threshold_sweep(fx.scored(spark, sf))
+    return finish(metrics.cost_benefit(sweep, lambda t, fn, fp, tp, tn: fn * 500 + fp * 50))
+
+
+def q_corr_mask_upper(spark, sf):
+    return finish(corr.corr_lower_triangle(corr.corr_matrix(fx.loans_corr(spark, sf))))
+
+
+def q_early_stopping(spark, sf):
+    p = _prepared(spark, sf)
+    cfg = T_.ModelConfig(T_.ModelType.GRADIENT_BOOSTING, "Gradient Boosting",
+                         params={"n_estimators": 60, "max_depth": 3, "learning_rate": 0.1, "random_state": 42})
+    model, _ = T_.fit_with_early_stopping(cfg, p.train, p.val, list(p.feature_names), "not_fully_paid")
+    return spark.range(1).select(F.lit(model.getNumTrees).alias("n_trees"))
+
+
+def q_score_with_function(spark, sf):
+    """A model outside MLlib (here: numpy logistic function with the
+    coefficients of a fitted regression) scored batch-wise on the executors."""
+    import numpy as np
+    p = _prepared(spark, sf)
+    feats = list(p.feature_names)
+    cfg = T_.ModelConfig(T_.ModelType.LOGISTIC_REGRESSION, "Logistic Regression")
+    model, _ = T_.fit(cfg, p.train, feats, "not_fully_paid")
+    w, b = np.asarray(model.coefficients.toArray()), float(model.intercept)
+
+    def predict_proba(x):
+        return 1.0 / (1.0 + np.exp(-(x @ w + b)))
+    return finish(T_.score_with_function(p.test, feats, predict_proba, keep=["loan_id", "not_fully_paid"]))
+
+
+QUERIES.update({
+    "anova_for_column": q_anova_for_column,
+    "convert_recipes": q_convert_recipes,
+    "threshold_cost": q_threshold_cost,
+    "corr_mask_upper": q_corr_mask_upper,
+    "early_stopping": q_early_stopping,
+    "score_with_function": q_score_with_function,
+})

@@ -91,10 +91,12 @@ class StrategyResult:
 def train_with_strategy(model_config: ModelConfig, train: DataFrame, val: DataFrame, key_col: str,
                         label_col: str, feature_cols: Sequence[str], strategy, smote_ratio: float = 0.5,
                         class_weights: Mapping | None = None, auto_calculate_weights: bool = True,
-                        threshold: float = 0.5, seed: int = 42, basis: SmoteBasis | None = None
-                        ) -> StrategyResult:
+                        threshold: float = 0.5, seed: int = 42, basis: SmoteBasis | None = None,
+                        train_fn: Callable | None = None) -> StrategyResult:
     """Resample or weight, fit, score the validation rows at ``threshold``,
-    and record sample counts and class distributions before and after."""
+    and record sample counts and class distributions before and after.
+    ``train_fn(train_df, val_df, class_weights)`` replaces the built-in fit
+    (it must return a model whose ``transform`` adds ``probability``)."""
     st = parse_strategy(strategy)
     if class_weights is not None:
         auto_calculate_weights = False
@@ -102,7 +104,14 @@ def train_with_strategy(model_config: ModelConfig, train: DataFrame, val: DataFr
                                           class_weights, auto_calculate_weights, seed, basis)
     before = {r["class"]: r["count"] for r in class_distribution(train, label_col).collect()}
     after = {r["class"]: r["count"] for r in class_distribution(data, label_col).collect()}
-    model, secs = fit(model_config, data, feature_cols, label_col, weights)
+    if train_fn is not None:
+        # user hook: (training table, validation table, class weights) -> fitted MLlib model
+        import time as _time
+        t0 = _time.time()
+        model = train_fn(data, val, weights)
+        secs = _time.time() - t0
+    else:
+        model, secs = fit(model_config, data, feature_cols, label_col, weights)
     scored = score(model, val, feature_cols, threshold, keep=[label_col])
     ratio = smote_ratio if st in (ImbalanceStrategy.SMOTE_PARTIAL, ImbalanceStrategy.SMOTE_PARTIAL_WEIGHTS) \
         else (1.0 if st == ImbalanceStrategy.SMOTE_FULL else None)
