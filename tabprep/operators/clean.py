@@ -93,29 +93,42 @@ def clean_object_columns(df: DataFrame, columns: Sequence[str] | None = None,
 
 def numeric_fill_values(df: DataFrame, columns: Sequence[str], strategy: FillStrategy,
                         exact: bool = True) -> dict[str, float | None]:
-    """Per-column fill statistic, all columns in one aggregate pass.
+    """Per-column fill statistic for all columns at once.
 
-    MEDIAN: exact ``median`` by default; ``exact=False`` uses the bounded
-    memory ``percentile_approx`` sketch, the right choice for very large
-    columns.  MODE: the smallest most-frequent value.
+    MEAN: one aggregate.  MEDIAN: exact by default, by distributed ranking
+    (``exact_percentiles``); ``exact=False`` uses the one-pass
+    ``percentile_approx`` sketch instead.  MODE: the smallest most-frequent
+    value.
     """
     if not columns:
         return {}
     if strategy == FillStrategy.MODE:
         return _mode_values(df, columns)
+    if strategy == FillStrategy.MEDIAN and exact:
+        return _median_values(df, columns)
     aggs = []
     for i, name in enumerate(columns):
         x = c(name).cast("double")
         if strategy == FillStrategy.MEAN:
             aggs.append(F.avg(x).alias(f"s{i}"))
-        elif exact:
-            aggs.append(F.median(x).alias(f"s{i}"))
         else:
             aggs.append(F.percentile_approx(x, 0.5, 100_000).cast("double").alias(f"s{i}"))
     row = df.agg(*aggs).first()
     return {name: row[f"s{i}"] for i, name in enumerate(columns)}
 
 
+def _median_values(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
+    """Exact medians of all columns in one job: the columns are unpivoted to
+    (column, value) and ranked with the skew-safe ``exact_percentiles``
+    (``median`` itself would merge every distinct value in one task)."""
+    from .groups import exact_percentiles
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("k"), c(name).cast("double").alias("v"))
+        for i, name in enumerate(columns)])).alias("kv")).select("kv.k", "kv.v")
+    med = {r["k"]: r["median"] for r in exact_percentiles(long, "v", [0.5], ["k"], ["median"]).collect()}
+    return {name: med.get(i) for i, name in enumerate(columns)}
+
+
 def _mode_values(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
     """Mode of every column in one pass.
 

@@ -32,7 +32,7 @@ _AGGS = {
     "var": lambda x: F.var_samp(x),
     "min": lambda x: F.min(x),
     "max": lambda x: F.max(x),
-    "median": lambda x: F.median(x),
+    "median": None,  # exact, through exact_percentiles (see group_agg_multi)
     "nunique": lambda x: F.count_distinct(x),
 }
 
@@ -122,15 +122,23 @@ def group_agg_multi(df: DataFrame, group_col: str, agg_cols: Mapping[str, Sequen
     """Any ``{column: [aggregates]}`` per group, rounded, columns named
     ``{column}_{aggregate}``, optional descending sort, then a ``Total`` row
     holding the sums of the rounded group rows."""
-    aggs, names = [], []
+    aggs, names, medians = [], [], []
     for col, funcs in agg_cols.items():
         for fn in funcs:
             if fn not in _AGGS:
                 raise ValueError(f"unknown aggregate {fn!r}; choose from {sorted(_AGGS)}")
             name = f"{col}_{fn}"
-            aggs.append(F.round(_AGGS[fn](c(col)).cast("double"), decimals).alias(name))
             names.append(name)
-    out = _keyed(df, group_col).groupBy(c(group_col).cast("string").alias(group_col)).agg(*aggs)
+            if fn == "median":
+                medians.append((col, name))
+            else:
+                aggs.append(F.round(_AGGS[fn](c(col)).cast("double"), decimals).alias(name))
+    keyed = _keyed(df, group_col).withColumn("__key", c(group_col).cast("string"))
+    out = keyed.groupBy("__key").agg(*aggs) if aggs else keyed.select("__key").distinct()
+    for col, name in medians:
+        med = exact_percentiles(keyed, col, [0.5], ["__key"], ["__m"])
+        out = out.join(med.select("__key", F.round("__m", decimals).alias(name)), "__key", "left")
+    out = out.select(F.col("__key").alias(group_col), *[c(n) for n in names])
     if total:
         tot = out.agg(*[F.round(F.sum(c(n)), decimals).alias(n) for n in names])
         out = out.unionByName(tot.select(F.lit("Total").alias(group_col), *names))
@@ -209,22 +217,21 @@ def variance_decomposition(df: DataFrame, group_col: str, value_col: str,
                            df_groups: int | None = None) -> DataFrame:
     """Total, within- and between-group variance and their ratio.
 
-    within = sum (n_g - 1) var_g / (N - k) with n_g counting rows (NULL
-    values included) as ``len(group)`` does; ``df_groups`` overrides k
-    (pass 3 to reproduce the reference's fixed constant).
+    total = sample variance of the column over **all** rows; within =
+    sum (n_g - 1) var_g / (N - k) over the groups (NULL key dropped), with
+    n_g counting rows (NULL values included) as ``len(group)`` does;
+    ``df_groups`` overrides k (pass 3 to reproduce the reference's fixed
+    constant).  One ``rollup`` pass yields the per-group rows and the grand
+    row together; a tiny aggregate over those rows finishes the job.
     """
     x = c(value_col).cast("double")
-    per = _keyed(df, group_col).groupBy(c(group_col)).agg(
-        F.count(F.lit(1)).alias("rows"), F.count(x).alias("n"), F.avg(x).alias("m"),
-        F.var_samp(x).alias("v"))
-    groups = Window.partitionBy()  # over the per-group table only
-    grand = per.withColumn("grand_mean", F.sum(F.col("n") * F.col("m")).over(groups) / F.sum("n").over(groups))
-    k = F.lit(df_groups) if df_groups is not None else F.count(F.lit(1))
-    pooled = F.sum(F.coalesce((F.col("n") - 1) * F.col("v"), F.lit(0.0)))
-    spread = F.sum(F.coalesce(F.col("n") * (F.col("m") - F.col("grand_mean")) ** 2, F.lit(0.0)))
-    out = grand.agg(
-        safe_div(pooled + spread, F.sum("n") - 1).alias("total_var"),
-        safe_div(F.sum(F.coalesce((F.col("rows") - 1) * F.col("v"), F.lit(0.0))),
-                 F.sum("rows") - k).alias("within_var"))
+    r = df.rollup(c(group_col).alias("_g")).agg(
+        F.grouping_id().alias("_gid"), F.count(F.lit(1)).alias("rows"), F.var_samp(x).alias("v"))
+    grp = (F.col("_gid") == 0) & F.col("_g").isNotNull()
+    k = F.lit(df_groups) if df_groups is not None else F.count_if(grp)
+    out = r.agg(
+        F.max(F.when(F.col("_gid") == 1, F.col("v"))).alias("total_var"),
+        safe_div(F.sum(F.when(grp, F.coalesce((F.col("rows") - 1) * F.col("v"), F.lit(0.0)))),
+                 F.sum(F.when(grp, F.col("rows"))) - k).alias("within_var"))
     return (out.withColumn("between_var", F.col("total_var") - F.col("within_var"))
             .withColumn("ratio", safe_div(F.col("between_var"), F.col("within_var"))))

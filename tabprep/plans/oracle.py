@@ -190,7 +190,7 @@ def _vd(k: str) -> str:
     return f"""
 with per as (select event_type, count(*) as rows_, var_samp(value) as v from events
              where event_type is not null group by event_type),
-t as (select var_samp(value) as total_var from events where event_type is not null),
+t as (select var_samp(value) as total_var from events),
 w as (select sum(coalesce((rows_ - 1) * v, 0)) / (sum(rows_) - {k}) as within_var from per)
 select round(total_var, 6) as total_var, round(within_var, 6) as within_var,
        round(total_var - within_var, 6) as between_var,

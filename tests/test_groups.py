@@ -103,9 +103,11 @@ def test_special_functions():
 
 
 def test_variance_decomposition(df):
-    pdf = _pdf(df).dropna(subset=["g"])
+    everything = _pdf(df)
+    pdf = everything.dropna(subset=["g"])
     r = groups.variance_decomposition(df, "g", "v").first()
-    assert r["total_var"] == pytest.approx(pdf["v"].var(ddof=1))
+    # total variance is over every row, NULL group keys included
+    assert r["total_var"] == pytest.approx(everything["v"].var(ddof=1))
     rows = pdf.groupby("g").size()
     var = pdf.groupby("g")["v"].var(ddof=1)
     within = ((rows - 1) * var).sum() / (len(pdf) - 3)
