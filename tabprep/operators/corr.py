@@ -99,11 +99,17 @@ def features_to_drop(df: DataFrame, target_col: str, threshold: float = 0.7) ->
     if not is_numeric(df.schema[target_col].dataType):
         raise TypeError(f"target column {target_col!r} must be numeric")
     feats = [n for n in numeric_columns(df) if n != target_col]
-    pairs = high_corr_pairs(df.select(*[c(n) for n in feats]), threshold)
+    # one aggregate for the feature pairs and the target column together;
+    # the d^2-row result is read twice, so it is checkpointed (it is tiny)
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    matrix = corr_matrix(df, feats + [target_col]).checkpoint()
+    fm = matrix.where(F.col("col_a").isin(feats) & F.col("col_b").isin(feats))
+    pairs = high_corr_pairs(df, threshold, matrix=fm)
     # |corr| to the target, rounded to 12 decimals so that exact duplicates
     # (equal up to floating noise) count as a tie
-    tc = target_correlation(df, target_col, feats).select(
-        F.col("feature"), F.round(F.abs("corr"), 12).alias("tc"))
+    tc = matrix.where((F.col("col_b") == F.lit(target_col)) & (F.col("col_a") != F.lit(target_col))).select(
+        F.col("col_a").alias("feature"), F.round(F.abs("r"), 12).alias("tc"))
     # tc has one row per feature (schema-bounded)
     t1 = F.broadcast(tc.select(F.col("feature").alias("feature_1"), F.col("tc").alias("tc1")))
     t2 = F.broadcast(tc.select(F.col("feature").alias("feature_2"), F.col("tc").alias("tc2")))

@@ -57,20 +57,29 @@ def exact_percentiles(df: DataFrame, value_col: str, probs: Sequence[float] = PE
     ``running_totals``; the two ranks around ``p (n - 1)`` are picked with
     conditional ``max`` in one more aggregate.
     """
-    names = list(names or [_pct_name(p) for p in probs])
     gcols = list(group_cols)
     x = c(value_col).cast("double")
     base = (df.where(x.isNotNull())
             .groupBy(*[c(g) for g in gcols], x.alias("_v"))
             .agg(F.count(F.lit(1)).alias("_w")))
-    ranked = running_totals(base, "_v", ["_w"], gcols)
-    n = F.col("tot__w")
-    start = F.col("cum__w") - F.col("_w")  # first 0-based rank held by this value
+    return percentiles_from_counts(base, "_v", "_w", probs, gcols, names)
+
+
+def percentiles_from_counts(base: DataFrame, value_col: str, weight_col: str,
+                            probs: Sequence[float] = PERCENTILES, group_cols: Sequence[str] = (),
+                            names: Sequence[str] | None = None) -> DataFrame:
+    """Exact percentiles from a (group..., value, count) table with one row
+    per distinct non-null value."""
+    names = list(names or [_pct_name(p) for p in probs])
+    gcols = list(group_cols)
+    ranked = running_totals(base, value_col, [weight_col], gcols)
+    n = F.col(f"tot_{weight_col}")
+    start = F.col(f"cum_{weight_col}") - c(weight_col)  # first 0-based rank held by this value
     aggs = [F.max(n).alias("_n")]
     for i, p in enumerate(probs):
         pos = (n - 1).cast("double") * F.lit(float(p))
-        aggs.append(F.max(F.when(start <= F.floor(pos), F.col("_v"))).alias(f"_lo{i}"))
-        aggs.append(F.max(F.when(start <= F.ceil(pos), F.col("_v"))).alias(f"_hi{i}"))
+        aggs.append(F.max(F.when(start <= F.floor(pos), c(value_col))).alias(f"_lo{i}"))
+        aggs.append(F.max(F.when(start <= F.ceil(pos), c(value_col))).alias(f"_hi{i}"))
     picked = ranked.groupBy(*[c(g) for g in gcols]).agg(*aggs)
     out = []
     for i, p in enumerate(probs):

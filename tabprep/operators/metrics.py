@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import c
 from ..functions.numeric import safe_div
+from ..session import ensure_checkpoint_dir
 from .cumulative import running_totals
 
 DEFAULT_THRESHOLDS = (0.3, 0.4, 0.5, 0.6, 0.7)
@@ -151,7 +152,10 @@ def classification_report(df: DataFrame, label_col: str = "label", prediction_co
     """Per class precision / recall / F1 / support, then ``accuracy``,
     ``macro avg`` and ``weighted avg`` rows (precision and recall are NULL
     on the accuracy row, whose F1 column holds the accuracy)."""
-    cm = confusion_matrix(df, label_col, prediction_col, labels)
+    # the (classes x classes) matrix feeds four aggregates below: one scan of
+    # the scored rows, the small result written to the checkpoint folder
+    ensure_checkpoint_dir(df.sparkSession)
+    cm = confusion_matrix(df, label_col, prediction_col, labels).checkpoint()
     per = cm.groupBy("actual").agg(
         F.sum(F.when(F.col("actual") == F.col("predicted"), F.col("count"))).alias("tp"),
         F.sum("count").alias("support")).withColumnRenamed("actual", "cls")

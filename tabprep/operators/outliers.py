@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import c, numeric_columns
 from ..functions.numeric import safe_div
 from ..functions.text import format_pct
-from .groups import exact_percentiles
+from .groups import exact_percentiles, percentiles_from_counts
 
 METHODS = ("iqr",)
 
@@ -31,6 +31,24 @@ def _columns(df, include_columns, exclude_columns):
     return numeric_columns(df, include_columns, exclude_columns)
 
 
+def _value_counts(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """(column, value, n): every cell counted per distinct value, NULL
+    included -- the one scan every IQR statistic is derived from."""
+    return _numeric_long(df, names).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _bounds_from_counts(counts: DataFrame, multiplier: float) -> DataFrame:
+    nonnull = counts.where(F.col("value").isNotNull())
+    q = percentiles_from_counts(nonnull, "value", "n", [0.25, 0.75], ["column"], ["q1", "q3"])
+    mm = counts.groupBy("column").agg(F.min("value").alias("actual_min"), F.max("value").alias("actual_max"),
+                                      F.sum("n").alias("n_rows"))
+    m = F.lit(float(multiplier))
+    iqr = F.col("q3") - F.col("q1")
+    return (mm.join(q, "column", "left")
+            .select("column", "q1", "q3", iqr.alias("iqr"), (F.col("q1") - m * iqr).alias("lower_bound"),
+                    (F.col("q3") + m * iqr).alias("upper_bound"), "actual_min", "actual_max", "n_rows"))
+
+
 def iqr_bounds(df: DataFrame, columns: Sequence[str] | None = None, multiplier: float = 1.5,
                exclude_columns: Sequence[str] | None = None) -> DataFrame:
     """(column, q1, q3, iqr, lower_bound, upper_bound, actual_min, actual_max,
@@ -40,23 +58,18 @@ def iqr_bounds(df: DataFrame, columns: Sequence[str] | None = None, multiplier:
         return df.sparkSession.createDataFrame(
             [], "column string, q1 double, q3 double, iqr double, lower_bound double, "
                 "upper_bound double, actual_min double, actual_max double, n_rows long")
-    long = _numeric_long(df, names)
-    q = exact_percentiles(long, "value", [0.25, 0.75], ["column"], ["q1", "q3"])
-    mm = long.groupBy("column").agg(F.min("value").alias("actual_min"),
-                                    F.max("value").alias("actual_max"),
-                                    F.count(F.lit(1)).alias("n_rows"))
-    m = F.lit(float(multiplier))
-    iqr = F.col("q3") - F.col("q1")
-    return (mm.join(q, "column", "left")
-            .select("column", "q1", "q3", iqr.alias("iqr"), (F.col("q1") - m * iqr).alias("lower_bound"),
-                    (F.col("q3") + m * iqr).alias("upper_bound"), "actual_min", "actual_max", "n_rows"))
+    return _bounds_from_counts(_value_counts(df, names), multiplier)
 
 
 def analyze_outliers(df: DataFrame, method: str = "iqr", iqr_multiplier: float = 1.5,
                      exclude_columns: Sequence[str] | None = None,
                      include_columns: Sequence[str] | None = None) -> DataFrame:
     """Per numeric column: outlier count (strictly outside the bounds), its
-    percent of all rows (number and ``"12.3%"`` text), bounds and range."""
+    percent of all rows (number and ``"12.3%"`` text), bounds and range.
+
+    The raw table is read once: quartiles, range, row count and the outlier
+    count all come from the (column, value, count) table.
+    """
     if method not in METHODS:
         raise ValueError(f"Unsupported method: {method}. Currently only 'iqr' is supported.")
     names = _columns(df, include_columns, exclude_columns)
@@ -64,16 +77,16 @@ def analyze_outliers(df: DataFrame, method: str = "iqr", iqr_multiplier: float =
         return df.sparkSession.createDataFrame(
             [], "column string, total_outliers long, outlier_pct double, percentage string, q1 double, "
                 "q3 double, lower_bound double, upper_bound double, actual_min double, actual_max double")
-    bounds = iqr_bounds(df, names, iqr_multiplier)
-    long = _numeric_long(df, names)
+    counts = _value_counts(df, names)
+    bounds = _bounds_from_counts(counts, iqr_multiplier)
     # one row per analysed column: bounded by the schema width
-    flagged = long.join(F.broadcast(bounds.select("column", "lower_bound", "upper_bound")), "column")
+    flagged = counts.join(F.broadcast(bounds.select("column", "lower_bound", "upper_bound")), "column")
     outside = (F.col("value") < F.col("lower_bound")) | (F.col("value") > F.col("upper_bound"))
-    counts = flagged.groupBy("column").agg(F.count_if(outside).alias("total_outliers"))
+    tallies = flagged.groupBy("column").agg(F.sum(F.when(outside, F.col("n")).otherwise(0)).alias("total_outliers"))
     pct = safe_div(F.col("total_outliers"), F.col("n_rows")) * F.lit(100.0)
-    return (bounds.join(counts, "column", "left")
-            .select("column", "total_outliers", pct.alias("outlier_pct"),
-                    format_pct(F.round(pct, 1), 1).alias("percentage"),
+    return (bounds.join(tallies, "column", "left")
+            .select("column", F.col("total_outliers").cast("long").alias("total_outliers"),
+                    pct.alias("outlier_pct"), format_pct(F.round(pct, 1), 1).alias("percentage"),
                     "q1", "q3", "lower_bound", "upper_bound", "actual_min", "actual_max"))
 
 
