@@ -111,18 +111,23 @@ def group_mean_count_sum(df: DataFrame, group_col: str, agg_col: str,
     overall figures instead.
     """
     x = c(agg_col)
-    groups = (_keyed(df, group_col).groupBy(c(group_col).cast("string").alias(group_col))
-              .agg(F.avg(x).alias("mean"), F.count(x).alias("count"),
-                   F.coalesce(F.sum(x), F.lit(0)).cast("double").alias("sum")))
+    keyed = _keyed(df, group_col)
     if total == "rollup":
-        tot = _keyed(df, group_col).agg(F.avg(x).alias("mean"), F.count(x).alias("count"),
-                                        F.coalesce(F.sum(x), F.lit(0)).cast("double").alias("sum"))
+        # true overall figures: one rollup pass over the data
+        r = keyed.rollup(c(group_col).cast("string").alias("_g")).agg(
+            F.grouping_id().alias("_gid"), F.avg(x).alias("mean"), F.count(x).alias("count"),
+            F.coalesce(F.sum(x), F.lit(0)).cast("double").alias("sum"))
     elif total == "sum":
-        tot = groups.agg(F.sum("mean").alias("mean"), F.sum("count").alias("count"),
-                         F.sum("sum").alias("sum"))
+        per = keyed.groupBy(c(group_col).cast("string").alias("_g")).agg(
+            F.avg(x).alias("m"), F.count(x).alias("n"), F.coalesce(F.sum(x), F.lit(0)).cast("double").alias("s"))
+        # rollup over the small per-group table: each group row, plus a Total
+        # row that is the column sum of the group rows (sum of means included)
+        r = per.rollup("_g").agg(F.grouping_id().alias("_gid"), F.sum("m").alias("mean"),
+                                 F.sum("n").alias("count"), F.sum("s").alias("sum"))
     else:
         raise ValueError("total must be 'sum' or 'rollup'")
-    return groups.unionByName(tot.select(F.lit("Total").alias(group_col), "mean", "count", "sum"))
+    label = F.when(F.col("_gid") == 1, F.lit("Total")).otherwise(F.col("_g")).alias(group_col)
+    return r.select(label, "mean", F.col("count").cast("long").alias("count"), "sum")
 
 
 def group_agg_multi(df: DataFrame, group_col: str, agg_cols: Mapping[str, Sequence[str]],
@@ -147,10 +152,14 @@ def group_agg_multi(df: DataFrame, group_col: str, agg_cols: Mapping[str, Sequen
     for col, name in medians:
         med = exact_percentiles(keyed, col, [0.5], ["__key"], ["__m"])
         out = out.join(med.select("__key", F.round("__m", decimals).alias(name)), "__key", "left")
-    out = out.select(F.col("__key").alias(group_col), *[c(n) for n in names])
     if total:
-        tot = out.agg(*[F.round(F.sum(c(n)), decimals).alias(n) for n in names])
-        out = out.unionByName(tot.select(F.lit("Total").alias(group_col), *names))
+        # Total = sum of the rounded group rows: rollup over the small table
+        out = out.rollup("__key").agg(F.grouping_id().alias("_gid"),
+                                      *[F.round(F.sum(c(n)), decimals).alias(n) for n in names])
+        out = out.select(F.when(F.col("_gid") == 1, F.lit("Total")).otherwise(F.col("__key"))
+                         .alias(group_col), *[c(n) for n in names])
+    else:
+        out = out.select(F.col("__key").alias(group_col), *[c(n) for n in names])
     if sort_by is not None:
         key = f"{sort_by[0]}_{sort_by[1]}"
         if key not in names:

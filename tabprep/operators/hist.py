@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import c
@@ -37,12 +37,16 @@ def histogram(df: DataFrame, value_col: str, group_cols: Sequence[str] = (), bin
     # one row per group: AQE broadcasts it while small; a hot group in a
     # shuffle join is split by AQE's skew-join handling
     idx = F.least(F.lit(bins - 1), F.floor((F.col("_x") - F.col("_lo")) / F.col("_w")).cast("int"))
-    counts = vals.join(rng, g).groupBy(*g, idx.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    grid = rng.select(*g, "_lo", "_w", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    out = grid.join(counts, g + ["bin"], "left")
+    counts = vals.join(rng, g).groupBy(*g, idx.alias("bin")).agg(
+        F.count(F.lit(1)).alias("count"), F.first("_lo").alias("_lo"), F.first("_w").alias("_w"))
+    # empty bins: per group at most `bins` (bin, count) pairs are gathered
+    # and every bin is emitted from them -- no second pass over the data
+    per = counts.groupBy(*g).agg(F.map_from_entries(F.collect_list(F.struct("bin", "count"))).alias("_m"),
+                                 F.first("_lo").alias("_lo"), F.first("_w").alias("_w"))
+    out = per.select(*g, "_lo", "_w", "_m", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     return out.select(*g, "bin", (F.col("_lo") + F.col("bin") * F.col("_w")).alias("bin_start"),
                       (F.col("_lo") + (F.col("bin") + 1) * F.col("_w")).alias("bin_end"),
-                      F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count"))
+                      F.coalesce(F.col("_m")[F.col("bin")], F.lit(0)).cast("long").alias("count"))
 
 
 def group_histogram(df: DataFrame, group_col: str, value_col: str, bins: int = BINS) -> DataFrame:
@@ -89,5 +93,5 @@ def category_by_target(df: DataFrame, category_col: str, target_col: str) -> Dat
     countplot ordered by category frequency."""
     keyed = df.where(c(category_col).isNotNull() & c(target_col).isNotNull())
     per = keyed.groupBy(c(category_col), c(target_col)).agg(F.count(F.lit(1)).alias("count"))
-    tot = keyed.groupBy(c(category_col)).agg(F.count(F.lit(1)).alias("category_total"))
-    return per.join(tot, category_col)
+    # one row per (category, class): the category total is a window over it
+    return per.withColumn("category_total", F.sum("count").over(Window.partitionBy(c(category_col))))

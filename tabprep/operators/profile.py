@@ -96,21 +96,11 @@ def unique_values(df: DataFrame, order_col: str | None = None,
             [], "column string, n_unique long, top_value string, top_count long")
     per = _string_long(df, names, order_col).groupBy("column", "value").agg(
         F.count(F.lit(1)).alias("n"))
-    counts = per.groupBy("column").agg(F.count(F.lit(1)).alias("n_unique"))
-    return counts.join(_top_values(per), "column", "left")
-
-
-def _top_values(per: DataFrame) -> DataFrame:
-    """Most frequent non-null value per column, ties to the smallest value.
-
-    Ranking (count desc, value asc) is a total order, so ``min_by`` on the
-    key (-count, value) picks it with partial aggregation.
-    """
-    nn = per.where(F.col("value").isNotNull())
-    key = F.struct((-F.col("n")).alias("neg_n"), F.col("value").alias("v"))
-    return nn.groupBy("column").agg(
-        F.min(key).alias("_best")).select(
-        "column", F.col("_best.v").alias("top_value"), (-F.col("_best.neg_n")).alias("top_count"))
+    # ranking (count desc, value asc) is a total order, so the top value is
+    # the minimum of (-count, value) over non-null values; one aggregate
+    key = F.when(F.col("value").isNotNull(), F.struct((-F.col("n")).alias("neg_n"), F.col("value").alias("v")))
+    return per.groupBy("column").agg(F.count(F.lit(1)).alias("n_unique"), F.min(key).alias("_best")).select(
+        "column", "n_unique", F.col("_best.v").alias("top_value"), (-F.col("_best.neg_n")).alias("top_count"))
 
 
 def first_seen_values(df: DataFrame, order_col: str, max_unique: int = 50,
