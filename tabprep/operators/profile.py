@@ -75,8 +75,10 @@ def min_max_profile(df: DataFrame, columns: Sequence[str] | None = None) -> Data
 
 
 def _string_long(df: DataFrame, names: Sequence[str], order_col: str | None) -> DataFrame:
-    """(column, value, ord) for every string cell; nulls kept."""
-    ordk = c(order_col) if order_col else F.monotonically_increasing_id()
+    """(column, value, ord) for every string cell; nulls kept.  Without an
+    order column the position is a constant (row order is not stable under
+    recomputation, so first-seen lists always need an explicit key)."""
+    ordk = c(order_col) if order_col else F.lit(0)
     return df.select(ordk.alias("_ord"), F.explode(F.array(*[
         F.struct(F.lit(n).alias("column"), c(n).alias("value")) for n in names])).alias("kv")
     ).select("kv.column", "kv.value", "_ord")
