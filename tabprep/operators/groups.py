@@ -65,13 +65,22 @@ def exact_percentiles(df: DataFrame, value_col: str, probs: Sequence[float] = PE
     return percentiles_from_counts(base, "_v", "_w", probs, gcols, names)
 
 
+def _safe_groups(df: DataFrame, gcols: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Rename group columns to plain internal names (dots and other odd
+    characters never reach joins and window specs)."""
+    safe = [f"_grp{i}" for i in range(len(gcols))]
+    return df.select(*[c(g).alias(s) for g, s in zip(gcols, safe)],
+                     *[c(n) for n in df.columns if n not in gcols]), safe
+
+
 def percentiles_from_counts(base: DataFrame, value_col: str, weight_col: str,
                             probs: Sequence[float] = PERCENTILES, group_cols: Sequence[str] = (),
                             names: Sequence[str] | None = None) -> DataFrame:
     """Exact percentiles from a (group..., value, count) table with one row
     per distinct non-null value."""
     names = list(names or [_pct_name(p) for p in probs])
-    gcols = list(group_cols)
+    orig = list(group_cols)
+    base, gcols = _safe_groups(base, orig)
     ranked = running_totals(base, value_col, [weight_col], gcols)
     n = F.col(f"tot_{weight_col}")
     start = F.col(f"cum_{weight_col}") - c(weight_col)  # first 0-based rank held by this value
@@ -86,7 +95,7 @@ def percentiles_from_counts(base: DataFrame, value_col: str, weight_col: str,
         pos = (F.col("_n") - 1).cast("double") * F.lit(float(p))
         lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
         out.append((lo + (pos - F.floor(pos)) * (hi - lo)).alias(names[i]))
-    return picked.select(*[c(g) for g in gcols], *out)
+    return picked.select(*[F.col(g).alias(o) for g, o in zip(gcols, orig)], *out)
 
 
 def group_percentiles(df: DataFrame, group_col: str, value_col: str,
@@ -171,20 +180,20 @@ def group_agg_multi(df: DataFrame, group_col: str, agg_cols: Mapping[str, Sequen
 def group_stats(df: DataFrame, group_col: str, value_col: str, decimals: int = 2,
                 exact_median: bool = True) -> DataFrame:
     """count, sum, mean, std, var, min, max, median per group, rounded."""
+    keyed, (g,) = _safe_groups(_keyed(df, group_col).select(c(group_col), c(value_col)), [group_col])
     x = c(value_col).cast("double")
-    keyed = _keyed(df, group_col)
-    stats = keyed.groupBy(c(group_col)).agg(
+    stats = keyed.groupBy(g).agg(
         F.count(x).alias("count"), F.coalesce(F.sum(x), F.lit(0.0)).alias("sum"),
         F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.var_samp(x).alias("var"),
         F.min(x).alias("min"), F.max(x).alias("max"))
     if exact_median:
-        med = exact_percentiles(keyed, value_col, [0.5], [group_col], ["median"])
+        med = exact_percentiles(keyed, value_col, [0.5], [g], ["median"])
     else:
-        med = keyed.groupBy(c(group_col)).agg(F.percentile_approx(x, 0.5, 10_000).alias("median"))
+        med = keyed.groupBy(g).agg(F.percentile_approx(x, 0.5, 10_000).alias("median"))
     # one row per group on both sides; groups without values get a NULL median
-    joined = stats.join(med, [group_col], "left")
+    joined = stats.join(med, g, "left")
     cols = ["sum", "mean", "std", "var", "min", "max", "median"]
-    return joined.select(c(group_col), "count", *[F.round(c(k), decimals).alias(k) for k in cols])
+    return joined.select(F.col(g).alias(group_col), "count", *[F.round(c(k), decimals).alias(k) for k in cols])
 
 
 def coefficient_of_variation(stats: DataFrame) -> DataFrame:

@@ -700,3 +700,10 @@ ORACLE["threshold_cost"] = wv("with sw as (" + _sweep_sql([0.3, 0.4, 0.5, 0.6, 0
 ORACLE["corr_mask_upper"] = wv(f"""
 select col_a, col_b, cast(idx_a as integer) as idx_a, cast(idx_b as integer) as idx_b, round(r, 6) as r
 from ({_corr_long(_LC_ALL)}) where idx_a > idx_b""", "loans_corr")
+_LC_LONG = " union all ".join(f"select loan_id, '{x}' as feature, cast({x} as double) as value from loans_corr"
+                             for x in _LC_ALL if x != "loan_id")
+ORACLE["drop_highly_correlated_features"] = ORACLE["drop_high_corr"].replace(
+    "select feature, cast(row_number() over (order by pos) as integer) as drop_order from firsts",
+    f""", long as ({_LC_LONG})
+select loan_id, feature, round(value, 6) as value from long
+where feature not in (select feature from firsts)""")

@@ -685,3 +685,31 @@ QUERIES.update({
     "early_stopping": q_early_stopping,
     "score_with_function": q_score_with_function,
 })
+
+
+
+def q_drop_highly_correlated_features(spark, sf):
+    """The loans_corr table after correlation pruning (target not_fully_paid)."""
+    lc = fx.loans_corr(spark, sf)
+    kept, _ = corr.drop_highly_correlated_features(lc.drop("loan_id"), "not_fully_paid", 0.7)
+    # long form (loan_id, feature, value) so the check does not depend on
+    # knowing the surviving column names in advance
+    wide = lc.select("loan_id", *[F.col(n).cast("double").alias(n) for n in kept.columns])
+    return finish(wide.unpivot(["loan_id"], kept.columns, "feature", "value"))
+
+
+def q_train_with_strategy(spark, sf):
+    p = _prepared(spark, sf)
+    res = selection.train_with_strategy(
+        T_.ModelConfig(T_.ModelType.LOGISTIC_REGRESSION, "Logistic Regression"), p.train, p.val, "loan_id",
+        "not_fully_paid", list(p.feature_names), "smote_partial+weights", smote_ratio=0.5)
+    row = {"strategy": res.strategy, "n_before": res.n_before, "n_after": res.n_after,
+           **{f"before_{k}": v for k, v in sorted(res.dist_before.items())},
+           **{f"after_{k}": v for k, v in sorted(res.dist_after.items())}, **res.metrics}
+    return finish(spark.createDataFrame([row]))  # one row of results
+
+
+QUERIES.update({
+    "drop_highly_correlated_features": q_drop_highly_correlated_features,
+    "train_with_strategy": q_train_with_strategy,
+})
