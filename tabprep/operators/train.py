@@ -98,7 +98,11 @@ def build_model(config: ModelConfig, n_features: int, label_col: str = "label",
     if t == ModelType.RANDOM_FOREST:
         est = RandomForestClassifier(numTrees=int(p.get("n_estimators", 100)), maxDepth=int(p.get("max_depth", 10)),
                                      minInstancesPerNode=int(p.get("min_samples_leaf", 1)),
-                                     seed=int(p.get("random_state", 42)), **common)
+                                     seed=int(p.get("random_state", 42)),
+                                     # more nodes split per pass over the data, and the
+                                     # row -> node map cached instead of re-derived
+                                     maxMemoryInMB=int(p.get("max_memory_mb", 1024)), cacheNodeIds=True,
+                                     **common)
     elif t in (ModelType.XGBOOST, ModelType.GRADIENT_BOOSTING):
         est = GBTClassifier(maxIter=int(p.get("n_estimators", 100)), maxDepth=int(p.get("max_depth", 5)),
                             stepSize=float(p.get("learning_rate", 0.1)), seed=int(p.get("random_state", 42)),
