@@ -15,6 +15,9 @@ from pyspark.sql import types as T
 from ..functions.columns import c
 from ..operators import (clean, corr, encode, features, groups, hist, imbalance, metrics, neighbors,
                          outliers, profile, resample, scale, split)
+from ..functions import convert
+from ..operators import train as T_
+from ..streaming import stream as S_
 from . import analysis, evaluation, preparation, selection
 from ..operators.clean import CaseStyle, FillStrategy
 from ..sources import fixtures as fx
@@ -518,7 +521,6 @@ QUERIES.update({
 
 
 # ---------------------------------------------------------------- training, comparison, selection
-from ..operators import train as T_  # noqa: E402
 
 
 def _prepared(spark, sf):
@@ -603,7 +605,6 @@ QUERIES.update({
 
 
 # ---------------------------------------------------------------- streaming
-from ..streaming import stream as S_  # noqa: E402
 
 
 def q_streaming_confusion(spark, sf):
@@ -629,7 +630,6 @@ QUERIES.update({
 
 
 # ---------------------------------------------------------------- composites and recipes
-from ..functions import convert  # noqa: E402
 
 
 def q_anova_for_column(spark, sf):
