@@ -18,8 +18,9 @@ bounded in two steps, both exact:
    true distance <= r_v and the best k kept per point.
 
 Work is linear in the points times the number of levels plus the number of
-candidates found -- output-sensitive, never all pairs.  Points should be
-distinct vectors (callers collapse duplicates first; see ``resample``).
+candidates found -- output-sensitive, never all pairs.  ``knn_distinct``
+needs distinct vectors; ``knn`` collapses repeated vectors first and maps
+the answer back to rows.
 """
 
 from __future__ import annotations
@@ -73,10 +74,10 @@ def _range_bucket(pts: DataFrame, col: str, n: int, rows_per_bucket: int) -> Col
     return F.size(F.filter(bounds, lambda b: b <= F.col(col)))
 
 
-def knn(df: DataFrame, id_col: str, feature_cols: Sequence[str], k: int = 5, seed: int = 0,
-        rows_per_bucket: int = ROWS_PER_BUCKET, window: int = WINDOW) -> DataFrame:
+def knn_distinct(df: DataFrame, id_col: str, feature_cols: Sequence[str], k: int = 5, seed: int = 0,
+                 rows_per_bucket: int = ROWS_PER_BUCKET, window: int = WINDOW) -> DataFrame:
     """(id, nbr_id, nbr_rank, dist) for the k nearest other points of each
-    point (fewer when the table has <= k points)."""
+    point, for a table of distinct vectors (fewer when it has <= k points)."""
     feats = list(feature_cols)
     d = len(feats)
     m = min(d, GRID_DIMS)
@@ -166,3 +167,53 @@ def knn(df: DataFrame, id_col: str, feature_cols: Sequence[str], k: int = 5, see
     rank = Window.partitionBy("id").orderBy("dist", "nbr_id")
     return (cand.withColumn("nbr_rank", F.row_number().over(rank)).where(F.col("nbr_rank") <= k)
             .select("id", "nbr_id", F.col("nbr_rank").cast("int").alias("nbr_rank"), "dist"))
+
+
+_SALT = 64
+
+
+def smallest_ids(rows: DataFrame, group_cols: Sequence[str], id_col: str, n: int) -> DataFrame:
+    """(group..., ids): the n smallest ids per group, ascending.  Salted
+    two-stage top-k, so a group holding a third of the rows is cut into
+    _SALT pieces before anything is ranked; no group is ever collected."""
+    salted = rows.select(*group_cols, id_col, F.pmod(F.xxhash64(id_col), F.lit(_SALT)).alias("_s"))
+    w = Window.partitionBy(*group_cols, "_s").orderBy(id_col)
+    pre = salted.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n)
+    # at most _SALT * n rows per group survive
+    return pre.groupBy(*group_cols).agg(F.slice(F.array_sort(F.collect_list(id_col)), 1, n).alias("ids"))
+
+
+def knn(df: DataFrame, id_col: str, feature_cols: Sequence[str], k: int = 5, seed: int = 0,
+        rows_per_bucket: int = ROWS_PER_BUCKET, window: int = WINDOW) -> DataFrame:
+    """Exact k nearest other rows of every row: (id, nbr_id, nbr_rank, dist),
+    ties by id -- identical to ranking all pairs by (dist, nbr_id).
+
+    Rows are collapsed to distinct feature vectors first, so repeated
+    vectors (even one vector holding a third of the table) never produce
+    quadratic candidate sets.  A row's candidates are the other rows of its
+    own vector (distance 0) and the rows of its vector's k nearest distinct
+    vectors; only the k + 1 smallest ids of each vector can ever be needed.
+    The candidates (at most (k + 1)^2 per row) are re-ranked by (dist, id).
+    """
+    feats = list(feature_cols)
+    fcols = [f"_f{i}" for i in range(len(feats))]
+    pts = df.select(c(id_col).alias("_id"), *[c(f).cast("double").alias(n) for f, n in zip(feats, fcols)])
+    vecs = pts.groupBy(*fcols).agg(F.min("_id").alias("vid"))
+    vecs = vecs.join(smallest_ids(pts, fcols, "_id", k + 1), fcols)  # one row per vector on both sides
+    nn = knn_distinct(vecs, "vid", fcols, k, seed, rows_per_bucket, window)
+    nbr_ids = vecs.select(F.col("vid").alias("nbr_vid"), F.col("ids").alias("nbr_ids"))
+    lists = (nn.select(F.col("id").alias("vid"), F.col("nbr_id").alias("nbr_vid"), "dist")
+             .join(nbr_ids, "nbr_vid")
+             .groupBy("vid").agg(F.collect_list(F.struct("dist", "nbr_ids")).alias("nbrs")))  # <= k per vector
+    per_vec = vecs.join(lists, "vid", "left")
+    rows = pts.join(per_vec, fcols)  # one row per vector on the right side
+    same = F.transform(F.filter(F.col("ids"), lambda x: x != F.col("_id")),
+                       lambda x: F.struct(F.lit(0.0).alias("dist"), x.alias("nbr_id")))
+    id_t = pts.schema["_id"].dataType.simpleString()
+    others = F.flatten(F.transform(
+        F.coalesce(F.col("nbrs"), F.array().cast(f"array<struct<dist:double,nbr_ids:array<{id_t}>>>")),
+        lambda s: F.transform(s["nbr_ids"], lambda x: F.struct(s["dist"].alias("dist"), x.alias("nbr_id")))))
+    ranked = F.slice(F.array_sort(F.concat(same, others)), 1, k)
+    return (rows.select(F.col("_id").alias("id"), F.posexplode(ranked).alias("pos", "nb"))
+            .select("id", F.col("nb.nbr_id").alias("nbr_id"), (F.col("pos") + 1).cast("int").alias("nbr_rank"),
+                    F.col("nb.dist").alias("dist")))

@@ -10,13 +10,9 @@ from md5 order (``quota_assign``), the neighbour and u of copy j of row x
 from ``xxhash64(key, j, seed)``, so a recomputed partition produces the same
 rows.
 
-Neighbours are searched among *distinct* feature vectors with the exact
-grid search of ``neighbors.knn`` -- a vector shared by many rows is one
-point there, so duplicates never create quadratic candidate sets.  A row's
-neighbour list is: the other rows with the same vector (distance 0, by
-key), then the rows of the nearest distinct vectors in order, cut at k.
-Only the k + 1 smallest keys of each vector are ever needed; they are found
-with a salted two-stage top-k, never by collecting a whole group.
+Neighbours come from the exact ``neighbors.knn`` (ties by key), which
+collapses repeated vectors first, so duplicates never create quadratic
+candidate sets.
 """
 
 from __future__ import annotations
@@ -24,7 +20,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import c
@@ -32,19 +28,9 @@ from .neighbors import knn
 from ..session import ensure_checkpoint_dir
 from .split import class_totals, quota_assign
 
-_SALT = 64
 _U_BITS = 2 ** 53
 
 
-def _smallest_keys(rows: DataFrame, group_cols: Sequence[str], key: str, n: int) -> DataFrame:
-    """(group..., keys) with the n smallest keys per group, ascending."""
-    salted = rows.select(*group_cols, key, F.pmod(F.xxhash64(key), F.lit(_SALT)).alias("_s"))
-    w = Window.partitionBy(*group_cols, "_s").orderBy(key)
-    pre = salted.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n)
-    # at most _SALT * n rows per group survive
-    return pre.groupBy(*group_cols).agg(F.slice(F.array_sort(F.collect_list(key)), 1, n).alias("keys"))
-
-
 @dataclass(frozen=True)
 class SmoteBasis:
     """The ratio-independent part of SMOTE: class counts and, for every
@@ -74,26 +60,15 @@ def smote_basis(df: DataFrame, key_col: str, label_col: str, feature_cols: Seque
     if nulls:
         raise ValueError("SMOTE features must not contain missing values")
 
-    # distinct vectors: id = smallest key, plus the k + 1 smallest keys
-    vecs = minority.groupBy(*fcols).agg(F.min("_key").alias("vid"))
-    keys = _smallest_keys(minority, fcols, "_key", k + 1)
-    vecs = vecs.join(keys, fcols)
-    nn = knn(vecs, "vid", fcols, k, seed)
-    nbr_rows = vecs.select(F.col("vid").alias("nbr_id"), F.col("keys").alias("nbr_keys"),
-                           F.array(*[F.col(f) for f in fcols]).alias("nbr_x"))
-    lists = (nn.join(nbr_rows, "nbr_id")
-             .groupBy(F.col("id").alias("vid"))
-             .agg(F.array_sort(F.collect_list(F.struct("nbr_rank", "nbr_keys", "nbr_x"))).alias("nbrs")))
-    per_vec = vecs.join(lists, "vid", "left")
-    rows = minority.join(per_vec, fcols)  # one row per distinct vector on the right side
-    me = F.array(*[F.col(f) for f in fcols])
-    same = F.transform(F.filter(F.col("keys"), lambda x: x != F.col("_key")),
-                       lambda x: F.struct(x.alias("key"), me.alias("x")))
-    key_t = minority.schema["_key"].dataType.simpleString()
-    others = F.flatten(F.transform(F.coalesce(F.col("nbrs"), F.array().cast(
-        f"array<struct<nbr_rank:int,nbr_keys:array<{key_t}>,nbr_x:array<double>>>")),
-        lambda s: F.transform(s["nbr_keys"], lambda x: F.struct(x.alias("key"), s["nbr_x"].alias("x")))))
-    rows = rows.select("_key", *fcols, F.slice(F.concat(same, others), 1, k).alias("_cand"))
+    # exact row-level neighbours (repeated vectors are collapsed inside knn)
+    nn = knn(minority, "_key", fcols, k, seed)
+    nbr = minority.select(F.col("_key").alias("nbr_id"), F.array(*[F.col(f) for f in fcols]).alias("nbr_x"))
+    cand = (nn.join(nbr, "nbr_id")
+            .groupBy(F.col("id").alias("_key"))
+            .agg(F.array_sort(F.collect_list(F.struct("nbr_rank", F.col("nbr_id").alias("key"),
+                                                       F.col("nbr_x").alias("x")))).alias("_c")))  # k per row
+    rows = minority.join(cand, "_key").select(
+        "_key", *fcols, F.transform("_c", lambda s: F.struct(s["key"].alias("key"), s["x"].alias("x"))).alias("_cand"))
     ensure_checkpoint_dir(df.sparkSession)
     return SmoteBasis(key_col, label_col, tuple(feats), mi, n_mi, n_ma, rows.checkpoint(), seed)
 

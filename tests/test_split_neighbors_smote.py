@@ -118,3 +118,16 @@ def test_smote_duplicates_and_errors(spark):
     assert out.where("synthetic and (a != 1.0 or b != 1.0)").count() == 0
     with pytest.raises(ValueError, match="remove samples"):
         resample.smote(df, "id", "y", ["a", "b"], ratio=0.1)
+
+
+def test_knn_heavy_duplicates(spark):
+    """A third of the rows share one vector: still exact, ties by id."""
+    rnd = random.Random(4)
+    pts = [(i, 1.0, 1.0) for i in range(150)]
+    pts += [(1000 + i, rnd.uniform(-3, 3), rnd.uniform(-3, 3)) for i in range(300)]
+    pts += [(5000 + i, 2.0, 2.0) for i in range(3)]
+    df = spark.createDataFrame(pts, "id long, a double, b double")
+    got = {}
+    for r in neighbors.knn(df, "id", ["a", "b"], k=5).orderBy("id", "nbr_rank").collect():
+        got.setdefault(r["id"], []).append(r["nbr_id"])
+    assert got == _brute_knn(pts, 5)
