@@ -47,9 +47,9 @@ class SmoteBasis:
 
 
 def smote_basis(df: DataFrame, key_col: str, label_col: str, feature_cols: Sequence[str], k: int = 5,
-                seed: int = 42) -> SmoteBasis:
+                seed: int = 42, counts: dict | None = None) -> SmoteBasis:
     feats = list(feature_cols)
-    counts = class_totals(df, c(label_col))
+    counts = counts if counts is not None else class_totals(df, c(label_col))
     mi, _, n_mi, n_ma = _classes(counts)
     if n_mi <= k:
         raise ValueError(f"Expected n_neighbors <= n_samples: {k + 1} > {n_mi}")
@@ -126,7 +126,7 @@ def smote(df: DataFrame, key_col: str, label_col: str, feature_cols: Sequence[st
                          "while trying to generate new samples.")
     if int(ratio * n_ma) == n_mi:
         return df.withColumn("synthetic", F.lit(False))
-    return smote_from(df, smote_basis(df, key_col, label_col, feature_cols, k, seed), ratio)
+    return smote_from(df, smote_basis(df, key_col, label_col, feature_cols, k, seed, counts), ratio)
 
 
 def class_distribution(df: DataFrame, label_col: str) -> DataFrame:

@@ -8,6 +8,7 @@ Spark job.  Results are small DataFrames, one row per strategy or model.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from enum import Enum
 
@@ -130,26 +131,41 @@ _RESULT_COLS = ("rank int, name string, {extra} accuracy double, precision doubl
                 "f1 double, roc_auc double, recall_weighted double, train_time_s double")
 
 
+def _run_all(tasks: dict, parallelism: int) -> dict:
+    """Run independent fits from a thread pool (as MLlib's own tuning does):
+    each fit is a sequence of small Spark jobs, so several at once keep the
+    cluster busy.  Results do not depend on the order."""
+    if parallelism <= 1 or len(tasks) <= 1:
+        return {k: f() for k, f in tasks.items()}
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(tasks))) as pool:
+        futures = {k: pool.submit(f) for k, f in tasks.items()}
+        return {k: fut.result() for k, fut in futures.items()}
+
+
 def optimize_strategy(model_builder: Callable[[], ModelConfig], train: DataFrame, val: DataFrame, key_col: str,
                       label_col: str, feature_cols: Sequence[str], strategies: Sequence = DEFAULT_STRATEGIES,
-                      smote_ratios: Sequence[float] = (0.5,), optimize_for: str = "f1", seed: int = 42
-                      ) -> tuple[DataFrame, dict[str, StrategyResult]]:
+                      smote_ratios: Sequence[float] = (0.5,), optimize_for: str = "f1", seed: int = 42,
+                      parallelism: int = 4) -> tuple[DataFrame, dict[str, StrategyResult]]:
     """Every strategy (SMOTE strategies once per ratio, key
     ``strategy@ratio``) with a fresh model from ``model_builder``; a table
-    ranked by ``optimize_for`` (ties by name) and the results by key."""
-    results: dict[str, StrategyResult] = {}
+    ranked by ``optimize_for`` (ties by name) and the results by key.
+    Up to ``parallelism`` fits run at the same time (``train_time_s`` is
+    then the wall time of a fit sharing the cluster)."""
     # the neighbour graph does not depend on the strategy or the ratio: once
     needs_smote = any(parse_strategy(s) not in (ImbalanceStrategy.NONE, ImbalanceStrategy.CLASS_WEIGHTS)
                       for s in strategies)
     basis = smote_basis(train, key_col, label_col, feature_cols, seed=seed) if needs_smote else None
+    tasks = {}
     for s in strategies:
         st = parse_strategy(s)
         ratios = smote_ratios if st in (ImbalanceStrategy.SMOTE_PARTIAL,
                                         ImbalanceStrategy.SMOTE_PARTIAL_WEIGHTS) else [None]
         for r in ratios:
             name = st.value if r is None else f"{st.value}@{r}"
-            results[name] = train_with_strategy(model_builder(), train, val, key_col, label_col, feature_cols,
-                                                st, r if r is not None else 0.5, seed=seed, basis=basis)
+            tasks[name] = (lambda st=st, r=r: train_with_strategy(
+                model_builder(), train, val, key_col, label_col, feature_cols, st,
+                r if r is not None else 0.5, seed=seed, basis=basis))
+    results: dict[str, StrategyResult] = _run_all(tasks, parallelism)
     rows = []
     for name, res in results.items():
         m = res.metrics
@@ -190,10 +206,12 @@ def train_and_evaluate(config: ModelConfig, train: DataFrame, test: DataFrame, l
 
 
 def compare_models(configs: Sequence[ModelConfig], train: DataFrame, test: DataFrame, label_col: str,
-                   feature_cols: Sequence[str], optimize_for: str = "f1"
+                   feature_cols: Sequence[str], optimize_for: str = "f1", parallelism: int = 4
                    ) -> tuple[DataFrame, dict[str, ModelResult]]:
-    """One row per model, ranked by ``optimize_for``."""
-    results = {cfg.name: train_and_evaluate(cfg, train, test, label_col, feature_cols) for cfg in configs}
+    """One row per model, ranked by ``optimize_for``; up to ``parallelism``
+    models are fitted at the same time."""
+    results = _run_all({cfg.name: (lambda cfg=cfg: train_and_evaluate(cfg, train, test, label_col, feature_cols))
+                        for cfg in configs}, parallelism)
     rows = []
     for name, res in results.items():
         m = res.metrics
