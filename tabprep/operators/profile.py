@@ -129,6 +129,25 @@ def first_seen_values(df: DataFrame, order_col: str, max_unique: int = 50,
             .select("column", "position", "value"))
 
 
+def distinct_values(df: DataFrame, order_col: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """Every distinct value of each string column (NULL included) with its
+    position in order of first appearance: (column, position, value).
+
+    The full list, uncapped: positions are running counts over the distinct
+    values ordered by their first key, computed with the range-bucketed
+    ``running_totals`` (a single window per column would put a
+    high-cardinality column in one task).
+    """
+    from .cumulative import running_totals
+    names = string_columns(df, columns)
+    if not names:
+        return df.sparkSession.createDataFrame([], "column string, position long, value string")
+    first = _string_long(df, names, order_col).groupBy("column", "value").agg(
+        F.min("_ord").alias("_first"), F.lit(1).alias("_one"))
+    ranked = running_totals(first, "_first", ["_one"], ["column"])
+    return ranked.select("column", F.col("cum__one").cast("long").alias("position"), "value")
+
+
 def value_counts_pct(df: DataFrame, col: str) -> DataFrame:
     """Count per value (NULL dropped) and its percent of **all** rows."""
     # the denominator is one scalar (all rows, NULL included); the per-value

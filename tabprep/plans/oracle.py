@@ -707,3 +707,9 @@ ORACLE["drop_highly_correlated_features"] = ORACLE["drop_high_corr"].replace(
     f""", long as ({_LC_LONG})
 select loan_id, feature, round(value, 6) as value from long
 where feature not in (select feature from firsts)""")
+ORACLE["unique_values_all"] = """
+with long as (select 'event_type' as col, event_type as value, event_id from events
+              union all select 'props', props, event_id from events),
+per as (select col, value, min(event_id) as f from long group by col, value)
+select col as "column", cast(row_number() over (partition by col order by f) as bigint) as position, value
+from per"""

@@ -713,3 +713,11 @@ QUERIES.update({
     "drop_highly_correlated_features": q_drop_highly_correlated_features,
     "train_with_strategy": q_train_with_strategy,
 })
+
+
+
+def q_unique_values_all(spark, sf):
+    return profile.distinct_values(_t(spark, sf, "events"), "event_id", ["event_type", "props"])
+
+
+QUERIES["unique_values_all"] = q_unique_values_all

@@ -108,3 +108,18 @@ def test_profiles(spark):
     assert first == ["a", " NA ", None]
     ct = {(r["s"], r["v"]): r["count"] for r in profile.crosstab(df.na.fill({"v": 0.0}), "s", "v").collect()}
     assert ct[("a", "0.0")] == 1 and ct[("a", "1.0")] == 0
+
+
+def test_distinct_values_bucketed_matches_window(spark, monkeypatch):
+    """Positions from the bucketed running count equal a plain row_number."""
+    from pyspark.sql import Window
+    import tabprep.operators.cumulative as cum
+    rows = [(i, f"v{(i * 7919) % 500}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, s string")
+    real = cum.running_totals
+    monkeypatch.setattr(cum, "running_totals",
+                        lambda *a, **k: real(*a, rows_per_bucket=40, max_buckets=32, **k))
+    got = {r["value"]: r["position"] for r in profile.distinct_values(df, "id").collect()}
+    first = df.groupBy("s").agg(F.min("id").alias("f"))
+    ref = {r["s"]: r["p"] for r in first.select("s", F.row_number().over(Window.orderBy("f")).alias("p")).collect()}
+    assert got == ref
