@@ -84,20 +84,22 @@ def _global(df, order_col, sum_cols, descending, rows_per_bucket, max_buckets):
         for b in order:
             offsets[b] = list(acc)
             acc = [a + x for a, x in zip(acc, per[b])]
+        # counts pass 2^31 at scale: every literal is a long
         off_cols = [F.coalesce(F.element_at(F.create_map(*[x for b in order for x in
-                                                           (F.lit(b), F.lit(offsets[b][i]))]),
-                                            F.col("_b")), F.lit(0))
+                                                           (F.lit(b), F.lit(offsets[b][i]).cast("long"))]),
+                                            F.col("_b")), F.lit(0).cast("long"))
                     for i in range(len(sum_cols))]
     else:
         # at most rows_per_bucket rows: a single window partition is bounded
         tagged = df.withColumn("_b", F.lit(0))
-        off_cols = [F.lit(0) for _ in sum_cols]
+        off_cols = [F.lit(0).cast("long") for _ in sum_cols]
     w = (Window.partitionBy("_b").orderBy(_order(order_col, descending))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     out = tagged.select(*[c(x) for x in df.columns],
                         *[(off_cols[i] + F.sum(c(s)).over(w)).alias(f"cum_{s}")
                           for i, s in enumerate(sum_cols)],
-                        *[F.lit(totals[i]).alias(f"tot_{s}") for i, s in enumerate(sum_cols)])
+                        *[F.lit(totals[i]).cast("long" if isinstance(totals[i], int) else "double")
+                          .alias(f"tot_{s}") for i, s in enumerate(sum_cols)])
     return out
 
 

@@ -223,8 +223,9 @@ def roc_auc(df: DataFrame, label_col: str = "label", score_col: str = "score") -
     """
     cum = _cumulative(df, label_col, score_col)
     below = F.col("tot_neg") - F.col("cum_neg")
-    auc = safe_div(F.sum(F.col("pos") * (below + F.col("neg") / F.lit(2.0))),
-                   F.first("tot_pos") * F.first("tot_neg"))
+    # P * N overflows a long for very large tables: multiply as doubles
+    auc = safe_div(F.sum(F.col("pos").cast("double") * (below + F.col("neg") / F.lit(2.0))),
+                   F.first("tot_pos").cast("double") * F.first("tot_neg").cast("double"))
     return cum.agg(auc.alias("roc_auc")).withColumn("grade", auc_grade(F.col("roc_auc")))
 
 

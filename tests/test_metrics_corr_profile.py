@@ -123,3 +123,11 @@ def test_distinct_values_bucketed_matches_window(spark, monkeypatch):
     first = df.groupBy("s").agg(F.min("id").alias("f"))
     ref = {r["s"]: r["p"] for r in first.select("s", F.row_number().over(Window.orderBy("f")).alias("p")).collect()}
     assert got == ref
+
+
+def test_auc_counts_beyond_int32(spark):
+    """P * N > 2^31 must not overflow (totals are longs, product in double)."""
+    df = spark.range(100_000).select((F.col("id") % 2).cast("int").alias("label"),
+                                     (F.col("id") / 100_000.0).alias("score"))
+    auc = metrics.roc_auc_value(df)
+    assert auc == pytest.approx(0.5, abs=1e-4)
