@@ -186,7 +186,8 @@ def smallest_ids(rows: DataFrame, group_cols: Sequence[str], id_col: str, n: int
 def knn(df: DataFrame, id_col: str, feature_cols: Sequence[str], k: int = 5, seed: int = 0,
         rows_per_bucket: int = ROWS_PER_BUCKET, window: int = WINDOW) -> DataFrame:
     """Exact k nearest other rows of every row: (id, nbr_id, nbr_rank, dist),
-    ties by id -- identical to ranking all pairs by (dist, nbr_id).
+    ties by id -- identical to ranking all pairs by (dist, nbr_id).  ``id_col``
+    must be a unique key (as for the split and SMOTE).
 
     Rows are collapsed to distinct feature vectors first, so repeated
     vectors (even one vector holding a third of the table) never produce
