@@ -131,3 +131,23 @@ def test_auc_counts_beyond_int32(spark):
                                      (F.col("id") / 100_000.0).alias("score"))
     auc = metrics.roc_auc_value(df)
     assert auc == pytest.approx(0.5, abs=1e-4)
+
+
+def test_group_density_matches_numpy(spark):
+    from tabprep.operators import hist
+    rnd = random.Random(9)
+    vals = [rnd.gauss(0, 1) for _ in range(300)]
+    df = spark.createDataFrame([("g", v) for v in vals], "g string, v double")
+    got = {r["point"]: (r["x"], r["density"]) for r in hist.group_density(df, "g", "v", grid_points=16).collect()}
+    x = np.array(vals)
+    h = x.std(ddof=1) * len(x) ** -0.2
+    for p, (at, dens) in got.items():
+        want = np.exp(-0.5 * ((x - at) / h) ** 2).sum() / (h * len(x) * np.sqrt(2 * np.pi))
+        assert dens == pytest.approx(want, rel=1e-9)
+    assert got[0][0] == pytest.approx(x.min()) and got[15][0] == pytest.approx(x.max())
+
+
+def test_crosstab_wide(spark):
+    df = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "x"), (None, "x")], "k string, c string")
+    wide = {r["k"]: (r["x"], r["y"]) for r in profile.crosstab_wide(df, "k", "c").collect()}
+    assert wide == {"a": (1, 1), "b": (1, 0)}
