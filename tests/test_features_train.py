@@ -84,3 +84,15 @@ def test_strategy_checks(loans):
     cfg.model_type = "svm"
     with pytest.raises(ValueError, match="Unknown model type"):
         build_model(cfg, 3)
+
+
+def test_early_stopping_stops(loans):
+    from tabprep.operators.train import fit_with_early_stopping
+    p = preparation.prepare_data(loans, "not.fully.paid", "id")
+    cfg = ModelConfig(ModelType.GRADIENT_BOOSTING, "gb", params={"n_estimators": 80, "max_depth": 3,
+                                                                 "learning_rate": 0.3, "random_state": 1})
+    model, _ = fit_with_early_stopping(cfg, p.train, p.val, list(p.feature_names), "not.fully.paid", tol=0.01)
+    assert 1 <= model.getNumTrees < 80  # random labels: validation loss stalls early
+    with pytest.raises(ValueError):
+        fit_with_early_stopping(ModelConfig(ModelType.RANDOM_FOREST, "rf"), p.train, p.val,
+                                list(p.feature_names), "not.fully.paid")
