@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import read_table
-from . import pieces, token_counts
+from . import pieces, quality_model, quality_rules, token_counts, toxicity
+from .training_rows import remainder
 
 
 def tokenizer(name: str) -> str:
@@ -24,9 +25,28 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_decode(read_table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"), digests=True)
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge_quality(read_table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    scored = toxicity.score_toxicity(documents, toxicity.fit_toxicity(documents, labels), keep=["doc_id"])
+    return scored.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    scored = quality_model.score_quality(documents, quality_model.fit_quality(documents, labels), keep=["doc_id"])
+    return scored.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op3_sentencepiece": op3_sentencepiece,
+    "op4_quality_rules": op4_quality_rules,
+    "op7_toxicity": op7_toxicity,
+    "op8_quality_classifier": op8_quality_classifier,
 }
 
 ORACLE: dict[str, str] = {}
