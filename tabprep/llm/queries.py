@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import read_table
-from . import pieces, quality_model, quality_rules, token_counts, toxicity
+from . import pieces, quality_model, quality_rules, secret_scan, token_counts, toxicity
 from .training_rows import remainder
 
 
@@ -21,6 +21,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    return secret_scan.scan(documents, secret_scan.fit_field(documents), keep=["doc_id"])
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_decode(read_table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"), digests=True)
 
@@ -43,6 +48,7 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_secret_scan": op2_secret_scan,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_quality_rules": op4_quality_rules,
     "op7_toxicity": op7_toxicity,
