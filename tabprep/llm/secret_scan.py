@@ -11,7 +11,8 @@ base span are added as kind ``crf``.
 
 The field is fitted on windows of a bounded, documented sample of texts
 (``sample_rows``), half of them with a base span: tokens inside base spans
-are the B and I, all others O.  Neighbours are features, not labels, so secrets without a base pattern can be found by shape and context.
+are the B and I, all others O; in copies of the windows the spans hold random
+letters and digits.  Neighbours are features, not labels, so secrets without a base pattern can be found by shape and context.
 
 Decoding is exact and cheap: a token is fixed to O where no path through B or
 I could win, whatever its neighbours; the rest are short runs, decoded
@@ -230,22 +231,22 @@ def fit(windows: list[tuple[np.ndarray, np.ndarray]], *, steps: int = 60, l2: fl
     return Field(weight, j.astype(np.float32))
 
 
-def _labelled_windows(buf: np.ndarray, off: np.ndarray, reach: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Windows around base spans, and as many tokens from the text's start."""
+_LETTERS = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", np.uint8)
+
+
+def _windows(texts: list[bytes], spans: list[list[tuple[int, int]]], reach: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Windows around the given byte spans of each text, and one from its start."""
+    off = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+    buf = np.frombuffer(b"".join(texts), np.uint8)
     start, end, row = tokens(buf, off)
-    feature = token_features(buf, off, start, end, row)
-    bounds, raw, out = per_row(row, len(off) - 1), buf.tobytes(), []
-    for r in range(len(off) - 1):
+    feature, bounds, out = token_features(buf, off, start, end, row), per_row(row, len(texts)), []
+    for r, own in enumerate(spans):
         a, b = int(bounds[r]), int(bounds[r + 1])
         if a == b:
             continue
-        own = raw[off[r]:off[r + 1]]
-        text = own.decode("utf-8", "replace")
-        tag = np.zeros(b - a, np.int64)
-        centres = [0]
-        for s, _, e in base_spans(text):
-            s, e = len(text[:s].encode()) + off[r], len(text[:e].encode()) + off[r]
-            hit = np.flatnonzero((start[a:b] < e) & (end[a:b] > s))
+        tag, centres = np.zeros(b - a, np.int64), [0]
+        for s, e in own:
+            hit = np.flatnonzero((start[a:b] < e + off[r]) & (end[a:b] > s + off[r]))
             tag[hit] = 2
             tag[hit[:1]] = 1
             centres.append(int(hit[0]) if len(hit) else 0)
@@ -255,6 +256,27 @@ def _labelled_windows(buf: np.ndarray, off: np.ndarray, reach: int) -> list[tupl
     return out
 
 
+def _labelled_windows(buf: np.ndarray, off: np.ndarray, reach: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Windows of the texts, and of copies in which each base span has random
+    letters and digits instead, so that the field learns more shapes than the
+    base patterns have."""
+    raw = buf.tobytes()
+    texts, spans, varied, of = [], [], [], []
+    for r in range(len(off) - 1):
+        own = raw[off[r]:off[r + 1]]
+        text = own.decode("utf-8", "replace")
+        found = [(len(text[:s].encode()), len(text[:e].encode())) for s, _, e in base_spans(text)]
+        texts.append(own)
+        spans.append(found)
+        if found:
+            other, rng = bytearray(own), np.random.default_rng(len(own))
+            for s, e in found:
+                other[s:e] = _LETTERS[rng.integers(0, len(_LETTERS), e - s)].tobytes()
+            varied.append(bytes(other))
+            of.append(found)
+    return _windows(texts, spans, reach) + (_windows(varied, of, reach) if varied else [])
+
+
 def fit_field(documents: DataFrame, *, text: str = "text", sample_rows: int = 1_500, reach: int = 24) -> Field | None:
     """The field from at most ``sample_rows`` texts with a base span and as
     many without, chosen by a hash of the text."""
