@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import read_table
-from . import pieces, quality_model, quality_rules, secret_scan, token_counts, toxicity
+from . import near_dup, pieces, quality_model, quality_rules, secret_scan, token_counts, toxicity
 from .training_rows import remainder
 
 
@@ -46,6 +46,10 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
 
 
+def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.find_groups(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_secret_scan": op2_secret_scan,
@@ -53,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
     "op7_toxicity": op7_toxicity,
     "op8_quality_classifier": op8_quality_classifier,
+    "op10_near_dup": op10_near_dup,
 }
 
 ORACLE: dict[str, str] = {}
