@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import read_table
-from . import decontaminate, near_dup, pieces, quality_model, quality_rules, secret_scan, token_counts, toxicity
+from . import decontaminate, near_dup, pieces, quality_model, quality_rules, secret_scan, suffix_dedup, token_counts, toxicity
 from .training_rows import remainder
 
 
@@ -38,6 +38,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.mark_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     scored = toxicity.score_toxicity(documents, toxicity.fit_toxicity(documents, labels), keep=["doc_id"])
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sentencepiece": op3_sentencepiece,
     "op4_quality_rules": op4_quality_rules,
     "op5_decontamination": op5_decontamination,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_toxicity": op7_toxicity,
     "op8_quality_classifier": op8_quality_classifier,
     "op10_near_dup": op10_near_dup,
