@@ -64,16 +64,17 @@ def minhash(value: np.ndarray, off: np.ndarray) -> np.ndarray:
 
 
 def signatures(documents: DataFrame, *, id_col: str, text: str) -> DataFrame:
-    """(id, n_shingles, node, sig) per row."""
+    """(id, hash of the text, n_shingles, node, sig) per row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, buf, off in blocks(batches, "__text"):
             value, cut = shingle_sets(buf, off, SHINGLE)
             sig = minhash(value, cut)
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(np.diff(cut)), pa.array(set_nodes(value, cut), pa.binary()), pa.array([s.tobytes() for s in sig], pa.binary())],
-                                             names=["id", "n_shingles", "node", "sig"])
+            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(np.diff(cut)), pa.array(set_nodes(value, cut), pa.binary()), pa.array([s.tobytes() for s in sig], pa.binary())],
+                                             names=["id", "th", "n_shingles", "node", "sig"])
 
     kind = documents.select(id_col).schema[0].dataType.simpleString()
-    return documents.select(documents[id_col].alias("id"), documents[text].alias("__text")).mapInArrow(run, f"id {kind}, n_shingles bigint, node binary, sig binary")
+    source = documents.select(documents[id_col].alias("id"), F.xxhash64(documents[text]).alias("th"), documents[text].alias("__text"))
+    return source.mapInArrow(run, f"id {kind}, th bigint, n_shingles bigint, node binary, sig binary")
 
 
 def _sig(column: pa.Array) -> np.ndarray:
@@ -245,9 +246,8 @@ def _residual(members: DataFrame, reps: DataFrame, comp: DataFrame) -> DataFrame
     return rows.withColumn("o", other).select("key", "rep", "comp", "sig", F.least("blk", "o").alias("lo"), F.greatest("blk", "o").alias("hi"), "blk")
 
 
-def find_groups(documents: DataFrame, *, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id, kept) of every row."""
-    scratch = Scratch(documents.sparkSession, "near-dup")
+def _grouped(documents: DataFrame, scratch: Scratch, *, id_col: str, text: str) -> DataFrame:
+    """(id, th, n_shingles, comp, component_id) of every row; comp is null for empty sets."""
     rows = scratch.save(signatures(documents, id_col=id_col, text=text), "signatures")
     repeated = not rows.groupBy("id").count().where("count > 1").isEmpty()
     reps = rows.where("node is not null").groupBy("node").agg(F.min("id").alias("id"), F.first("sig").alias("sig"))
@@ -272,7 +272,28 @@ def find_groups(documents: DataFrame, *, id_col: str = "doc_id", text: str = "te
         comp = components(judged.where("linked"), scratch)
     labelled = reps.join(comp, F.col("rep") == F.col("v"), "left").select("node", "id", F.coalesce("c", "rep").alias("comp"))
     smallest = labelled.groupBy("comp").agg(F.min("id").alias("component_id"))
-    named = scratch.save(labelled.join(smallest, "comp").select("node", "component_id"), "named")
+    named = scratch.save(labelled.join(smallest, "comp").select("node", "comp", "component_id"), "named")
     out = rows.drop("sig").join(sized(named, named.count()), "node", "left")
     component = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id"))
-    return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
+    return out.select("id", "th", "n_shingles", "comp", component.alias("component_id"))
+
+
+def find_groups(documents: DataFrame, *, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, n_shingles, component_id, kept) of every row."""
+    rows = _grouped(documents, Scratch(documents.sparkSession, "near-dup"), id_col=id_col, text=text)
+    return rows.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def keep_one(documents: DataFrame, *, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """All columns of one row of each component (the smallest non-null id);
+    rows without words all stay, but of rows with equal id and text one does."""
+    scratch = Scratch(documents.sparkSession, "near-dup")
+    rows = scratch.save(_grouped(documents, scratch, id_col=id_col, text=text), "grouped")
+    stays = rows.where("comp is not null").groupBy("comp").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "th")).alias("s")).select("s.id", "s.th")
+    gone = rows.where("comp is not null").select(F.col("id").alias("i"), F.col("th").alias("t")).distinct()
+    gone = scratch.save(gone.join(stays, F.col("i").eqNullSafe(F.col("id")) & (F.col("t") == F.col("th")), "left_anti"), "gone")
+    own = F.xxhash64(documents[text])
+    out = documents.join(sized(gone, gone.count()), documents[id_col].eqNullSafe(F.col("i")) & (own == F.col("t")), "left_anti")
+    if rows.groupBy("id", "th").count().where("count > 1").isEmpty():
+        return out
+    return out.withColumn("__th", F.xxhash64(text)).dropDuplicates([id_col, "__th"]).drop("__th")

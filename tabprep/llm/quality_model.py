@@ -51,3 +51,14 @@ def score_quality(documents: DataFrame, model: trees.FlatTrees, *, keep: list[st
 
     out_type = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), f"{score} double, predicted int"])
     return documents.select(*keep, documents[text].alias("__text")).mapInArrow(run, out_type)
+
+
+def keep_good(documents: DataFrame, model: trees.FlatTrees, *, text: str = "text", at_least: float = 0.7) -> DataFrame:
+    """The rows whose text scores ``at_least``, all columns as they are."""
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, buf, off in blocks(batches, text):
+            yield rows.filter(pa.array(shared.value.probability(features(buf, off)) >= at_least))
+
+    return documents.mapInArrow(run, documents.schema)

@@ -6,9 +6,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import decontaminate, near_dup, pieces, quality_model, quality_rules, secret_scan, suffix_dedup, token_counts, toxicity
+from . import decontaminate, license_scan, near_dup, pieces, quality_model, quality_rules, secret_scan, suffix_dedup, token_counts, toxicity
 from .training_rows import remainder
 
 
@@ -54,6 +55,11 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files at source/lang/doc_id."""
+    return license_scan.scan_licenses(read_table(spark, sf_dir, "documents"), F.concat(F.col("source"), F.lit("/"), F.col("lang"), F.lit("/"), F.col("doc_id").cast("string")))
+
+
 def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.find_groups(read_table(spark, sf_dir, "documents"))
 
@@ -67,7 +73,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_toxicity": op7_toxicity,
     "op8_quality_classifier": op8_quality_classifier,
+    "op9_license_scan": op9_license_scan,
     "op10_near_dup": op10_near_dup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op9_license_scan": license_scan.oracle_sql()}
