@@ -290,10 +290,10 @@ def keep_one(documents: DataFrame, *, id_col: str = "doc_id", text: str = "text"
     scratch = Scratch(documents.sparkSession, "near-dup")
     rows = scratch.save(_grouped(documents, scratch, id_col=id_col, text=text), "grouped")
     stays = rows.where("comp is not null").groupBy("comp").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "th")).alias("s")).select("s.id", "s.th")
-    gone = rows.where("comp is not null").select(F.col("id").alias("i"), F.col("th").alias("t")).distinct()
-    gone = scratch.save(gone.join(stays, F.col("i").eqNullSafe(F.col("id")) & (F.col("t") == F.col("th")), "left_anti"), "gone")
+    gone = rows.where("comp is not null").select(F.col("id").alias("__i"), F.col("th").alias("__t")).distinct()
+    gone = scratch.save(gone.join(stays, F.col("__i").eqNullSafe(F.col("id")) & (F.col("__t") == F.col("th")), "left_anti"), "gone")
     own = F.xxhash64(documents[text])
-    out = documents.join(sized(gone, gone.count()), documents[id_col].eqNullSafe(F.col("i")) & (own == F.col("t")), "left_anti")
+    out = documents.join(sized(gone, gone.count()), documents[id_col].eqNullSafe(F.col("__i")) & (own == F.col("__t")), "left_anti")
     if rows.groupBy("id", "th").count().where("count > 1").isEmpty():
         return out
     return out.withColumn("__th", F.xxhash64(text)).dropDuplicates([id_col, "__th"]).drop("__th")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from . import trees
-from .doc_stats import features
+from .doc_stats import FEATURES, features
 from .kernels import blocks
 from .training_rows import labelled_sample
 
@@ -34,7 +34,7 @@ def fit_quality(documents: DataFrame, labels: DataFrame, *, label: str = "qualit
 
     sample = labelled_sample(documents, labels, label, folds=folds, held_out=held_out, rows=sample_rows, id_col=id_col, text=text)
     got = sorted((bytes(r.x), r.y) for r in sample.mapInArrow(measure, "x binary, y int").collect())
-    x = np.array([np.frombuffer(a) for a, _ in got]).reshape(len(got), -1)
+    x = np.array([np.frombuffer(a) for a, _ in got]).reshape(len(got), len(FEATURES))
     return trees.fit(x, np.array([y for _, y in got], float))
 
 
