@@ -14,10 +14,11 @@ At similarity 0.75 a pair exceeds RADIUS = 31 of 64 with probability about
 Buckets (equal keys) are never expanded into all pairs.  First every member
 is compared with the bucket's most central member, the one whose keys are
 the most shared; verified links join a copy group into one component at a
-cost linear in its size.  Buckets that still hold several components are then
-compared across components, in blocks of bounded size inside Arrow tasks:
-first each member's nearest other, last all remaining pairs within RADIUS.
-Every link is confirmed on the full shingle sets.
+cost linear in its size.  In buckets that still hold several components, the
+signatures say which components have members within RADIUS of one another;
+such components form a cluster, and within it the full sets are compared
+across components, in blocks of bounded size inside Arrow tasks, which
+report links only.  Every link is confirmed on the full shingle sets.
 
 Results: a text without words, or a null text, has an empty set, no links and
 its own id as component; fewer than five words form one shingle; rows with
@@ -116,13 +117,11 @@ def _near(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a bigint, b bigint, d bigint")
 
 
-def _verify(pairs: DataFrame, reps: DataFrame, documents: DataFrame, id_col: str, text: str, scratch: Scratch, repeated: bool) -> DataFrame:
-    """(a, b, linked) of saved, distinct pairs, judged on the full sets."""
-    ids = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
+def _texts(ids: DataFrame, reps: DataFrame, documents: DataFrame, id_col: str, text: str, scratch: Scratch, repeated: bool) -> DataFrame:
+    """(rep, text) of the wanted representatives; ids: (rep)."""
     wanted = scratch.save(ids.join(reps.select("rep", "id"), "rep").select(F.col("id").alias("__id"), F.col("rep").alias("__rep")), "wanted")
     texts = (documents.select(documents[id_col].alias("__doc"), documents[text].alias("__text"))
              .join(sized(wanted, wanted.count()), F.col("__doc").eqNullSafe(F.col("__id"))).select("__rep", "__text"))
-    nodes = reps.select("rep", "node")
     # ids may repeat with other texts: the text must give the representative's own set
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,8 +130,15 @@ def _verify(pairs: DataFrame, reps: DataFrame, documents: DataFrame, id_col: str
             yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(set_nodes(value, cut), pa.binary())], names=["rep", "text", "own"])
 
     if repeated:
-        texts = texts.mapInArrow(named, "rep bigint, text string, own binary").join(nodes, "rep").where("own = node").groupBy("rep").agg(F.min("text").alias("text"))
-    texts = scratch.save(texts.toDF("rep", "text"), "texts")
+        texts = texts.mapInArrow(named, "rep bigint, text string, own binary").join(reps.select("rep", "node"), "rep").where("own = node").groupBy("rep").agg(F.min("text").alias("text"))
+    return texts.toDF("rep", "text")
+
+
+def _verify(pairs: DataFrame, reps: DataFrame, **source) -> DataFrame:
+    """(a, b, linked) of saved, distinct pairs, judged on the full sets."""
+    scratch = source["scratch"]
+    ids = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
+    texts = scratch.save(_texts(ids, reps, **source), "texts")
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, buf, off in blocks(batches, "text_a", 1 << 20):
@@ -148,102 +154,141 @@ def _verify(pairs: DataFrame, reps: DataFrame, documents: DataFrame, id_col: str
 
     with_texts = pairs.select("a", "b").join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b").select("a", "b", "text_a", "text_b")
     out = scratch.save(with_texts.mapInArrow(judge, "a bigint, b bigint, linked boolean"), "judged")
-    scratch.drop(texts, wanted)
+    scratch.drop(texts)
     return out
 
 
-def _across(members: DataFrame, nearest: bool) -> DataFrame:
-    """(a, b, d), a < b: pairs of a bucket within RADIUS whose components differ.
-
-    members: (key, rep, comp, sig, lo, hi, blk) arranged by (key, lo, hi): one
-    group is the rows of two blocks of a bucket (or of one block).  With
-    ``nearest`` each row of a group reports its nearest such partner only.
-    """
-    def pairs(rep, comp, sig, two, blk):
-        """Index pairs of one group."""
-        n = len(rep)
+def _whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Rows arranged by the keys, in tables that hold whole groups."""
+    rest = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+        new = np.zeros(max(table.num_rows - 1, 0), bool)
+        for k in keys:
+            column = table.column(k).to_numpy()
+            new |= column[1:] != column[:-1]
+        last = int(np.flatnonzero(new)[-1]) + 1 if new.any() else 0
+        if last:
+            yield table.slice(0, last).combine_chunks()
+        rest = table.slice(last)
+    if rest is not None and rest.num_rows:
+        yield rest.combine_chunks()
+
+
+def _starts(table: pa.Table, keys: list[str]) -> np.ndarray:
+    """Where the groups begin, and the number of rows."""
+    new = np.ones(table.num_rows + 1, bool)
+    new[1:-1] = False
+    for k in keys:
+        column = table.column(k).to_numpy()
+        new[1:-1] |= column[1:] != column[:-1]
+    return np.flatnonzero(new)
+
+
+def _in_blocks(rows: DataFrame, key: str, n: str, by: str) -> DataFrame:
+    """Give rows of a group of ``n`` rows to all pairs (lo, hi) of its blocks
+    of about BLOCK_ROWS rows; ``blk`` is the row's own block."""
+    cuts = F.ceil(F.col(n) / BLOCK_ROWS).cast("int")
+    rows = rows.withColumn("blk", F.pmod(F.xxhash64(by), cuts).cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), cuts - 1)))
+    rows = rows.withColumn("lo", F.least("blk", "o")).withColumn("hi", F.greatest("blk", "o")).drop("o", n)
+    return rows.repartition(key, "lo", "hi").sortWithinPartitions(key, "lo", "hi")
+
+
+def _neighbours(members: DataFrame) -> DataFrame:
+    """(a, b): in each block pair of a bucket, the components that have a member
+    within RADIUS of another component's member, tied to the smallest of them.
+
+    members: (key, rep, comp, sig, blk, lo, hi), arranged by _in_blocks."""
+    keys = ["key", "lo", "hi"]
+
+    def involved(comp, sig, blk, two):
+        """Components of one larger group with such a member."""
         values, count = np.unique(comp, return_counts=True)
-        if len(values) < 2:
-            return
-        few = np.flatnonzero(comp != values[count.argmax()])          # all but the largest component
-        small = np.zeros(n, bool)
-        small[few] = True
+        few = np.flatnonzero(comp != values[count.argmax()]) if len(values) > 1 else np.zeros(0, np.int64)
+        found = [np.zeros(0, np.int64)]
         for k in range(0, len(few), 128):
             i = few[k:k + 128]
-            d = np.zeros((len(i), n), np.uint8)
+            d = np.zeros((len(i), len(comp)), np.uint8)
             for s in range(SYMBOLS):
                 d += sig[i, s][:, None] != sig[:, s][None, :]
             ok = (d <= RADIUS) & (comp[i][:, None] != comp[None, :])
             if two:
                 ok &= blk[i][:, None] != blk[None, :]
             a, b = np.nonzero(ok)
-            yield i[a], b, d[a, b]
+            found += [np.unique(comp[i[a]]), np.unique(comp[b])]
+        return np.unique(np.concatenate(found))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
-
-        def work(t: pa.Table) -> Iterator[pa.RecordBatch]:
-            if not t.num_rows:
-                return
-            key, lo, hi = (t.column(c).to_numpy() for c in ("key", "lo", "hi"))
-            rep, comp, blk = (t.column(c).to_numpy() for c in ("rep", "comp", "blk"))
-            sig = _sig(t.column("sig").combine_chunks() if t.column("sig").num_chunks != 1 else t.column("sig").chunk(0))
-            cut = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1]), [True]]))
+        for t in _whole_groups(batches, keys):
+            comp, blk, lo, hi = (t.column(c).to_numpy() for c in ("comp", "blk", "lo", "hi"))
+            sig, cut = _sig(t.column("sig").chunk(0)), _starts(t, keys)
             size = np.diff(cut)
-            found = []
             group = np.repeat(np.arange(len(size)), size)
-            tiny = size[group] <= 32
-            at = np.flatnonzero(tiny)
-            for step in range(1, 32):                                   # all tiny groups at once, by distance of places
-                at = at[(at + step < len(key))]
-                at = at[group[at] == group[np.minimum(at + step, len(key) - 1)]]
-                if not len(at):
-                    break
-                x = at[comp[at] != comp[at + step]]
-                x = x[(lo[x] == hi[x]) | (blk[x] != blk[x + step])]
-                d = (sig[x] != sig[x + step]).sum(1)
-                x, d = x[d <= RADIUS], d[d <= RADIUS]
-                found.append((x, x + step, d))
+            out = [np.zeros((0, 2), np.int64)]
+            at = np.flatnonzero(size[group] <= 32)
+            for step in range(1, 32):                          # all small groups at once, by distance of places
+                at = at[at + step < len(group)]
+                at = at[group[at] == group[at + step]]
+                x = at[(comp[at] != comp[at + step]) & ((lo[at] == hi[at]) | (blk[at] != blk[at + step]))]
+                x = x[(sig[x] != sig[x + step]).sum(1) <= RADIUS]
+                out.append(np.stack([comp[x], comp[x + step]], 1))
             for g in np.flatnonzero(size > 32):
                 s = slice(cut[g], cut[g + 1])
-                found += [(i + cut[g], j + cut[g], d) for i, j, d in pairs(rep[s], comp[s], sig[s], lo[cut[g]] != hi[cut[g]], blk[s])]
-            if not found:
-                return
-            i, j, d = (np.concatenate([f[c] for f in found]) for c in range(3))
-            if nearest and len(i):
-                i, j, d = np.concatenate([i, j]), np.concatenate([j, i]), np.concatenate([d, d])
-                order = np.lexsort((rep[j], d, i))
-                keep = np.concatenate([[True], i[order][1:] != i[order][:-1]])
-                i, j, d = i[order][keep], j[order][keep], d[order][keep]
-            a, b = rep[i], rep[j]
-            if not nearest:
-                a, b = np.minimum(a, b), np.maximum(a, b)
-            seen = np.unique(np.stack([a, b, d.astype(np.int64)], 1), axis=0) if len(a) else np.zeros((0, 3), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(seen[:, c].copy()) for c in range(3)], names=["a", "b", "d"])
+                own = involved(comp[s], sig[s], blk[s], lo[cut[g]] != hi[cut[g]])
+                out.append(np.stack([own[1:], np.full(max(len(own) - 1, 0), own[0] if len(own) else 0)], 1))
+            pairs = np.unique(np.sort(np.concatenate(out), 1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"])
 
-        for batch in batches:
-            table = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
-            key = [table.column(c).to_numpy() for c in ("key", "lo", "hi")]
-            new = np.flatnonzero((key[0][1:] != key[0][:-1]) | (key[1][1:] != key[1][:-1]) | (key[2][1:] != key[2][:-1]))
-            last = int(new[-1]) + 1 if len(new) else 0
-            yield from work(table.slice(0, last))
-            rest = table.slice(last)
-        if rest is not None:
-            yield from work(rest)
-
-    return (members.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-            .select("key", "rep", "comp", "sig", "lo", "hi", "blk").mapInArrow(run, "a bigint, b bigint, d bigint"))
-
-
-def _residual(members: DataFrame, reps: DataFrame, comp: DataFrame) -> DataFrame:
-    """Members of the buckets that hold several components, cut into blocks."""
-    labelled = members.join(comp, F.col("rep") == F.col("v"), "left").select("key", "rep", F.coalesce("c", "rep").alias("comp"))
-    mixed = labelled.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("n")).where("x <> y")
-    cut = F.ceil(F.col("n") / BLOCK_ROWS).cast("int")
-    rows = labelled.join(mixed.select("key", cut.alias("cuts")), "key").join(reps.select("rep", "sig"), "rep")
-    rows = rows.withColumn("blk", F.pmod(F.xxhash64("rep"), F.col("cuts")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))
-    return rows.withColumn("o", other).select("key", "rep", "comp", "sig", F.least("blk", "o").alias("lo"), F.greatest("blk", "o").alias("hi"), "blk")
+    return members.select(*keys, "rep", "comp", "sig", "blk").mapInArrow(run, "a bigint, b bigint")
+
+
+def _links_across(sets: DataFrame) -> DataFrame:
+    """(a, b): for each representative and each other component of its cluster
+    with a set of similarity 0.75 or more to its own, one such link.
+
+    sets: (cluster, rep, comp, shingles, blk, lo, hi), arranged by _in_blocks.
+    The rows of the largest component of a block pair are not compared with
+    one another, all others with every row, by counting shared shingles."""
+    keys = ["cluster", "lo", "hi"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _whole_groups(batches, keys):
+            rep, comp, blk, lo, hi = (t.column(c).to_numpy() for c in ("rep", "comp", "blk", "lo", "hi"))
+            column, cut, out = t.column("shingles").chunk(0), _starts(t, keys), []
+            for g in range(len(cut) - 1):
+                a, b = int(cut[g]), int(cut[g + 1])
+                values, count = np.unique(comp[a:b], return_counts=True)
+                if len(values) < 2:
+                    continue
+                own = [np.frombuffer(x.as_py(), np.uint64) for x in column[a:b]]
+                size = np.array([len(x) for x in own])
+                every = np.concatenate(own)
+                order = np.argsort(every, kind="stable")
+                every, of = every[order], np.repeat(np.arange(b - a), size)[order]
+                for i in np.flatnonzero(comp[a:b] != values[count.argmax()]).tolist():
+                    first, last = np.searchsorted(every, own[i], "left"), np.searchsorted(every, own[i], "right")
+                    n = last - first
+                    total = np.cumsum(n)
+                    both = np.bincount(of[np.arange(total[-1]) + np.repeat(first - total + n, n)], minlength=b - a)
+                    ok = (100 * both >= 75 * (size[i] + size - both)) & (comp[a:b] != comp[a + i])
+                    if lo[a] != hi[a]:
+                        ok &= blk[a:b] != blk[a + i]
+                    hit = np.flatnonzero(ok)
+                    _, one = np.unique(comp[a:b][hit], return_index=True)
+                    out += [(int(rep[a + i]), int(rep[a + j])) for j in hit[one].tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return sets.select(*keys, "rep", "comp", "shingles", "blk").mapInArrow(run, "a bigint, b bigint")
+
+
+def _sets(ids: DataFrame, reps: DataFrame, **source) -> DataFrame:
+    """(rep, shingles): the sorted shingles of the wanted representatives."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, buf, off in blocks(batches, "text"):
+            value, cut = shingle_sets(buf, off, SHINGLE)
+            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array([value[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary())], names=["rep", "shingles"])
+
+    return _texts(ids, reps, **source).mapInArrow(run, "rep bigint, shingles binary")
 
 
 def _grouped(documents: DataFrame, scratch: Scratch, *, id_col: str, text: str) -> DataFrame:
@@ -261,15 +306,23 @@ def _grouped(documents: DataFrame, scratch: Scratch, *, id_col: str, text: str)
     pivots = weighed.groupBy("key").agg(F.max(F.struct("weight", F.col("rep").alias("pivot"))).alias("p")).select("key", "p.pivot")
     first = members.join(pivots, "key").where("rep <> pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct()
     best = lambda pairs: pairs.groupBy("a").agg(F.min(F.struct("d", "b")).alias("m")).select(F.least("a", "m.b").alias("a"), F.greatest("a", "m.b").alias("b")).distinct()
-    judged = _verify(scratch.save(best(_near(first, reps)), "first"), reps, documents, id_col, text, scratch, repeated)
+    source = {"documents": documents, "id_col": id_col, "text": text, "scratch": scratch, "repeated": repeated}
+    judged = _verify(scratch.save(best(_near(first, reps)), "first"), reps, **source)
     comp = components(judged.where("linked"), scratch)
-    # 2: the nearest member of another component; 3: all that remain
-    for nearest in (True, False):
-        pairs = _across(_residual(members, reps, comp), nearest)
-        pairs = scratch.save((best(pairs) if nearest else pairs.select("a", "b").distinct()).join(judged.select("a", "b"), ["a", "b"], "left_anti"), "across")
-        more = _verify(pairs, reps, documents, id_col, text, scratch, repeated)
-        judged = scratch.save(judged.unionByName(more), "judged")
-        comp = components(judged.where("linked"), scratch)
+    # 2: buckets that hold several components say which components are neighbours
+    of = reps.select("rep").join(comp, F.col("rep") == F.col("v"), "left").select("rep", F.coalesce("c", "rep").alias("comp"))
+    of = scratch.save(of, "components")
+    labelled = members.select("key", "rep").join(of, "rep")
+    mixed = labelled.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("n")).where("x <> y").select("key", "n")
+    near = _neighbours(_in_blocks(labelled.join(mixed, "key").join(reps.select("rep", "sig"), "rep"), "key", "n", "rep"))
+    clusters = components(scratch.save(near.distinct(), "neighbours"), scratch)
+    # 3: full sets are compared within clusters of neighbours
+    inside = scratch.save(of.join(clusters, F.col("comp") == F.col("v")).select("rep", "comp", F.col("c").alias("cluster")), "clusters")
+    sizes = inside.groupBy("cluster").agg(F.count("*").alias("n"))
+    sets = scratch.save(_sets(inside.select("rep"), reps, **source), "sets")
+    links = _links_across(_in_blocks(inside.join(sizes, "cluster").join(sets, "rep"), "cluster", "n", "rep"))
+    comp = components(scratch.save(judged.where("linked").select("a", "b").unionByName(links), "links"), scratch)
+    scratch.drop(sets)
     labelled = reps.join(comp, F.col("rep") == F.col("v"), "left").select("node", "id", F.coalesce("c", "rep").alias("comp"))
     smallest = labelled.groupBy("comp").agg(F.min("id").alias("component_id"))
     named = scratch.save(labelled.join(smallest, "comp").select("node", "comp", "component_id"), "named")
