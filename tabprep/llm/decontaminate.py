@@ -44,14 +44,15 @@ PAD = np.uint64(0)
 _LETTER = np.zeros(256, bool)
 _LETTER[[b for b in range(256) if b >= 0x80 or chr(b).isalnum()]] = True
 _RNG = np.random.default_rng(20240)
-_STEP = _RNG.integers(1, 1 << 63, (64, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)      # odd factors, per repeat and step
+_STEP = _RNG.integers(0, 1 << 31, (64, 256), dtype=np.uint32) * np.uint32(2) + np.uint32(1)      # odd factors, per repeat and step
 
 
 def sampled_steps(repeat: int, size_class: int) -> np.ndarray:
-    """The steps whose words form the key; a walk moves half a word a step."""
+    """The steps whose words form the key.  A walk moves half a word a step, so
+    it is about in the middle of the item; later steps have fewer walks left."""
     least = SIZES[size_class]
     rng = np.random.default_rng(1000 * repeat + size_class)
-    return np.sort(rng.choice(np.arange(least // 2, int(1.4 * least)), SAMPLES, replace=False))
+    return np.sort(rng.choice(np.arange(int(0.9 * least), int(1.3 * least)), SAMPLES, replace=False))
 
 
 def word_symbols(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -59,7 +60,7 @@ def word_symbols(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
     low = LOWER[buf]
     clean = np.where(_LETTER[low], low, np.uint8(32))
     start, end, row = words(clean, off)
-    value = SpanHash(clean)(start, end) | np.uint64(1)                # never PAD
+    value = SpanHash(clean)(start, end) | np.uint64(1)                # never PAD, in its low half either
     n = len(off) - 1
     cut = per_row(row, n) + np.arange(n + 1)
     out = np.zeros(len(value) + n, np.uint64)
@@ -70,36 +71,35 @@ def word_symbols(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
 def walk_keys(symbol: np.ndarray, repeat: int, classes: list[int], starts: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For each size class: (class, first start of each group of starts that
     share a key, their keys); groups are in ascending order of start."""
-    place = np.arange(len(symbol)) if starts is None else starts
+    place = np.arange(len(symbol), dtype=np.int64) if starts is None else starts
     steps = {c: sampled_steps(repeat, c) for c in classes}
-    group: dict[int, np.ndarray] = {}          # class -> walker of each of its groups
     key: dict[int, np.ndarray] = {}
     first: dict[int, np.ndarray] = {}
-    lead = place.copy()                        # smallest start of each walker
+    lead = place                               # smallest start of each walker; ascending, as walks never cross
+    low = symbol.astype(np.uint32)             # decides the moves; PAD is 0 and holds a walk
     for j in range(max((int(s[-1]) for s in steps.values()), default=-1) + 1):
-        here = symbol[place]
-        for c in classes:
-            if j in steps[c]:
-                if c not in group:
-                    group[c], first[c] = np.arange(len(place)), lead.copy()
-                    key[c] = here + np.uint64(64 * repeat + c + 1)
-                else:
-                    key[c] ^= key[c] >> np.uint64(31)
-                    key[c] *= np.uint64(0x9E3779B97F4A7C15)
-                    key[c] += here[group[c]]
-                if j == steps[c][-1]:
-                    yield c, first[c], (key[c] ^ (key[c] >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-                    group.pop(c)
-        move = ((here * _STEP[repeat, j]) >> np.uint64(63)).astype(np.int64)
-        move[here == PAD] = 0                  # the end of a sequence holds the walk
-        place = place + move
-        new = np.ones(len(place), bool)
-        new[1:] = place[1:] != place[:-1]
-        if not new.all():
-            to = np.cumsum(new) - 1
+        due = [c for c in classes if j in steps[c]]
+        if due:
+            here = symbol[place]
+            walker = None
+        for c in due:
+            if c not in key:
+                first[c], key[c] = lead, here + np.uint64(64 * repeat + c + 1)
+            else:
+                if walker is None:             # the walker of every start, by counting leads
+                    at = np.zeros(len(symbol), np.int32)
+                    at[lead] = 1
+                    walker = np.cumsum(at, dtype=np.int32) - 1
+                key[c] ^= key[c] >> np.uint64(31)
+                key[c] *= np.uint64(0x9E3779B97F4A7C15)
+                key[c] += here[walker[first[c]]]
+            if j == steps[c][-1]:
+                yield c, first[c], (key[c] ^ (key[c] >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        place = place + ((low[place] * _STEP[repeat, j]) >> np.uint32(31))
+        if j < 8 or j % 4 == 0:                # walks that met go on as one
+            new = np.ones(len(place), bool)
+            np.not_equal(place[1:], place[:-1], out=new[1:])
             place, lead = place[new], lead[new]
-            for c in group:
-                group[c] = to[group[c]]
 
 
 def edit_distance_inside(item: np.ndarray, region: np.ndarray) -> int:
@@ -221,7 +221,7 @@ def find_matches(documents: DataFrame, items: DataFrame, *, id_col: str = "doc_i
             for r in range(repeats if classes else 0):
                 for c, first, key in walk_keys(symbol, r, classes):
                     hit = np.flatnonzero(bitmap[(key >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)])
-                    last = np.append(first[1:], len(symbol))[hit] - 1
+                    last = np.where(hit + 1 < len(first), first[np.minimum(hit + 1, len(first) - 1)], len(symbol)) - 1
                     size = SIZES[c + 1] if c + 1 < len(SIZES) else longest
                     reach = int(max_share * size) + 1
                     found.append((first[hit] - reach, last + size + reach, key[hit], first[hit]))
