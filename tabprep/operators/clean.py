@@ -13,7 +13,7 @@ from enum import Enum
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import c, numeric_columns, string_columns
+from ..functions.columns import c, is_integral, nan_to_null, numeric_columns, string_columns
 from ..functions.text import (DEFAULT_MISSING_VALUES, normalize_spaces, strip,
                               title_case)
 
@@ -102,6 +102,7 @@ def numeric_fill_values(df: DataFrame, columns: Sequence[str], strategy: FillStr
     """
     if not columns:
         return {}
+    df = nan_to_null(df)
     if strategy == FillStrategy.MODE:
         return _mode_values(df, columns)
     if strategy == FillStrategy.MEDIAN and exact:
@@ -132,18 +133,20 @@ def _median_values(df: DataFrame, columns: Sequence[str]) -> dict[str, float | N
 def _mode_values(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
     """Mode of every column in one pass.
 
-    The columns are unpivoted to (column, value) and counted per pair, so
-    partial aggregation collapses repeats before the shuffle; the winner per
-    column is picked with ``max_by`` on (count desc, value asc) -- no global
-    sort, no per-column job.
+    The columns of one type are unpivoted to (column, value) and counted per
+    pair in that type, so partial aggregation collapses repeats before the
+    shuffle and long integers keep all digits; the winner per column is the
+    smallest (-count, value) -- no global sort, one job per column type.
     """
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("k"), c(name).cast("double").alias("v"))
-        for i, name in enumerate(columns)])).alias("kv")).select("kv.k", "kv.v")
-    counts = long.where(F.col("v").isNotNull()).groupBy("k", "v").agg(F.count("*").alias("n"))
-    best = counts.groupBy("k").agg(
-        F.max_by("v", F.struct(F.col("n"), -F.col("v"))).alias("mode"))
-    found = {r["k"]: r["mode"] for r in best.collect()}  # at most one row per column
+    by_type: dict[str, list[int]] = {}
+    for i, name in enumerate(columns):
+        by_type.setdefault(df.schema[name].dataType.simpleString(), []).append(i)
+    found = {}
+    for own in by_type.values():
+        long = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("k"), c(columns[i]).alias("v")) for i in own])).alias("kv")).select("kv.k", "kv.v")
+        counts = long.where(F.col("v").isNotNull()).groupBy("k", "v").agg(F.count("*").alias("n"))
+        best = counts.groupBy("k").agg(F.min(F.struct((-F.col("n")).alias("n"), "v")).alias("b"))
+        found |= {r["k"]: r["v"] for r in best.select("k", "b.v").collect()}  # at most one row per column
     return {name: found.get(i) for i, name in enumerate(columns)}
 
 
@@ -154,6 +157,7 @@ def clean_numeric_columns(df: DataFrame, columns: Sequence[str] | None = None,
     targets = numeric_columns(df, columns)
     if not targets or strategy == FillStrategy.NONE:
         return df
+    df = nan_to_null(df, targets)
     if strategy == FillStrategy.DROP:
         return df.na.drop("any", subset=targets)
     if strategy == FillStrategy.VALUE and fill_value is None:
@@ -169,22 +173,35 @@ def clean_numeric_columns(df: DataFrame, columns: Sequence[str] | None = None,
 def apply_fills(df: DataFrame, fills: Mapping[str, float | None], as_double: bool = False) -> DataFrame:
     """``coalesce(col, literal)`` per column; a NULL statistic (all-null
     column) leaves the column alone.  Row-local: the fitted ``fills`` can be
-    applied to a streaming DataFrame."""
-    exprs = []
+    applied to a streaming DataFrame.  NaN counts as missing."""
+    df, exprs = nan_to_null(df, list(fills)) if fills else df, []
     for name in df.columns:
         v = fills.get(name)
         if name in fills and v is not None:
-            col = c(name).cast("double") if as_double else c(name)
-            exprs.append(F.coalesce(col, F.lit(v).cast(col_type(df, name, as_double))).alias(name))
+            kind = filled_type(df, name, v, as_double)
+            exprs.append(F.coalesce(c(name).cast(kind), F.lit(v).cast(kind)).alias(name))
         else:
             exprs.append(c(name))
     return df.select(exprs)
 
 
-def col_type(df: DataFrame, name: str, as_double: bool) -> str:
+_INTEGER_BITS = {"tinyint": 8, "smallint": 16, "int": 32, "bigint": 64}
+
+
+def filled_type(df: DataFrame, name: str, value, as_double: bool) -> str:
+    """The column's type, widened where the fill value does not fit: a
+    fraction makes an integer column double, a large integer makes it bigint."""
+    kind = df.schema[name].dataType
     if as_double:
         return "double"
-    return df.schema[name].dataType.simpleString()
+    if is_integral(kind):
+        if value != int(value):
+            return "double"
+        if not -(1 << _INTEGER_BITS[kind.simpleString()] - 1) <= int(value) < 1 << _INTEGER_BITS[kind.simpleString()] - 1:
+            return "bigint" if -(1 << 63) <= int(value) < 1 << 63 else "double"
+    elif kind.simpleString().startswith("decimal") and round(float(value), kind.scale) != float(value):
+        return "double"
+    return kind.simpleString()
 
 
 def drop_na_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

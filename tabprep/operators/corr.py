@@ -1,7 +1,7 @@
 """Pearson correlation, high-correlation pairs and correlation pruning.
 
-All column pairs come from one aggregate (pairwise-complete: each pair uses
-the rows where both values are present).  r = cov / (sd_a sd_b) with
+All column pairs come from one aggregate after one for the means
+(pairwise-complete: each pair uses the rows where both values are present).  r = cov / (sd_a sd_b) with
 ``nullif``, so a constant column yields NULL instead of the ANSI
 divide-by-zero that the built-in ``corr`` raises.  The result is a long
 table (a, b, r) of d^2 rows -- it grows with the column count, not the data.
@@ -15,12 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import c, is_numeric, numeric_columns
+from ..session import save_table
 
-# pairs per aggregate; wider matrices are computed in several passes
-_PAIRS_PER_PASS = 2000
 
 
 def _pair_r(a: str, b: str) -> Column:
+    """r over the rows where both values are present."""
     both = c(a).isNotNull() & c(b).isNotNull()
     xa = F.when(both, c(a).cast("double"))
     xb = F.when(both, c(b).cast("double"))
@@ -28,30 +28,41 @@ def _pair_r(a: str, b: str) -> Column:
     return F.covar_samp(xa, xb) / F.nullif(den, F.lit(0.0))
 
 
+def _all_pairs(df: DataFrame, names: Sequence[str], pairs: Sequence[tuple[int, int]]) -> DataFrame:
+    """One row with the r of every pair, as columns _0, _1, ...
+
+    A first aggregate gives count, mean and range of each column.  Between two
+    columns without missing values one sum per pair suffices, of products of
+    values taken from the means; sums of squares are shared by all pairs.
+    """
+    stats = df.agg(F.count(F.lit(1)).alias("n"), *[f(c(n)).alias(f"{k}{i}") for i, n in enumerate(names) for k, f in (
+        ("c", F.count), ("m", lambda x: F.avg(x.cast("double"))), ("l", F.min), ("h", F.max))]).first()
+    full = [stats[f"c{i}"] == stats["n"] and stats["n"] > 1 for i in range(len(names))]
+    flat = [stats[f"l{i}"] == stats[f"h{i}"] for i in range(len(names))]
+    x = [c(n).cast("double") - F.lit(float(stats[f"m{i}"] or 0.0)) for i, n in enumerate(names)]
+
+    def r(i: int, j: int) -> Column:
+        if flat[i] or flat[j]:
+            return F.lit(None).cast("double")
+        if not (full[i] and full[j]):
+            return _pair_r(names[i], names[j])
+        if i == j:
+            return F.lit(1.0)
+        return F.sum(x[i] * x[j]) / F.nullif(F.sqrt(F.sum(x[i] * x[i]) * F.sum(x[j] * x[j])), F.lit(0.0))
+
+    return df.agg(F.count(F.lit(1)).alias("_n"), *[r(i, j).alias(f"_{k}") for k, (i, j) in enumerate(pairs)])
+
+
 def corr_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Long correlation matrix: (col_a, col_b, idx_a, idx_b, r) for every
     ordered pair, diagonal included (1.0, or NULL for a constant column)."""
     names = numeric_columns(df, columns)
-    spark = df.sparkSession
     if not names:
-        return spark.createDataFrame([], "col_a string, col_b string, idx_a int, idx_b int, r double")
+        return df.sparkSession.createDataFrame([], "col_a string, col_b string, idx_a int, idx_b int, r double")
     pairs = [(i, j) for j in range(len(names)) for i in range(j + 1)]
-    parts = []
-    for start in range(0, len(pairs), _PAIRS_PER_PASS):
-        chunk = pairs[start:start + _PAIRS_PER_PASS]
-        row = df.agg(*[_pair_r(names[i], names[j]).alias(f"_{k}") for k, (i, j) in enumerate(chunk)])
-        long = row.unpivot([], [f"_{k}" for k in range(len(chunk))], "_k", "r")
-        meta = spark.createDataFrame([(f"_{k}", names[i], names[j], i, j) for k, (i, j) in enumerate(chunk)],
-                                     "_k string, col_a string, col_b string, idx_a int, idx_b int")
-        # meta has one row per pair of this pass (bounded by _PAIRS_PER_PASS)
-        parts.append(long.join(F.broadcast(meta), "_k").drop("_k"))
-    upper = parts[0]
-    for p in parts[1:]:
-        upper = upper.unionByName(p)
-    lower = upper.where(F.col("idx_a") != F.col("idx_b")).select(
-        F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"),
-        F.col("idx_b").alias("idx_a"), F.col("idx_a").alias("idx_b"), "r")
-    return upper.select("col_a", "col_b", "idx_a", "idx_b", "r").unionByName(lower)
+    cell = lambda i, j, k: F.struct(F.lit(names[i]).alias("col_a"), F.lit(names[j]).alias("col_b"), F.lit(i).alias("idx_a"), F.lit(j).alias("idx_b"), F.col(f"_{k}").alias("r"))
+    cells = [x for k, (i, j) in enumerate(pairs) for x in ([cell(i, j, k)] if i == j else [cell(i, j, k), cell(j, i, k)])]
+    return _all_pairs(df, names, pairs).select(F.explode(F.array(*cells)).alias("x")).select("x.*")
 
 
 def corr_lower_triangle(matrix: DataFrame) -> DataFrame:
@@ -100,10 +111,8 @@ def features_to_drop(df: DataFrame, target_col: str, threshold: float = 0.7) ->
         raise TypeError(f"target column {target_col!r} must be numeric")
     feats = [n for n in numeric_columns(df) if n != target_col]
     # one aggregate for the feature pairs and the target column together;
-    # the d^2-row result is read twice, so it is checkpointed (it is tiny)
-    from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    matrix = corr_matrix(df, feats + [target_col]).checkpoint()
+    # the d^2-row result is read twice, so it is written once (it is tiny)
+    matrix = save_table(corr_matrix(df, feats + [target_col]), "correlations")
     fm = matrix.where(F.col("col_a").isin(feats) & F.col("col_b").isin(feats))
     pairs = high_corr_pairs(df, threshold, matrix=fm)
     # |corr| to the target, rounded to 12 decimals so that exact duplicates

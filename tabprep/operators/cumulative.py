@@ -2,14 +2,18 @@
 
 A plain ``sum().over(Window.orderBy(k))`` moves every row into one task, and
 ``Window.partitionBy(g)`` does the same for each group, so a group holding a
-third of the table becomes a third of the table in one task.  Here a large
-group is cut into value ranges (bounds from the bounded-memory
-``percentile_approx`` sketch), each range is summed, the range totals get
-prefix offsets (a table of at most ``max_buckets`` rows per group), and the
+third of the table becomes a third of the table in one task.  Here the rows
+are dealt into ranges of (group, key) by ``repartitionByRange``, about
+``rows_per_bucket`` rows each; every range is summed, the sums get prefix
+offsets per group (a table of one row per range and group in it), and the
 window runs inside each range only.  The result is identical to the plain
-window when the order key is unique within a group.
+window when the order key is unique within a group; NULL groups are groups
+like others, and sums keep their column's type.
 
-Groups at or below ``rows_per_bucket`` rows are not cut at all.
+There is one path for every size.  Two tables are written to the session's
+shared folder: the input (it is counted, dealt and read without computing it
+again) and the dealt rows (a range must hold the same rows each time it is
+read).
 """
 
 from __future__ import annotations
@@ -20,126 +24,42 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import c
+from ..session import save_table
 
-ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 1024
-# the bounds table is broadcast only while it is provably this small
-_BROADCAST_BOUND_ROWS = 50_000
+ROWS_PER_BUCKET = 100_000
 
 
-def _grid(max_buckets: int) -> list[float]:
-    return [i / max_buckets for i in range(1, max_buckets)]
-
-
-def _bucket_of(bounds: Column, key: Column) -> Column:
-    """Index of the value range holding ``key``: the number of bounds <= key."""
-    return F.when(bounds.isNull(), F.lit(0)).otherwise(
-        F.size(F.filter(bounds, lambda b: b <= key)))
-
-
-def _thin(bounds: Column, n: Column, rows_per_bucket: int, max_buckets: int) -> Column:
-    """Keep about ``n / rows_per_bucket`` of the ``max_buckets - 1`` grid bounds."""
-    want = F.least(F.lit(max_buckets), F.ceil(n / F.lit(rows_per_bucket)))
-    step = F.greatest(F.lit(1), F.floor(F.lit(max_buckets) / want))
-    return F.array_distinct(F.filter(bounds, lambda b, i: ((i + 1) % step) == 0))
+def _order(col: str, descending: bool) -> Column:
+    return c(col).desc() if descending else c(col).asc()
 
 
 def running_totals(df: DataFrame, order_col: str, sum_cols: Sequence[str],
                    partition_cols: Sequence[str] = (), descending: bool = False,
-                   rows_per_bucket: int = ROWS_PER_BUCKET,
-                   max_buckets: int = MAX_BUCKETS) -> DataFrame:
+                   rows_per_bucket: int | None = None) -> DataFrame:
     """Add ``cum_<c>`` (inclusive running sum in key order within the
     partition) and ``tot_<c>`` (partition total) for each ``c`` in
     ``sum_cols``.  ``order_col`` must be unique within a partition (callers
     aggregate by it first)."""
-    if partition_cols:
-        return _grouped(df, order_col, list(sum_cols), list(partition_cols), descending,
-                        rows_per_bucket, max_buckets)
-    return _global(df, order_col, list(sum_cols), descending, rows_per_bucket, max_buckets)
-
-
-def _order(col: str, descending: bool) -> Column:
-    return c(col).desc() if descending else c(col).asc()
-
-
-def _global(df, order_col, sum_cols, descending, rows_per_bucket, max_buckets):
-    key = c(order_col)
-    stats = df.agg(F.count(F.lit(1)).alias("n"),
-                   *[F.sum(c(s)).alias(f"t{i}") for i, s in enumerate(sum_cols)]).first()
-    n = stats["n"]
-    totals = [stats[f"t{i}"] or 0 for i in range(len(sum_cols))]
-    if n > rows_per_bucket:
-        want = min(max_buckets, -(-n // rows_per_bucket))
-        grid = [i / want for i in range(1, want)]
-        q = df.select(F.percentile_approx(key, grid, 10 * max_buckets).alias("q")).first()["q"]
-        bounds = sorted(set(q))  # at most max_buckets - 1 values
-        tagged = df.withColumn("_b", F.size(F.filter(F.array(*[F.lit(b) for b in bounds]),
-                                                    lambda b: b <= key)))
-        # totals per range: at most max_buckets rows reach the driver
-        per = {r["_b"]: [r[f"s{i}"] or 0 for i in range(len(sum_cols))]
-               for r in tagged.groupBy("_b").agg(
-                   *[F.sum(c(s)).alias(f"s{i}") for i, s in enumerate(sum_cols)]).collect()}
-        order = sorted(per, reverse=descending)
-        offsets, acc = {}, [0] * len(sum_cols)
-        for b in order:
-            offsets[b] = list(acc)
-            acc = [a + x for a, x in zip(acc, per[b])]
-        # counts pass 2^31 at scale: every literal is a long
-        off_cols = [F.coalesce(F.element_at(F.create_map(*[x for b in order for x in
-                                                           (F.lit(b), F.lit(offsets[b][i]).cast("long"))]),
-                                            F.col("_b")), F.lit(0).cast("long"))
-                    for i in range(len(sum_cols))]
-    else:
-        # at most rows_per_bucket rows: a single window partition is bounded
-        tagged = df.withColumn("_b", F.lit(0))
-        off_cols = [F.lit(0).cast("long") for _ in sum_cols]
-    w = (Window.partitionBy("_b").orderBy(_order(order_col, descending))
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = tagged.select(*[c(x) for x in df.columns],
-                        *[(off_cols[i] + F.sum(c(s)).over(w)).alias(f"cum_{s}")
-                          for i, s in enumerate(sum_cols)],
-                        *[F.lit(totals[i]).cast("long" if isinstance(totals[i], int) else "double")
-                          .alias(f"tot_{s}") for i, s in enumerate(sum_cols)])
-    return out
-
-
-def _grouped(df, order_col, sum_cols, part, descending, rows_per_bucket, max_buckets):
-    key = c(order_col)
-    stats = df.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
-    big = stats.where(F.col("_n") > rows_per_bucket)
-    n_big = big.count()  # groups above rows_per_bucket: at most rows / rows_per_bucket
-    if n_big:
-        bounds = (df.join(F.broadcast(big) if n_big <= _BROADCAST_BOUND_ROWS else big, part)
-                  .groupBy(*part)
-                  .agg(F.first("_n").alias("_n"),
-                       F.percentile_approx(key, _grid(max_buckets), 10 * max_buckets).alias("_q"))
-                  .select(*part, _thin(F.col("_q"), F.col("_n"), rows_per_bucket,
-                                       max_buckets).alias("_q")))
-        if n_big <= _BROADCAST_BOUND_ROWS:
-            bounds = F.broadcast(bounds)  # n_big rows of <= max_buckets doubles
-        tagged = df.join(bounds, part, "left").withColumn("_b", _bucket_of(F.col("_q"), key)).drop("_q")
-    else:
-        # every group has at most rows_per_bucket rows: one window partition
-        # per group is already bounded, no range offsets needed
-        w = (Window.partitionBy(*part).orderBy(_order(order_col, descending))
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        whole = Window.partitionBy(*part)
-        return df.select(*[c(x) for x in df.columns],
-                         *[F.sum(c(s)).over(w).alias(f"cum_{s}") for s in sum_cols],
-                         *[F.sum(c(s)).over(whole).alias(f"tot_{s}") for s in sum_cols])
-    sums = [F.sum(c(s)).alias(f"_bt{i}") for i, s in enumerate(sum_cols)]
-    per_bucket = tagged.groupBy(*part, "_b").agg(*sums)
-    prev = Window.partitionBy(*part).orderBy(_order("_b", descending)).rowsBetween(
-        Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*part)
-    offsets = per_bucket.select(
-        *part, "_b",
-        *[F.coalesce(F.sum(f"_bt{i}").over(prev), F.lit(0)).alias(f"_off{i}") for i in range(len(sum_cols))],
-        *[F.sum(f"_bt{i}").over(whole).alias(f"tot_{s}") for i, s in enumerate(sum_cols)])
-    joined = tagged.join(offsets, part + ["_b"])
-    w = (Window.partitionBy(*part, "_b").orderBy(_order(order_col, descending))
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return joined.select(*[c(x) for x in df.columns],
-                         *[(F.col(f"_off{i}") + F.sum(c(s)).over(w)).alias(f"cum_{s}")
-                           for i, s in enumerate(sum_cols)],
-                         *[c(f"tot_{s}") for s in sum_cols])
+    part, sums, names = list(partition_cols), list(sum_cols), df.columns
+    size = rows_per_bucket or ROWS_PER_BUCKET
+    base = save_table(df, "running-totals")
+    ranges = max(1, -(-base.count() // size))
+    dealt = base.repartitionByRange(ranges, *[c(p) for p in part], c(order_col))
+    dealt = save_table(dealt.withColumn("_b", F.spark_partition_id()), "running-totals")
+    per = dealt.groupBy(*[c(p).alias(f"_k{i}") for i, p in enumerate(part)], F.col("_b").alias("_bb")).agg(
+        *[F.sum(c(s)).alias(f"_s{i}") for i, s in enumerate(sums)])
+    keys = [f"_k{i}" for i in range(len(part))]
+    earlier = Window.partitionBy(*keys).orderBy(_order("_bb", descending)).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys)
+    offsets = per.select(*keys, "_bb", *[F.sum(f"_s{i}").over(earlier).alias(f"_off{i}") for i in range(len(sums))],
+                         *[F.sum(f"_s{i}").over(whole).alias(f"_tot{i}") for i in range(len(sums))])
+    same = F.col("_b") == F.col("_bb")
+    for i, p in enumerate(part):
+        same = same & c(p).eqNullSafe(F.col(f"_k{i}"))
+    joined = dealt.join(offsets, same)
+    inside = (Window.partitionBy(*[c(p) for p in part], "_b").orderBy(_order(order_col, descending))
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return joined.select(
+        *[c(n) for n in names],
+        *[(F.coalesce(F.col(f"_off{i}"), F.lit(0)) + F.sum(c(s)).over(inside)).alias(f"cum_{s}") for i, s in enumerate(sums)],
+        *[F.col(f"_tot{i}").alias(f"tot_{s}") for i, s in enumerate(sums)])

@@ -14,19 +14,20 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import c
 from ..functions.distributions import f_sf_udf
 from ..functions.numeric import safe_div
+from ..session import save_table
 from .cumulative import running_totals
 
 PERCENTILES = (0.25, 0.5, 0.75, 0.9, 0.95)
 
 _AGGS = {
     "count": lambda x: F.count(x),
-    "sum": lambda x: F.sum(x),
+    "sum": lambda x: F.coalesce(F.sum(x), F.lit(0)),  # a group without values sums to 0
     "mean": lambda x: F.avg(x),
     "std": lambda x: F.stddev_samp(x),
     "var": lambda x: F.var_samp(x),
@@ -205,20 +206,19 @@ def anova_oneway(df: DataFrame, group_col: str, value_col: str, alpha: float = 0
     """One-way ANOVA across all groups: one row with the F statistic, its
     degrees of freedom, the p-value and ``significant = p < alpha``.
 
-    Pass 1 (distributed): n, mean, sample variance per group.  Pass 2 (one
-    row per group): SSB = sum n (m - M)^2, SSW = sum (n - 1) v.
+    One ``rollup`` pass gives count, mean and variance of every group and of
+    all rows; that table (one row per group) is written once and read for the
+    grand mean M and for SSB = sum n_g (m_g - M)^2, SSW = sum (n_g - 1) v_g.
     """
     x = c(value_col).cast("double")
-    per = (_keyed(df, group_col).where(x.isNotNull()).groupBy(c(group_col))
-           .agg(F.count(x).alias("n"), F.avg(x).alias("m"), F.var_samp(x).alias("v"),
-                F.sum(x).alias("s")))
-    # the per-group table has one row per group; the grand mean is a window
-    # over it, so no second scan of the data and no join
-    groups = Window.partitionBy()
-    grand = per.withColumn("grand_mean", F.sum("s").over(groups) / F.sum("n").over(groups))
-    sums = grand.agg(F.sum("n").alias("n_total"), F.count(F.lit(1)).alias("n_groups"),
-                     F.sum(F.col("n") * (F.col("m") - F.col("grand_mean")) ** 2).alias("ss_between"),
-                     F.sum(F.coalesce((F.col("n") - 1) * F.col("v"), F.lit(0.0))).alias("ss_within"))
+    r = (_keyed(df, group_col).where(x.isNotNull()).rollup(c(group_col).alias("_g"))
+         .agg(F.grouping_id().alias("_gid"), F.count(x).alias("n"), F.avg(x).alias("m"), F.var_samp(x).alias("v")))
+    r = save_table(r, "anova")
+    grand = r.where("_gid = 1").select("m").first()
+    mean = F.lit(float(grand["m"]) if grand and grand["m"] is not None else 0.0)
+    sums = r.where("_gid = 0").agg(F.sum("n").alias("n_total"), F.count(F.lit(1)).alias("n_groups"),
+                                   F.sum(F.col("n") * (F.col("m") - mean) ** 2).alias("ss_between"),
+                                   F.sum(F.coalesce((F.col("n") - 1) * F.col("v"), F.lit(0.0))).alias("ss_within"))
     d1 = (F.col("n_groups") - 1).cast("double")
     d2 = (F.col("n_total") - F.col("n_groups")).cast("double")
     f_stat = safe_div(safe_div(F.col("ss_between"), d1), safe_div(F.col("ss_within"), d2))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import c, integral_columns, string_columns
 from ..functions.numeric import safe_div
 from ..functions.text import DEFAULT_MISSING_VALUES, strip
+from ..session import save_table
 
 # spread each column's distinct values over this many buckets before ranking
 _TOPK_SALT = 1024
@@ -187,24 +188,24 @@ def half_open_range(df: DataFrame, key_col: str, from_val=None, to_val=None) ->
     return df.where(cond)
 
 
-def crosstab(df: DataFrame, col1: str, col2: str, from_val=None, to_val=None) -> DataFrame:
-    """Contingency counts in long form (col1, col2, count), 0 for absent
-    combinations, NULL keys dropped, optional half-open range on col1.
+def crosstab(df: DataFrame, col1: str, col2: str, from_val=None, to_val=None, dense: bool = False) -> DataFrame:
+    """Contingency counts in long form (col1, col2, count), NULL keys dropped,
+    optional half-open range on col1; both columns keep their types.
 
-    Dense output comes from ``pivot`` (Spark gathers col2's distinct values,
-    capped by ``spark.sql.pivotMaxValues``) and ``unpivot`` -- no cross
-    product of the two value sets.
+    ``dense=True`` adds a row with 0 for each absent combination, as the
+    matrix form has: every col1 value with the list of col2 values.  That
+    output has as many rows as the product, so ask for it only where col2 is
+    a category.
     """
     keyed = half_open_range(df, col1, from_val, to_val).where(
-        c(col1).isNotNull() & c(col2).isNotNull())
-    wide = crosstab_wide(keyed, col1, col2)
-    values = [n for n in wide.columns if n != col1]
-    if not values:
-        return df.sparkSession.createDataFrame(
-            [], f"`{col1}` {df.schema[col1].dataType.simpleString()}, "
-                f"`{col2}` string, count long")
-    long = wide.unpivot([c(col1)], [c(v) for v in values], col2, "count")
-    return long.select(c(col1), c(col2), F.col("count").cast("long").alias("count"))
+        c(col1).isNotNull() & c(col2).isNotNull()).select(c(col1).alias("_r"), c(col2).alias("_c"))
+    counts = keyed.groupBy("_r", "_c").agg(F.count(F.lit(1)).alias("count"))
+    if dense:
+        counts = save_table(counts, "crosstab")
+        all_c = counts.agg(F.collect_set("_c").alias("_all")).withColumn("_one", F.lit(1))
+        zeros = counts.select("_r", F.lit(1).alias("_one")).distinct().join(F.broadcast(all_c), "_one").select("_r", F.explode("_all").alias("_c"))
+        counts = counts.unionByName(zeros.withColumn("count", F.lit(0).cast("long"))).groupBy("_r", "_c").agg(F.sum("count").alias("count"))
+    return counts.select(F.col("_r").alias(col1), F.col("_c").alias(col2), "count")
 
 
 def crosstab_wide(df: DataFrame, col1: str, col2: str) -> DataFrame:

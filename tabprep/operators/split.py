@@ -29,10 +29,14 @@ from ..functions.columns import c
 
 _BUCKET_HEX = 4  # 16 bits of the md5 prefix -> 65,536 buckets per class
 _ALL = "__all__"
+_BROADCAST_CLASSES = 16  # times 65,536 buckets: about a million short rows
 
 
-def order_key(key_col: str, seed: int) -> Column:
-    return F.md5(F.concat(c(key_col).cast("string"), F.lit(f":{seed}")))
+def order_key(key_col: str, seed: int, row: Sequence[str] = ()) -> Column:
+    """md5 of the key and the seed.  A row with a NULL key is placed by a hash
+    of its other columns, so it takes part in the split like any row."""
+    key = F.coalesce(c(key_col).cast("string"), F.concat(F.lit("null:"), F.xxhash64(*[c(n) for n in row]).cast("string")) if row else F.lit("null:"))
+    return F.md5(F.concat(key, F.lit(f":{seed}")))
 
 
 def largest_remainder(counts: Mapping, total: int) -> dict:
@@ -66,7 +70,7 @@ def quota_assign(df: DataFrame, key_col: str, cls: Column, quotas: Mapping, name
     get ``names[1]``, ...; the remaining rows get ``rest``.  Whole md5-prefix
     buckets are labelled directly; only buckets straddling a cut are ranked
     row by row."""
-    h = order_key(key_col, seed)
+    h = order_key(key_col, seed, [n for n in df.columns if n != key_col])
     tagged = df.select("*", cls.alias("_cls"), h.alias("_h"),
                        F.conv(F.substring(h, 1, _BUCKET_HEX), 16, 10).cast("int").alias("_bk"))
     per_bucket = tagged.groupBy("_cls", "_bk").agg(F.count(F.lit(1)).alias("_n"))
@@ -82,8 +86,8 @@ def quota_assign(df: DataFrame, key_col: str, cls: Column, quotas: Mapping, name
     straddles = F.exists(cuts, lambda x: (F.col("_start") < x) & (end > x))
     starts = starts.select("_cls", "_bk", "_start", F.coalesce(straddles, F.lit(False)).alias("_edge"),
                            cuts.alias("_cuts"))
-    # classes x 65,536 rows at most: small enough to broadcast
-    joined = tagged.join(F.broadcast(starts), ["_cls", "_bk"])
+    # one row per class and bucket: broadcast for few classes, else a shuffle join
+    joined = tagged.join(F.broadcast(starts) if len(quotas) <= _BROADCAST_CLASSES else starts, ["_cls", "_bk"])
 
     def label(rank: Column) -> Column:
         out = F.lit(rest)
@@ -110,7 +114,10 @@ def stratified_split(df: DataFrame, key_col: str, label_col: str | None, test_si
     if not 0 <= test_size < 1 or not 0 <= val_size < 1:
         raise ValueError("test_size and val_size must be in [0, 1)")
     cls = c(label_col) if label_col else F.lit(_ALL)
-    quotas = split_quotas(class_totals(df, cls), test_size, val_size)
+    totals = class_totals(df, cls)
+    if None in totals:
+        raise ValueError(f"label column {label_col!r} has {totals[None]} NULL rows; fill or drop them before a stratified split")
+    quotas = split_quotas(totals, test_size, val_size)
     return quota_assign(df, key_col, cls, {k: list(v) for k, v in quotas.items()}, ["test", "val"],
                         "train", seed, split_col)
 

@@ -343,7 +343,7 @@ with k1 as (select distinct purpose from loans where purpose is not null and inq
 k2 as (select distinct inq_last_6mths from loans where purpose is not null and inq_last_6mths is not null),
 n as (select purpose, inq_last_6mths, count(*) as c from loans
       where purpose is not null and inq_last_6mths is not null group by all)
-select k1.purpose, cast(k2.inq_last_6mths as varchar) as inq_last_6mths, cast(coalesce(n.c, 0) as bigint) as count
+select k1.purpose, k2.inq_last_6mths, cast(coalesce(n.c, 0) as bigint) as count
 from k1, k2 left join n on n.purpose = k1.purpose and n.inq_last_6mths = k2.inq_last_6mths""", "loans")
 ORACLE["crosstab_range"] = wv("""
 with f as (select * from loans where inq_last_6mths > 2 and inq_last_6mths <= 6
@@ -713,3 +713,50 @@ with long as (select 'event_type' as col, event_type as value, event_id from eve
 per as (select col, value, min(event_id) as f from long group by col, value)
 select col as "column", cast(row_number() over (partition by col order by f) as bigint) as position, value
 from per"""
+
+
+# ---------------------------------------------------------------- missing values, wide fills, histories
+_GAPS = """gaps as (select o_orderkey, o_orderpriority,
+  case when o_orderkey % 3 = 1 then 9007199254740993 when o_orderkey % 3 = 2 then o_custkey end as big,
+  case when o_orderkey % 4 <> 0 then cast(o_orderkey % 7 as int) end as small,
+  case when o_orderkey % 5 <> 0 and o_orderpriority <> '5-LOW' then o_totalprice end as price from orders)"""
+ORACLE["fill_mode_bigint"] = f"""
+with {_GAPS}, m as (select big from gaps where big is not null group by big order by count(*) desc, big limit 1)
+select o_orderkey, coalesce(gaps.big, m.big) as big from gaps, m"""
+ORACLE["fill_value_widen"] = f"with {_GAPS} select o_orderkey, coalesce(cast(small as double), 0.5) as small from gaps"
+ORACLE["fill_mean_nan"] = f"""
+with {_GAPS}, m as (select avg(price) as a from gaps) select o_orderkey, round(coalesce(price, a), 4) as price from gaps, m"""
+ORACLE["group_agg_multi_null_group"] = f"""
+with {_GAPS}, g as (select o_orderpriority, case when o_orderpriority <> '1-URGENT' then price end as price from gaps)
+select o_orderpriority, round(coalesce(sum(price), 0.0), 2) as price_sum, cast(count(price) as double) as price_count, round(max(price), 2) as price_max
+from g where o_orderpriority is not null group by o_orderpriority"""
+ORACLE["metric_history"] = wv("""
+with r as (select id % 6 + 1 as round, id % 5 < 2 as v, score as s, label as y from scored),
+k as (select round, v, cast(count(*) filter (where y = 1 and s >= 0.5) as double) as tp, cast(count(*) filter (where y = 0 and s >= 0.5) as double) as fp,
+             cast(count(*) filter (where y = 1) as double) as p, cast(count(*) filter (where y = 0) as double) as n from r group by all),
+a as (select x.round, x.v, sum(case when x.s > z.s then 1.0 when x.s = z.s then 0.5 else 0 end * x.c * z.c) as below
+      from (select round, v, s, count(*) as c from r where y = 1 group by all) x join (select round, v, s, count(*) as c from r where y = 0 group by all) z
+        on x.round = z.round and x.v = z.v group by all),
+m as (select k.round, k.v, (tp + n - fp) / nullif(p + n, 0) as accuracy, tp / nullif(tp + fp, 0) as precision, tp / nullif(p, 0) as recall,
+             2 * tp / nullif(tp + fp + p, 0) as f1, below / nullif(p * n, 0) as auc from k left join a on a.round = k.round and a.v = k.v),
+u as (unpivot m on accuracy, precision, recall, f1, auc into name metric value value)
+select round, case when v then 'val_' || metric else metric end as metric, round(value, 6) as value from u where value is not null""", "scored")
+ORACLE["early_stop_rounds"] = """
+with h as (select event_type as run, event_id % 60 + 1 as round, round(avg(value), 6) as v from events group by all),
+b as (select *, max(v) over (partition by run order by round rows between unbounded preceding and 1 preceding) as before, row_number() over (partition by run order by round) as k from h),
+u as (select *, v is not null and (before is null or v > before) as up from b),
+l as (select *, coalesce(max(case when up then k end) over (partition by run order by round rows between unbounded preceding and current row), 0) as last from u),
+o as (select *, k - last >= 5 as over from l),
+s as (select *, coalesce(max(cast(over as int)) over (partition by run order by round rows between unbounded preceding and 1 preceding), 0) as gone from o)
+select run, max(case when up then round end) as best_round, max(case when up then v end) as best_value, max(round) as stop_round, bool_or(over) as stopped
+from s where gone = 0 group by run"""
+ORACLE["anova_oneway"] = """
+with per as (select event_type, count(value) as n, avg(value) as m, var_samp(value) as v, sum(value) as s
+             from events where event_type is not null and value is not null group by event_type),
+g as (select sum(s) / sum(n) as mm from per),
+t as (select count(*) as n_groups, sum(n) as n_total, sum(n * (m - mm) * (m - mm)) as ss_between, sum(coalesce((n - 1) * v, 0)) as ss_within from per, g),
+f as (select *, (ss_between / (n_groups - 1)) / (ss_within / (n_total - n_groups)) as f, (n_total - n_groups) / 2.0 as a from t),
+x as (select *, (2 * a) / (2 * a + 4 * f) as x from f),
+p as (select *, pow(x, a) * (1 + a * (1 - x)) as p from x)
+select cast(n_groups as bigint) as n_groups, cast(n_total as bigint) as n_total, round(ss_between, 6) as ss_between, round(ss_within, 6) as ss_within,
+       cast(n_groups - 1 as double) as df_between, cast(n_total - n_groups as double) as df_within, round(f, 6) as f_stat, round(p, 6) as p_value, p < 0.05 as significant from p"""

@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import c
-from ..operators import (clean, corr, encode, features, groups, hist, imbalance, metrics, neighbors,
+from ..functions.columns import c, nan_to_null
+from ..operators import (clean, corr, encode, features, groups, hist, history, imbalance, metrics, neighbors,
                          outliers, profile, resample, scale, split)
 from ..functions import convert
 from ..operators import train as T_
@@ -292,11 +292,11 @@ def q_value_counts_pct(spark, sf):
 
 
 def q_crosstab(spark, sf):
-    return profile.crosstab(fx.loans(spark, sf), "purpose", "inq_last_6mths")
+    return profile.crosstab(fx.loans(spark, sf), "purpose", "inq_last_6mths", dense=True)
 
 
 def q_crosstab_range(spark, sf):
-    return profile.crosstab(fx.loans(spark, sf), "inq_last_6mths", "purpose", 2, 6)
+    return profile.crosstab(fx.loans(spark, sf), "inq_last_6mths", "purpose", 2, 6, dense=True)
 
 
 def q_crosstab_total(spark, sf):
@@ -623,6 +623,58 @@ def q_streaming_clean(spark, sf):
     return finish(S_.run_available(prep.apply(stream), "append"))
 
 
+# ---------------------------------------------------------------- missing values, wide fills, histories
+def _gaps(spark, sf):
+    """Orders with gaps: a bigint beyond 2^53, an int, a double with NaN."""
+    k = F.col("o_orderkey")
+    return _t(spark, sf, "orders").select(
+        "o_orderkey", "o_orderpriority",
+        F.when(k % 3 == 1, F.lit(9007199254740993)).when(k % 3 == 2, F.col("o_custkey")).alias("big"),
+        F.when(k % 4 != 0, (k % 7).cast("int")).alias("small"),
+        F.when(k % 5 == 0, F.lit(float("nan"))).when(F.col("o_orderpriority") != "5-LOW", F.col("o_totalprice")).alias("price"))
+
+
+def q_fill_mode_bigint(spark, sf):
+    return clean.clean_numeric_columns(_gaps(spark, sf), ["big"], FillStrategy.MODE).select("o_orderkey", "big")
+
+
+def q_fill_value_widen(spark, sf):
+    return finish(clean.clean_numeric_columns(_gaps(spark, sf), ["small"], FillStrategy.VALUE, 0.5).select("o_orderkey", "small"))
+
+
+def q_fill_mean_nan(spark, sf):
+    return finish(clean.clean_numeric_columns(_gaps(spark, sf), ["price"], FillStrategy.MEAN).select("o_orderkey", "price"), 4)
+
+
+def q_group_agg_multi_null_group(spark, sf):
+    d = nan_to_null(_gaps(spark, sf)).withColumn("price", F.when(F.col("o_orderpriority") != "1-URGENT", F.col("price")))
+    return finish(groups.group_agg_multi(d, "o_orderpriority", {"price": ["sum", "count", "max"]}, total=False))
+
+
+def _rounds(spark, sf):
+    """Each scored row in one of six rounds; odd ids are validation rows."""
+    return fx.scored(spark, sf).select("id", "label", "score", (F.col("id") % 6 + 1).alias("round"), (F.col("id") % 5 < 2).alias("is_val"))
+
+
+def q_metric_history(spark, sf):
+    return finish(history.metric_history(_rounds(spark, sf), "label", "score", "round", "is_val"))
+
+
+def q_early_stop_rounds(spark, sf):
+    """Daily mean values per event type as a monitored series."""
+    e = _t(spark, sf, "events").groupBy(F.col("event_type").alias("run"), (F.col("event_id") % 60 + 1).alias("round")).agg(F.round(F.avg("value"), 6).alias("value"))
+    return finish(history.early_stop(e.withColumn("metric", F.lit("val_f1")), "val_f1", "max", 5, run_cols=["run"]))
+
+
+QUERIES.update({
+    "fill_mode_bigint": q_fill_mode_bigint,
+    "fill_value_widen": q_fill_value_widen,
+    "fill_mean_nan": q_fill_mean_nan,
+    "group_agg_multi_null_group": q_group_agg_multi_null_group,
+    "metric_history": q_metric_history,
+    "early_stop_rounds": q_early_stop_rounds,
+})
+
 QUERIES.update({
     "streaming_confusion_counts": q_streaming_confusion,
     "streaming_clean": q_streaming_clean,
@@ -639,7 +691,7 @@ def q_anova_for_column(spark, sf):
 def q_convert_recipes(spark, sf):
     o = _t(spark, sf, "orders")
     return o.select("o_orderkey",
-                    convert.to_numeric(F.substring("o_orderpriority", 1, 1)).alias("priority_num"),
+                    convert.to_numeric(F.regexp_replace("o_orderpriority", "[^0-9]", "")).alias("priority_num"),
                     convert.to_numeric(F.col("o_orderpriority")).alias("priority_bad"),
                     convert.to_datetime(F.col("o_orderdate").cast("string")).cast("string").alias("order_ts"),
                     convert.sentinel_to_null(F.col("o_custkey") % 10, [0, 9]).cast("double").alias("cust_digit"))

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session we build gets.  AQE re-plans joins and coalesces
 # shuffle partitions at runtime; skew join splits hot partitions.
@@ -26,7 +27,7 @@ _DEFAULT_CONF = {
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app_name: str = "tabprep") -> SparkSession:
+                  app_name: str = "tabprep", checkpoint_dir: str | None = None) -> SparkSession:
     """A local session for tests and benchmarks.  Python workers inherit the
     package through ``PYTHONPATH``; on a cluster ship it with
     ``spark-submit --py-files`` instead."""
@@ -37,7 +38,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app_name)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", os.environ.get("TABPREP_DRIVER_MEMORY", "8g"))
-               .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tabprep-ckpt-", dir="/tmp")))
+               .config("spark.checkpoint.dir", checkpoint_dir or tempfile.mkdtemp(prefix="tabprep-ckpt-", dir="/tmp")))
     for k, v in _DEFAULT_CONF.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -50,8 +51,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint directory.
 
     The cluster names a shared folder in ``spark.checkpoint.dir``; that one is
-    always used.  Only when it is unset (local tests) is a scratch folder
-    created, once per session.
+    always used.  Only where it is unset and the master is local is a scratch
+    folder created, once per session; elsewhere that is an error, because
+    executors do not see one another's local folders.
     """
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
@@ -59,7 +61,33 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current.get()
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # unset: only happens on a local test session
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tabprep-ckpt-", dir="/tmp")
     sc.setCheckpointDir(configured)
     return configured
+
+
+def save_table(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder as Parquet and read it back: cuts the
+    lineage, keeps columns columnar, and lets several readers share one
+    computation.  ``drop_tables`` removes what a session has written."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_written: dict[str, list[str]] = {}
+
+
+def drop_tables(spark: SparkSession) -> int:
+    """Delete the tables written by ``save_table`` in this application; call it
+    when no DataFrame built on them is needed any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
+    return len(paths)

@@ -24,7 +24,8 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    """A driver table; NaN in float columns becomes NULL, as in ``csv_scan``."""
+    return nan_to_null(spark.read.parquet(table_path(sf_dir, name)))
 
 
 def csv_scan(spark: SparkSession, path: str, schema: StructType | str | None = None,

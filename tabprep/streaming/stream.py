@@ -54,10 +54,13 @@ class FittedPreparation:
     categories: Mapping = field(default_factory=dict)
     target_col: str | None = None
     scaler: ScalerModel | None = None
+    drop_missing: Sequence[str] = ()
 
     def apply(self, df: DataFrame) -> DataFrame:
         """Row-local: valid on batch and streaming DataFrames alike."""
         out = clean_object_columns(df, **self.object_config) if self.object_config is not None else df
+        if self.drop_missing:
+            out = out.na.drop("any", subset=list(self.drop_missing))
         if self.fills:
             out = apply_fills(out, self.fills, self.fill_as_double)
         if self.categories:
@@ -70,19 +73,26 @@ class FittedPreparation:
 def fit_preparation(batch: DataFrame, object_config: Mapping | None = None,
                     fill_strategy: FillStrategy = FillStrategy.NONE, fill_columns: Sequence[str] | None = None,
                     categorical_cols: Sequence[str] = (), target_col: str | None = None,
-                    scale_columns: Sequence[str] | None = None) -> FittedPreparation:
+                    scale_columns: Sequence[str] | None = None, fill_value: float | None = None) -> FittedPreparation:
+    """Fit on a batch table.  VALUE fills with ``fill_value``; DROP removes
+    rows with a missing value in the fill columns."""
+    if fill_strategy == FillStrategy.VALUE and fill_value is None:
+        raise ValueError("fill_value must be provided when using FillStrategy.VALUE")
     cleaned = clean_object_columns(batch, **(object_config or {}))
     fills = {}
     if fill_strategy in (FillStrategy.MEAN, FillStrategy.MEDIAN, FillStrategy.MODE):
         fills = numeric_fill_values(cleaned, numeric_columns(cleaned, fill_columns), fill_strategy)
     elif fill_strategy == FillStrategy.ZERO:
         fills = {n: 0 for n in numeric_columns(cleaned, fill_columns)}
+    elif fill_strategy == FillStrategy.VALUE:
+        fills = {n: fill_value for n in numeric_columns(cleaned, fill_columns)}
+    drop_missing = tuple(numeric_columns(cleaned, fill_columns)) if fill_strategy == FillStrategy.DROP else ()
     cats = categories(cleaned, list(categorical_cols)) if categorical_cols else {}
     scaler = None
     if scale_columns:
         scaler = fit_standard_scaler(apply_fills(cleaned, fills), scale_columns)
     return FittedPreparation(dict(object_config or {}), fills,
-                             fill_strategy in (FillStrategy.MEAN, FillStrategy.MEDIAN), cats, target_col, scaler)
+                             fill_strategy in (FillStrategy.MEAN, FillStrategy.MEDIAN), cats, target_col, scaler, drop_missing)
 
 
 def confusion_counts(scored: DataFrame, label_col: str = "label", prediction_col: str = "prediction"
@@ -102,18 +112,22 @@ def score_stream(stream: DataFrame, score_col: str, threshold: float = 0.5,
 
 def run_available(df: DataFrame, output_mode: str = "append", name: str | None = None,
                   timeout_s: float = 600) -> DataFrame:
-    """Process everything available now (``availableNow`` trigger) into an
-    in-memory table and return it as a batch DataFrame.  For small outputs
-    (reports, tests); production sinks write a table with ``foreachBatch``."""
+    """Process everything available now (``availableNow`` trigger) and return
+    it as a batch DataFrame.  Appended rows go to a Parquet folder in the
+    shared folder; complete mode (an aggregate that is rewritten as a whole,
+    one row for the running metrics) goes to an in-memory table."""
     spark = df.sparkSession
     name = name or f"tabprep_{uuid.uuid4().hex[:12]}"
-    ckpt = os.path.join(ensure_checkpoint_dir(spark), "streams", name)
-    q = (df.writeStream.format("memory").queryName(name).outputMode(output_mode)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    root = os.path.join(ensure_checkpoint_dir(spark), "streams", name)
+    to_files = output_mode == "append"
+    writer = df.writeStream.format("parquet" if to_files else "memory").queryName(name).outputMode(output_mode)
+    if to_files:
+        writer = writer.option("path", f"{root}/rows")
+    q = writer.option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start()
     q.awaitTermination(timeout_s)
     if q.isActive:
         q.stop()
         raise TimeoutError(f"stream {name} did not finish in {timeout_s}s")
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return spark.table(name)
+    return spark.read.schema(df.schema).parquet(f"{root}/rows") if to_files else spark.table(name)

@@ -19,7 +19,7 @@ def table(spark):
 @pytest.mark.parametrize("desc", [False, True])
 @pytest.mark.parametrize("rows_per_bucket", [10**9, 50])
 def test_global(table, desc, rows_per_bucket):
-    got = running_totals(table, "k", ["w"], descending=desc, rows_per_bucket=rows_per_bucket, max_buckets=64)
+    got = running_totals(table, "k", ["w"], descending=desc, rows_per_bucket=rows_per_bucket)
     order = F.col("k").desc() if desc else F.col("k")
     ref = table.select("id", F.sum("w").over(Window.orderBy(order).rowsBetween(
         Window.unboundedPreceding, 0)).alias("ref"))
@@ -30,7 +30,7 @@ def test_global(table, desc, rows_per_bucket):
 
 @pytest.mark.parametrize("rows_per_bucket", [10**9, 40])
 def test_grouped(table, rows_per_bucket):
-    got = running_totals(table, "k", ["w"], ["g"], rows_per_bucket=rows_per_bucket, max_buckets=32)
+    got = running_totals(table, "k", ["w"], ["g"], rows_per_bucket=rows_per_bucket)
     ref = table.select("id", F.sum("w").over(Window.partitionBy("g").orderBy("k").rowsBetween(
         Window.unboundedPreceding, 0)).alias("ref"), F.sum("w").over(Window.partitionBy("g")).alias("tot"))
     j = got.join(ref, "id")

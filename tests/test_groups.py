@@ -35,7 +35,7 @@ def test_exact_percentiles_bucketed_path(spark, df, monkeypatch):
     monkeypatch.setattr(cum, "ROWS_PER_BUCKET", 20)
     from tabprep.operators.cumulative import running_totals
     monkeypatch.setattr(groups, "running_totals",
-                        lambda *a, **k: running_totals(*a, rows_per_bucket=20, max_buckets=16, **k))
+                        lambda *a, **k: running_totals(*a, rows_per_bucket=20, **k))
     pdf = _pdf(df)
     got = {r["g"]: r["p50"] for r in groups.group_percentiles(df, "g", "v").collect()}
     for g, part in pdf.dropna(subset=["g"]).groupby("g"):
