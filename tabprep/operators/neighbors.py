@@ -1,172 +1,182 @@
 """Exact k-nearest neighbours within one table, without a cross join.
 
-For every point v we need the k points w != v closest in Euclidean
-distance (ties by id).  Emitting all pairs is quadratic, so the search is
-bounded in two steps, both exact:
-
-1. **Upper bound.**  Points are ordered along each of up to three
-   orthonormal projections and each looks at its ``2 * window`` neighbours
-   in every order; the k-th smallest of those distances, r_v, bounds v's
-   true k-th neighbour distance from above.  Range buckets (bounds from
-   ``percentile_approx``) keep each window partition at ``rows_per_bucket``
-   rows.
-2. **Grid probe.**  Any true neighbour w has ``|p(w) - p(v)| <= ||w - v||
-   <= r_v`` for every unit projection p.  With those projections and a
-   hierarchy of cubic grids of side s0 * 2^L, each point is stored once per
-   level and each point probes, at the first level whose side is >= r_v,
-   the at most 3^m cells covering its r_v box.  Candidates are filtered by
-   true distance <= r_v and the best k kept per point.
-
-Work is linear in the points times the number of levels plus the number of
-candidates found -- output-sensitive, never all pairs.  ``knn_distinct``
-needs distinct vectors; ``knn`` collapses repeated vectors first and maps
-the answer back to rows.
+For every point v we need the k points w != v closest in Euclidean distance
+(ties by id).  Points are dealt to the nearest of a few hundred pivots, in the
+full feature space.  Three facts about each cell are small enough for the
+driver: its size, its radius U and the k + 1 smallest distances to its pivot.
+With the pivots' distances among themselves they bound, by the triangle
+inequality, how far the k-th neighbour of any point of a cell can be:
+``dist(v, pivot) + T``.  A point w can then be a neighbour of some point of
+the cell only if ``dist(w, pivot) <= 2 U + T``; it is sent to those cells and
+to no other.
+
+A cell's points are cut into blocks of BLOCK_ROWS.  One task holds one block
+and its best k so far and reads the cell's candidates as a stream of Arrow
+batches, so neither a large cell nor many candidates are ever collected, and
+no pair of points is a row of any table.
+
+The work depends on the data: where distances concentrate (many independent
+dimensions) the bounds exclude little and every block meets most points;
+what is shuffled is then points times blocks, never pairs.  ``knn_distinct``
+needs distinct vectors; ``knn`` collapses repeated vectors first and maps the
+answer back to rows.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import c
-from ..session import ensure_checkpoint_dir
+from ..session import save_table
 
-ROWS_PER_BUCKET = 1_000_000
-WINDOW = 8
+BLOCK_ROWS = 1024
+#: pivots: four times the root of the number of points, at most this many (they are broadcast)
+MAX_PIVOTS = 1024
 
 
-GRID_DIMS = 3
+def _matrix(column: pa.Array, dim: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(-1, dim)
 
 
-def _projections(dim: int, seed: int, m: int) -> np.ndarray:
-    """m orthonormal directions (QR of a seeded Gaussian matrix)."""
-    rng = np.random.default_rng(seed)
-    q, _ = np.linalg.qr(rng.normal(size=(dim, m)))
-    return q.T
+def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """All distances, summed feature by feature (the order SQL adds in)."""
+    total = np.zeros((len(a), len(b)))
+    for j in range(a.shape[1]):
+        total += (a[:, j][:, None] - b[:, j][None, :]) ** 2
+    return np.sqrt(total)
 
 
-def _dot(cols: Sequence[Column], w: np.ndarray) -> Column:
-    out = F.lit(0.0)
-    for col, x in zip(cols, w):
-        out = out + col * F.lit(float(x))
-    return out
+def _best(row, dist, ids, k):
+    """The k smallest (dist, id) of each row, as positions; rows ascending."""
+    _, code = np.unique(ids, return_inverse=True)
+    order = np.lexsort((code, dist, row))
+    first = np.concatenate([[True], row[order][1:] != row[order][:-1]]) if len(order) else np.zeros(0, bool)
+    start = np.flatnonzero(first)
+    place = np.arange(len(order)) - np.repeat(start, np.diff(np.append(start, len(order))))
+    return order[place < k]
 
 
-def _dist(a: Sequence[Column], b: Sequence[Column]) -> Column:
-    s = F.lit(0.0)
-    for x, y in zip(a, b):
-        s = s + (x - y) * (x - y)
-    return F.sqrt(s)
-
-
-def _range_bucket(pts: DataFrame, col: str, n: int, rows_per_bucket: int) -> Column:
-    """Bucket id of ``col`` by approximate quantiles (0 when n is small)."""
-    if n <= rows_per_bucket:
-        return F.lit(0)
-    want = min(4096, -(-n // rows_per_bucket))
-    q = pts.select(F.percentile_approx(col, [i / want for i in range(1, want)], 10 * want)
-                   .alias("q")).first()["q"]
-    bounds = F.array(*[F.lit(float(b)) for b in sorted(set(q))])  # <= 4095 literals
-    return F.size(F.filter(bounds, lambda b: b <= F.col(col)))
+def candidate_cells(df: DataFrame, id_col: str, feature_cols: Sequence[str], k: int, seed: int, pivots: int | None, block: int):
+    """(points, candidates): points (cell, blk, id, vec, reach) in their own
+    cells, candidates (cell, id, vec) in every cell that may need them, and
+    the number of blocks per cell.  None for fewer than two points."""
+    spark, dim = df.sparkSession, len(feature_cols)
+    pts = df.select(c(id_col).alias("id"), *[c(f).cast("double").alias(f"x{i}") for i, f in enumerate(feature_cols)])
+    pts = save_table(pts, "knn-points")
+    n = pts.count()
+    if n <= 1:
+        return None
+    many = min(pivots or 4 * math.isqrt(n), MAX_PIVOTS, n)
+    chosen = pts.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(many).drop("id").collect()  # at most MAX_PIVOTS rows
+    centre = np.array([tuple(r) for r in chosen], float).reshape(many, dim)
+    shared = spark.sparkContext.broadcast(centre)
+    kind = pts.schema["id"].dataType.simpleString()
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k0 in range(0, batch.num_rows, 1024):
+                part = batch.slice(k0, 1024)
+                x = np.stack([part.column(j + 1).to_numpy(zero_copy_only=False) for j in range(dim)], 1).astype(float)
+                d = _distances(x, shared.value)
+                cell = d.argmin(1)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([v.tobytes() for v in x], pa.binary()), pa.array(cell.astype(np.int32)), pa.array(d[np.arange(len(x)), cell])],
+                                                 names=["id", "vec", "cell", "d"])
+
+    dealt = save_table(pts.mapInArrow(deal, f"id {kind}, vec binary, cell int, d double"), "knn-dealt")
+    size = {r["cell"]: (r["n"], r["u"]) for r in dealt.groupBy("cell").agg(F.count("*").alias("n"), F.max("d").alias("u")).collect()}
+    # the k + 1 smallest distances to each pivot, ranked in salted pieces first
+    salted = Window.partitionBy("cell", "s").orderBy("d")
+    near = dealt.select("cell", "d", F.pmod(F.xxhash64("id"), F.lit(64)).alias("s")).withColumn("r", F.row_number().over(salted)).where(F.col("r") <= k + 1)
+    least = Window.partitionBy("cell").orderBy("d")
+    near = near.withColumn("q", F.row_number().over(least)).where(F.col("q") <= k + 1).select("cell", "d").collect()  # k + 1 rows a pivot
+    of = np.array([r["cell"] for r in near])
+    own = np.array([r["d"] for r in near])
+    between = _distances(centre, centre)
+    radius = np.array([size.get(i, (0, 0.0))[1] for i in range(many)])
+    # a point itself is among the k + 1 nearest, hence the (k + 1)-th smallest bound; a hair of slack for rounding
+    bound = np.sort(between[:, of] + own[None, :], axis=1)
+    reach = (bound[:, min(k, bound.shape[1] - 1)] if bound.shape[1] > k else np.full(many, np.inf)) * (1 + 1e-9) + 1e-12
+    alive = np.array([i in size for i in range(many)])
+    limits = spark.sparkContext.broadcast((centre, np.where(alive, 2 * radius * (1 + 1e-9) + reach, -1.0)))
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centre, limit = limits.value
+        for batch in batches:
+            for k0 in range(0, batch.num_rows, 1024):
+                part = batch.slice(k0, 1024)
+                row, cell = np.nonzero(_distances(_matrix(part.column(1), dim), centre) <= limit[None, :])
+                at = pa.array(row)
+                yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), part.column(0).take(at), part.column(1).take(at)], names=["cell", "id", "vec"])
+
+    cuts = spark.createDataFrame([(i, max(1, -(-m // block)), float(reach[i])) for i, (m, _) in size.items()], "cell int, cuts int, t double")
+    points = dealt.join(F.broadcast(cuts), "cell").select("cell", F.pmod(F.xxhash64("id"), F.col("cuts")).cast("int").alias("blk"), "id", "vec", (F.col("d") + F.col("t")).alias("reach"))
+    sent = dealt.select("id", "vec").mapInArrow(send, f"cell int, id {kind}, vec binary")
+    return points, sent, cuts
 
 
 def knn_distinct(df: DataFrame, id_col: str, feature_cols: Sequence[str], k: int = 5, seed: int = 0,
-                 rows_per_bucket: int = ROWS_PER_BUCKET, window: int = WINDOW) -> DataFrame:
+                 pivots: int | None = None, block: int = BLOCK_ROWS) -> DataFrame:
     """(id, nbr_id, nbr_rank, dist) for the k nearest other points of each
     point, for a table of distinct vectors (fewer when it has <= k points)."""
-    feats = list(feature_cols)
-    d = len(feats)
-    m = min(d, GRID_DIMS)
-    proj = _projections(d, seed, m)
-    xs = [c(f).cast("double") for f in feats]
-    P = [f"p{j}" for j in range(m)]
-    pts = df.select(c(id_col).alias("id"), *[x.alias(f"x{i}") for i, x in enumerate(xs)],
-                    *[_dot(xs, proj[j]).alias(P[j]) for j in range(m)])
-    X = [F.col(f"x{i}") for i in range(d)]
-    n = pts.count()
-    if n <= 1:
-        return df.sparkSession.createDataFrame([], "id long, nbr_id long, nbr_rank int, dist double")
-
-    # -- 1. upper bound r_v: neighbours along Z-order curves ---------------------
-    # Quantise the projections to 2^bits steps, interleave their bits (a
-    # Z-order key) and look at the neighbours in key order; a second curve
-    # shifted by half the range catches points split by a curve's seams.
-    ext = pts.agg(*[F.struct(F.min(p).alias("lo"), F.max(p).alias("hi")).alias(p) for p in P],
-                  *[F.struct(F.min(x), F.max(x)).alias(f"_r{i}") for i, x in enumerate(X)]).first()
-    bits = 60 // m
-    near = []
-    staged = pts
-    for shift in (0.0, 0.5):
-        qs = []
-        for j in range(m):
-            lo, hi = ext[P[j]]["lo"], ext[P[j]]["hi"]
-            span = (hi - lo) or 1.0
-            top = float(2 ** bits - 1)
-            q = F.floor((F.col(P[j]) - F.lit(lo - shift * span)) / F.lit(span * (1 + shift)) * F.lit(top))
-            qs.append(F.least(F.greatest(q, F.lit(0)), F.lit(int(top))).cast("long"))
-        zkey = F.lit(0).cast("long")
-        for b in range(bits):
-            for j in range(m):
-                zkey = zkey.bitwiseOR(F.shiftleft(F.shiftright(qs[j], b).bitwiseAND(F.lit(1)), b * m + j))
-        zname = f"_z{int(shift * 10)}"
-        staged = staged.withColumn(zname, zkey)
-        bname = f"_b{int(shift * 10)}"
-        staged = staged.withColumn(bname, _range_bucket(staged, zname, n, rows_per_bucket))
-        w = Window.partitionBy(bname).orderBy(zname, "id")
-        for step in range(1, window + 1):
-            for fn in (F.lag, F.lead):
-                near.append(F.struct(_dist(X, [fn(x, step).over(w) for x in X]).alias("d"),
-                                     fn("id", step).over(w).alias("i")))
-    # the same neighbour can be met on both curves: count each point once
-    dists = F.array_sort(F.array_distinct(F.filter(F.array(*near), lambda v: v["d"].isNotNull())))
-    need = min(k, n - 1)
-    # A range bucket with fewer than k + 1 points leaves r NULL.  Those points
-    # take the table's diameter (per-feature ranges), an upper bound on any
-    # distance, so they probe the coarsest grid level: still exact.
-    ranges = ext
-    diameter = math.sqrt(sum(((r[1] or 0.0) - (r[0] or 0.0)) ** 2
-                             for r in (ranges[f"_r{i}"] for i in range(d)))) or 1.0
-    bounded = staged.select("id", *X, *P, F.coalesce(F.element_at(dists, need)["d"], F.lit(diameter)).alias("r"))
-    # read three times below (grid size, stored side, probe side): computed
-    # once and written to the shared checkpoint folder
-    ensure_checkpoint_dir(df.sparkSession)
-    bounded = bounded.checkpoint()
-
-    # -- 2. multi-level grid probe ------------------------------------------------
-    st = bounded.agg(F.percentile_approx(F.when(F.col("r") > 0, F.col("r")), 0.05, 1000).alias("s0"),
-                     F.max("r").alias("rmax")).first()
-    s0 = st["s0"] or 1.0
-    levels = max(0, math.ceil(math.log2(max(st["rmax"] * (1 + 1e-9) + 1e-12, s0) / s0))) + 1
-    side = F.lit(s0) * F.pow(F.lit(2.0), F.col("L"))
-    cells = [f"c{j}" for j in range(m)]
-
-    stored = bounded.select("id", *X, *P, F.explode(F.sequence(F.lit(0), F.lit(levels - 1))).alias("L"))
-    stored = stored.select(F.col("id").alias("nbr_id"), *[x.alias(f"y{i}") for i, x in enumerate(X)],
-                           *[F.col(P[j]).alias(f"q{j}") for j in range(m)], "L",
-                           *[F.floor(F.col(P[j]) / side).alias(cells[j]) for j in range(m)])
-
-    # rs: r plus a hair of slack, so that rounding in the projections can
-    # never exclude a neighbour lying exactly at distance r
-    probe = bounded.withColumn("rs", F.col("r") * F.lit(1 + 1e-9) + F.lit(1e-12))
-    probe = probe.withColumn("L", F.greatest(F.lit(0), F.ceil(F.log2(F.col("rs") / F.lit(s0)))).cast("int"))
-    for j in range(m):
-        lo = F.floor((F.col(P[j]) - F.col("rs")) / side)
-        hi = F.floor((F.col(P[j]) + F.col("rs")) / side)
-        probe = probe.select("*", F.explode(F.sequence(lo, hi)).alias(cells[j]))
-
-    Y = [F.col(f"y{i}") for i in range(d)]
-    near_enough = F.lit(True)
-    for j in range(m):
-        near_enough = near_enough & (F.abs(F.col(f"q{j}") - F.col(P[j])) <= F.col("rs"))
-    cand = probe.join(stored, ["L", *cells]).where((F.col("nbr_id") != F.col("id")) & near_enough)
-    cand = cand.select("id", "nbr_id", "rs", _dist(X, Y).alias("dist")).where(F.col("dist") <= F.col("rs"))
-    rank = Window.partitionBy("id").orderBy("dist", "nbr_id")
-    return (cand.withColumn("nbr_rank", F.row_number().over(rank)).where(F.col("nbr_rank") <= k)
-            .select("id", "nbr_id", F.col("nbr_rank").cast("int").alias("nbr_rank"), "dist"))
+    dim = len(feature_cols)
+    found = candidate_cells(df, id_col, feature_cols, k, seed, pivots, block)
+    if found is None:
+        return df.select(c(id_col).alias("id"), c(id_col).alias("nbr_id"), F.lit(0).alias("nbr_rank"), F.lit(0.0).alias("dist")).limit(0)
+    points, sent, cuts = found
+    kind = points.schema["id"].dataType.simpleString()
+    other = sent.join(F.broadcast(cuts), "cell").select("cell", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("blk"), "id", "vec", F.lit(None).cast("double").alias("reach"))
+    both = points.withColumn("side", F.lit(0)).unionByName(other.withColumn("side", F.lit(1)))
+    both = both.repartition("cell", "blk").sortWithinPartitions("cell", "blk", "side").select("cell", "blk", "side", "id", "vec", "reach")
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, mine, best = None, [], None
+
+        def result():
+            if best is None or not len(best[0]):
+                return
+            row, dist, ids = best
+            first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+            rank = np.arange(len(row)) - np.repeat(first, np.diff(np.append(first, len(row)))) + 1
+            yield pa.RecordBatch.from_arrays([pa.array(mine[0][row]), pa.array(ids), pa.array(rank.astype(np.int32)), pa.array(dist)], names=["id", "nbr_id", "nbr_rank", "dist"])
+
+        for batch in batches:
+            cell, blk, side = (batch.column(j).to_numpy() for j in range(3))
+            cut = np.flatnonzero(np.concatenate([[True], (cell[1:] != cell[:-1]) | (blk[1:] != blk[:-1]) | (side[1:] != side[:-1]), [True]]))
+            for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
+                ids, x = batch.column(3).slice(a, b - a).to_numpy(zero_copy_only=False), _matrix(batch.column(4).slice(a, b - a), dim)
+                if side[a] == 0:
+                    reach = batch.column(5).slice(a, b - a).to_numpy(zero_copy_only=False)
+                    if key != (cell[a], blk[a]):
+                        yield from result()
+                        key, mine, best = (cell[a], blk[a]), [ids, x, reach], None
+                    else:                                      # the block goes on in the next batch
+                        mine = [np.concatenate(m) for m in zip(mine, (ids, x, reach))]
+                    continue
+                if key != (cell[a], blk[a]):                   # candidates of a block without points
+                    continue
+                for s in range(0, len(ids), 2048):
+                    d = _distances(mine[1], x[s:s + 2048])
+                    row, col = np.nonzero(d <= mine[2][:, None])
+                    other = ids[s:s + 2048][col]
+                    new = other != mine[0][row]
+                    row, dist, other = row[new], d[row[new], col[new]], other[new]
+                    if best is not None:
+                        row, dist, other = (np.concatenate(z) for z in zip(best, (row, dist, other)))
+                    keep = _best(row, dist, other, k)
+                    best = [row[keep], dist[keep], other[keep]]
+                    if len(keep):                              # no need to look beyond the k-th found
+                        count = np.bincount(best[0], minlength=len(mine[0]))
+                        full, last = count >= k, np.cumsum(count) - 1
+                        mine[2] = np.where(full, np.minimum(mine[2], best[1][np.maximum(last, 0)]), mine[2])
+        yield from result()
+
+    return both.mapInArrow(search, f"id {kind}, nbr_id {kind}, nbr_rank int, dist double")
 
 
 _SALT = 64
@@ -184,7 +194,7 @@ def smallest_ids(rows: DataFrame, group_cols: Sequence[str], id_col: str, n: int
 
 
 def knn(df: DataFrame, id_col: str, feature_cols: Sequence[str], k: int = 5, seed: int = 0,
-        rows_per_bucket: int = ROWS_PER_BUCKET, window: int = WINDOW) -> DataFrame:
+        pivots: int | None = None, block: int = BLOCK_ROWS) -> DataFrame:
     """Exact k nearest other rows of every row: (id, nbr_id, nbr_rank, dist),
     ties by id -- identical to ranking all pairs by (dist, nbr_id).  ``id_col``
     must be a unique key (as for the split and SMOTE).
@@ -201,7 +211,7 @@ def knn(df: DataFrame, id_col: str, feature_cols: Sequence[str], k: int = 5, see
     pts = df.select(c(id_col).alias("_id"), *[c(f).cast("double").alias(n) for f, n in zip(feats, fcols)])
     vecs = pts.groupBy(*fcols).agg(F.min("_id").alias("vid"))
     vecs = vecs.join(smallest_ids(pts, fcols, "_id", k + 1), fcols)  # one row per vector on both sides
-    nn = knn_distinct(vecs, "vid", fcols, k, seed, rows_per_bucket, window)
+    nn = knn_distinct(vecs, "vid", fcols, k, seed, pivots, block)
     nbr_ids = vecs.select(F.col("vid").alias("nbr_vid"), F.col("ids").alias("nbr_ids"))
     lists = (nn.select(F.col("id").alias("vid"), F.col("nbr_id").alias("nbr_vid"), "dist")
              .join(nbr_ids, "nbr_vid")

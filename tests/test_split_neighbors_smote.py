@@ -69,14 +69,14 @@ def _brute_knn(pts, k):
     return out
 
 
-@pytest.mark.parametrize("rows_per_bucket", [10**9, 60])
-def test_knn_exact(spark, rows_per_bucket):
+@pytest.mark.parametrize("pivots,block", [(None, 1024), (40, 16), (1, 50)])
+def test_knn_exact(spark, pivots, block):
     rnd = random.Random(2)
     pts = [(i, rnd.gauss(0, 1), rnd.gauss(0, 1) * 5, rnd.random()) for i in range(400)]
-    # a dense cluster and an isolated point stress the grid levels
+    # a dense cluster and an isolated point stress the cells' bounds
     pts += [(1000 + i, 3 + rnd.random() * 1e-3, 3.0, 0.5) for i in range(30)] + [(5000, 100.0, -80.0, 9.0)]
     df = spark.createDataFrame(pts, "id long, a double, b double, c double")
-    got = neighbors.knn(df, "id", ["a", "b", "c"], k=5, rows_per_bucket=rows_per_bucket)
+    got = neighbors.knn(df, "id", ["a", "b", "c"], k=5, pivots=pivots, block=block)
     found = {}
     for r in got.orderBy("id", "nbr_rank").collect():
         found.setdefault(r["id"], []).append(r["nbr_id"])
@@ -131,3 +131,37 @@ def test_knn_heavy_duplicates(spark):
     for r in neighbors.knn(df, "id", ["a", "b"], k=5).orderBy("id", "nbr_rank").collect():
         got.setdefault(r["id"], []).append(r["nbr_id"])
     assert got == _brute_knn(pts, 5)
+
+
+def _compared(spark, x, k=5):
+    """Distances computed by the search: block points times their candidates."""
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "id long, " + ", ".join(f"f{j} double" for j in range(x.shape[1])))
+    points, sent, _ = neighbors.candidate_cells(df, "id", [f"f{j}" for j in range(x.shape[1])], k, 0, None, 1024)
+    n, m = ({r["cell"]: r["count"] for r in t.groupBy("cell").count().collect()} for t in (points, sent))
+    return sum(n[c] * m.get(c, 0) for c in n)
+
+
+def test_knn_compares_few_pairs_where_points_cluster(spark):
+    rng = np.random.default_rng(4)
+    plane = rng.uniform(size=(4000, 2))
+    assert _compared(spark, plane) < 0.1 * 4000 ** 2
+    centres = rng.normal(0, 20, (40, 10))
+    groups = centres[rng.integers(0, 40, 3000)] + rng.normal(size=(3000, 10))
+    assert _compared(spark, groups) < 0.25 * 3000 ** 2
+
+
+def test_knn_in_ten_dimensions(spark):
+    rng = np.random.default_rng(5)
+    pts = [(i, *map(float, r)) for i, r in enumerate(rng.normal(size=(300, 10)))]
+    df = spark.createDataFrame(pts, "id long, " + ", ".join(f"f{j} double" for j in range(10)))
+    got = {}
+    for r in neighbors.knn(df, "id", [f"f{j}" for j in range(10)], k=5, block=64).orderBy("id", "nbr_rank").collect():
+        got.setdefault(r["id"], []).append(r["nbr_id"])
+    assert got == _brute_knn(pts, 5)
+
+
+def test_knn_of_few_points(spark):
+    df = spark.createDataFrame([(1, 0.0), (2, 1.0)], "id long, a double")
+    assert {(r["id"], r["nbr_id"], r["dist"]) for r in neighbors.knn(df, "id", ["a"], k=5).collect()} == {(1, 2, 1.0), (2, 1, 1.0)}
+    assert neighbors.knn(df.where("id = 1"), "id", ["a"], k=5).collect() == []
+    assert neighbors.knn(df.where("id = 9"), "id", ["a"], k=5).collect() == []
