@@ -117,7 +117,8 @@ class SuffixIndex:
 
     def add(self, cores: DataFrame) -> DataFrame:
         """Take in a batch; the keys it shares with itself or an earlier batch."""
-        new = self._table(cores.repartition(self.buckets, "core").groupBy("core").agg(F.count("*").alias("n")))
+        # hash-partitioned by the aggregate as the buckets are, so a bucket is written by one task
+        new = self._table(cores.groupBy("core").agg(F.count("*").alias("n")))
         hits = new.where("n > 1").select("core")
         for level in self.levels.values():
             hits = hits.unionByName(new.hint("merge").join(level.select("core"), "core").select("core"))
@@ -270,6 +271,30 @@ def repeated_runs(documents: DataFrame, *, id_col: str, text: str, length: int,
     return settled.unionByName(scratch.save(fine, "fine"))
 
 
+def _covered(marks: DataFrame, length: int, kind: str) -> DataFrame:
+    """(i, t, spans): the bytes that a text's runs cover, as few spans (lo, end)."""
+    def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            for k in range(0, batch.num_rows, 4096):
+                part = batch.slice(k, 4096)
+                flat, off = part.column(2).flatten(), np.concatenate([[0], np.cumsum(part.column(2).value_lengths().to_numpy())])
+                lo, end = flat.field(0).to_numpy(), flat.field(1).to_numpy() + length
+                of = np.repeat(np.arange(part.num_rows), np.diff(off))
+                order = np.lexsort((lo, of))
+                lo, end, of = lo[order], end[order], of[order]
+                # the furthest end so far within a text, by a running maximum that restarts with each text
+                step = int(end.max()) + 1 if len(end) else 1
+                far = np.maximum.accumulate(end + of * step) - of * step
+                new = np.concatenate([[True], (of[1:] != of[:-1]) | (lo[1:] > far[:-1])]) if len(of) else np.zeros(0, bool)
+                first = np.flatnonzero(new)
+                last = np.append(first[1:], len(of))[:len(first)] - 1
+                cut = np.searchsorted(of[first], np.arange(part.num_rows + 1)).astype(np.int32)
+                spans = pa.StructArray.from_arrays([pa.array(lo[first]), pa.array(far[last])], names=["lo", "end"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.ListArray.from_arrays(pa.array(cut), spans)], names=["i", "t", "spans"])
+
+    return marks.mapInArrow(run, f"i {kind}, t bigint, spans array<struct<lo:bigint,end:bigint>>")
+
+
 def remove_repeats(documents: DataFrame, *, id_col: str = "doc_id", text: str = "text", length: int = 400, batches: int = 4, crowded: int = 4096,
                    digests: bool = True) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256 or kept bytes) per row."""
@@ -277,21 +302,23 @@ def remove_repeats(documents: DataFrame, *, id_col: str = "doc_id", text: str =
         raise ValueError(f"length must be {REACH + GRAM} at least")
     scratch = Scratch(documents.sparkSession, "suffix-dedup")
     found = repeated_runs(documents, id_col=id_col, text=text, length=length, batches=batches, crowded=crowded, scratch=scratch)
-    marks = scratch.save(found.groupBy(F.col("id").alias("i"), F.col("th").alias("t")).agg(F.collect_list(F.struct("lo", "hi")).alias("runs")), "marks")
-    total = marks.agg(F.sum(F.size("runs"))).first()[0] or 0
+    kind = documents.select(id_col).schema[0].dataType.simpleString()
+    marks = found.groupBy(F.col("id").alias("i"), F.col("th").alias("t")).agg(F.collect_list(F.struct("lo", "hi")).alias("runs"))
+    marks = scratch.save(_covered(marks, length, kind), "marks")
+    total = marks.agg(F.sum(F.size("spans"))).first()[0] or 0
     source = _source(documents, id_col, text)
-    joined = source.join(sized(marks, total), source["id"].eqNullSafe(F.col("i")) & (source["th"] == F.col("t")), "left").select("id", "__text", "runs")
+    joined = source.join(sized(marks, total), source["id"].eqNullSafe(F.col("i")) & (source["th"] == F.col("t")), "left").select("id", "__text", "spans")
     last = "kept_sha256" if digests else "kept"
 
     def run(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, buf, off in blocks(batches_, "__text"):
             edge = np.zeros(len(buf) + 1, np.int64)
-            runs = rows.column(2)
-            flat = runs.flatten()
+            spans = rows.column(2)
+            flat = spans.flatten()
             if len(flat):
-                of = np.repeat(off[:-1], runs.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+                of = np.repeat(off[:-1], spans.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
                 np.add.at(edge, of + flat.field(0).to_numpy(), 1)
-                np.add.at(edge, of + flat.field(1).to_numpy() + length, -1)
+                np.add.at(edge, of + flat.field(1).to_numpy(), -1)
             gone = np.cumsum(edge)[:-1] > 0
             first = gone.copy()
             first[1:] &= ~gone[:-1]
@@ -304,5 +331,4 @@ def remove_repeats(documents: DataFrame, *, id_col: str = "doc_id", text: str =
                                               pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()) if digests else pa.array(kept, pa.binary())],
                                              names=[id_col, "n_bytes", "n_removed", "n_spans", last])
 
-    kind = documents.select(id_col).schema[0].dataType.simpleString()
     return joined.mapInArrow(run, f"`{id_col}` {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, {last} {'string' if digests else 'binary'}")
