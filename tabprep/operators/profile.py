@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from ..functions.columns import c, integral_columns, string_columns
 from ..functions.numeric import safe_div
@@ -202,8 +203,9 @@ def crosstab(df: DataFrame, col1: str, col2: str, from_val=None, to_val=None, de
     counts = keyed.groupBy("_r", "_c").agg(F.count(F.lit(1)).alias("count"))
     if dense:
         counts = save_table(counts, "crosstab")
-        all_c = counts.agg(F.collect_set("_c").alias("_all")).withColumn("_one", F.lit(1))
-        zeros = counts.select("_r", F.lit(1).alias("_one")).distinct().join(F.broadcast(all_c), "_one").select("_r", F.explode("_all").alias("_c"))
+        kind = counts.schema["_c"].dataType
+        values = [F.lit(r["_c"]).cast(kind) for r in counts.select("_c").distinct().collect()]  # the categories of col2
+        zeros = counts.select("_r").distinct().select("_r", F.explode(F.array(*values) if values else F.array().cast(ArrayType(kind))).alias("_c"))
         counts = counts.unionByName(zeros.withColumn("count", F.lit(0).cast("long"))).groupBy("_r", "_c").agg(F.sum("count").alias("count"))
     return counts.select(F.col("_r").alias(col1), F.col("_c").alias(col2), "count")
 
