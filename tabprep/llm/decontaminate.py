@@ -1,8 +1,8 @@
 """Benchmark decontamination by CGK embedding and locality-sensitive hashing.
 
 Texts are sequences of words (runs of letters and digits, A-Z lower-cased).
-The CGK embedding walks through a sequence: step j writes the word it stands
-on and moves on by 0 or 1, as a random function of j and the word says.
+The CGK embedding walks through a sequence: step j writes the pair of words it
+stands on and moves on by 0 or 1, as a random function of j and the pair says.
 Two sequences at a small edit distance get embeddings at a small Hamming
 distance, because their walks meet again after an edit.  Bit sampling of the
 embedding is the hash: in each of ``repeats`` independent walks a few steps
@@ -24,7 +24,6 @@ reported; other columns are ignored.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +36,8 @@ from .shared import Scratch, sized
 
 #: Least words of each size class; windows of a class are sampled within its least size.
 SIZES = (8, 12, 18, 27, 40, 60, 90)
-SAMPLES = 3
+SAMPLES = 2
+EXACT_KEYS = 1_000_000
 BITMAP_BITS = 22
 PAD = np.uint64(0)
 
@@ -49,10 +49,16 @@ _STEP = _RNG.integers(0, 1 << 31, (64, 256), dtype=np.uint32) * np.uint32(2) + n
 
 def sampled_steps(repeat: int, size_class: int) -> np.ndarray:
     """The steps whose words form the key.  A walk moves half a word a step, so
-    it is about in the middle of the item; later steps have fewer walks left."""
+    they read within half of the class's least size."""
     least = SIZES[size_class]
     rng = np.random.default_rng(1000 * repeat + size_class)
-    return np.sort(rng.choice(np.arange(int(0.9 * least), int(1.3 * least)), SAMPLES, replace=False))
+    return np.sort(rng.choice(np.arange(int(0.4 * least), int(0.9 * least)), SAMPLES, replace=False))
+
+
+def offset(repeat: int, size_class: int) -> int:
+    """Where in an item the walk begins: at its start, or a quarter or half of
+    the least size on, so that an edit does not stand in the way of all walks."""
+    return repeat % 3 * SIZES[size_class] // 4
 
 
 def word_symbols(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -75,6 +81,9 @@ def walk_keys(symbol: np.ndarray, repeat: int, classes: list[int], starts: np.nd
     steps = {c: sampled_steps(repeat, c) for c in classes}
     key: dict[int, np.ndarray] = {}
     first: dict[int, np.ndarray] = {}
+    if len(symbol):                            # a step reads a word and the next one: pairs are much rarer than words
+        after = np.append(symbol[1:], PAD)
+        symbol = np.where(symbol == PAD, PAD, (symbol * np.uint64(0xC2B2AE3D27D4EB4F) + (after ^ (after >> np.uint64(32)))) | np.uint64(1))
     lead = place                               # smallest start of each walker; ascending, as walks never cross
     low = symbol.astype(np.uint32)             # decides the moves; PAD is 0 and holds a walk
     for j in range(max((int(s[-1]) for s in steps.values()), default=-1) + 1):
@@ -142,7 +151,7 @@ def item_keys(items: DataFrame, repeats: int, *, id_col: str, text: str, max_sha
                 if c < 0:
                     continue
                 for r in range(repeats):
-                    for _, _, key in walk_keys(own, r, [c], np.zeros(1, np.int64)):
+                    for _, _, key in walk_keys(own, r, [c], np.array([offset(r, c)])):
                         out.append((int(key.view(np.int64)[0]), i, own[:-1].tobytes(), int(max_share * (len(own) - 1))))
             yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), ids.take(pa.array([o[1] for o in out], pa.int64())), pa.array([o[2] for o in out], pa.binary()), pa.array([o[3] for o in out], pa.int64())],
                                              names=["key", "item", "words", "edits"])
@@ -165,30 +174,36 @@ def edited(own: np.ndarray, edits: int, rng: np.random.Generator) -> np.ndarray:
     return np.array(out, np.uint64)
 
 
-def hit_rate(items: list[np.ndarray], share: float, repeats: int = 8, seed: int = 3) -> float:
-    """How often one repeat finds an item after ``share`` of its words were
-    edited, over windows that start up to ``edits`` words around it."""
-    rng, hits, tries = np.random.default_rng(seed), 0, 0
-    for own in items:
-        c, k = size_class(len(own)), int(share * len(own))
-        if c < 0:
-            continue
-        other = np.concatenate([edited(own, k, rng), [PAD]])
-        for r in range(repeats):
-            wanted = next(walk_keys(np.concatenate([own, [PAD]]), r, [c], np.zeros(1, np.int64)))[2][0]
-            found = next(walk_keys(other, r, [c], np.arange(min(k + 1, len(other)))))[2]
-            hits, tries = hits + bool((found == wanted).any()), tries + 1
-    return hits / tries if tries else 1.0
+def found_by(own: np.ndarray, other: np.ndarray, edits: int, repeats: int) -> np.ndarray:
+    """Which repeats find an item in its edited copy, from starts up to
+    ``edits`` words around."""
+    c, out = size_class(len(own)), np.zeros(repeats, bool)
+    own, other = np.append(own, PAD), np.append(other, PAD)
+    for r in range(repeats):
+        o = offset(r, c)
+        wanted = next(walk_keys(own, r, [c], np.array([o])))[2][0]
+        starts = np.arange(max(0, o - edits), min(o + edits + 1, len(other)))
+        out[r] = bool(len(starts)) and bool((next(walk_keys(other, r, [c], starts))[2] == wanted).any())
+    return out
 
 
-def repeats_for(items: list[np.ndarray], share: float, recall: float) -> int:
-    """Repeats after which an item is found with the wanted probability."""
-    rate = min(max(hit_rate(items, share), 0.05), 0.999)
-    return min(max(2, math.ceil(math.log(1 - recall) / math.log(1 - rate))), len(_STEP))
+def repeats_for(items: list[np.ndarray], share: float, recall: float, draws: int = 3, most: int = 24) -> int:
+    """The least number of repeats (up to ``most``) with which the wanted share
+    of items is found after ``share`` of their words were edited."""
+    rng, found = np.random.default_rng(3), []
+    for own in items:
+        k = int(share * len(own))
+        if size_class(len(own)) >= 0:
+            found += [found_by(own, edited(own, k, rng), k, most) for _ in range(draws)]
+    if not found:
+        return 2
+    reached = np.cumsum(np.array(found), axis=1) > 0
+    enough = np.flatnonzero(reached.mean(0) >= recall)
+    return max(2, int(enough[0]) + 1 if len(enough) else most)
 
 
 def find_matches(documents: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text",
-                 max_share: float = 0.2, edit_share: float = 0.1, recall: float = 0.99, calibration_items: int = 64) -> DataFrame:
+                 max_share: float = 0.2, edit_share: float = 0.1, recall: float = 0.99, calibration_items: int = 48) -> DataFrame:
     """(id, item, distance): items found in each document.
 
     ``recall`` holds for items with ``edit_share`` of their words edited, as
@@ -210,10 +225,12 @@ def find_matches(documents: DataFrame, items: DataFrame, *, id_col: str = "doc_i
     sizes = keys.select((F.length("words") / 8).cast("int").alias("n")).distinct()
     classes = sorted({size_class(r.n) for r in sizes.toLocalIterator()})
     longest = [r.n for r in sizes.agg(F.max("n").alias("n")).collect()][0] or 0
-    shared = spark.sparkContext.broadcast((np.packbits(present), classes, longest, repeats))
+    # up to EXACT_KEYS the keys themselves (8 bytes each) spare the join what the bitmap lets through
+    exact = np.sort(np.array([r.key for r in keys.select("key").distinct().toLocalIterator()], np.int64)) if n_keys <= EXACT_KEYS else None
+    shared = spark.sparkContext.broadcast((np.packbits(present), exact, classes, longest, repeats))
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packed, classes, longest, repeats = shared.value
+        packed, exact, classes, longest, repeats = shared.value
         bitmap = np.unpackbits(packed).astype(bool)
         for rows, buf, off in blocks(batches, "__text"):
             symbol, cut = word_symbols(buf, off)
@@ -221,10 +238,13 @@ def find_matches(documents: DataFrame, items: DataFrame, *, id_col: str = "doc_i
             for r in range(repeats if classes else 0):
                 for c, first, key in walk_keys(symbol, r, classes):
                     hit = np.flatnonzero(bitmap[(key >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)])
+                    if exact is not None and len(hit):
+                        own = key[hit].view(np.int64)
+                        hit = hit[exact[np.minimum(np.searchsorted(exact, own), len(exact) - 1)] == own]
                     last = np.where(hit + 1 < len(first), first[np.minimum(hit + 1, len(first) - 1)], len(symbol)) - 1
                     size = SIZES[c + 1] if c + 1 < len(SIZES) else longest
                     reach = int(max_share * size) + 1
-                    found.append((first[hit] - reach, last + size + reach, key[hit], first[hit]))
+                    found.append((first[hit] - reach - offset(r, c), last + size + reach, key[hit], first[hit]))
             if not found:
                 continue
             lo, hi, key, at = (np.concatenate([f[k] for f in found]) for k in range(4))
