@@ -65,6 +65,12 @@ def word_ids(buf: np.ndarray, off: np.ndarray, bits: int) -> tuple[np.ndarray, n
     return distinct_per_row(value, row[of[order]], len(off) - 1)
 
 
+def features_of(term: str, bits: int) -> np.ndarray:
+    """All features of a term: the word and its beginnings."""
+    raw = term.lower().encode()
+    return word_ids(np.frombuffer(raw, np.uint8), np.array([0, len(raw)], np.int64), bits)[0].astype(np.int64)
+
+
 def ids_of(terms: list[str], bits: int) -> np.ndarray:
     """The hashed word of each term, as ``word_ids`` makes it."""
     raw = [t.lower().encode() for t in terms]
@@ -98,14 +104,15 @@ def fit(rows: list[np.ndarray], y: np.ndarray, *, bits: int = 20, terms=IDENTITY
         return ToxicModel(weight, float(np.log(prior / (1 - prior))), bits)
     groups = [np.unique(ids_of(list(g), bits)).astype(np.int64) for g in terms]
     member = {int(i): k for k, g in enumerate(groups) for i in g}
+    parts = {int(ids_of([t], bits)[0]): features_of(t, bits) for g in terms for t in g}
     flat = np.concatenate(rows).astype(np.int64)
     owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     used, n = np.unique(flat, return_counts=True)
-    used = np.union1d(used[n >= least_rows], np.fromiter(member, np.int64, len(member)))
+    used = np.union1d(used[n >= least_rows], np.concatenate([*parts.values(), np.zeros(0, np.int64)]))
     col = np.searchsorted(used, flat)
     known = (col < len(used)) & (used[np.minimum(col, len(used) - 1)] == flat)
     col, owner = col[known], owner[known]
-    # counterfactuals as pairs of columns: the term taken out and the one put in
+    # counterfactuals: the features of the term taken out and of the one put in
     out_, in_ = [], []
     for i, r in enumerate(rows):
         found = [int(w) for w in r if int(w) in member]
@@ -119,23 +126,28 @@ def fit(rows: list[np.ndarray], y: np.ndarray, *, bits: int = 20, terms=IDENTITY
             if len(other):
                 out_.append(w)
                 in_.append(int(other[i % len(other)]))
-    out_, in_ = np.searchsorted(used, np.array(out_, np.int64)), np.searchsorted(used, np.array(in_, np.int64))
+    sides = []
+    for side in (out_, in_):
+        size = [len(parts[t]) for t in side]
+        sides.append((np.repeat(np.arange(len(side)), size), np.searchsorted(used, np.concatenate([parts[t] for t in side]) if side else np.zeros(0, np.int64))))
+    (out_pair, out_col), (in_pair, in_col) = sides
     w, wide = np.zeros(len(used)), len(used)
     bias = float(np.log(prior / (1 - prior)))
     z, zb, t = w.copy(), bias, 1.0
     # a bound on the curvature: a few rows hold many words, so scale each column by its share of rows
     share = np.bincount(col, minlength=wide) / len(y)
     longest = max(1.0, float(np.bincount(owner, minlength=len(y)).mean()))
-    pairs = np.bincount(np.concatenate([out_, in_]), minlength=wide) / max(len(out_), 1)
-    rate = 1.0 / (0.25 * np.sqrt(share * longest) + 4 * penalty * pairs + 1e-3)
+    pairs = np.bincount(np.concatenate([out_col, in_col]), minlength=wide) / max(len(out_), 1)
+    rate = 1.0 / (0.25 * np.sqrt(share * longest) + 16 * penalty * pairs + 1e-3)
     rate = np.minimum(rate, 40.0)
     for _ in range(steps):
         logit = zb + np.bincount(owner, z[col], len(y))
         error = (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - y) / len(y)
         grad = np.bincount(col, error[owner], wide)
         if len(out_):
-            change = 2 * penalty * (z[out_] - z[in_]) / len(out_)
-            grad += np.bincount(out_, change, wide) - np.bincount(in_, change, wide)
+            change = np.bincount(out_pair, z[out_col], len(out_)) - np.bincount(in_pair, z[in_col], len(in_))
+            change *= 2 * penalty / len(out_)
+            grad += np.bincount(out_col, change[out_pair], wide) - np.bincount(in_col, change[in_pair], wide)
         new = z - rate * grad
         new = np.sign(new) * np.maximum(np.abs(new) - rate * l1, 0)
         new_b = zb - 1.0 * error.sum()
