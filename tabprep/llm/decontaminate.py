@@ -9,8 +9,10 @@ embedding is the hash: in each of ``repeats`` independent walks a few steps
 are sampled, and the words written there form a key.  An item becomes a
 candidate for a window of its size (in words) if one key agrees; candidates
 are confirmed by the exact edit distance of the item to the best substring
-around the window, at most ``max_share`` of the item's words.  ``repeats``
-is set so that the recall measured on edited items reaches ``recall``.
+around the window, at most ``max_share`` of the item's words.  Each size class
+has the ``repeats`` with which the recall measured on copies of its own items
+with as many edits as a match may have reaches ``recall``; where
+``MOST_REPEATS`` do not, the call fails.
 
 All windows of a text are walked at once.  Walks from neighbouring starts
 that stand on the same word at the same step stay together, so they are
@@ -25,6 +27,7 @@ reported; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +40,7 @@ from .shared import Scratch, sized
 #: Least words of each size class; windows of a class are sampled within its least size.
 SIZES = (8, 12, 18, 27, 40, 60, 90)
 SAMPLES = 2
+MOST_REPEATS = 64
 EXACT_KEYS = 1_000_000
 BITMAP_BITS = 22
 PAD = np.uint64(0)
@@ -44,7 +48,7 @@ PAD = np.uint64(0)
 _LETTER = np.zeros(256, bool)
 _LETTER[[b for b in range(256) if b >= 0x80 or chr(b).isalnum()]] = True
 _RNG = np.random.default_rng(20240)
-_STEP = _RNG.integers(0, 1 << 31, (64, 256), dtype=np.uint32) * np.uint32(2) + np.uint32(1)      # odd factors, per repeat and step
+_STEP = _RNG.integers(0, 1 << 31, (MOST_REPEATS, 256), dtype=np.uint32) * np.uint32(2) + np.uint32(1)      # odd factors, per repeat and step
 
 
 def sampled_steps(repeat: int, size_class: int) -> np.ndarray:
@@ -139,7 +143,7 @@ def size_class(n: int) -> int:
     return int(np.searchsorted(SIZES, n, "right")) - 1
 
 
-def item_keys(items: DataFrame, repeats: int, *, id_col: str, text: str, max_share: float) -> DataFrame:
+def item_keys(items: DataFrame, repeats: dict[int, int], *, id_col: str, text: str, max_share: float) -> DataFrame:
     """(key, item, words, edits): the keys of every item of at least SIZES[0] words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, buf, off in blocks(batches, "__text"):
@@ -150,7 +154,7 @@ def item_keys(items: DataFrame, repeats: int, *, id_col: str, text: str, max_sha
                 c = size_class(len(own) - 1)
                 if c < 0:
                     continue
-                for r in range(repeats):
+                for r in range(repeats[c]):
                     for _, _, key in walk_keys(own, r, [c], np.array([offset(r, c)])):
                         out.append((int(key.view(np.int64)[0]), i, own[:-1].tobytes(), int(max_share * (len(own) - 1))))
             yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), ids.take(pa.array([o[1] for o in out], pa.int64())), pa.array([o[2] for o in out], pa.binary()), pa.array([o[3] for o in out], pa.int64())],
@@ -187,36 +191,69 @@ def found_by(own: np.ndarray, other: np.ndarray, edits: int, repeats: int) -> np
     return out
 
 
-def repeats_for(items: list[np.ndarray], share: float, recall: float, draws: int = 3, most: int = 24) -> int:
-    """The least number of repeats (up to ``most``) with which the wanted share
-    of items is found after ``share`` of their words were edited."""
-    rng, found = np.random.default_rng(3), []
-    for own in items:
-        k = int(share * len(own))
-        if size_class(len(own)) >= 0:
-            found += [found_by(own, edited(own, k, rng), k, most) for _ in range(draws)]
-    if not found:
-        return 2
-    reached = np.cumsum(np.array(found), axis=1) > 0
-    enough = np.flatnonzero(reached.mean(0) >= recall)
-    return max(2, int(enough[0]) + 1 if len(enough) else most)
+def calibration(items: DataFrame, most: int, scratch: Scratch, *, text: str) -> DataFrame:
+    """(words): of each size class, up to ``most`` distinct items chosen by hash."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, buf, off in blocks(batches, "__text"):
+            symbol, cut = word_symbols(buf, off)
+            own = [symbol[a:b - 1] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array([size_class(len(w)) for w in own], pa.int64()), pa.array([w.tobytes() for w in own], pa.binary())], names=["c", "words"])
+
+    found = scratch.save(items.select(items[text].alias("__text")).mapInArrow(run, "c bigint, words binary").distinct(), "items")
+    parts = [found.where(F.col("c") == c).orderBy(F.xxhash64("words"), "words").limit(most) for c in range(len(SIZES))]
+    return reduce(DataFrame.unionByName, parts).select("words")
+
+
+def found_together(pairs: list[tuple[np.ndarray, np.ndarray, int]], c: int, repeat: int) -> np.ndarray:
+    """``found_by`` of one repeat for many (item, copy, edits) of one size class."""
+    cut = [np.concatenate([[0], np.cumsum([len(p[k]) + 1 for p in pairs])]) for k in range(2)]
+    own, other = (np.concatenate([x for p in pairs for x in (p[k], [PAD])]).astype(np.uint64) for k in range(2))
+    o, out = offset(repeat, c), np.zeros(len(pairs), bool)
+    wanted = [key for _, _, key in walk_keys(own, repeat, [c], cut[0][:-1] + o)][0]      # an item has o words at least: no walks meet
+    starts = np.concatenate([np.arange(a + max(0, o - k), min(a + o + k + 1, b)) for a, b, (_, _, k) in zip(cut[1][:-1], cut[1][1:], pairs)])
+    _, first, key = next(walk_keys(other, repeat, [c], starts))
+    of = np.searchsorted(cut[1], first, "right") - 1
+    out[of[key == wanted[of]]] = True
+    return out
+
+
+def repeats_for(items: list[np.ndarray], share: float, recall: float, draws: int = 400, most: int = MOST_REPEATS) -> int:
+    """The least number of repeats with which the wanted share of items is
+    found, in every size class, after ``share`` of their words (one at least)
+    were edited; ValueError if ``most`` do not reach it."""
+    return max([2, *repeats_by_class(items, share, recall, draws, most).values()])
+
+
+def repeats_by_class(items: list[np.ndarray], share: float, recall: float, draws: int = 400, most: int = MOST_REPEATS) -> dict[int, int]:
+    """The same for each size class that has items, from ``draws`` edited
+    copies of a class (one of each item at least)."""
+    rng, out = np.random.default_rng(3), {}
+    for c in sorted({size_class(len(own)) for own in items} - {-1}):
+        mine = [own for own in items if size_class(len(own)) == c]
+        edits = [max(1, int(share * len(own))) for own in mine]
+        pairs = [(own, edited(own, k, rng), k) for own, k in zip(mine, edits) for _ in range(-(-draws // len(mine)))]
+        found, n = np.zeros(len(pairs), bool), 0
+        while n < 2 or found.mean() < recall:
+            if n == most:
+                raise ValueError(f"items of {SIZES[c]} words and more: {most} walks find {found.mean():.3f} of the copies with {share:g} of their words edited; recall={recall:g} is asked for")
+            found |= found_together(pairs, c, n)
+            n += 1
+        out[c] = n
+    return out
 
 
 def find_matches(documents: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text",
-                 max_share: float = 0.2, edit_share: float = 0.1, recall: float = 0.99, calibration_items: int = 48) -> DataFrame:
+                 max_share: float = 0.2, recall: float = 0.99, calibration_items: int = 48) -> DataFrame:
     """(id, item, distance): items found in each document.
 
-    ``recall`` holds for items with ``edit_share`` of their words edited, as
-    measured on at most ``calibration_items`` items; unedited ones are always
-    found.  Matches up to ``max_share`` are reported."""
+    Matches have up to ``max_share`` of the item's words edited.  ``recall``
+    holds for copies with that many edits, in each size class, as measured on
+    at most ``calibration_items`` distinct items of the class; unedited ones
+    are always found."""
     spark = documents.sparkSession
-    sample = items.select(items[item_text].alias("t")).where("t is not null").orderBy(F.xxhash64("t")).limit(calibration_items).collect()
-    own = []
-    for r in sample:
-        raw = r.t.encode()
-        own.append(word_symbols(np.frombuffer(raw, np.uint8), np.array([0, len(raw)], np.int64))[0][:-1])
-    repeats = repeats_for(own, edit_share, recall)
     scratch = Scratch(spark, "decontaminate")
+    own = [np.frombuffer(r.words, np.uint64) for r in calibration(items, calibration_items, scratch, text=item_text).toLocalIterator()]
+    repeats = repeats_by_class(own, max_share, recall)
     keys = scratch.save(item_keys(items, repeats, id_col=item_id, text=item_text, max_share=max_share), "item-keys")
     n_keys = keys.count()
     present = np.zeros(1 << BITMAP_BITS, bool)                       # a filter of fixed size; the join decides
@@ -235,8 +272,8 @@ def find_matches(documents: DataFrame, items: DataFrame, *, id_col: str = "doc_i
         for rows, buf, off in blocks(batches, "__text"):
             symbol, cut = word_symbols(buf, off)
             found = []
-            for r in range(repeats if classes else 0):
-                for c, first, key in walk_keys(symbol, r, classes):
+            for r in range(max((repeats[c] for c in classes), default=0)):
+                for c, first, key in walk_keys(symbol, r, [c for c in classes if r < repeats[c]]):
                     hit = np.flatnonzero(bitmap[(key >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)])
                     if exact is not None and len(hit):
                         own = key[hit].view(np.int64)
