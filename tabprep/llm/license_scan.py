@@ -3,9 +3,13 @@
 Terms are the lower-case runs of a-z and 0-9.  A template (a licence name and
 a notice) is a TF-IDF vector over its terms; document frequencies of the
 templates' terms are counted over all texts, and a term that no template has
-gets the frequency zero.  Two kinds of units are compared with the templates
-by cosine: every line of a text that holds a marker word (a header), and the
-whole text (a licence file).  A text's own licence is that of its best
+gets the frequency zero.  Three kinds of units are compared with the templates
+by cosine: every line of a text that holds a marker word (a header), every
+block around such a line (a run of comment lines, and a run of lines without
+an empty one), and the whole text (a licence file).  Templates are the notices
+(``TEMPLATES``) and, with a vocabulary of their own, the standard file headers
+and full texts in ``licenses/`` (``TEXTS``); lines are compared with the
+notices only, and file headers with blocks only.  A text's own licence is that of its best
 header, if the cosine reaches ``least``.  A text whose whole cosine reaches
 ``least_file`` is a licence file and declares its licence for the directory
 of its path; a text without an own licence inherits from the nearest ancestor
@@ -13,7 +17,7 @@ directory with a declaration, its own directory first.  Inheritance joins
 the distinct directories, not the files, with their ancestors.
 
 Best means: highest cosine rounded to six digits, then the smallest licence
-name, then the first line.  Results: a null or empty text has no own licence
+name, then the first line (of a block, its first).  Results: a null or empty text has no own licence
 and may inherit; a null path lies in no directory and inherits nothing; rows
 with equal id and text get equal results; an empty table gives an empty
 result; other columns are ignored.
@@ -21,7 +25,10 @@ result; other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+from pathlib import Path
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import Scratch, sized
@@ -46,9 +53,14 @@ TEMPLATES = (
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain, the Unlicense."),
 )
+#: Standard file headers (*-header.txt, *.header.txt) and full texts: (licence, text, whether a whole text may be it).
+TEXTS = tuple((re.sub(r"\.[a-z-]*header$", "", p.stem), p.read_text(), not p.stem.endswith("header")) for p in sorted((Path(__file__).parent / "licenses").glob("*.txt")))
 #: A line without any of these is no header.
 MARKERS = r"(?i)licen[cs]|copyright|copyleft|public domain|permission|spdx|redistribut|creative commons|\bcc0\b|\bcc[ -]by"
 SPLIT = "[^a-z0-9]+"
+#: Comment lines by their beginning; comments over several lines, by what opens (at a line's beginning) and closes them.
+COMMENT = r"(?i)^\s*(#|//|\*|--|;|%|!|'|/\*|<!--|\(\*|\x22{3}|\.\.\s|dnl\b|rem\b)"
+OPEN, CLOSE, QUOTES = r"^\s*(/\*|<!--|\(\*|\{-)", r"\*/|-->|\*\)|-\}", r"\x22{3}|'{3}"
 
 
 def terms(column: Column) -> Column:
@@ -56,8 +68,7 @@ def terms(column: Column) -> Column:
 
 
 def template_terms(templates=TEMPLATES) -> set[str]:
-    import re
-    return {t for _, notice in templates for t in re.split(SPLIT, notice.lower()) if t}
+    return {t for _, notice, *_ in templates for t in re.split(SPLIT, notice.lower()) if t}
 
 
 def _idf(documents: DataFrame, vocabulary: list[str]) -> tuple[DataFrame, Column, int]:
@@ -71,27 +82,46 @@ def _idf(documents: DataFrame, vocabulary: list[str]) -> tuple[DataFrame, Column
 
 
 def _cosines(units: DataFrame, idf: DataFrame, other: Column, templates) -> DataFrame:
-    """(id, th, line, license, cos): best licence of every unit.  units: (id, th, line, words)."""
+    """(id, th, line, last, license, cos): best licence of every unit.  units:
+    (id, th, line, last, words); a template may say that no whole text is it."""
     spark = units.sparkSession
-    given = spark.createDataFrame([(k, name, t) for k, (name, t) in enumerate(templates)], "tid int, license string, notice string")
-    weight = given.select("tid", "license", F.explode(terms(F.col("notice"))).alias("term")).groupBy("tid", "license", "term").agg(F.count("*").alias("tf")).join(F.broadcast(idf), "term")
-    weight = weight.select("tid", "license", "term", (F.col("tf") * F.col("idf")).alias("tw"))
+    given = spark.createDataFrame([(k, name, t, all(file)) for k, (name, t, *file) in enumerate(templates)], "tid int, license string, notice string, file boolean")
+    weight = given.select("tid", "license", "file", F.explode(terms(F.col("notice"))).alias("term")).groupBy("tid", "license", "file", "term").agg(F.count("*").alias("tf")).join(F.broadcast(idf), "term")
+    weight = weight.select("tid", "license", "file", "term", (F.col("tf") * F.col("idf")).alias("tw"))
     length = weight.groupBy("tid").agg(F.sqrt(F.sum(F.col("tw") * F.col("tw"))).alias("tn"))
     weight = weight.join(F.broadcast(length), "tid")
-    unit = ["id", "th", "line"]
+    unit = ["id", "th", "line", "last"]
     words = units.select(*unit, F.explode("words").alias("term")).groupBy(*unit, "term").agg(F.count("*").alias("tf"))
     words = words.join(F.broadcast(idf), "term", "left").select(*unit, "term", (F.col("tf") * F.coalesce("idf", other)).alias("w"))
     # dot products and the unit's own norm in one aggregate: a term no template has only adds to the norm
-    lists = weight.groupBy("term").agg(F.collect_list(F.struct("tid", "license", (F.col("tw") / F.col("tn")).alias("x"))).alias("in"))
+    lists = weight.groupBy("term").agg(F.collect_list(F.struct("tid", "license", "file", (F.col("tw") / F.col("tn")).alias("x"))).alias("in"))
     scored = words.join(F.broadcast(lists), "term", "left")
     norm = scored.groupBy(*unit).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    dot = scored.select(*unit, "w", F.explode("in").alias("t")).groupBy(*unit, "t.tid", "t.license").agg(F.sum(F.col("w") * F.col("t.x")).alias("dot"))
+    dot = scored.select(*unit, "w", F.explode("in").alias("t")).where("line >= 0 or t.file").groupBy(*unit, "t.tid", "t.license").agg(F.sum(F.col("w") * F.col("t.x")).alias("dot"))
     same = [F.col(f"n.{c}").eqNullSafe(F.col(f"d.{c}")) for c in unit]
     both = dot.alias("d").join(norm.alias("n"), same)
     cos = F.round(F.col("dot") / F.col("norm"), 6)
     return both.groupBy(*(F.col(f"d.{c}").alias(c) for c in unit)).agg(F.min(F.struct((-cos).alias("c"), "license")).alias("b")).select(*unit, F.col("b.license").alias("license"), (-F.col("b.c")).alias("cos"))
 
 
+def _blocks(lines: DataFrame) -> DataFrame:
+    """(id, th, line, last, words): the runs of comment lines, and the runs of
+    lines with a term, that hold a marker; ``line`` is the first.  lines:
+    (id, th, line, l)."""
+    order = Window.partitionBy("id", "th").orderBy("line")
+    opened = F.when(F.col("l").rlike(CLOSE), False).when(F.col("l").rlike(OPEN), True)
+    quoted = F.sum(F.regexp_count("l", F.lit(QUOTES))).over(order.rowsBetween(Window.unboundedPreceding, -1)) % 2 == 1
+    inside = F.coalesce(F.last(opened, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(False)) | F.coalesce(quoted, F.lit(False))
+    flagged = lines.withColumn("comment", inside | F.col("l").rlike(COMMENT)).withColumn("full", F.lower("l").rlike("[a-z0-9]"))
+    parts = []
+    for kind in ("comment", "full"):
+        run = F.sum(F.when(~F.col(kind), 1).otherwise(0)).over(order)
+        blocks = flagged.withColumn("run", run).where(kind).groupBy("id", "th", "run").agg(
+            F.min("line").alias("line"), F.max("line").alias("last"), F.array_sort(F.collect_list(F.struct("line", "l"))).alias("ls"), F.max(F.col("l").rlike(MARKERS)).alias("marked"))
+        parts.append(blocks.where("marked").select("id", "th", "line", "last", terms(F.array_join("ls.l", "\n")).alias("words")))
+    return parts[0].unionByName(parts[1])
+
+
 def _ancestors(path: Column) -> Column:
     """The directories above a path or directory, from the root ('') down."""
     parts = F.split(path, "/")
@@ -103,18 +133,26 @@ def directory(path: Column) -> Column:
 
 
 def scan_licenses(documents: DataFrame, path: Column, *, id_col: str = "doc_id", text: str = "text", least: float = 0.6, least_file: float = 0.6,
-                  templates=TEMPLATES) -> DataFrame:
+                  templates=TEMPLATES, texts=TEXTS) -> DataFrame:
     """(id, path, own_license, own_line, own_score, declared, inherited_license,
     inherited_from, license) of every row; lines count from 0."""
     scratch = Scratch(documents.sparkSession, "licenses")
     source = documents.select(documents[id_col].alias("id"), F.xxhash64(documents[text]).alias("th"), path.alias("path"), documents[text].alias("__text"))
-    idf, other, _ = _idf(source, sorted(template_terms(templates)))
+    idf, other, _ = _idf(source, sorted(template_terms(templates) | template_terms(texts)))
     idf = scratch.save(idf, "idf")
     marked = source.where(F.col("__text").rlike(MARKERS)).select("id", "th", "__text").dropDuplicates(["id", "th"])
     marked = scratch.save(marked, "marked")
-    lines = marked.select("id", "th", F.posexplode(F.split("__text", "\n")).alias("line", "l")).where(F.col("l").rlike(MARKERS)).select("id", "th", "line", terms(F.col("l")).alias("words"))
-    whole = marked.select("id", "th", F.lit(-1).alias("line"), terms(F.col("__text")).alias("words"))
-    found = scratch.save(_cosines(lines.unionByName(whole), idf, other, templates), "cosines")
+    every = marked.select("id", "th", F.posexplode(F.split("__text", "\n")).alias("line", "l"))
+    lines = every.where(F.col("l").rlike(MARKERS)).select("id", "th", "line", F.col("line").alias("last"), terms(F.col("l")).alias("words"))
+    blocks = scratch.save(_blocks(every).dropDuplicates(["id", "th", "line", "last"]), "blocks")
+    whole = marked.select("id", "th", F.lit(-1).alias("line"), F.lit(-1).alias("last"), terms(F.col("__text")).alias("words"))
+    notices = lines.unionByName(blocks.where("last > line")).unionByName(whole)
+    own_terms = lambda t: idf.where(F.col("term").isin(sorted(template_terms(t))))
+    found = _cosines(notices, own_terms(templates), other, templates)
+    if texts:
+        found = found.unionByName(_cosines(blocks.unionByName(whole), own_terms(texts), other, texts))
+    found = found.groupBy("id", "th", "line").agg(F.min(F.struct((-F.col("cos")).alias("c"), "license")).alias("b")).select("id", "th", "line", F.col("b.license").alias("license"), (-F.col("b.c")).alias("cos"))
+    found = scratch.save(found, "cosines")
     own = found.where((F.col("line") >= 0) & (F.col("cos") >= least)).groupBy("id", "th").agg(F.min(F.struct((-F.col("cos")).alias("c"), "license", "line")).alias("o"))
     file = found.where((F.col("line") < 0) & (F.col("cos") >= least_file)).select("id", "th", F.col("license").alias("declared"), F.col("cos").alias("file_score"))
     both = own.alias("a").join(file.alias("b"), F.col("a.id").eqNullSafe(F.col("b.id")) & (F.col("a.th") == F.col("b.th")), "full")
@@ -135,7 +173,9 @@ def scan_licenses(documents: DataFrame, path: Column, *, id_col: str = "doc_id",
 
 
 def oracle_sql(templates=TEMPLATES, least: float = 0.6, least_file: float = 0.6) -> str:
-    """The same over ``documents`` (unique ids), for DuckDB."""
+    """The same over ``documents`` (unique ids), for DuckDB, of lines, whole
+    texts and notices; the results agree where no block, standard header or
+    full text scores higher (compared on sf0.001)."""
     values = ", ".join(f"({k}, '{name}', '{notice}')" for k, (name, notice) in enumerate(templates))
     marker = MARKERS.replace("(?i)", "")
     return f"""
