@@ -278,13 +278,18 @@ def _labelled_windows(buf: np.ndarray, off: np.ndarray, reach: int) -> list[tupl
 
 
 def fit_field(documents: DataFrame, *, text: str = "text", sample_rows: int = 1_500, reach: int = 24) -> Field | None:
-    """The field from at most ``sample_rows`` texts with a base span and as
-    many without, chosen by a hash of the text."""
+    """The field from at most ``sample_rows`` distinct texts with a base span
+    and as many without, chosen by a hash of the text."""
     shaped = documents.select(F.col(text).alias("__text")).where("__text is not null")
-    flagged = F.col("__text").rlike(r"(?i)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]|AKIA[A-Z0-9]{16}")
-    order = [F.xxhash64("__text")]
-    with_span = shaped.where(flagged).where(F.length("__text") < 20_000).orderBy(*order).limit(sample_rows)
-    without = shaped.where((F.xxhash64("__text") % 16) == 0).where(~flagged & (F.length("__text") < 20_000)).orderBy(*order).limit(sample_rows)
+    flagged = F.lit(False)
+    for pattern, group, least in BASE:
+        values = F.regexp_extract_all("__text", F.lit(("(?i)" if pattern.flags & re.IGNORECASE else "") + pattern.pattern), F.lit(group))
+        flagged |= F.array_max(F.transform(values, F.length)) >= least
+    flagged = F.coalesce(flagged, F.lit(False))
+    # equal texts are neighbours in this order: one of each, so that copies leave room for others
+    pick = lambda rows: rows.dropDuplicates(["__text"]).orderBy(F.xxhash64("__text"), "__text").limit(sample_rows)
+    with_span = pick(shaped.where(flagged & (F.length("__text") < 20_000)))
+    without = pick(shaped.where((F.xxhash64("__text") % 16) == 0).where(~flagged & (F.length("__text") < 20_000)))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, buf, off in blocks(batches, "__text"):
