@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 from llm_data import documents, prose
-from test_groups import substring_distance, symbols
+from test_pairs_and_pipeline import substring_distance, symbols
 
 from tabprep.llm import decontaminate
 
