@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import decontaminate, license_scan, near_dup, pieces, quality_model, quality_rules, secret_scan, suffix_dedup, token_counts, toxicity
+from . import decontaminate, fill_middle, license_scan, near_dup, pieces, quality_model, quality_rules, secret_scan, suffix_dedup, token_counts, toxicity
 from .training_rows import remainder
 
 
@@ -64,6 +64,10 @@ def op10_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.find_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(fill_middle.fill_in_middle(read_table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_secret_scan": op2_secret_scan,
@@ -75,6 +79,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_license_scan": op9_license_scan,
     "op10_near_dup": op10_near_dup,
+    "op11_fill_in_middle": op11_fill_in_middle,
 }
 
-ORACLE: dict[str, str] = {"op9_license_scan": license_scan.oracle_sql()}
+ORACLE: dict[str, str] = {
+    "op9_license_scan": license_scan.oracle_sql(),
+    "op11_fill_in_middle": fill_middle.oracle_sql(),
+}
