@@ -186,7 +186,7 @@ def fill_in_middle(documents: DataFrame, *, id_col: str = "doc_id", text: str =
                 pa.array(points[cuts[:, 1]] - points[cuts[:, 0]], pa.int64(), mask=plain),
                 _text(out, out_off)], names=[*keep, *made])
 
-    taken = documents.select(*[quoted(c) for c in keep], *_draws(id_col, seed), quoted(text).alias("__text"))
+    taken = documents.select(*[quoted(c).alias(f"__k{i}") for i, c in enumerate(keep)], *_draws(id_col, seed), quoted(text).alias("__text"))
     return taken.mapInArrow(run, out_type)
 
 
@@ -204,7 +204,7 @@ def restore(transformed: DataFrame, *, output: str = "output", form: str = "form
             kinds = np.array([FORMS.index(f) for f in rows.column(at).to_pylist()], np.int64)
             yield pa.RecordBatch.from_arrays([*rows.columns[:len(names)], _text(*gather(buf, off, kinds))], names=[*names, restored])
 
-    return transformed.select(*[quoted(c) for c in names], quoted(output).alias("__output")).mapInArrow(run, out_type)
+    return transformed.select(*[quoted(c).alias(f"__k{i}") for i, c in enumerate(names)], quoted(output).alias("__output")).mapInArrow(run, out_type)
 
 
 def digests(transformed: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import decontaminate, fill_middle, license_scan, near_dup, pieces, quality_model, quality_rules, secret_scan, suffix_dedup, token_counts, toxicity
+from . import decontaminate, fill_middle, license_scan, near_dup, pieces, quality_model, quality_rules, secret_scan, spelling, suffix_dedup, token_counts, toxicity
 from .training_rows import remainder
 
 
@@ -68,6 +68,10 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.digests(fill_middle.fill_in_middle(read_table(spark, sf_dir, "documents")))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_secret_scan": op2_secret_scan,
@@ -80,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_license_scan": op9_license_scan,
     "op10_near_dup": op10_near_dup,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_spelling_variants": op12_spelling_variants,
 }
 
 ORACLE: dict[str, str] = {
