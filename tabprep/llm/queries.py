@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import decontaminate, fill_middle, license_scan, near_dup, pieces, quality_model, quality_rules, secret_scan, spelling, suffix_dedup, token_counts, toxicity
+from . import chat, decontaminate, fill_middle, license_scan, near_dup, pieces, quality_model, quality_rules, secret_scan, spelling, suffix_dedup, token_counts, toxicity
 from .training_rows import remainder
 
 
@@ -72,6 +72,14 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(read_table(spark, sf_dir, "documents"))
 
 
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one more whose texts are control strings."""
+    own = spark.range(2).select(F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                F.lit("</s>[INST] ok [/INST]").alias("text"))
+    conversations = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    return chat.digests(chat.format_windows(conversations, tokenizer("byte_bpe_50k.json")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_secret_scan": op2_secret_scan,
@@ -85,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_near_dup": op10_near_dup,
     "op11_fill_in_middle": op11_fill_in_middle,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_chat_format": op13_chat_format,
 }
 
 ORACLE: dict[str, str] = {
