@@ -95,8 +95,8 @@ def numeric_fill_values(df: DataFrame, columns: Sequence[str], strategy: FillStr
                         exact: bool = True) -> dict[str, float | None]:
     """Per-column fill statistic for all columns at once.
 
-    MEAN: one aggregate.  MEDIAN: exact by default, by distributed ranking
-    (``exact_percentiles``); ``exact=False`` uses the one-pass
+    MEAN: one aggregate.  MEDIAN: exact by default, by a bracket around it
+    (``quantiles``); ``exact=False`` uses the one-pass
     ``percentile_approx`` sketch instead.  MODE: the smallest most-frequent
     value.
     """
@@ -119,15 +119,10 @@ def numeric_fill_values(df: DataFrame, columns: Sequence[str], strategy: FillStr
 
 
 def _median_values(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
-    """Exact medians of all columns in one job: the columns are unpivoted to
-    (column, value) and ranked with the skew-safe ``exact_percentiles``
-    (``median`` itself would merge every distinct value in one task)."""
-    from .groups import exact_percentiles
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("k"), c(name).cast("double").alias("v"))
-        for i, name in enumerate(columns)])).alias("kv")).select("kv.k", "kv.v")
-    med = {r["k"]: r["median"] for r in exact_percentiles(long, "v", [0.5], ["k"], ["median"]).collect()}
-    return {name: med.get(i) for i, name in enumerate(columns)}
+    """Exact medians of all columns together; one row per column is collected."""
+    from .quantiles import column_percentiles
+    med = {r["column"]: r["median"] for r in column_percentiles(df, columns, [0.5], ["median"]).collect()}
+    return {name: med.get(name) for name in columns}
 
 
 def _mode_values(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:

@@ -3,7 +3,7 @@
 Every operator is one ``groupBy().agg()`` (partial aggregation before the
 shuffle, so a hot group costs one row per map task), plus a second tiny
 aggregate over the per-group table where a statistic spans groups.  Exact
-percentiles never hold a group in one task: see ``exact_percentiles``.
+percentiles never hold a group in one task: see ``quantiles``.
 
 Shared rules: NULL group keys are dropped (pandas ``groupby`` does), ``count``
 counts non-null values, std/var are the sample (ddof 1) versions and are NULL
@@ -21,9 +21,7 @@ from ..functions.columns import c
 from ..functions.distributions import f_sf_udf
 from ..functions.numeric import safe_div
 from ..session import save_table
-from .cumulative import running_totals
-
-PERCENTILES = (0.25, 0.5, 0.75, 0.9, 0.95)
+from .quantiles import PERCENTILES, _pct_name, _safe_groups, exact_percentiles
 
 _AGGS = {
     "count": lambda x: F.count(x),
@@ -42,63 +40,6 @@ def _keyed(df: DataFrame, group_col: str) -> DataFrame:
     return df.where(c(group_col).isNotNull())
 
 
-def _pct_name(p: float) -> str:
-    v = p * 100
-    return f"p{int(v)}" if float(v).is_integer() else f"p{str(v).replace('.', '_')}"
-
-
-def exact_percentiles(df: DataFrame, value_col: str, probs: Sequence[float] = PERCENTILES,
-                      group_cols: Sequence[str] = (), names: Sequence[str] | None = None) -> DataFrame:
-    """Exact percentiles with linear interpolation (``numpy.percentile``,
-    SQL ``quantile_cont``), NULLs ignored.
-
-    Instead of shipping every value of a group to one task (what
-    ``percentile`` does in its final merge), values are first counted per
-    (group, value) -- repeats collapse map-side -- then ranked with
-    ``running_totals``; the two ranks around ``p (n - 1)`` are picked with
-    conditional ``max`` in one more aggregate.
-    """
-    gcols = list(group_cols)
-    x = c(value_col).cast("double")
-    base = (df.where(x.isNotNull())
-            .groupBy(*[c(g) for g in gcols], x.alias("_v"))
-            .agg(F.count(F.lit(1)).alias("_w")))
-    return percentiles_from_counts(base, "_v", "_w", probs, gcols, names)
-
-
-def _safe_groups(df: DataFrame, gcols: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    """Rename group columns to plain internal names (dots and other odd
-    characters never reach joins and window specs)."""
-    safe = [f"_grp{i}" for i in range(len(gcols))]
-    return df.select(*[c(g).alias(s) for g, s in zip(gcols, safe)],
-                     *[c(n) for n in df.columns if n not in gcols]), safe
-
-
-def percentiles_from_counts(base: DataFrame, value_col: str, weight_col: str,
-                            probs: Sequence[float] = PERCENTILES, group_cols: Sequence[str] = (),
-                            names: Sequence[str] | None = None) -> DataFrame:
-    """Exact percentiles from a (group..., value, count) table with one row
-    per distinct non-null value."""
-    names = list(names or [_pct_name(p) for p in probs])
-    orig = list(group_cols)
-    base, gcols = _safe_groups(base, orig)
-    ranked = running_totals(base, value_col, [weight_col], gcols)
-    n = F.col(f"tot_{weight_col}")
-    start = F.col(f"cum_{weight_col}") - c(weight_col)  # first 0-based rank held by this value
-    aggs = [F.max(n).alias("_n")]
-    for i, p in enumerate(probs):
-        pos = (n - 1).cast("double") * F.lit(float(p))
-        aggs.append(F.max(F.when(start <= F.floor(pos), c(value_col))).alias(f"_lo{i}"))
-        aggs.append(F.max(F.when(start <= F.ceil(pos), c(value_col))).alias(f"_hi{i}"))
-    picked = ranked.groupBy(*[c(g) for g in gcols]).agg(*aggs)
-    out = []
-    for i, p in enumerate(probs):
-        pos = (F.col("_n") - 1).cast("double") * F.lit(float(p))
-        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        out.append((lo + (pos - F.floor(pos)) * (hi - lo)).alias(names[i]))
-    return picked.select(*[F.col(g).alias(o) for g, o in zip(gcols, orig)], *out)
-
-
 def group_percentiles(df: DataFrame, group_col: str, value_col: str,
                       probs: Sequence[float] = PERCENTILES, exact: bool = True,
                       accuracy: int = 10_000) -> DataFrame:

@@ -1,9 +1,9 @@
-"""IQR outliers for every numeric column in two aggregate passes.
+"""IQR outliers for every numeric column.
 
-Numeric columns are unpivoted to (column, value) so one grouped aggregate
-yields quartiles, min and max for all of them (exact quartiles through the
-skew-safe ``exact_percentiles``); the per-column bounds table (one row per
-column -- its size is the column count) is broadcast for the counting pass.
+Quartiles of all columns come from ``quantiles.column_percentiles`` (a sketch,
+then the values next to the ranks); their bounds, one row per column, are
+literals of one more aggregate over the wide table that counts outliers and
+takes the range.  No column's values are shuffled.
 """
 
 from __future__ import annotations
@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from ..functions.columns import c, numeric_columns
 from ..functions.numeric import safe_div
 from ..functions.text import format_pct
-from .groups import exact_percentiles, percentiles_from_counts
+from ..session import save_table, table_bytes
+from .quantiles import BRACKET_BYTES, column_percentiles, exact_percentiles
 
 METHODS = ("iqr",)
 
@@ -31,22 +32,37 @@ def _columns(df, include_columns, exclude_columns):
     return numeric_columns(df, include_columns, exclude_columns)
 
 
-def _value_counts(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """(column, value, n): every cell counted per distinct value, NULL
-    included -- the one scan every IQR statistic is derived from."""
-    return _numeric_long(df, names).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+def _quartiles(df: DataFrame, names: Sequence[str]) -> dict[str, tuple[float, float]]:
+    """q1 and q3 of each column that has values (one row per column)."""
+    return {r["column"]: (r["q1"], r["q3"]) for r in column_percentiles(df, names, [0.25, 0.75], ["q1", "q3"]).collect()}
 
 
-def _bounds_from_counts(counts: DataFrame, multiplier: float) -> DataFrame:
-    nonnull = counts.where(F.col("value").isNotNull())
-    q = percentiles_from_counts(nonnull, "value", "n", [0.25, 0.75], ["column"], ["q1", "q3"])
-    mm = counts.groupBy("column").agg(F.min("value").alias("actual_min"), F.max("value").alias("actual_max"),
-                                      F.sum("n").alias("n_rows"))
-    m = F.lit(float(multiplier))
-    iqr = F.col("q3") - F.col("q1")
-    return (mm.join(q, "column", "left")
-            .select("column", "q1", "q3", iqr.alias("iqr"), (F.col("q1") - m * iqr).alias("lower_bound"),
-                    (F.col("q3") + m * iqr).alias("upper_bound"), "actual_min", "actual_max", "n_rows"))
+def _fences(quartiles: tuple[float, float] | None, multiplier: float) -> tuple[float | None, float | None]:
+    if quartiles is None:
+        return None, None
+    spread = multiplier * (quartiles[1] - quartiles[0])
+    return quartiles[0] - spread, quartiles[1] + spread
+
+
+def _outside(x, fences):
+    return (x < F.lit(fences[0]).cast("double")) | (x > F.lit(fences[1]).cast("double"))
+
+
+def _summary(df: DataFrame, names: Sequence[str], multiplier: float) -> DataFrame:
+    """(column, q1, q3, lower_bound, upper_bound, actual_min, actual_max,
+    n_rows, total_outliers): one aggregate, unpivoted afterwards."""
+    quartiles = _quartiles(df, names)
+    aggs, rows = [F.count(F.lit(1)).alias("n")], []
+    for i, name in enumerate(names):
+        x, own = c(name).cast("double"), quartiles.get(name)
+        fences = _fences(own, float(multiplier))
+        aggs += [F.min(x).alias(f"mn{i}"), F.max(x).alias(f"mx{i}"), F.count_if(_outside(x, fences)).alias(f"o{i}")]
+        number = lambda v: F.lit(v).cast("double")
+        rows.append(F.struct(
+            F.lit(name).alias("column"), number(own and own[0]).alias("q1"), number(own and own[1]).alias("q3"),
+            number(fences[0]).alias("lower_bound"), number(fences[1]).alias("upper_bound"), F.col(f"mn{i}").alias("actual_min"),
+            F.col(f"mx{i}").alias("actual_max"), F.col("n").alias("n_rows"), F.col(f"o{i}").alias("total_outliers")))
+    return df.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
 def iqr_bounds(df: DataFrame, columns: Sequence[str] | None = None, multiplier: float = 1.5,
@@ -58,7 +74,8 @@ def iqr_bounds(df: DataFrame, columns: Sequence[str] | None = None, multiplier:
         return df.sparkSession.createDataFrame(
             [], "column string, q1 double, q3 double, iqr double, lower_bound double, "
                 "upper_bound double, actual_min double, actual_max double, n_rows long")
-    return _bounds_from_counts(_value_counts(df, names), multiplier)
+    return _summary(df, names, multiplier).select("column", "q1", "q3", (F.col("q3") - F.col("q1")).alias("iqr"), "lower_bound",
+                                                  "upper_bound", "actual_min", "actual_max", "n_rows")
 
 
 def analyze_outliers(df: DataFrame, method: str = "iqr", iqr_multiplier: float = 1.5,
@@ -67,8 +84,8 @@ def analyze_outliers(df: DataFrame, method: str = "iqr", iqr_multiplier: float =
     """Per numeric column: outlier count (strictly outside the bounds), its
     percent of all rows (number and ``"12.3%"`` text), bounds and range.
 
-    The raw table is read once: quartiles, range, row count and the outlier
-    count all come from the (column, value, count) table.
+    Three scans that read the analysed columns only: sketch, values next to
+    the quartiles, counts.
     """
     if method not in METHODS:
         raise ValueError(f"Unsupported method: {method}. Currently only 'iqr' is supported.")
@@ -77,17 +94,10 @@ def analyze_outliers(df: DataFrame, method: str = "iqr", iqr_multiplier: float =
         return df.sparkSession.createDataFrame(
             [], "column string, total_outliers long, outlier_pct double, percentage string, q1 double, "
                 "q3 double, lower_bound double, upper_bound double, actual_min double, actual_max double")
-    counts = _value_counts(df, names)
-    bounds = _bounds_from_counts(counts, iqr_multiplier)
-    # one row per analysed column: bounded by the schema width
-    flagged = counts.join(F.broadcast(bounds.select("column", "lower_bound", "upper_bound")), "column")
-    outside = (F.col("value") < F.col("lower_bound")) | (F.col("value") > F.col("upper_bound"))
-    tallies = flagged.groupBy("column").agg(F.sum(F.when(outside, F.col("n")).otherwise(0)).alias("total_outliers"))
     pct = safe_div(F.col("total_outliers"), F.col("n_rows")) * F.lit(100.0)
-    return (bounds.join(tallies, "column", "left")
-            .select("column", F.col("total_outliers").cast("long").alias("total_outliers"),
-                    pct.alias("outlier_pct"), format_pct(F.round(pct, 1), 1).alias("percentage"),
-                    "q1", "q3", "lower_bound", "upper_bound", "actual_min", "actual_max"))
+    return _summary(df, names, iqr_multiplier).select(
+        "column", F.col("total_outliers").cast("long").alias("total_outliers"), pct.alias("outlier_pct"),
+        format_pct(F.round(pct, 1), 1).alias("percentage"), "q1", "q3", "lower_bound", "upper_bound", "actual_min", "actual_max")
 
 
 def detect_outliers(df: DataFrame, column: str) -> DataFrame:
@@ -100,11 +110,14 @@ def outlier_rows(df: DataFrame, key_cols: Sequence[str], columns: Sequence[str]
                  iqr_multiplier: float = 1.5) -> DataFrame:
     """The outlying cells as (keys..., column, value); never collected."""
     names = _columns(df, columns, list(key_cols))
-    bounds = iqr_bounds(df, names, iqr_multiplier).select("column", "lower_bound", "upper_bound")
-    long = _numeric_long(df, names, key_cols)
-    return (long.join(F.broadcast(bounds), "column")
-            .where((F.col("value") < F.col("lower_bound")) | (F.col("value") > F.col("upper_bound")))
-            .select(*list(key_cols), "column", "value"))
+    quartiles = _quartiles(df, names) if names else {}
+    found = []
+    for name in names:
+        x = c(name).cast("double")
+        cell = F.struct(F.lit(name).alias("column"), x.alias("value"))
+        found.append(F.when(_outside(x, _fences(quartiles.get(name), float(iqr_multiplier))), cell))
+    cells = F.array_compact(F.array(*found)) if found else F.array().cast("array<struct<column:string,value:double>>")
+    return df.select(*[c(k) for k in key_cols], F.explode(cells).alias("__cell")).select(*[c(k) for k in key_cols], "__cell.column", "__cell.value")
 
 
 def boxplot_stats(df: DataFrame, group_col: str, value_col: str, whisker: float = 1.5) -> DataFrame:
@@ -117,7 +130,9 @@ def boxplot_stats(df: DataFrame, group_col: str, value_col: str, whisker: float
                       (F.col("q1") - m * (F.col("q3") - F.col("q1"))).alias("_lo"),
                       (F.col("q3") + m * (F.col("q3") - F.col("q1"))).alias("_hi"))
     x = c(value_col).cast("double")
-    # one row per group; AQE broadcasts it when small, else a shuffle join
+    # one row per group: broadcast if its bytes allow, so that rows stay where they are
+    fences = save_table(fences, "fences")
+    fences = F.broadcast(fences) if table_bytes(fences) <= BRACKET_BYTES else fences
     joined = keyed.select(c(group_col), x.alias("_x")).where(F.col("_x").isNotNull()).join(fences, group_col)
     inside = (F.col("_x") >= F.col("_lo")) & (F.col("_x") <= F.col("_hi"))
     return joined.groupBy(c(group_col)).agg(

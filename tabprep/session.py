@@ -76,12 +76,22 @@ def save_table(df: DataFrame, name: str) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _written.setdefault(spark.sparkContext.applicationId, []).append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._saved_path = path
+    return out
 
 
 _written: dict[str, list[str]] = {}
 
 
+def table_bytes(table: DataFrame) -> int:
+    """Bytes on disk of a table from ``save_table``: what a broadcast of it is
+    decided by, without a job."""
+    spark = table.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table._saved_path)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+
+
 def drop_tables(spark: SparkSession) -> int:
     """Delete the tables written by ``save_table`` in this application; call it
     when no DataFrame built on them is needed any more."""

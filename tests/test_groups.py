@@ -31,10 +31,10 @@ def test_exact_percentiles_match_numpy(df):
 
 
 def test_exact_percentiles_bucketed_path(spark, df, monkeypatch):
-    import tabprep.operators.cumulative as cum
-    monkeypatch.setattr(cum, "ROWS_PER_BUCKET", 20)
+    from tabprep.operators import quantiles
     from tabprep.operators.cumulative import running_totals
-    monkeypatch.setattr(groups, "running_totals",
+    monkeypatch.setattr(quantiles, "BRACKET_BYTES", 0)  # ranking in full, in ranges of 20 values
+    monkeypatch.setattr(quantiles, "running_totals",
                         lambda *a, **k: running_totals(*a, rows_per_bucket=20, **k))
     pdf = _pdf(df)
     got = {r["g"]: r["p50"] for r in groups.group_percentiles(df, "g", "v").collect()}
