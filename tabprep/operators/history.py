@@ -20,6 +20,8 @@ from .cumulative import running_totals
 MONITORS = ("loss", "val_loss", "accuracy", "val_accuracy", "auc", "val_auc",
             "precision", "val_precision", "recall", "val_recall", "f1", "val_f1")
 METRICS = ("accuracy", "precision", "recall", "f1", "auc")
+#: Scores are kept this far from 0 and 1 in the cross-entropy, so that it stays finite.
+_CLIP = 1e-15
 
 
 def monitor_mode(monitor: str, mode: str = "auto") -> str:
@@ -36,10 +38,11 @@ def metric_history(scored: DataFrame, label_col: str, score_col: str, round_col:
                    threshold: float = 0.5) -> DataFrame:
     """Long history from rows scored in every round.  Rows whose boolean
     ``val_col`` is true give the ``val_`` series.  A metric that is undefined
-    in a round (no predicted positives, one class only) has no row there."""
-    unknown = [m for m in metrics if m not in METRICS]
+    in a round (no predicted positives, one class only) has no row there.
+    ``loss`` is the mean cross-entropy, for scores that are probabilities."""
+    unknown = [m for m in metrics if m not in (*METRICS, "loss")]
     if unknown:
-        raise ValueError(f"unknown metrics {unknown}; choose from {METRICS}")
+        raise ValueError(f"unknown metrics {unknown}; choose from {METRICS} and loss")
     keys = [*run_cols, round_col]
     val = c(val_col) if val_col else F.lit(False)
     counts = (scored.select(*[c(k) for k in keys], val.alias("__val"), c(score_col).cast("double").alias("__s"), c(label_col).alias("__y"))
@@ -48,12 +51,15 @@ def metric_history(scored: DataFrame, label_col: str, score_col: str, round_col:
     ranked = running_totals(counts, "__s", ["__neg"], [*keys, "__val"]) if "auc" in metrics else counts.withColumn("cum___neg", F.lit(0))
     hit = F.col("__s") >= F.lit(float(threshold))
     total = lambda col, when=None: F.coalesce(F.sum(F.when(when, col) if when is not None else col), F.lit(0)).cast("double")
+    sure = F.greatest(F.least(F.col("__s"), F.lit(1 - _CLIP)), F.lit(_CLIP))
+    entropy = -(F.col("__pos") * F.log(sure) + F.col("__neg") * F.log(1 - sure)) if "loss" in metrics else F.lit(0.0)
     k = ranked.groupBy(*[c(x) for x in keys], "__val").agg(
+        F.sum(entropy).alias("entropy"),
         total(F.col("__pos"), hit).alias("tp"), total(F.col("__neg"), hit).alias("fp"),
         total(F.col("__pos")).alias("p"), total(F.col("__neg")).alias("n"),
         F.sum(F.col("__pos").cast("double") * (F.col("cum___neg") - F.col("__neg") * F.lit(0.5))).alias("below"))
     tp, fp, p, n = (F.col(x) for x in ("tp", "fp", "p", "n"))
-    value = {"accuracy": safe_div(tp + n - fp, p + n), "precision": safe_div(tp, tp + fp), "recall": safe_div(tp, p),
+    value = {"loss": safe_div(F.col("entropy"), p + n), "accuracy": safe_div(tp + n - fp, p + n), "precision": safe_div(tp, tp + fp), "recall": safe_div(tp, p),
              "f1": safe_div(2 * tp, tp + fp + p), "auc": safe_div(F.col("below"), p * n)}
     name = lambda m: F.when(F.col("__val"), F.lit(f"val_{m}")).otherwise(F.lit(m))
     rows = F.explode(F.array(*[F.struct(name(m).alias("metric"), value[m].alias("value")) for m in metrics])).alias("r")

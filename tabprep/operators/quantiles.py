@@ -169,14 +169,15 @@ def exact_percentiles(df: DataFrame, value_col: str, probs: Sequence[float] = PE
             return _interpolated(picked, gcols, orig, rising, [names[i] for i in place]).select(*[c(o) for o in orig], *[c(n) for n in names])
     else:
         bounds = brackets(vals, gcols, rising).first().asDict()          # one row
-    picked = _exact(_picked_from_cells(cells(vals, gcols, bounds, len(rising)), gcols, rising), vals, gcols, rising)
+    picked = save_table(_picked_from_cells(cells(vals, gcols, bounds, len(rising)), gcols, rising), "quantiles")
+    picked = _exact(picked, vals, gcols, rising)
     return _interpolated(picked, gcols, orig, rising, [names[i] for i in place]).select(*[c(o) for o in orig], *[c(n) for n in names])
 
 
 def _exact(picked: DataFrame, vals: DataFrame, gcols: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """The picks, with the groups whose brackets missed a rank (the sketch was
-    wrong, or the rank holds a NaN) ranked in full."""
-    picked = save_table(picked, "quantiles")
+    """The picks (a table that is there: saved, or a row per column), with the
+    groups whose brackets missed a rank (the sketch was wrong, or the rank
+    holds a NaN) ranked in full."""
     missed = F.lit(False)
     for i in range(len(probs)):
         missed = missed | F.col(f"_lo{i}").isNull() | F.col(f"_hi{i}").isNull()
@@ -205,7 +206,9 @@ def column_percentiles(df: DataFrame, columns: Sequence[str], probs: Sequence[fl
     found = row.select(*[e.alias(f"{k}{name}") for k in range(len(xs)) for name, e in _edges(F.col(f"n{k}"), F.col(f"q{k}"), rising).items()]).first()
     cell = lambda k, x: F.struct(F.lit(k).alias("_grp0"), x.alias("_v"), _zone(x, lambda name: F.lit(found[f"{k}{name}"]), len(rising)).alias("_zone"))
     long = df.select(F.explode(F.array(*[cell(k, x) for k, x in enumerate(xs)])).alias("kv")).select("kv._grp0", "kv._v", "kv._zone").where(F.col("_v").isNotNull())
-    picked = _exact(_picked_from_cells(_counted(long, ["_grp0"]), ["_grp0"], rising), long, ["_grp0"], rising)
+    picked = _picked_from_cells(_counted(long, ["_grp0"]), ["_grp0"], rising)
+    picked = df.sparkSession.createDataFrame(picked.collect(), picked.schema)        # a row per column
+    picked = _exact(picked, long, ["_grp0"], rising)
     label = F.array(*[F.lit(name) for name in columns])
     out = _interpolated(picked, ["_grp0"], ["_k"], rising, [names[i] for i in place])
     return out.select(label[F.col("_k")].alias("column"), *[c(n) for n in names])

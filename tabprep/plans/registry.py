@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import c, nan_to_null
 from ..operators import (clean, corr, encode, features, groups, hist, history, imbalance, metrics, neighbors,
-                         outliers, profile, resample, scale, split)
+                         outliers, profile, resample, scale, split, staged)
 from ..functions import convert
 from ..operators import train as T_
 from ..streaming import stream as S_
@@ -558,12 +558,13 @@ def q_optimize_strategy(spark, sf):
 
 
 def q_training_history(spark, sf):
+    """(round, metric, value): loss, accuracy, precision, recall, F1 and AUC of
+    every boosting round on the training and the validation rows."""
     p = _prepared(spark, sf)
     cfg = T_.ModelConfig(T_.ModelType.GRADIENT_BOOSTING, "Gradient Boosting",
                          params={"n_estimators": 30, "max_depth": 4, "learning_rate": 0.1, "random_state": 42})
     model, _ = T_.fit(cfg, p.train, list(p.feature_names), "not_fully_paid")
-    hist = T_.boosting_history(model, p.train, p.val, list(p.feature_names), "not_fully_paid", spark)
-    return finish(hist)
+    return finish(staged.fit_history(model, p.train, p.val, list(p.feature_names), "not_fully_paid"))
 
 
 def q_best_epoch(spark, sf):
@@ -707,11 +708,15 @@ def q_corr_mask_upper(spark, sf):
 
 
 def q_early_stopping(spark, sf):
+    """A boosted fit stopped by its validation AUC, cut at the best round."""
     p = _prepared(spark, sf)
     cfg = T_.ModelConfig(T_.ModelType.GRADIENT_BOOSTING, "Gradient Boosting",
                          params={"n_estimators": 60, "max_depth": 3, "learning_rate": 0.1, "random_state": 42})
-    model, _ = T_.fit_with_early_stopping(cfg, p.train, p.val, list(p.feature_names), "not_fully_paid")
-    return spark.range(1).select(F.lit(model.getNumTrees).alias("n_trees"))
+    found = staged.fit_until(cfg, p.train, p.val, list(p.feature_names), "not_fully_paid", monitor="val_auc", mode="max", patience=5)
+    return finish(spark.range(1).select(
+        F.lit("val_auc").alias("monitor"), F.lit("max").alias("mode"), F.lit(5).alias("patience"), F.lit(found.best_round).alias("best_round"),
+        F.lit(found.best_value).alias("best_value"), F.lit(found.stop_round).alias("stop_round"), F.lit(found.stopped).alias("stopped"),
+        F.lit(found.model.getNumTrees).alias("n_trees")))
 
 
 def q_score_with_function(spark, sf):

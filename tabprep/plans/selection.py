@@ -225,9 +225,12 @@ def compare_models(configs: Sequence[ModelConfig], train: DataFrame, test: DataF
 
 def best_epoch(history: DataFrame, monitor: str = "val_loss", mode: str = "min",
                round_col: str = "round") -> DataFrame:
-    """First round with the best monitored value: (best_round, best_value)."""
+    """First round with the best monitored value: (best_round, best_value).
+    ``history`` has a column per series, or is long (round, metric, value)."""
     if mode not in ("min", "max"):
         raise ValueError("mode must be 'min' or 'max'")
+    if {"metric", "value"} <= set(history.columns):
+        history = history.where(F.col("metric") == F.lit(monitor)).select(c(round_col), c("value").alias(monitor))
     key = F.struct((c(monitor) if mode == "min" else -c(monitor)).alias("v"), c(round_col).alias("r"))
     best = history.agg(F.min(key).alias("b"))
     return best.select(F.col("b.r").alias("best_round"),
