@@ -1,31 +1,36 @@
 """Exact k-nearest neighbours within one table, without a cross join.
 
 For every point v we need the k points w != v closest in Euclidean distance
-(ties by id).  Points are dealt to the nearest of a few hundred pivots, in the
-full feature space.  Three facts about each cell are small enough for the
-driver: its size, its radius U and the k + 1 smallest distances to its pivot.
-With the pivots' distances among themselves they bound, by the triangle
-inequality, how far the k-th neighbour of any point of a cell can be:
-``dist(v, pivot) + T``.  A point w can then be a neighbour of some point of
-the cell only if ``dist(w, pivot) <= 2 U + T``; it is sent to those cells and
-to no other.
-
-A cell's points are cut into blocks of BLOCK_ROWS.  One task holds one block
-and its best k so far and reads the cell's candidates as a stream of Arrow
-batches, so neither a large cell nor many candidates are ever collected, and
-no pair of points is a row of any table.
-
-The work depends on the data: where distances concentrate (many independent
-dimensions) the bounds exclude little and every block meets most points;
-what is shuffled is then points times blocks, never pairs.  ``knn_distinct``
-needs distinct vectors; ``knn`` collapses repeated vectors first and maps the
-answer back to rows.
+(ties by id).  The points are dealt into a tree of cells: a cell of more than
+LEAF_ROWS points gets up to FANOUT of its points as pivots and each point goes
+to its nearest pivot, again and again until cells are small.  Of each node the
+driver knows the pivot, the number of points and the radius U.
+
+1. Within its own leaf every point finds k others; the k-th distance is its
+   ``reach``: no neighbour is beyond it.
+2. With it the point walks down the tree.  By the triangle inequality a node
+   can hold one of its neighbours only if ``dist(v, pivot) <= reach + U``, so
+   it meets the pivots on its way, not those of all cells, and is sent to the
+   few leaves it arrives at.
+3. A leaf compares its points with the queries sent to it and keeps the k
+   nearest of each; the last step keeps the k nearest over all leaves.
+
+A leaf's points are cut into blocks of BLOCK_ROWS, and queries are read as a
+stream of Arrow batches, so neither a large leaf nor many queries are ever
+collected, and no pair of points beyond the k nearest of a block is a row.
+
+The tree is broadcast and bounded by TREE_BYTES, so leaves are larger where
+there are more than about 10^7 points of ten features.  The work depends on
+the data: where distances concentrate (many independent dimensions) the bounds
+exclude little and points visit most leaves.  ``knn_distinct`` needs distinct
+vectors; ``knn`` collapses repeated vectors first and maps the answer back to
+rows.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +41,10 @@ from ..functions.columns import c
 from ..session import save_table
 
 BLOCK_ROWS = 1024
-#: pivots: four times the root of the number of points, at most this many (they are broadcast)
-MAX_PIVOTS = 1024
+LEAF_ROWS = 64
+FANOUT = 64
+TREE_BYTES = 64 << 20
+LEVELS = 24
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
@@ -62,62 +69,178 @@ def _best(row, dist, ids, k):
     return order[place < k]
 
 
-def candidate_cells(df: DataFrame, id_col: str, feature_cols: Sequence[str], k: int, seed: int, pivots: int | None, block: int):
-    """(points, candidates): points (cell, blk, id, vec, reach) in their own
-    cells, candidates (cell, id, vec) in every cell that may need them, and
-    the number of blocks per cell.  None for fewer than two points."""
+@dataclass
+class PivotTree:
+    """Nodes side by side, the children of a node next to one another; node 0
+    is the root and has no pivot."""
+    centre: np.ndarray                 # nodes x features
+    first: np.ndarray                  # first child, of nodes that are split
+    many: np.ndarray                   # children, 0 for leaves
+    size: np.ndarray
+    radius: np.ndarray
+
+    def grow(self, node: int, centres: np.ndarray) -> None:
+        self.first[node], self.many[node] = len(self.size), len(centres)
+        none = np.zeros(len(centres), np.int64)
+        self.centre = np.concatenate([self.centre, centres])
+        self.first, self.many, self.size = (np.concatenate([old, none]) for old in (self.first, self.many, self.size))
+        self.radius = np.concatenate([self.radius, np.zeros(len(centres))])
+
+    def children(self, node: int) -> slice:
+        return slice(int(self.first[node]), int(self.first[node] + self.many[node]))
+
+    def leaves_within(self, x: np.ndarray, reach: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """(leaf, rows of x) where the leaf may hold points within the rows' reach."""
+        limit = np.where(self.size > 0, self.radius, -np.inf)
+        walk = [(0, np.arange(len(x)))]
+        while walk:
+            node, rows = walk.pop()
+            if not self.many[node]:
+                yield node, rows
+                continue
+            own = self.children(node)
+            near = _distances(x[rows], self.centre[own]) <= reach[rows][:, None] + limit[own]
+            walk += [(own.start + j, rows[near[:, j]]) for j in np.flatnonzero(near.any(0)).tolist()]
+
+
+def _nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    at, d = np.empty(len(x), np.int64), np.empty(len(x))
+    for k in range(0, len(x), 1024):
+        all_ = _distances(x[k:k + 1024], centres)
+        at[k:k + 1024] = all_.argmin(1)
+        d[k:k + 1024] = all_[np.arange(len(all_)), at[k:k + 1024]]
+    return at, d
+
+
+def _dealt(rows: DataFrame, to: dict[int, tuple[np.ndarray, np.ndarray]], dim: int) -> DataFrame:
+    """Rows (id, vec, cell, d) with those of the cells in ``to`` moved to the
+    nearest of the cell's (new cell ids, centres)."""
+    shared = rows.sparkSession.sparkContext.broadcast(to)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cell, d = batch.column(2).to_numpy().copy(), batch.column(3).to_numpy().copy()
+            x, old = _matrix(batch.column(1), dim), cell.copy()
+            for node in np.unique(old).tolist():
+                if node in shared.value:
+                    ids, centres = shared.value[node]
+                    own = np.flatnonzero(old == node)
+                    at, d[own] = _nearest(x[own], centres)
+                    cell[own] = ids[at]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cell, pa.int32()), pa.array(d, pa.float64())], names=["id", "vec", "cell", "d"])
+
+    return rows.mapInArrow(run, rows.schema)
+
+
+def _stats(rows: DataFrame, tree: PivotTree) -> None:
+    for r in rows.groupBy("cell").agg(F.count("*").alias("n"), F.max("d").alias("u")).collect():   # a row per leaf
+        # a hair of slack for rounding
+        tree.size[r["cell"]], tree.radius[r["cell"]] = r["n"], r["u"] * (1 + 1e-9) + 1e-12 if r["cell"] else np.inf
+
+
+def pivot_tree(rows: DataFrame, dim: int, n: int, least: int, seed: int, fanout: int, leaf: int) -> tuple[DataFrame, PivotTree]:
+    """Split the root (all rows in cell 0) into cells of about half of ``leaf``
+    points, and cells of more than twice ``leaf`` again; (rows in their leaves, tree).  Children of fewer than ``least``
+    points are given up and their points go to the next pivot."""
+    tree = PivotTree(np.zeros((1, dim)), np.zeros(1, np.int64), np.zeros(1, np.int64), np.array([n]), np.array([np.inf]))
+    open_ = [0] if n > 2 * leaf and fanout > 1 else []
+    for level in range(LEVELS):
+        want = {node: min(fanout, -(-2 * int(tree.size[node]) // leaf)) for node in open_}
+        if not open_ or (len(tree.size) + 2 * sum(want.values())) * (8 * dim + 32) > TREE_BYTES:
+            break
+        shares = rows.sparkSession.createDataFrame([(node, float(m) / int(tree.size[node])) for node, m in want.items()], "cell int, share double")
+        drawn = (F.xxhash64("id", F.lit(seed), F.lit(level)).cast("double") / 2.0 ** 64 + 0.5) < F.col("share")
+        chosen: dict[int, list[bytes]] = {}
+        for r in rows.join(F.broadcast(shares), "cell").where(drawn).select("cell", "vec").collect():   # the next nodes: part of the bounded tree
+            chosen.setdefault(r["cell"], []).append(bytes(r["vec"]))
+        to = {}
+        for node in open_:
+            centres = sorted(chosen.get(node, []))[:2 * fanout]
+            if len(centres) > 1:
+                tree.grow(node, np.frombuffer(b"".join(centres), np.float64).reshape(-1, dim))
+                own = tree.children(node)
+                to[node] = (np.arange(own.start, own.stop), tree.centre[own])
+        if not to:
+            break
+        rows = save_table(_dealt(rows, to, dim), "knn-dealt")
+        _stats(rows, tree)
+        back = {}
+        for node, (ids, centres) in to.items():
+            enough = tree.size[ids] >= least
+            if not enough.all():                              # at least one child has enough: the node has many points
+                back |= {int(i): (ids[enough], centres[enough]) for i in ids[~enough & (tree.size[ids] > 0)]}
+                tree.size[ids[~enough]] = 0
+        if back:
+            rows = _dealt(rows, back, dim)
+            _stats(rows, tree)
+        # a node whose points all went to one child is as far as it gets
+        open_ = [int(i) for node, (ids, _) in to.items() if (tree.size[ids] > 0).sum() > 1 for i in ids if tree.size[i] > 2 * leaf]
+    return rows, tree
+
+
+def candidate_cells(df: DataFrame, id_col: str, feature_cols: Sequence[str], k: int, seed: int, pivots: int | None, block: int,
+                    leaf: int | None = None):
+    """(points, queries, cuts): points (cell, blk, id, vec) in their leaves,
+    queries (cell, id, vec, reach) in every leaf that may hold a neighbour,
+    and the number of blocks per leaf.  None for fewer than two points."""
     spark, dim = df.sparkSession, len(feature_cols)
     pts = df.select(c(id_col).alias("id"), *[c(f).cast("double").alias(f"x{i}") for i, f in enumerate(feature_cols)])
-    pts = save_table(pts, "knn-points")
-    n = pts.count()
-    if n <= 1:
-        return None
-    many = min(pivots or 4 * math.isqrt(n), MAX_PIVOTS, n)
-    chosen = pts.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(many).drop("id").collect()  # at most MAX_PIVOTS rows
-    centre = np.array([tuple(r) for r in chosen], float).reshape(many, dim)
-    shared = spark.sparkContext.broadcast(centre)
     kind = pts.schema["id"].dataType.simpleString()
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def root(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k0 in range(0, batch.num_rows, 1024):
-                part = batch.slice(k0, 1024)
-                x = np.stack([part.column(j + 1).to_numpy(zero_copy_only=False) for j in range(dim)], 1).astype(float)
-                d = _distances(x, shared.value)
-                cell = d.argmin(1)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([v.tobytes() for v in x], pa.binary()), pa.array(cell.astype(np.int32)), pa.array(d[np.arange(len(x)), cell])],
-                                                 names=["id", "vec", "cell", "d"])
-
-    dealt = save_table(pts.mapInArrow(deal, f"id {kind}, vec binary, cell int, d double"), "knn-dealt")
-    size = {r["cell"]: (r["n"], r["u"]) for r in dealt.groupBy("cell").agg(F.count("*").alias("n"), F.max("d").alias("u")).collect()}
-    # the k + 1 smallest distances to each pivot, ranked in salted pieces first
-    salted = Window.partitionBy("cell", "s").orderBy("d")
-    near = dealt.select("cell", "d", F.pmod(F.xxhash64("id"), F.lit(64)).alias("s")).withColumn("r", F.row_number().over(salted)).where(F.col("r") <= k + 1)
-    least = Window.partitionBy("cell").orderBy("d")
-    near = near.withColumn("q", F.row_number().over(least)).where(F.col("q") <= k + 1).select("cell", "d").collect()  # k + 1 rows a pivot
-    of = np.array([r["cell"] for r in near])
-    own = np.array([r["d"] for r in near])
-    between = _distances(centre, centre)
-    radius = np.array([size.get(i, (0, 0.0))[1] for i in range(many)])
-    # a point itself is among the k + 1 nearest, hence the (k + 1)-th smallest bound; a hair of slack for rounding
-    bound = np.sort(between[:, of] + own[None, :], axis=1)
-    reach = (bound[:, min(k, bound.shape[1] - 1)] if bound.shape[1] > k else np.full(many, np.inf)) * (1 + 1e-9) + 1e-12
-    alive = np.array([i in size for i in range(many)])
-    limits = spark.sparkContext.broadcast((centre, np.where(alive, 2 * radius * (1 + 1e-9) + reach, -1.0)))
+            x = np.stack([batch.column(j + 1).to_numpy(zero_copy_only=False) for j in range(dim)], 1).astype(float)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([v.tobytes() for v in x], pa.binary()), pa.array(np.zeros(len(x), np.int32)), pa.array(np.zeros(len(x)))],
+                                             names=["id", "vec", "cell", "d"])
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centre, limit = limits.value
-        for batch in batches:
-            for k0 in range(0, batch.num_rows, 1024):
-                part = batch.slice(k0, 1024)
-                row, cell = np.nonzero(_distances(_matrix(part.column(1), dim), centre) <= limit[None, :])
-                at = pa.array(row)
-                yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), part.column(0).take(at), part.column(1).take(at)], names=["cell", "id", "vec"])
+    rows = save_table(pts.mapInArrow(root, f"id {kind}, vec binary, cell int, d double"), "knn-points")
+    n = rows.count()
+    if n <= 1:
+        return None
+    small = leaf or max(LEAF_ROWS, -(-4 * n * (8 * dim + 32) // TREE_BYTES))     # two nodes for each leaf's worth of points
+    dealt, tree = pivot_tree(rows, dim, n, k + 1, seed, pivots or FANOUT, small)
+    leaves = np.flatnonzero((tree.many == 0) & (tree.size > 0))
+    cuts = spark.createDataFrame([(int(i), max(1, int(tree.size[i]) // block)) for i in leaves], "cell int, cuts int")
+    points = dealt.join(F.broadcast(cuts), "cell").select("cell", F.pmod(F.xxhash64("id"), F.col("cuts")).cast("int").alias("blk"), "id", "vec", "d")
+    shared = spark.sparkContext.broadcast(tree)
 
-    cuts = spark.createDataFrame([(i, max(1, -(-m // block)), float(reach[i])) for i, (m, _) in size.items()], "cell int, cuts int, t double")
-    points = dealt.join(F.broadcast(cuts), "cell").select("cell", F.pmod(F.xxhash64("id"), F.col("cuts")).cast("int").alias("blk"), "id", "vec", (F.col("d") + F.col("t")).alias("reach"))
-    sent = dealt.select("id", "vec").mapInArrow(send, f"cell int, id {kind}, vec binary")
-    return points, sent, cuts
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree = shared.value
+        for cell, ids, x, d in _blocks_of(batches, dim):
+            # no neighbour is beyond the k-th of the own block; all points of the leaf are within d + U
+            reach = np.where(tree.size[cell] > k, d + tree.radius[cell], np.inf)
+            if len(x) > k:
+                for s in range(0, len(x), 1024):
+                    reach[s:s + 1024] = np.minimum(reach[s:s + 1024], np.partition(_distances(x[s:s + 1024], x), k, axis=1)[:, k] * (1 + 1e-9) + 1e-12)
+            to, row = zip(*((np.full(len(own), found, np.int32), own) for found, own in tree.leaves_within(x, reach)))
+            row = np.concatenate(row)
+            at = pa.array(row)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(to)), ids.take(at), pa.array([v.tobytes() for v in x], pa.binary()).take(at), pa.array(reach[row])], names=["cell", "id", "vec", "reach"])
+
+    together = points.repartition("cell", "blk").sortWithinPartitions("cell", "blk")
+    return points.drop("d"), together.mapInArrow(send, f"cell int, id {kind}, vec binary, reach double"), cuts
+
+
+def _blocks_of(batches: Iterator[pa.RecordBatch], dim: int) -> Iterator[tuple[int, pa.Array, np.ndarray, np.ndarray]]:
+    """(cell, ids, vectors, distances to the pivot) of each block of sorted
+    (cell, blk, id, vec, d) rows, whatever batches it spans."""
+    held: list[pa.RecordBatch] = []
+
+    def whole():
+        table = pa.Table.from_batches(held).combine_chunks()
+        vec = table.column(3).chunk(0)
+        return table.column(0)[0].as_py(), table.column(2).chunk(0), _matrix(vec, dim), table.column(4).to_numpy()
+
+    for batch in batches:
+        cell, blk = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        cut = np.flatnonzero(np.concatenate([[True], (cell[1:] != cell[:-1]) | (blk[1:] != blk[:-1]), [True]])) if len(cell) else np.zeros(1, np.int64)
+        for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
+            if held and (held[0].column(0)[0].as_py(), held[0].column(1)[0].as_py()) != (int(cell[a]), int(blk[a])):
+                yield whole()
+                held = []
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield whole()
 
 
 def knn_distinct(df: DataFrame, id_col: str, feature_cols: Sequence[str], k: int = 5, seed: int = 0,
@@ -130,53 +253,39 @@ def knn_distinct(df: DataFrame, id_col: str, feature_cols: Sequence[str], k: int
         return df.select(c(id_col).alias("id"), c(id_col).alias("nbr_id"), F.lit(0).alias("nbr_rank"), F.lit(0.0).alias("dist")).limit(0)
     points, sent, cuts = found
     kind = points.schema["id"].dataType.simpleString()
-    other = sent.join(F.broadcast(cuts), "cell").select("cell", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("blk"), "id", "vec", F.lit(None).cast("double").alias("reach"))
-    both = points.withColumn("side", F.lit(0)).unionByName(other.withColumn("side", F.lit(1)))
+    asked = sent.join(F.broadcast(cuts), "cell").select("cell", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("blk"), "id", "vec", "reach")
+    both = points.select("*", F.lit(None).cast("double").alias("reach"), F.lit(0).alias("side")).unionByName(asked.withColumn("side", F.lit(1)))
     both = both.repartition("cell", "blk").sortWithinPartitions("cell", "blk", "side").select("cell", "blk", "side", "id", "vec", "reach")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, mine, best = None, [], None
-
-        def result():
-            if best is None or not len(best[0]):
-                return
-            row, dist, ids = best
-            first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
-            rank = np.arange(len(row)) - np.repeat(first, np.diff(np.append(first, len(row)))) + 1
-            yield pa.RecordBatch.from_arrays([pa.array(mine[0][row]), pa.array(ids), pa.array(rank.astype(np.int32)), pa.array(dist)], names=["id", "nbr_id", "nbr_rank", "dist"])
-
+        key, mine = None, []
         for batch in batches:
             cell, blk, side = (batch.column(j).to_numpy() for j in range(3))
-            cut = np.flatnonzero(np.concatenate([[True], (cell[1:] != cell[:-1]) | (blk[1:] != blk[:-1]) | (side[1:] != side[:-1]), [True]]))
+            cut = np.flatnonzero(np.concatenate([[True], (cell[1:] != cell[:-1]) | (blk[1:] != blk[:-1]) | (side[1:] != side[:-1]), [True]])) if len(cell) else np.zeros(1, np.int64)
             for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
                 ids, x = batch.column(3).slice(a, b - a).to_numpy(zero_copy_only=False), _matrix(batch.column(4).slice(a, b - a), dim)
                 if side[a] == 0:
-                    reach = batch.column(5).slice(a, b - a).to_numpy(zero_copy_only=False)
                     if key != (cell[a], blk[a]):
-                        yield from result()
-                        key, mine, best = (cell[a], blk[a]), [ids, x, reach], None
+                        key, mine = (cell[a], blk[a]), [ids, x]
                     else:                                      # the block goes on in the next batch
-                        mine = [np.concatenate(m) for m in zip(mine, (ids, x, reach))]
+                        mine = [np.concatenate(m) for m in zip(mine, (ids, x))]
                     continue
-                if key != (cell[a], blk[a]):                   # candidates of a block without points
+                if key != (cell[a], blk[a]):                   # queries to a block without points
                     continue
-                for s in range(0, len(ids), 2048):
-                    d = _distances(mine[1], x[s:s + 2048])
-                    row, col = np.nonzero(d <= mine[2][:, None])
-                    other = ids[s:s + 2048][col]
-                    new = other != mine[0][row]
-                    row, dist, other = row[new], d[row[new], col[new]], other[new]
-                    if best is not None:
-                        row, dist, other = (np.concatenate(z) for z in zip(best, (row, dist, other)))
-                    keep = _best(row, dist, other, k)
-                    best = [row[keep], dist[keep], other[keep]]
-                    if len(keep):                              # no need to look beyond the k-th found
-                        count = np.bincount(best[0], minlength=len(mine[0]))
-                        full, last = count >= k, np.cumsum(count) - 1
-                        mine[2] = np.where(full, np.minimum(mine[2], best[1][np.maximum(last, 0)]), mine[2])
-        yield from result()
-
-    return both.mapInArrow(search, f"id {kind}, nbr_id {kind}, nbr_rank int, dist double")
+                reach = batch.column(5).slice(a, b - a).to_numpy(zero_copy_only=False)
+                for s in range(0, len(ids), 1024):
+                    d = _distances(x[s:s + 1024], mine[1])
+                    row, col = np.nonzero(d <= reach[s:s + 1024][:, None])
+                    other = mine[0][col] != ids[s:s + 1024][row]
+                    row, col = row[other], col[other]
+                    keep = _best(row, d[row, col], mine[0][col], k)
+                    row, col = row[keep], col[keep]
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[s:s + 1024][row]), pa.array(mine[0][col]), pa.array(d[row, col])], names=["id", "nbr_id", "dist"])
+
+    met = both.mapInArrow(search, f"id {kind}, nbr_id {kind}, dist double")
+    # at most k rows of each leaf that a point was sent to
+    order = Window.partitionBy("id").orderBy("dist", "nbr_id")
+    return met.withColumn("nbr_rank", F.row_number().over(order)).where(F.col("nbr_rank") <= k).select("id", "nbr_id", "nbr_rank", "dist")
 
 
 _SALT = 64

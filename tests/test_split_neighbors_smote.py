@@ -150,6 +150,40 @@ def test_knn_compares_few_pairs_where_points_cluster(spark):
     assert _compared(spark, groups) < 0.25 * 3000 ** 2
 
 
+@pytest.mark.parametrize("kind", ["plane", "groups"])
+def test_knn_compares_less_than_n_to_the_1_5(spark, kind):
+    """From 10,000 to 100,000 points, uniform in the plane or clustered in ten
+    dimensions, the compared pairs grow by less than 10^1.5."""
+    compared = {}
+    for n in (10_000, 100_000):
+        rng = np.random.default_rng(6)
+        if kind == "plane":
+            x = rng.uniform(size=(n, 2))
+        else:                                                  # the same density within a group: more groups
+            x = rng.normal(0, 60, (n // 100, 10))[rng.integers(0, n // 100, n)] + rng.normal(size=(n, 10))
+        compared[n] = _compared(spark, x)
+    assert compared[100_000] < 10 ** 1.5 * compared[10_000], compared
+    assert compared[100_000] < 0.01 * 100_000 ** 2
+
+
+def test_tree_bounds_hold(spark):
+    """Every point is sent to the leaves of its k nearest, also in a tree
+    with nodes nested in dense places and few points far out."""
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.normal(0, 10.0 ** -j, (300, 3)) + 7 * j for j in range(5)] + [rng.uniform(-1e3, 1e3, (40, 3))])
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "id long, f0 double, f1 double, f2 double")
+    points, sent, _ = neighbors.candidate_cells(df, "id", ["f0", "f1", "f2"], 5, 0, 8, 1024, leaf=24)
+    cell, to, reach = {r["id"]: r["cell"] for r in points.collect()}, {}, {}
+    for r in sent.collect():
+        to.setdefault(r["id"], set()).add(r["cell"])
+        reach[r["id"]] = r["reach"]
+    assert len(cell) == len(x) and len(set(cell.values())) > 30
+    for i in range(len(x)):
+        d = np.sqrt(((x - x[i]) ** 2).sum(1))
+        near = [j for j in np.argsort(d, kind="stable") if j != i][:5]
+        assert {cell[j] for j in near} <= to[i] and d[near[-1]] <= reach[i]
+
+
 def test_knn_in_ten_dimensions(spark):
     rng = np.random.default_rng(5)
     pts = [(i, *map(float, r)) for i, r in enumerate(rng.normal(size=(300, 10)))]
