@@ -14,12 +14,17 @@ has the ``repeats`` with which the recall measured on copies of its own items
 with as many edits as a match may have reaches ``recall``; where
 ``MOST_REPEATS`` do not, the call fails.
 
-All windows of a text are walked at once.  Walks from neighbouring starts
+A text is walked only where a match can be.  An edit spoils at most RUN of the
+RUN-word windows of an item, so a match of n words with e edits holds
+n - RUN + 1 - RUN * e of them unchanged; stretches of that length with fewer
+windows that some item has cannot match and are left out (nothing is lost).
+All windows of what is left are walked at once.  Walks from neighbouring starts
 that stand on the same word at the same step stay together, so they are
 merged: the work per step shrinks with the root of the steps done.
 
-Items with fewer than ``least_words`` words are not searched for; a null or
-empty text has no windows; ids that repeat share one verdict; null ids are
+Items of SHORT to SIZES[0] - 1 words are too short for walks: they match
+verbatim, by the hashed windows of their own length.  Shorter items are not
+searched for; a null or empty text has no windows; ids that repeat share one verdict; null ids are
 one id; an empty table on either side gives no matches; equal items are each
 reported; other columns are ignored.
 """
@@ -39,6 +44,9 @@ from .shared import Scratch, sized
 
 #: Least words of each size class; windows of a class are sampled within its least size.
 SIZES = (8, 12, 18, 27, 40, 60, 90)
+#: Words of a window that a match shares with its item, and least words of an item.
+RUN = 3
+SHORT = 3
 SAMPLES = 2
 MOST_REPEATS = 64
 EXACT_KEYS = 1_000_000
@@ -115,6 +123,89 @@ def walk_keys(symbol: np.ndarray, repeat: int, classes: list[int], starts: np.nd
             place, lead = place[new], lead[new]
 
 
+def window_hashes(symbol: np.ndarray, n: int) -> np.ndarray:
+    """Hash of the ``n`` words from each place on; 0 where a PAD is among them."""
+    size = len(symbol) - n + 1
+    if size <= 0:
+        return np.zeros(0, np.uint64)
+    value, whole = np.full(size, n, np.uint64), np.ones(size, bool)
+    for k in range(n):
+        own = symbol[k:k + size]
+        value = (value ^ (value >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15) + own
+        whole &= own != PAD
+    return np.where(whole, value ^ (value >> np.uint64(29)) | np.uint64(1), PAD)
+
+
+def shared_windows(n: int, edits: int) -> int:
+    """How many RUN-word windows of an item of n words stay whole at least."""
+    return n - RUN + 1 - RUN * edits
+
+
+def stretches(symbol: np.ndarray, hit: np.ndarray, needs: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """The words that some match may cover: stretches of ``width`` words that
+    hold ``least`` hits, for a (width, least) of ``needs``.  Returns the
+    places kept, ascending, and where a new stretch begins among them."""
+    total = np.concatenate([[0], np.cumsum(hit)])
+    live = np.zeros(len(symbol) + 1, np.int32)
+    for width, least in needs:
+        if least < 1:                                      # nothing is known of such matches
+            live[0] += 1
+            continue
+        start = np.flatnonzero(total[np.minimum(np.arange(len(hit)) + width - RUN + 1, len(hit))] - total[:len(hit)] >= least)
+        np.add.at(live, start, 1)
+        np.subtract.at(live, np.minimum(start + width, len(symbol)), 1)
+    place = np.flatnonzero((np.cumsum(live)[:-1] > 0) & (symbol != PAD))
+    return place, np.concatenate([[0], np.flatnonzero(np.diff(place) > 1) + 1]) if len(place) else np.zeros(0, np.int64)
+
+
+def compact(symbol: np.ndarray, place: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The kept words, each stretch followed by one PAD; offsets of the
+    stretches, and the original place of each word."""
+    n = len(begin)
+    cut = np.append(begin, len(place)) + np.arange(n + 1)
+    of = np.repeat(np.arange(n), np.diff(np.append(begin, len(place))))
+    out, origin = np.zeros(len(place) + n, np.uint64), np.zeros(len(place) + n, np.int64)
+    at = np.arange(len(place)) + of
+    out[at], origin[at] = symbol[place], place
+    return out, cut, origin
+
+
+def member(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    if not len(sorted_keys):
+        return np.zeros(len(keys), bool)
+    return sorted_keys[np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)] == keys
+
+
+class KeyFilter:
+    """Which keys are among a table's: a bitmap of fixed size, and up to
+    EXACT_KEYS the keys themselves."""
+
+    def __init__(self, keys: DataFrame, column: str):
+        held = keys.select(F.col(column).alias("k")).where("k is not null").distinct()
+        self.exact = None
+        if held.limit(EXACT_KEYS + 1).count() <= EXACT_KEYS:
+            self.exact = np.sort(np.array([r.k for r in held.toLocalIterator()], np.int64)).view(np.uint64)
+            self.exact.sort()
+            top = (self.exact >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
+        else:                                              # at most 2^BITMAP_BITS numbers
+            top = np.array([r.k for r in held.select(F.shiftrightunsigned("k", 64 - BITMAP_BITS).alias("k")).distinct().toLocalIterator()], np.int64)
+        present = np.zeros(1 << BITMAP_BITS, bool)
+        present[top] = True
+        self.packed = np.packbits(present)
+
+    def open(self) -> KeyFilter:
+        """With the bitmap unpacked, in a task."""
+        self.bitmap = np.unpackbits(self.packed).view(bool)
+        return self
+
+    def __getstate__(self) -> dict:
+        return {"exact": self.exact, "packed": self.packed}
+
+    def places(self, keys: np.ndarray) -> np.ndarray:
+        hit = np.flatnonzero(self.bitmap[(keys >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)])
+        return hit if self.exact is None else hit[member(self.exact, keys[hit])]
+
+
 def edit_distance_inside(item: np.ndarray, region: np.ndarray) -> int:
     """Least edit distance of the item to any substring of the region
     (bit-parallel, one word of the region a step)."""
@@ -144,7 +235,8 @@ def size_class(n: int) -> int:
 
 
 def item_keys(items: DataFrame, repeats: dict[int, int], *, id_col: str, text: str, max_share: float) -> DataFrame:
-    """(key, item, words, edits): the keys of every item of at least SIZES[0] words."""
+    """(key, item, words, edits): the keys of every item of at least SIZES[0]
+    words, and of shorter ones the hash of all their words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, buf, off in blocks(batches, "__text"):
             symbol, cut = word_symbols(buf, off)
@@ -153,6 +245,8 @@ def item_keys(items: DataFrame, repeats: dict[int, int], *, id_col: str, text: s
                 own = symbol[cut[i]:cut[i + 1]]            # with its PAD
                 c = size_class(len(own) - 1)
                 if c < 0:
+                    if len(own) > SHORT:
+                        out.append((int(window_hashes(own[:-1], len(own) - 1).view(np.int64)[0]), i, own[:-1].tobytes(), 0))
                     continue
                 for r in range(repeats[c]):
                     for _, _, key in walk_keys(own, r, [c], np.array([offset(r, c)])):
@@ -164,6 +258,17 @@ def item_keys(items: DataFrame, repeats: dict[int, int], *, id_col: str, text: s
     return items.select(items[id_col].alias("item"), items[text].alias("__text")).mapInArrow(run, f"key bigint, item {kind}, words binary, edits bigint")
 
 
+def item_runs(keys: DataFrame) -> DataFrame:
+    """(run): the hashed RUN-word windows of all items that walks look for."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [np.frombuffer(w, np.uint64) for w in batch.column(0).to_pylist()]
+            found = [window_hashes(w, RUN) for w in own if len(w) >= SIZES[0]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found or [np.zeros(0, np.uint64)]).view(np.int64), pa.int64())], names=["run"])
+
+    return keys.select("words").distinct().mapInArrow(run, "run bigint").distinct()
+
+
 def edited(own: np.ndarray, edits: int, rng: np.random.Generator) -> np.ndarray:
     """A copy with so many random replacements, insertions and deletions."""
     out = own.tolist()
@@ -199,7 +304,7 @@ def calibration(items: DataFrame, most: int, scratch: Scratch, *, text: str) ->
             own = [symbol[a:b - 1] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
             yield pa.RecordBatch.from_arrays([pa.array([size_class(len(w)) for w in own], pa.int64()), pa.array([w.tobytes() for w in own], pa.binary())], names=["c", "words"])
 
-    found = scratch.save(items.select(items[text].alias("__text")).mapInArrow(run, "c bigint, words binary").distinct(), "items")
+    found = scratch.save(items.select(items[text].alias("__text")).mapInArrow(run, "c bigint, words binary").where("c >= 0").distinct(), "items")
     parts = [found.where(F.col("c") == c).orderBy(F.xxhash64("words"), "words").limit(most) for c in range(len(SIZES))]
     return reduce(DataFrame.unionByName, parts).select("words")
 
@@ -256,40 +361,52 @@ def find_matches(documents: DataFrame, items: DataFrame, *, id_col: str = "doc_i
     repeats = repeats_by_class(own, max_share, recall)
     keys = scratch.save(item_keys(items, repeats, id_col=item_id, text=item_text, max_share=max_share), "item-keys")
     n_keys = keys.count()
-    present = np.zeros(1 << BITMAP_BITS, bool)                       # a filter of fixed size; the join decides
-    for r in keys.select(F.shiftrightunsigned("key", 64 - BITMAP_BITS).alias("k")).distinct().toLocalIterator():
-        present[r.k] = True
-    sizes = keys.select((F.length("words") / 8).cast("int").alias("n")).distinct()
-    classes = sorted({size_class(r.n) for r in sizes.toLocalIterator()})
-    longest = [r.n for r in sizes.agg(F.max("n").alias("n")).collect()][0] or 0
-    # up to EXACT_KEYS the keys themselves (8 bytes each) spare the join what the bitmap lets through
-    exact = np.sort(np.array([r.key for r in keys.select("key").distinct().toLocalIterator()], np.int64)) if n_keys <= EXACT_KEYS else None
-    shared = spark.sparkContext.broadcast((np.packbits(present), exact, classes, longest, repeats))
+    sizes = [r.n for r in keys.select((F.length("words") / 8).cast("int").alias("n")).distinct().toLocalIterator()]      # lengths of items
+    classes = sorted({size_class(n) for n in sizes} - {-1})
+    longest = max(sizes, default=0)
+    short = sorted(n for n in sizes if n < SIZES[0])
+    # of each class: the widest match, and how many windows the item that keeps fewest shares with it
+    needs = [(max(n + int(max_share * n) for n in own), min(shared_windows(n, int(max_share * n)) for n in own))
+             for own in ([n for n in sizes if size_class(n) == c] for c in classes)]
+    runs = scratch.save(item_runs(keys), "runs")
+    shared = spark.sparkContext.broadcast((KeyFilter(keys, "key"), KeyFilter(runs, "run")))
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packed, exact, classes, longest, repeats = shared.value
-        bitmap = np.unpackbits(packed).astype(bool)
+        by_key, by_run = (f.open() for f in shared.value)
         for rows, buf, off in blocks(batches, "__text"):
-            symbol, cut = word_symbols(buf, off)
+            whole, rows_cut = word_symbols(buf, off)
+            regions, keys_, at = [], [], []
+            for n in short:
+                value = window_hashes(whole, n)
+                hit = by_key.places(value)
+                hit = hit[value[hit] != PAD]
+                regions += [whole[a:a + n].tobytes() for a in hit.tolist()]
+                keys_.append(value[hit])
+                at.append(hit)
+            value = window_hashes(whole, RUN)
+            hits = np.zeros(len(value), bool)
+            hits[by_run.places(value)] = True
+            symbol, cut, origin = compact(whole, *stretches(whole, hits & (value != PAD), needs))
             found = []
-            for r in range(max((repeats[c] for c in classes), default=0)):
+            for r in range(max((repeats[c] for c in classes), default=0) if len(symbol) else 0):
                 for c, first, key in walk_keys(symbol, r, [c for c in classes if r < repeats[c]]):
-                    hit = np.flatnonzero(bitmap[(key >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)])
-                    if exact is not None and len(hit):
-                        own = key[hit].view(np.int64)
-                        hit = hit[exact[np.minimum(np.searchsorted(exact, own), len(exact) - 1)] == own]
+                    hit = by_key.places(key)
                     last = np.where(hit + 1 < len(first), first[np.minimum(hit + 1, len(first) - 1)], len(symbol)) - 1
                     size = SIZES[c + 1] if c + 1 < len(SIZES) else longest
                     reach = int(max_share * size) + 1
                     found.append((first[hit] - reach - offset(r, c), last + size + reach, key[hit], first[hit]))
-            if not found:
+            if found:
+                lo, hi, key, start = (np.concatenate([f[k] for f in found]) for k in range(4))
+                own = np.searchsorted(cut, start, "right") - 1
+                live = symbol[start] != PAD
+                lo, hi = np.maximum(lo, cut[own])[live], np.minimum(hi, cut[own + 1] - 1)[live]
+                regions += [symbol[a:b].tobytes() for a, b in zip(lo.tolist(), hi.tolist())]
+                keys_.append(key[live])
+                at.append(origin[start[live]])
+            if not regions:
                 continue
-            lo, hi, key, at = (np.concatenate([f[k] for f in found]) for k in range(4))
-            row = np.searchsorted(cut, at, "right") - 1
-            live = symbol[at] != PAD
-            lo, hi, key, row = np.maximum(lo, cut[row])[live], np.minimum(hi, cut[row + 1] - 1)[live], key[live], row[live]
-            regions = [symbol[a:b].tobytes() for a, b in zip(lo.tolist(), hi.tolist())]
-            yield pa.RecordBatch.from_arrays([rows.column(0).take(pa.array(row)), pa.array(key.view(np.int64)), pa.array(regions, pa.binary())], names=["id", "key", "region"])
+            row = np.searchsorted(rows_cut, np.concatenate(at), "right") - 1
+            yield pa.RecordBatch.from_arrays([rows.column(0).take(pa.array(row)), pa.array(np.concatenate(keys_).view(np.int64)), pa.array(regions, pa.binary())], names=["id", "key", "region"])
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -169,7 +169,7 @@ def planted(seed=3):
     for k, t in rows:
         for i, item in enumerate(items):
             a = symbols(item)
-            if len(a) >= 8 and substring_distance(a, symbols(t)) <= int(0.2 * len(a)):
+            if substring_distance(a, symbols(t)) <= (int(0.2 * len(a)) if len(a) >= 8 else 0):
                 want.append((k, i))
     return items, rows, want
 
