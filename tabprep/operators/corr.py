@@ -5,6 +5,8 @@ All column pairs come from one aggregate after one for the means
 ``nullif``, so a constant column yields NULL instead of the ANSI
 divide-by-zero that the built-in ``corr`` raises.  The result is a long
 table (a, b, r) of d^2 rows -- it grows with the column count, not the data.
+Tables of more than ``WIDE`` columns go through ``comoments``, with the same
+result.
 """
 
 from __future__ import annotations
@@ -16,7 +18,10 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import c, is_numeric, numeric_columns
 from ..session import save_table
+from .comoments import wide_corr_matrix
 
+#: Columns beyond which pairs are no longer aggregate expressions (see ``comoments``).
+WIDE = 48
 
 
 def _pair_r(a: str, b: str) -> Column:
@@ -59,6 +64,8 @@ def corr_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     names = numeric_columns(df, columns)
     if not names:
         return df.sparkSession.createDataFrame([], "col_a string, col_b string, idx_a int, idx_b int, r double")
+    if len(names) > WIDE:
+        return wide_corr_matrix(df, names)
     pairs = [(i, j) for j in range(len(names)) for i in range(j + 1)]
     cell = lambda i, j, k: F.struct(F.lit(names[i]).alias("col_a"), F.lit(names[j]).alias("col_b"), F.lit(i).alias("idx_a"), F.lit(j).alias("idx_b"), F.col(f"_{k}").alias("r"))
     cells = [x for k, (i, j) in enumerate(pairs) for x in ([cell(i, j, k)] if i == j else [cell(i, j, k), cell(j, i, k)])]
