@@ -18,6 +18,7 @@ from pyspark.ml.classification import (GBTClassifier, LogisticRegression, Multil
                                        RandomForestClassifier)
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -73,8 +74,9 @@ def default_configs(use_neural_network=True, use_random_forest=True, use_xgboost
 
 def assemble(df: DataFrame, feature_cols: Sequence[str], out_col: str = FEATURES) -> DataFrame:
     """Features as one vector column (NULL features are an error: clean or
-    fill them first)."""
-    quoted = df.select("*", *[c(f).cast("double").alias(f"__f{i}") for i, f in enumerate(feature_cols)])
+    fill them first).  Vector columns, as of wide one-hot encodings, go in whole."""
+    vector = lambda f: isinstance(df.schema[f].dataType, VectorUDT)
+    quoted = df.select("*", *[(c(f) if vector(f) else c(f).cast("double")).alias(f"__f{i}") for i, f in enumerate(feature_cols)])
     va = VectorAssembler(inputCols=[f"__f{i}" for i in range(len(feature_cols))], outputCol=out_col)
     return va.transform(quoted).drop(*[f"__f{i}" for i in range(len(feature_cols))])
 

@@ -281,6 +281,10 @@ def _corr_long(cols: list[str]) -> str:
 ORACLE["corr_matrix"] = wv(f"""
 select col_a, col_b, cast(idx_a as integer) as idx_a, cast(idx_b as integer) as idx_b, round(r, 6) as r
 from ({_corr_long(_LC_ALL)})""", "loans_corr")
+ORACLE["corr_matrix_wide"] = """
+with long as (select vec_id, i, cast(embedding[i + 1] as double) as v from embeddings, range(64) t(i) where (vec_id + i) % 7 <> 0)
+select 'e' || a.i as col_a, 'e' || b.i as col_b, cast(a.i as integer) as idx_a, cast(b.i as integer) as idx_b, round(corr(a.v, b.v), 6) as r
+from long a join long b using (vec_id) group by a.i, b.i"""
 ORACLE["target_correlation"] = wv("\nunion all ".join(
     f"select '{a}' as feature, round({_r(a, 'not_fully_paid')}, 6) as corr from loans_corr" for a in _LC_ALL),
     "loans_corr")
@@ -563,6 +567,11 @@ def _dummies(x: str = "purpose") -> str:
     return ", ".join(f"cast(coalesce({x} = '{v}', false) as integer) as \"{x}_{v}\"" for v in _PURPOSES[1:])
 
 
+ORACLE["one_hot_wide"] = """
+with parts as (select part, cast(row_number() over (order by part) as integer) - 2 as dummy
+               from (select distinct cast(l_partkey as varchar) as part from lineitem where l_partkey is not null))
+select l_orderkey, l_linenumber, cast(l.l_partkey as varchar) as part, case when dummy >= 0 then dummy end as dummy
+from lineitem l left join parts on parts.part = cast(l.l_partkey as varchar)"""
 ORACLE["one_hot"] = wv(f"""
 select {', '.join(_loan_col(x) for x in _LOAN_COLS if x != 'purpose')}, {_dummies()} from loans""", "loans")
 

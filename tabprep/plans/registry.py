@@ -255,6 +255,12 @@ def q_corr_matrix(spark, sf):
     return finish(corr.corr_matrix(fx.loans_corr(spark, sf)))
 
 
+def q_corr_matrix_wide(spark, sf):
+    """The dimensions of the embeddings as columns with gaps."""
+    e = _t(spark, sf, "embeddings")
+    return finish(corr.corr_matrix(e.select(*[F.when((F.col("vec_id") + i) % 7 != 0, F.col("embedding")[i].cast("double")).alias(f"e{i}") for i in range(64)])))
+
+
 def q_target_correlation(spark, sf):
     return finish(corr.target_correlation(fx.loans_corr(spark, sf), "not_fully_paid"))
 
@@ -338,6 +344,7 @@ QUERIES.update({
     "outlier_rows": q_outlier_rows,
     "boxplot_stats": q_boxplot_stats,
     "corr_matrix": q_corr_matrix,
+    "corr_matrix_wide": q_corr_matrix_wide,
     "target_correlation": q_target_correlation,
     "high_corr_pairs": q_high_corr_pairs,
     "drop_high_corr": q_drop_high_corr,
@@ -441,6 +448,12 @@ def q_loan_features(spark, sf):
     return finish(features.create_loan_features(fx.loans(spark, sf), LOAN_NAMES))
 
 
+def q_one_hot_wide(spark, sf):
+    """Part keys as text: thousands of categories; each row's dummy, long form."""
+    li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").cast("string").alias("part"))
+    return encode.one_hot_index(li, "part", out="dummy")
+
+
 def q_one_hot(spark, sf):
     return finish(encode.one_hot(fx.loans(spark, sf), ["purpose"]))
 
@@ -472,6 +485,7 @@ def q_prepare_data(spark, sf):
 QUERIES.update({
     "loan_features": q_loan_features,
     "one_hot": q_one_hot,
+    "one_hot_wide": q_one_hot_wide,
     "stratified_split": q_stratified_split,
     "random_split": q_random_split,
     "split_class_distribution": q_split_class_distribution,
