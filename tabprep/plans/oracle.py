@@ -602,6 +602,8 @@ splits as (select k, case when rk < qt then 'test' when rk < qt + qv then 'val'
 
 ORACLE["stratified_split"] = wv("with " + _split_sql("loans", "loan_id", "not_fully_paid", 0.3, 0.2, 42)
                                 + "\nselect k as loan_id, split from splits", "loans")
+ORACLE["stratified_split_many"] = ("with " + _split_sql("orders", "o_orderkey", "o_custkey", 0.3, 0.2, 42)
+                                   + "\nselect k as o_orderkey, split from splits")
 ORACLE["random_split"] = wv("with " + _split_sql("loans", "loan_id", None, 0.25, 0.1, 7)
                             + "\nselect k as loan_id, split from splits", "loans")
 ORACLE["split_class_distribution"] = wv("with " + _split_sql("loans", "loan_id", "not_fully_paid", 0.3, 0.2, 42) + """,

@@ -462,6 +462,12 @@ def q_stratified_split(spark, sf):
     return split.stratified_split(fx.loans(spark, sf), "loan_id", "not_fully_paid").select("loan_id", "split")
 
 
+def q_stratified_split_many(spark, sf):
+    """Orders split within each customer: thousands of classes."""
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    return split.stratified_split(o, "o_orderkey", "o_custkey").select("o_orderkey", "split")
+
+
 def q_random_split(spark, sf):
     return split.random_split(fx.loans(spark, sf), "loan_id", 0.25, 0.1, seed=7).select("loan_id", "split")
 
@@ -488,6 +494,7 @@ QUERIES.update({
     "one_hot_wide": q_one_hot_wide,
     "stratified_split": q_stratified_split,
     "random_split": q_random_split,
+    "stratified_split_many": q_stratified_split_many,
     "split_class_distribution": q_split_class_distribution,
     "standard_scale": q_standard_scale,
     "prepare_data": q_prepare_data,
