@@ -97,3 +97,14 @@ def validate_columns(df: DataFrame, required: Sequence[str]) -> tuple[bool, list
 
 def drop_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.drop(*[col for col in columns if col in df.columns])
+
+
+def long_form(df: DataFrame, result: str, metrics: Sequence[str], label: Column | None = None, at: Column | None = None) -> DataFrame:
+    """(result, label, at, metric, value): the named columns of a result table
+    as rows, so that tables of any shape can be put together.  ``label`` says
+    which row of the table it is, ``at`` where on a scale."""
+    number = lambda m: F.when(c(m), 1.0).otherwise(0.0) if isinstance(df.schema[m].dataType, T.BooleanType) else c(m).cast("double")
+    cells = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), number(m).alias("value")) for m in metrics])).alias("x")
+    label = F.lit(None) if label is None else label
+    at = F.lit(None) if at is None else at
+    return df.select(F.lit(result).alias("result"), label.cast("string").alias("label"), at.cast("double").alias("at"), cells).select("result", "label", "at", "x.metric", "x.value")

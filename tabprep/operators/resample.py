@@ -7,7 +7,7 @@ rows nbr (ties by key) and u in [0, 1).
 
 Everything is deterministic per key: which rows get one extra copy comes
 from md5 order (``quota_assign``), the neighbour and u of copy j of row x
-from ``xxhash64(key, j, seed)``, so a recomputed partition produces the same
+from md5 of key, j and seed, so a recomputed partition produces the same
 rows.
 
 Neighbours come from the exact ``neighbors.knn`` (ties by key), which
@@ -28,7 +28,14 @@ from .neighbors import knn
 from ..session import ensure_checkpoint_dir
 from .split import class_totals, quota_assign
 
-_U_BITS = 2 ** 53
+_U_HEX = 13  # 52 bits: a double holds them
+
+
+def _drawn(stream: int, seed: int, digits: int):
+    """A number from the first hex digits of md5("key:copy:seed:stream"): any
+    engine with md5 draws the same."""
+    text = F.concat_ws(":", F.col("_key").cast("string"), F.col("copy").cast("string"), F.lit(str(seed)), F.lit(str(stream)))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, digits), 16, 10).cast("bigint")
 
 
 @dataclass(frozen=True)
@@ -97,9 +104,8 @@ def smote_from(df: DataFrame, basis: SmoteBasis, ratio: float) -> DataFrame:
     rows = rows.withColumn("_copies", F.lit(base) + (F.col("_part") == "extra").cast("int"))
     rows = rows.select("*", F.explode(F.when(F.col("_copies") > 0, F.sequence(F.lit(1), F.col("_copies")))
                                       .otherwise(F.array().cast("array<int>"))).alias("copy"))
-    pick = F.pmod(F.xxhash64(F.col("_key"), F.col("copy"), F.lit(seed), F.lit(1)), F.size("_cand")) + 1
-    u = F.pmod(F.xxhash64(F.col("_key"), F.col("copy"), F.lit(seed), F.lit(2)), F.lit(_U_BITS)) / F.lit(
-        float(_U_BITS))
+    pick = _drawn(1, seed, 8) % F.size("_cand") + 1
+    u = _drawn(2, seed, _U_HEX) / F.lit(16.0 ** _U_HEX)
     rows = rows.select("*", F.element_at("_cand", pick.cast("int")).alias("_nb"), u.alias("_u"))
     synth = rows.select(
         F.lit(None).cast(df.schema[basis.key_col].dataType).alias(basis.key_col),

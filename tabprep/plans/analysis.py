@@ -12,8 +12,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ..functions.columns import c
+from ..functions.columns import c, long_form
 from ..operators import groups, hist, outliers
 
 
@@ -43,3 +44,14 @@ def anova_for_column(df: DataFrame, group_col: str, value_col: str, bins: int =
         anova=groups.anova_oneway(df, group_col, value_col),
         variance=groups.variance_decomposition(df, group_col, value_col),
         histogram=hist.group_histogram(df, group_col, value_col, bins))
+
+
+def all_results(found: ColumnAnalysis, group_col: str) -> DataFrame:
+    """Every result as (result, label, at, metric, value): ``label`` is the
+    group, ``at`` the bin of the histogram."""
+    rest = lambda df, *skip: [n for n in df.columns if n not in skip]
+    per, hist_ = found.per_group, found.histogram
+    return (long_form(per, "per_group", rest(per, group_col), c(group_col))
+            .unionByName(long_form(found.anova, "anova", rest(found.anova)))
+            .unionByName(long_form(found.variance, "variance", rest(found.variance)))
+            .unionByName(long_form(hist_, "histogram", rest(hist_, group_col, "bin"), c(group_col), F.col("bin"))))

@@ -13,7 +13,9 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from ..functions.columns import long_form
 from ..operators import metrics as M
 from ..operators.train import score
 from ..session import ensure_checkpoint_dir
@@ -31,6 +33,28 @@ class ModelEvaluation:
     best_threshold: DataFrame
 
 
+_SWEEP = ("tn", "fp", "fn", "tp", "accuracy", "precision", "recall", "f1", "metric_value")
+
+
+def all_results(ev: ModelEvaluation) -> DataFrame:
+    """Every result of an evaluation as (result, label, at, metric, value):
+    ``label`` is the class (of the matrix ``actual:predicted``, of the AUC its
+    grade), ``at`` the threshold."""
+    at = F.col("threshold")
+    parts = [
+        long_form(ev.confusion_matrix, "confusion_matrix", ["count"], F.concat_ws(":", F.col("actual").cast("string"), F.col("predicted").cast("string"))),
+        long_form(ev.classification_report, "classification_report", ["precision", "recall", "f1_score", "support"], F.col("class")),
+        long_form(ev.roc_curve, "roc_curve", ["fpr", "tpr"], at=at),
+        long_form(ev.roc_auc, "roc_auc", ["roc_auc"], F.col("grade")),
+        long_form(ev.pr_curve, "pr_curve", ["precision", "recall"], at=at),
+        long_form(ev.threshold_sweep, "threshold_sweep", _SWEEP, at=at),
+        long_form(ev.best_threshold, "best_threshold", _SWEEP, at=at)]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def evaluate_scored(scored: DataFrame, label_col: str = "label", score_col: str = "probability",
                     thresholds: Sequence[float] = M.DEFAULT_THRESHOLDS,
                     optimize_for: str = "f1") -> ModelEvaluation:

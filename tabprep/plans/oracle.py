@@ -771,3 +771,65 @@ x as (select *, (2 * a) / (2 * a + 4 * f) as x from f),
 p as (select *, pow(x, a) * (1 + a * (1 - x)) as p from x)
 select cast(n_groups as bigint) as n_groups, cast(n_total as bigint) as n_total, round(ss_between, 6) as ss_between, round(ss_within, 6) as ss_within,
        cast(n_groups - 1 as double) as df_between, cast(n_total - n_groups as double) as df_within, round(f, 6) as f_stat, round(p, 6) as p_value, p < 0.05 as significant from p"""
+
+
+# ---------------------------------------------------------------- all results of a composite, long form
+def _long_sql(result: str, sql: str, metrics: list[str], label: str = "null", at: str = "null") -> str:
+    return "\nunion all ".join(
+        f"select '{result}' as result, cast({label} as varchar) as label, cast({at} as double) as at, '{m}' as metric, cast({m} as double) as value from ({sql})"
+        for m in metrics)
+
+
+_SWEEP_COLS = ["tn", "fp", "fn", "tp", "accuracy", "precision", "recall", "f1", "metric_value"]
+ORACLE["evaluate_scored"] = "\nunion all ".join([
+    _long_sql("confusion_matrix", ORACLE["confusion_matrix"], ["count"], "actual || ':' || predicted"),
+    _long_sql("classification_report", ORACLE["classification_report"], ["precision", "recall", "f1_score", "support"], "class"),
+    _long_sql("roc_curve", ORACLE["roc_curve"], ["fpr", "tpr"], at="threshold"),
+    _long_sql("roc_auc", ORACLE["roc_auc"], ["roc_auc"], "grade"),
+    _long_sql("pr_curve", ORACLE["pr_curve"], ["precision", "recall"], at="threshold"),
+    _long_sql("threshold_sweep", ORACLE["threshold_sweep"], _SWEEP_COLS, at="threshold"),
+    _long_sql("best_threshold", ORACLE["best_threshold"], _SWEEP_COLS, at="threshold")])
+ORACLE["anova_for_column"] = "\nunion all ".join([
+    _long_sql("per_group", ORACLE["anova_for_column"],
+              ["count", "sum", "mean", "std", "var", "min", "max", "median", "cv", "range", "p25", "p50", "p75", "p90", "p95", "whisker_low", "whisker_high", "n_fliers"], "event_type"),
+    _long_sql("anova", ORACLE["anova_oneway"], ["n_groups", "n_total", "ss_between", "ss_within", "df_between", "df_within", "f_stat", "p_value", "significant"]),
+    _long_sql("variance", ORACLE["variance_decomposition"], ["total_var", "within_var", "between_var", "ratio"]),
+    _long_sql("histogram", ORACLE["group_histogram"], ["bin_start", "bin_end", "count"], "event_type", "bin")])
+ORACLE["column_info"] = wv("""
+select t.*, (select count(*) from dirty_events) as n_rows, cast(5 as integer) as n_columns,
+       case when t."column" = 'label' then (select string_agg(coalesce(label, 'NULL'), '|' order by event_id)
+                                            from (select * from dirty_events order by event_id limit 3)) end as sample
+from (values ('event_id', cast(0 as integer), 'bigint'), ('user_id', 1, 'bigint'), ('label', 2, 'string'), ('value', 3, 'double'),
+             ('bucket', 4, 'double')) t("column", position, type)""", "dirty_events")
+
+
+
+def _smote_sql(view: str, key: str, label: str, feats: list[str], ratio: float, k: int = 5, seed: int = 42) -> str:
+    """CTEs up to ``synth``: (k, nk, copy, y, the features) of each synthetic
+    row, from all pairs of minority rows."""
+    dist = " + ".join(f"(a.f[{i + 1}] - b.f[{i + 1}]) * (a.f[{i + 1}] - b.f[{i + 1}])" for i in range(len(feats)))
+    draw = lambda stream, digits: f"('0x' || substr(md5(k || ':' || copy || ':{seed}:{stream}'), 1, {digits}))::bigint"
+    return f"""
+with cnt as (select {label} as y, count(*) as n from {view} group by 1),
+least_ as (select y, n from cnt order by n, y limit 1),
+size_ as (select y, n as n_min, cast(floor({ratio} * (select max(n) from cnt)) as bigint) - n as n_new from least_),
+m as (select {key} as k, [{', '.join(f'cast({f} as double)' for f in feats)}] as f,
+             row_number() over (order by md5(cast({key} as varchar) || ':{seed}')) as rk
+      from {view} where {label} = (select y from size_)),
+copies as (select k, f, unnest(range(1, cast(n_new // n_min + case when rk <= n_new % n_min then 1 else 0 end as bigint) + 1)) as copy from m, size_),
+near as (select a.k, b.k as nk, b.f as g, row_number() over (partition by a.k order by sqrt({dist}), b.k) as nr from m a join m b on a.k <> b.k),
+drawn as (select k, f, copy, {draw(1, 8)} % {k} + 1 as pick, {draw(2, 13)} / cast(4503599627370496 as double) as u from copies),
+synth as (select d.k, nk, cast(copy as integer) as copy, (select y from size_) as y,
+                 {', '.join(f'f[{i + 1}] + u * (g[{i + 1}] - f[{i + 1}]) as {x}' for i, x in enumerate(feats))}
+          from drawn d join near n on n.k = d.k and n.nr = d.pick)"""
+
+
+ORACLE["smote"] = wv(_smote_sql("loans", "loan_id", "not_fully_paid", _KF, 0.5) + f"""
+select loan_id, not_fully_paid, {', '.join(f'round(cast({f} as double), 6) as {f}' for f in _KF)}, false as synthetic,
+       cast(null as bigint) as source_key, cast(null as bigint) as neighbor_key, cast(null as integer) as copy from loans
+union all
+select null, y, {', '.join(f'round({f}, 6)' for f in _KF)}, true, k, nk, copy from synth""", "loans")
+ORACLE["smote_doc_labels"] = wv(_smote_sql("doc_labels", "doc_id", "quality", ["n_chars", "toxic"], 1.0) + """,
+every as (select quality, false as synthetic, cast(n_chars as double) as n_chars from doc_labels union all select y, true, n_chars from synth)
+select quality, synthetic, count(*) as count, round(min(n_chars), 6) as min_n_chars, round(max(n_chars), 6) as max_n_chars
+from every group by quality, synthetic""", "doc_labels")

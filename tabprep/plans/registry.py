@@ -113,7 +113,8 @@ def q_add_commas(spark, sf):
 
 
 def q_column_info(spark, sf):
-    return profile.column_info(fx.dirty_events(spark, sf), order_col="event_id")
+    info = profile.column_info(fx.dirty_events(spark, sf), order_col="event_id")
+    return info.withColumn("sample", F.array_join("sample", "|", "NULL"))
 
 
 # ---------------------------------------------------------------- groups
@@ -597,7 +598,12 @@ def q_evaluate_model(spark, sf):
     cfg = T_.ModelConfig(T_.ModelType.LOGISTIC_REGRESSION, "Logistic Regression", class_weight="balanced")
     model, _ = T_.fit(cfg, p.train, list(p.feature_names), "not_fully_paid", "balanced")
     ev = evaluation.evaluate_model(model, p.test, list(p.feature_names), "not_fully_paid", "loan_id")
-    return finish(ev.threshold_sweep)
+    return finish(evaluation.all_results(ev))
+
+
+def q_evaluate_scored(spark, sf):
+    """The same results for given scores."""
+    return finish(evaluation.all_results(evaluation.evaluate_scored(fx.scored(spark, sf), "label", "score")))
 
 
 def q_selection_summary(spark, sf):
@@ -622,6 +628,7 @@ QUERIES.update({
     "training_history": q_training_history,
     "best_epoch": q_best_epoch,
     "evaluate_model": q_evaluate_model,
+    "evaluate_scored": q_evaluate_scored,
     "selection_summary": q_selection_summary,
 })
 
@@ -707,7 +714,8 @@ QUERIES.update({
 
 
 def q_anova_for_column(spark, sf):
-    return finish(analysis.anova_for_column(_t(spark, sf, "events"), "event_type", "value").per_group)
+    """Group statistics, ANOVA, variance decomposition and histogram together."""
+    return finish(analysis.all_results(analysis.anova_for_column(_t(spark, sf, "events"), "event_type", "value"), "event_type"))
 
 
 def q_convert_recipes(spark, sf):
