@@ -833,3 +833,6 @@ ORACLE["smote_doc_labels"] = wv(_smote_sql("doc_labels", "doc_id", "quality", ["
 every as (select quality, false as synthetic, cast(n_chars as double) as n_chars from doc_labels union all select y, true, n_chars from synth)
 select quality, synthetic, count(*) as count, round(min(n_chars), 6) as min_n_chars, round(max(n_chars), 6) as max_n_chars
 from every group by quality, synthetic""", "doc_labels")
+ORACLE["csv_scan"] = wv(f"""
+select event_id, user_id, case when trim(label) not in {TOKENS} then label end as label, round(value, 6) as value, round(bucket, 6) as bucket,
+       cast(null as varchar) as malformed_row from dirty_events""", "dirty_events")

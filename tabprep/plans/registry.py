@@ -8,6 +8,8 @@ insensitive to summation order.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,7 +23,9 @@ from ..streaming import stream as S_
 from . import analysis, evaluation, preparation, selection
 from ..operators.clean import CaseStyle, FillStrategy
 from ..sources import fixtures as fx
-from ..sources.tables import read_table
+from ..functions.text import DEFAULT_MISSING_VALUES
+from ..session import ensure_checkpoint_dir
+from ..sources.tables import csv_scan, read_table
 
 DIGITS = 6
 
@@ -112,6 +116,15 @@ def q_add_commas(spark, sf):
     return o.select("o_orderkey", add_commas(F.col("o_totalprice")).alias("totalprice_fmt"))
 
 
+def q_csv_scan(spark, sf):
+    """The dirty events written as CSV into the shared folder and read back:
+    placeholders become NULL, types are inferred, no row is malformed."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/csv/{uuid.uuid4().hex}"
+    (fx.dirty_events(spark, sf).write.option("header", True).option("quoteAll", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    return finish(csv_scan(spark, path, null_tokens=DEFAULT_MISSING_VALUES, malformed="malformed_row"))
+
+
 def q_column_info(spark, sf):
     info = profile.column_info(fx.dirty_events(spark, sf), order_col="event_id")
     return info.withColumn("sample", F.array_join("sample", "|", "NULL"))
@@ -208,6 +221,7 @@ QUERIES = {
     "unique_values_first_seen": q_unique_values_first,
     "min_max_profile": q_min_max_profile,
     "add_commas": q_add_commas,
+    "csv_scan": q_csv_scan,
     "column_info": q_column_info,
     "group_mean_count_sum": q_group_mean_count_sum,
     "group_mean_count_sum_rollup": q_group_mean_count_sum_rollup,
