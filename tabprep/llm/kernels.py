@@ -8,12 +8,13 @@ row larger than the block size forms a block of its own.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
 
 SEPARATOR = np.zeros(256, dtype=bool)
 SEPARATOR[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -80,19 +81,53 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]] if len(offsets) else raw, (offsets - offsets[0] if len(offsets) else np.zeros(1, np.int64))
 
 
-def blocks(batches: Iterator[pa.RecordBatch], text: str, limit: int = BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+#: What a Python worker keeps between tasks, by (operator, key).  Workers are
+#: reused by the stages that follow, so a task of another operator frees it.
+_kept: dict[tuple[str, str], object] = {}
+_open = 0
+
+
+def kept(owner: str, key: str, make: Callable[[], object]) -> object:
+    """What ``make`` returns, made once in this worker while ``owner``'s tasks run."""
+    if (owner, key) not in _kept:
+        _kept[owner, key] = make()
+    return _kept[owner, key]
+
+
+def tidy() -> None:
+    """Give back what a finished task no longer needs: arrays freed by numpy
+    and Arrow stay in their allocators and would add up over the stages."""
+    _powers.clear()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):             # an allocator without it
+        pass
+
+
+def blocks(batches: Iterator[pa.RecordBatch], text: str, limit: int = BLOCK_BYTES, owner: str = "") -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Cut batches by text size: (rows, bytes, offsets) of at most ``limit``
-    bytes of text, or of one row."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        buf, off = flat(batch.column(batch.schema.get_field_index(text)))
-        row = 0
-        while row < batch.num_rows:
-            end = int(np.searchsorted(off, off[row] + limit, "right")) - 1
-            end = min(max(end, row + 1), batch.num_rows, row + 65_536)
-            yield batch.slice(row, end - row), buf[off[row]:off[end]], off[row:end + 1] - off[row]
-            row = end
+    bytes of text, or of one row.  Frees what operators other than ``owner``
+    keep, and tidies up at the end of the partition."""
+    global _open
+    for own in [k for k in _kept if k[0] != owner] if not _open else ():
+        del _kept[own]
+    _open += 1
+    try:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            buf, off = flat(batch.column(batch.schema.get_field_index(text)))
+            row = 0
+            while row < batch.num_rows:
+                end = int(np.searchsorted(off, off[row] + limit, "right")) - 1
+                end = min(max(end, row + 1), batch.num_rows, row + 65_536)
+                yield batch.slice(row, end - row), buf[off[row]:off[end]], off[row:end + 1] - off[row]
+                row = end
+    finally:
+        _open -= 1
+        if not _open:
+            tidy()
 
 
 def words(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .kernels import blocks, strings
+from .kernels import blocks, kept, strings
 
 SPACE = "▁"
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -244,9 +244,10 @@ class PieceModel:
 
 class Encoder:
     """Ids of whole texts.  Words met before are kept: a number per word, and
-    the ids of all words side by side in one array."""
+    the ids of all words side by side in one array.  250,000 words take some
+    60 MB; when there are more, those of the current block stay."""
 
-    def __init__(self, path: str, cache_size: int = 1_000_000):
+    def __init__(self, path: str, cache_size: int = 250_000):
         self.model, self.cache_size = PieceModel(path), cache_size
         self.known: dict[str, int] = {}
         self.ids = np.zeros(1 << 16, np.int32)
@@ -289,13 +290,8 @@ class Encoder:
         return out
 
 
-_workers: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
-    if path not in _workers:
-        _workers[path] = Encoder(path)
-    return _workers[path]
+    return kept("pieces", path, lambda: Encoder(path))
 
 
 def encode_decode(documents: DataFrame, model_path: str, *, text: str = "text", keep: list[str] | None = None, digests: bool = False) -> DataFrame:
@@ -311,7 +307,7 @@ def encode_decode(documents: DataFrame, model_path: str, *, text: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(model_path)
-        for rows, buf, off in blocks(batches, "__text", 1 << 20):
+        for rows, buf, off in blocks(batches, "__text", owner="pieces"):
             ids = own.encode(strings(buf, off))
             back = [own.model.decode(i) for i in ids]
             n = pa.array([len(i) for i in ids], pa.int64())
