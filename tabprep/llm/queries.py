@@ -40,7 +40,7 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents")).withColumn("has_repeats", F.col("n_removed") > 0)
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

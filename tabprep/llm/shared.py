@@ -6,11 +6,12 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
 
-#: Rows up to which a table of two or three numbers a row is broadcast (about 100 MB); beyond it the join shuffles.
-BROADCAST_ROWS = 2_000_000
+#: Bytes up to which a table is broadcast, by ``row_bytes``; beyond it the join shuffles.
+BROADCAST_BYTES = 64 << 20
 
 
 class Scratch:
@@ -38,7 +39,20 @@ class Scratch:
             path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def row_bytes(schema: T.StructType) -> int:
+    """Bytes a row of the schema is reckoned at: 16 for the row itself, a
+    value of fixed size by its size, text and bytes at 48, and a list at 64."""
+    def one(kind: T.DataType) -> int:
+        if isinstance(kind, T.StructType):
+            return sum(one(f.dataType) for f in kind.fields)
+        if isinstance(kind, (T.ArrayType, T.MapType)):
+            return 64
+        return 48 if isinstance(kind, (T.StringType, T.BinaryType)) else 8
+
+    return 16 + one(schema)
+
+
 def sized(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast hint for a narrow table of few rows; else the table as it is,
-    and Spark picks a join that shuffles."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+    """Broadcast hint for a table whose rows take at most BROADCAST_BYTES; else
+    the table as it is, and Spark picks a join that shuffles."""
+    return F.broadcast(df) if rows * row_bytes(df.schema) <= BROADCAST_BYTES else df
