@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from ..session import ensure_checkpoint_dir
 
 #: Bytes up to which a table is broadcast, by ``row_bytes``; beyond it the join shuffles.
-BROADCAST_BYTES = 64 << 20
+BROADCAST_BYTES = 96 << 20
 
 
 class Scratch:
@@ -41,13 +41,14 @@ class Scratch:
 
 def row_bytes(schema: T.StructType) -> int:
     """Bytes a row of the schema is reckoned at: 16 for the row itself, a
-    value of fixed size by its size, text and bytes at 48, and a list at 64."""
+    value of fixed size by its size, text and bytes at 48.  A list counts as
+    one element: where rows hold lists, their elements are counted as rows."""
     def one(kind: T.DataType) -> int:
         if isinstance(kind, T.StructType):
             return sum(one(f.dataType) for f in kind.fields)
-        if isinstance(kind, (T.ArrayType, T.MapType)):
-            return 64
-        return 48 if isinstance(kind, (T.StringType, T.BinaryType)) else 8
+        if isinstance(kind, T.ArrayType):
+            return one(kind.elementType)
+        return 48 if isinstance(kind, (T.StringType, T.BinaryType, T.MapType)) else 8
 
     return 16 + one(schema)
 

@@ -14,8 +14,8 @@ def hinted(df):
 
 def test_bound_in_bytes(spark):
     narrow = spark.range(10).select("id", (F.col("id") * 2).alias("b"))
-    wide = narrow.withColumn("s", F.lit("x")).withColumn("l", F.array(F.lit(1)))
-    assert shared.row_bytes(narrow.schema) == 32 and shared.row_bytes(wide.schema) == 144
+    wide = narrow.withColumn("s", F.lit("x")).withColumn("l", F.array(F.struct("id", "b")))
+    assert shared.row_bytes(narrow.schema) == 32 and shared.row_bytes(wide.schema) == 96
     for df in (narrow, wide):
         most = shared.BROADCAST_BYTES // shared.row_bytes(df.schema)
         assert hinted(shared.sized(df, most)) and not hinted(shared.sized(df, most + 1))
