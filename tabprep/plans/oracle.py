@@ -836,3 +836,16 @@ from every group by quality, synthetic""", "doc_labels")
 ORACLE["csv_scan"] = wv(f"""
 select event_id, user_id, case when trim(label) not in {TOKENS} then label end as label, round(value, 6) as value, round(bucket, 6) as bucket,
        cast(null as varchar) as malformed_row from dirty_events""", "dirty_events")
+ORACLE["group_density_binned"] = """
+with v as (select event_type as g, value from events where event_type is not null and value is not null),
+st as (select g, count(*) as n, min(value) as mn, max(value) as mx,
+              coalesce(nullif(stddev_samp(value), 0), 1.0) * pow(cast(count(*) as double), -0.2) as h,
+              case when max(value) > min(value) then (max(value) - min(value)) / cast(511 as double) else 1.0 end as w from v group by g),
+placed as (select v.g, (value - mn) / w as place from v join st on v.g = st.g),
+cut as (select g, place, least(cast(floor(place) as integer), 510) as b from placed),
+shared as (select g, b, 1 - (place - b) as share from cut union all select g, b + 1, place - b from cut),
+grid as (select g, b, sum(share) as share from shared group by g, b),
+p as (select g, n, h, mn, w, cast(unnest(range(0, 64)) as integer) as point, (mx - mn) / 63.0 as s from st)
+select p.g as event_type, point, round(any_value(mn + point * s), 6) as x,
+       round(sum(share * exp(-0.5 * ((mn + b * w - (mn + point * s)) / h) * ((mn + b * w - (mn + point * s)) / h)) / (h * n * sqrt(2 * pi()))), 6) as density
+from p join grid on grid.g = p.g group by p.g, point"""

@@ -299,6 +299,10 @@ def q_group_histogram(spark, sf):
     return finish(hist.group_histogram(_t(spark, sf, "events"), "event_type", "value"))
 
 
+def q_group_density_binned(spark, sf):
+    return finish(hist.group_density(_t(spark, sf, "events"), "event_type", "value", bins=512))
+
+
 def q_group_density(spark, sf):
     return finish(hist.group_density(_t(spark, sf, "events"), "event_type", "value"))
 
@@ -366,6 +370,7 @@ QUERIES.update({
     "class_histogram": q_class_histogram,
     "group_histogram": q_group_histogram,
     "group_density": q_group_density,
+    "group_density_binned": q_group_density_binned,
     "category_by_target": q_category_by_target,
     "value_counts_pct": q_value_counts_pct,
     "crosstab": q_crosstab,
