@@ -1,6 +1,7 @@
-"""Model building, weighted fitting and scoring with MLlib estimators.
+"""Model building, weighted fitting and scoring.
 
-Models are MLlib estimators, so every fit is distributed.  A prepared table
+Models are MLlib estimators (the network: ``network``), so every fit is
+distributed.  A prepared table
 (key, features..., label, split) is turned into a vector column once; class
 weights are a ``weightCol`` built from a literal class -> weight map.
 """
@@ -14,8 +15,7 @@ from enum import Enum
 from typing import Any
 
 from pyspark.ml import Estimator, Model
-from pyspark.ml.classification import (GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import c
 from .imbalance import class_weight_dict
+from .network import NetworkClassifier
 
 FEATURES = "features"
 
@@ -47,6 +48,16 @@ DEFAULT_PARAMS = {
 }
 
 
+# What each model takes; another name is an error, so that no setting is ignored.
+KNOWN_PARAMS = {
+    ModelType.NEURAL_NETWORK: {"layers", "dropout_rate", "learning_rate", "epochs", "batch_size", "random_state"},
+    ModelType.RANDOM_FOREST: {"n_estimators", "max_depth", "min_samples_split", "min_samples_leaf", "random_state", "max_memory_mb"},
+    ModelType.XGBOOST: {"n_estimators", "max_depth", "learning_rate", "random_state"},
+    ModelType.LOGISTIC_REGRESSION: {"max_iter", "C", "tol", "random_state"},
+    ModelType.GRADIENT_BOOSTING: {"n_estimators", "max_depth", "learning_rate", "random_state"},
+}
+
+
 @dataclass
 class ModelConfig:
     model_type: ModelType
@@ -83,21 +94,29 @@ def assemble(df: DataFrame, feature_cols: Sequence[str], out_col: str = FEATURES
 
 def build_model(config: ModelConfig, n_features: int, label_col: str = "label",
                 weight_col: str | None = None, n_train: float | None = None) -> Estimator:
-    """MLlib estimator for a config.
+    """Estimator for a config; a setting it cannot honour is an error.
 
-    Random forest: ``minInstancesPerNode`` = min_samples_leaf (MLlib has no
-    min-split).  XGBoost and gradient boosting: ``GBTClassifier`` (class
+    Random forest: ``minInstancesPerNode`` = min_samples_leaf.  MLlib has no
+    least size of a node to split; a split needs two leaves, so a
+    ``min_samples_split`` up to twice the leaf size (and the default 50) holds
+    by it, a larger one is refused.  XGBoost and gradient boosting: ``GBTClassifier`` (class
     weights are ignored for gradient boosting, like the reference).
     Logistic regression: L2 with C = 1 is ``regParam = 1 / n`` without
     standardisation (MLlib averages the loss where C multiplies its sum);
     tolerance 1e-4 as in the usual library default (MLlib's is 1e-6).
-    Neural network: ``MultilayerPerceptronClassifier`` (sigmoid hidden
-    layers, no dropout, no weights -- weights become row replication).
+    Neural network: ``network.NetworkClassifier`` (row weights, dropout and
+    learning rate count).
     """
     p = config.params
     t = config.model_type
+    unknown = set(p) - KNOWN_PARAMS.get(t, set(p))
+    if unknown:
+        raise ValueError(f"{t.value} does not take {', '.join(sorted(unknown))}; it takes {', '.join(sorted(KNOWN_PARAMS[t]))}")
     common = {"featuresCol": FEATURES, "labelCol": label_col}
     if t == ModelType.RANDOM_FOREST:
+        least = int(p.get("min_samples_split", 2))
+        if least > 2 * int(p.get("min_samples_leaf", 1)) and least != DEFAULT_PARAMS[t]["min_samples_split"]:
+            raise ValueError("min_samples_split beyond twice min_samples_leaf is not supported: set min_samples_leaf")
         est = RandomForestClassifier(numTrees=int(p.get("n_estimators", 100)), maxDepth=int(p.get("max_depth", 10)),
                                      minInstancesPerNode=int(p.get("min_samples_leaf", 1)),
                                      seed=int(p.get("random_state", 42)),
@@ -115,13 +134,11 @@ def build_model(config: ModelConfig, n_features: int, label_col: str = "label",
                                  elasticNetParam=0.0, standardization=False, tol=float(p.get("tol", 1e-4)),
                                  **common)
     elif t == ModelType.NEURAL_NETWORK:
-        est = MultilayerPerceptronClassifier(layers=[n_features, *p.get("layers", [32, 16]), 2],
-                                             maxIter=int(p.get("epochs", 50)),
-                                             stepSize=float(p.get("learning_rate", 0.03)),
-                                             seed=int(p.get("random_state", 42)), **common)
+        est = NetworkClassifier(tuple(int(h) for h in p.get("layers", [32, 16])), int(p.get("epochs", 50)), float(p.get("learning_rate", 0.001)),
+                                float(p.get("dropout_rate", 0.0)), p.get("batch_size", 256), int(p.get("random_state", 42)), FEATURES, label_col)
     else:
         raise ValueError(f"Unknown model type: {t}")
-    if weight_col and t in (ModelType.RANDOM_FOREST, ModelType.XGBOOST, ModelType.LOGISTIC_REGRESSION):
+    if weight_col and t != ModelType.GRADIENT_BOOSTING:
         est.setWeightCol(weight_col)
     return est
 
@@ -132,14 +149,6 @@ def weight_column(df: DataFrame, label_col: str, weights: Mapping | None, weight
     return df.withColumn(weight_col, F.coalesce(m[c(label_col)], F.lit(1.0)))
 
 
-def replicate_by_weight(df: DataFrame, weight_col: str) -> DataFrame:
-    """For estimators without ``weightCol``: each row repeated
-    round(weight / smallest weight) times."""
-    lo = df.agg(F.min(weight_col)).first()[0] or 1.0
-    reps = F.greatest(F.lit(1), F.round(F.col(weight_col) / F.lit(lo)).cast("int"))
-    return df.select("*", F.explode(F.sequence(F.lit(1), reps)).alias("__rep")).drop("__rep")
-
-
 def fit(config: ModelConfig, train: DataFrame, feature_cols: Sequence[str], label_col: str,
         class_weights: Mapping | str | None = None, scale_pos_weight: float | None = None
         ) -> tuple[Model, float]:
@@ -161,9 +170,6 @@ def fit(config: ModelConfig, train: DataFrame, feature_cols: Sequence[str], labe
     if weights and config.model_type != ModelType.GRADIENT_BOOSTING:
         data = weight_column(data, label_col, weights)
         wcol = "weight"
-        if config.model_type == ModelType.NEURAL_NETWORK:
-            data = replicate_by_weight(data, wcol)
-            wcol = None
     n_train = data.agg(F.sum(F.col(wcol)) if wcol else F.count(F.lit(1))).first()[0] \
         if config.model_type == ModelType.LOGISTIC_REGRESSION else None
     est = build_model(config, len(feature_cols), "__label", wcol, n_train)
