@@ -626,17 +626,19 @@ def q_evaluate_scored(spark, sf):
 
 
 def q_selection_summary(spark, sf):
+    """The chosen strategy's figures and a row per strategy with its best round."""
     p = _prepared(spark, sf)
     feats = list(p.feature_names)
     table, results = selection.optimize_strategy(
-        lambda: T_.ModelConfig(T_.ModelType.LOGISTIC_REGRESSION, "Logistic Regression"),
+        lambda: T_.ModelConfig(T_.ModelType.XGBOOST, "XGBoost", params={"n_estimators": 10, "max_depth": 3, "learning_rate": 0.3, "random_state": 42}),
         p.train, p.val, "loan_id", "not_fully_paid", feats,
         strategies=["none", "class_weights", "smote_partial"], optimize_for="recall_weighted")
     best = table.orderBy("rank").first()["name"]
     scored = T_.score(results[best].model, p.test, feats, keep=["loan_id", "not_fully_paid"])
     sweep = metrics.threshold_sweep(scored, "not_fully_paid", "probability")
     thr = metrics.best_threshold(sweep).first()["threshold"]
-    return finish(selection.selection_summary(table, scored, "not_fully_paid", thr, best))
+    summary = selection.selection_summary(table, scored, "not_fully_paid", thr, best)
+    return finish(selection.all_results(summary, selection.strategy_rows(results, p.val, feats, "not_fully_paid")))
 
 
 QUERIES.update({

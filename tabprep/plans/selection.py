@@ -15,8 +15,9 @@ from enum import Enum
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import c
+from ..functions.columns import c, long_form
 from ..functions.numeric import safe_div
+from ..operators import history, staged
 from ..operators import metrics as M
 from ..operators.imbalance import class_weight_dict
 from ..operators.resample import SmoteBasis, class_distribution, smote_basis, smote_from
@@ -237,6 +238,33 @@ def best_epoch(history: DataFrame, monitor: str = "val_loss", mode: str = "min",
                        (F.col("b.v") if mode == "min" else -F.col("b.v")).alias("best_value"))
 
 
+def strategy_rows(results: Mapping[str, StrategyResult], val: DataFrame, feature_cols: Sequence[str], label_col: str,
+                  monitor: str = "val_auc", mode: str = "auto") -> DataFrame:
+    """One row per strategy: (strategy, train_samples, class_distribution,
+    monitor, best_value, best_round).  The best round is the first with the
+    best monitored value on the validation rows; NULL for models that are not
+    fitted in rounds.  Only ``val_`` series can be monitored."""
+    if not monitor.startswith("val_"):
+        raise ValueError("monitor a series of the validation rows")
+    mode, rows = history.monitor_mode(monitor, mode), []
+    for name, res in results.items():
+        best = None
+        if hasattr(res.model, "trees") and hasattr(res.model, "treeWeights") and hasattr(res.model, "evaluateEachIteration"):
+            series = staged.fit_history(res.model, val.where(F.lit(False)), val, feature_cols, label_col, metrics=[monitor.removeprefix("val_")])
+            best = best_epoch(series, monitor, mode).first()
+        spread = ", ".join(f"({k}:{v:,})" for k, v in sorted(res.dist_after.items(), key=lambda x: str(x[0])))
+        rows.append((name, res.n_after, spread, monitor, best["best_value"] if best else None, best["best_round"] if best else None))
+    return val.sparkSession.createDataFrame(rows, "strategy string, train_samples long, class_distribution string, monitor string, best_value double, best_round int")
+
+
+def all_results(summary: DataFrame, strategies: DataFrame) -> DataFrame:
+    """The summary of the chosen strategy and the rows of all of them as
+    (result, label, at, metric, value)."""
+    numbers = [n for n in summary.columns if n != "best_strategy"]
+    return long_form(summary, "best", numbers, F.col("best_strategy")).unionByName(
+        long_form(strategies, "strategy", ["train_samples", "best_value", "best_round"], F.concat_ws(" ", "strategy", "class_distribution")))
+
+
 def selection_summary(ranking: DataFrame, test_scored: DataFrame, label_col: str, threshold: float,
                       name: str) -> DataFrame:
     """One row: the chosen strategy and its validation AUC, the threshold,
