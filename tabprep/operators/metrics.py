@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import c
 from ..functions.numeric import safe_div
-from ..session import ensure_checkpoint_dir
+from ..session import save_table
 from .cumulative import running_totals
 
 DEFAULT_THRESHOLDS = (0.3, 0.4, 0.5, 0.6, 0.7)
@@ -69,8 +69,8 @@ def optimization_metric(metric: OptimizationMetric | str, accuracy: Column | Non
             metric = OptimizationMetric(metric)
         except ValueError as e:
             raise TypeError(f"unknown optimization metric {metric!r}") from e
-    if not isinstance(metric, OptimizationMetric):
-        raise TypeError(f"metric must be an OptimizationMetric, got {type(metric).__name__}")
+    elif type(metric) is not OptimizationMetric:
+        raise TypeError(f"a metric or its name is wanted, not {metric!r}")
     need = {OptimizationMetric.ACCURACY: [accuracy], OptimizationMetric.PRECISION: [precision],
             OptimizationMetric.RECALL: [recall], OptimizationMetric.F1: [f1],
             OptimizationMetric.ROC_AUC: [roc_auc],
@@ -125,14 +125,24 @@ def _classes(df: DataFrame, label_col: str, prediction_col: str) -> list:
     return sorted(r["v"] for r in vals)
 
 
+def _cells(df: DataFrame, label_col: str, prediction_col: str, labels: Sequence | None) -> DataFrame:
+    """(actual, predicted, n) of the cells that occur, among ``labels`` if given."""
+    counts = df.groupBy(c(label_col).alias("actual"), c(prediction_col).alias("predicted")).agg(
+        F.count(F.lit(1)).alias("n")).where("actual is not null and predicted is not null")
+    return counts if labels is None else counts.where(F.col("actual").isin(list(labels)) & F.col("predicted").isin(list(labels)))
+
+
 def confusion_matrix(df: DataFrame, label_col: str = "label", prediction_col: str = "prediction",
-                     labels: Sequence | None = None) -> DataFrame:
+                     labels: Sequence | None = None, dense: bool = True) -> DataFrame:
     """(actual, predicted, count) for every pair of classes, 0 for absent
     cells; classes ascending.  The class list (one entry per class) is the
-    only thing that reaches the driver."""
+    only thing that reaches the driver.  ``dense=False`` returns the cells
+    that occur, for any number of classes, and collects nothing; the dense
+    form of k classes has k^2 rows and is refused beyond ``_MAX_CLASSES``."""
+    counts = _cells(df, label_col, prediction_col, labels)
+    if not dense:
+        return counts.withColumnRenamed("n", "count")
     classes = list(labels) if labels is not None else _classes(df, label_col, prediction_col)
-    counts = df.groupBy(c(label_col).alias("actual"), c(prediction_col).alias("predicted")).agg(
-        F.count(F.lit(1)).alias("n"))
     arr = F.array(*[F.lit(v) for v in classes])
     grid = counts.sparkSession.range(1).select(F.explode(arr).alias("actual")).select(
         "actual", F.explode(arr).alias("predicted"))
@@ -152,17 +162,18 @@ def classification_report(df: DataFrame, label_col: str = "label", prediction_co
     """Per class precision / recall / F1 / support, then ``accuracy``,
     ``macro avg`` and ``weighted avg`` rows (precision and recall are NULL
     on the accuracy row, whose F1 column holds the accuracy)."""
-    # the (classes x classes) matrix feeds four aggregates below: one scan of
-    # the scored rows, the small result written to the checkpoint folder
-    ensure_checkpoint_dir(df.sparkSession)
-    cm = confusion_matrix(df, label_col, prediction_col, labels).checkpoint()
-    per = cm.groupBy("actual").agg(
-        F.sum(F.when(F.col("actual") == F.col("predicted"), F.col("count"))).alias("tp"),
-        F.sum("count").alias("support")).withColumnRenamed("actual", "cls")
-    predicted = cm.groupBy("predicted").agg(F.sum("count").alias("pred_total")).withColumnRenamed(
-        "predicted", "cls")
+    # the cells that occur feed four aggregates below: one scan of the scored
+    # rows, the result written to the shared folder
+    cells = save_table(_cells(df, label_col, prediction_col, labels), "confusion")
+    sides = cells.select(F.explode(F.array(
+        F.struct(F.col("actual").alias("cls"), F.col("n").alias("a"), F.lit(0).cast("bigint").alias("p"), F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(0).alias("t")),
+        F.struct(F.col("predicted").cast(cells.schema["actual"].dataType).alias("cls"), F.lit(0).cast("bigint").alias("a"), F.col("n").alias("p"), F.lit(0).cast("bigint").alias("t")))).alias("x")).select("x.*")
+    if labels is not None:                            # classes without any row
+        sides = sides.unionByName(df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(v).cast(cells.schema["actual"].dataType) for v in labels])).alias("cls"))
+                                  .select("cls", *[F.lit(0).cast("bigint").alias(k) for k in "apt"]))
+    per = sides.groupBy("cls").agg(F.sum("t").alias("tp"), F.sum("a").alias("support"), F.sum("p").alias("pred_total"))
     zero = F.lit(0.0)
-    t = per.join(predicted, "cls").select(
+    t = per.select(
         "cls", "tp", "support",
         F.coalesce(safe_div(F.col("tp"), F.col("pred_total")), zero).alias("precision"),
         F.coalesce(safe_div(F.col("tp"), F.col("support")), zero).alias("recall"))

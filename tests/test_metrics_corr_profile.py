@@ -153,3 +153,23 @@ def test_crosstab_wide(spark):
     df = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "x"), (None, "x")], "k string, c string")
     wide = {r["k"]: (r["x"], r["y"]) for r in profile.crosstab_wide(df, "k", "c").collect()}
     assert wide == {"a": (1, 1), "b": (1, 0)}
+
+
+def test_report_of_more_classes_than_a_dense_matrix_takes(spark, monkeypatch):
+    import numpy as np
+    monkeypatch.setattr(metrics, "_MAX_CLASSES", 20)
+    rng = np.random.default_rng(3)
+    y = rng.integers(0, 60, 3000)
+    p = np.where(rng.random(3000) < 0.7, y, rng.integers(0, 70, 3000))
+    df = spark.createDataFrame([(int(a), int(b)) for a, b in zip(y, p)] + [(None, 1), (2, None)], "label int, prediction int")
+    with pytest.raises(ValueError, match="20 classes"):
+        metrics.confusion_matrix(df)
+    cells = {(r["actual"], r["predicted"]): r["count"] for r in metrics.confusion_matrix(df, dense=False).collect()}
+    assert sum(cells.values()) == 3000 and all(n == ((y == a) & (p == b)).sum() for (a, b), n in cells.items())
+    got = {r["class"]: r for r in metrics.classification_report(df).collect()}
+    assert len(got) == 70 + 3 and got["65"]["support"] == 0 and got["65"]["precision"] == 0
+    for k in (0, 17, 59):
+        tp = ((y == k) & (p == k)).sum()
+        assert got[str(k)]["precision"] == pytest.approx(tp / (p == k).sum()) and got[str(k)]["recall"] == pytest.approx(tp / (y == k).sum())
+    some = {r["class"]: r for r in metrics.classification_report(df, labels=[1, 2, 99]).collect()}
+    assert set(some) == {"1", "2", "99", "accuracy", "macro avg", "weighted avg"} and some["99"]["support"] == 0
