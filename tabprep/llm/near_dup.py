@@ -350,3 +350,22 @@ def keep_one(documents: DataFrame, *, id_col: str = "doc_id", text: str = "text"
     if rows.groupBy("id", "th").count().where("count > 1").isEmpty():
         return out
     return out.withColumn("__th", F.xxhash64(text)).dropDuplicates([id_col, "__th"]).drop("__th")
+
+
+def oracle_sql(*, percent: int = 75) -> str:
+    """DuckDB SQL for ``find_groups``: all pairs that share a shingle, and the
+    smallest vertex that reaches each one, by recursion (small tables only)."""
+    return rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM w WHERE len(w) >= 5)
+    UNION ALL SELECT doc_id, array_to_string(w, ' ') FROM w WHERE len(w) BETWEEN 1 AND 4)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+links AS (
+  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both_ FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2)
+  JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * both_ >= {percent} * (p.n + q.n - both_)),
+reach(v, c) AS (SELECT doc_id, doc_id FROM n UNION SELECT b, c FROM reach JOIN links ON a = v AND c < b)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(m.c, d.doc_id) AS component_id, coalesce(m.c, d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT v, min(c) AS c FROM reach GROUP BY v) m ON m.v = d.doc_id"""

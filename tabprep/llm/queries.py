@@ -98,5 +98,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op9_license_scan": license_scan.oracle_sql(),
+    "op10_near_dup": near_dup.oracle_sql(),
     "op11_fill_in_middle": fill_middle.oracle_sql(),
 }
