@@ -99,6 +99,8 @@ def robust_distances(rows: DataFrame, *, keys: list[str], scratch: Scratch, step
     p = len(VECTOR)
     group = scratch.save(_groups(rows, keys, least_rows), "groups")
     n_groups = group.count()
+    if not n_groups:                                      # no row passes the base rules
+        return rows.withColumn("distance", F.lit(None).cast("double"))
     labelled = rows.join(sized(group.select(*(F.col(k).alias(f"__{k}") for k in keys), "grp"), n_groups), [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys], "left")
     labelled = labelled.drop(*(f"__{k}" for k in keys)).withColumn("w", F.col("n_words") / (F.col("n_words") + F.lit(float(prior_words))))
     used = labelled.where("not base_failed and grp is not null").select("grp", "w", *(f"v{i}" for i in range(p)))
