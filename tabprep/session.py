@@ -27,7 +27,7 @@ _DEFAULT_CONF = {
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app_name: str = "tabprep", checkpoint_dir: str | None = None) -> SparkSession:
+                  app_name: str = "tabprep", checkpoint_dir: str | None = None, conf: dict[str, str] | None = None) -> SparkSession:
     """A local session for tests and benchmarks.  Python workers inherit the
     package through ``PYTHONPATH``; on a cluster ship it with
     ``spark-submit --py-files`` instead."""
@@ -39,7 +39,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", os.environ.get("TABPREP_DRIVER_MEMORY", "8g"))
                .config("spark.checkpoint.dir", checkpoint_dir or tempfile.mkdtemp(prefix="tabprep-ckpt-", dir="/tmp")))
-    for k, v in _DEFAULT_CONF.items():
+    for k, v in {**_DEFAULT_CONF, **(conf or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
