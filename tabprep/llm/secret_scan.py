@@ -10,8 +10,8 @@ features of the whole text ("file").  Viterbi decodes the best path; tagged runs
 base span are added as kind ``crf``.
 
 The field is fitted on windows of a bounded sample (``sample_rows`` distinct
-texts with a base span and as many without, ``windows`` places in each, at
-places drawn by a hash).  Base spans alone would teach it the base patterns, so
+texts with a base span and as many without, at most ``windows`` places in each
+copy, drawn by a hash).  Base spans alone would teach it the base patterns, so
 its texts get more: copies in which base spans hold other letters, and copies
 with made-up lines, half of them secrets of many shapes in contexts that no
 base pattern has (other names, headers, command lines, prose, none), half hard
@@ -208,7 +208,8 @@ def fit(windows: list[tuple[np.ndarray, np.ndarray]], *, steps: int = 60, l2: fl
     feature = np.concatenate([f for f, _ in windows])
     tag = np.concatenate([t for _, t in windows])
     used, at = np.unique(feature, return_inverse=True)
-    at = at.reshape(feature.shape)
+    at = at.reshape(feature.shape).astype(np.int32)
+    del feature
     live = used >= 0
     length = np.array([len(t) for _, t in windows])
     first = np.concatenate([[0], np.cumsum(length)[:-1]])
@@ -226,7 +227,9 @@ def fit(windows: list[tuple[np.ndarray, np.ndarray]], *, steps: int = 60, l2: fl
     logsum = lambda x, axis: (lambda m: m.squeeze(axis) + np.log(np.exp(x - m).sum(axis)))(x.max(axis, keepdims=True))
     alive = [int(np.searchsorted(-length, -t, "left")) for t in range(int(length[0]) + 1)]
     for step in range(1, steps + 1):
-        e = w[at].sum(1)
+        e = w[at[:, 0]]
+        for c in range(1, at.shape[1]):
+            e += w[at[:, c]]
         a, b = np.zeros_like(e), np.zeros_like(e)
         a[first] = e[first]
         for t in range(1, int(length[0])):
@@ -345,9 +348,9 @@ def made_harmless(rng: np.random.Generator) -> str:
     return f"[{word()}]({word()}/{word()}.md) the {word()}-{word()}-{word()} of {word().upper()}_{word().upper()}"
 
 
-def _windows(texts: list[bytes], spans: list[list[tuple[int, int]]], others: list[list[tuple[int, int]]], reach: int, most: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Windows around at most ``most`` of the given byte spans of each text (of
-    secrets, and of others), and one elsewhere, at places drawn by a hash of
+def _windows(texts: list[bytes], spans: list[list[tuple[int, int]]], others: list[list[tuple[int, int]]], reach: int, most: list[int]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Windows around so many (``most``) of the given byte spans of each text
+    (of secrets, and of others), and one elsewhere, at places drawn by a hash of
     the text."""
     off = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
     buf = np.frombuffer(b"".join(texts), np.uint8)
@@ -367,7 +370,7 @@ def _windows(texts: list[bytes], spans: list[list[tuple[int, int]]], others: lis
         for s, e in others[r]:
             hit = np.flatnonzero((start[a:b] < e + off[r]) & (end[a:b] > s + off[r]))
             centres.append(int(hit[int(rng.integers(len(hit)))]) if len(hit) else 0)
-        chosen = rng.permutation(len(centres))[:most].tolist()
+        chosen = rng.permutation(len(centres))[:most[r]].tolist()
         for c in [*(centres[k] for k in chosen), int(rng.integers(b - a))]:
             lo, hi = max(0, c - reach), min(b - a, c + reach)
             out.append((feature[a + lo:a + hi], tag[lo:hi]))
@@ -434,22 +437,25 @@ def _labelled_windows(buf: np.ndarray, off: np.ndarray, reach: int, most: int) -
         texts.append(more)
         spans.append(added)
         others += [[]] * (len(texts) - len(others) - 1) + [harmless]
-    return _windows(texts, spans, others, reach, most)
+    # of texts as they are and with other letters a third: their contexts are few
+    return _windows(texts, spans, others, reach, [most if o else max(1, most // 3) for o in others])
 
 
-def fit_field(documents: DataFrame, *, text: str = "text", sample_rows: int = 800, reach: int = 12, windows: int = 6) -> Field | None:
+def fit_field(documents: DataFrame, *, text: str = "text", sample_rows: int = 500, reach: int = 12, windows: int = 6) -> Field | None:
     """The field from at most ``sample_rows`` distinct texts with a base span
     and as many without, chosen by a hash of the text, with at most
-    ``windows`` windows around secrets of each.  None without a base span."""
+    ``windows`` windows in a copy with made-up lines and a third of it in the
+    others.  None without a base span."""
     shaped = documents.select(F.col(text).alias("__text"), F.xxhash64(text).alias("__h")).where("__text is not null")
     flagged = F.lit(False)
     for pattern, group, least in BASE:
         values = F.regexp_extract_all("__text", F.lit(("(?i)" if pattern.flags & re.IGNORECASE else "") + pattern.pattern), F.lit(group))
         flagged |= F.array_max(F.transform(values, F.length)) >= least
     # distinct hashes first: copies of a text leave room for others, and no text is shuffled
-    seen = shaped.select("__h", F.coalesce(flagged, F.lit(False)).alias("__flag")).distinct()
+    scratch = Scratch(documents.sparkSession, "secret-scan")
+    seen = scratch.save(shaped.select("__h", F.coalesce(flagged, F.lit(False)).alias("__flag")).distinct(), "flags")
     pick = lambda flag: seen.where(F.col("__flag") == flag).orderBy("__h").limit(sample_rows).select("__h")
-    chosen = Scratch(documents.sparkSession, "secret-scan").save(pick(True).unionByName(pick(False)), "sample")
+    chosen = scratch.save(pick(True).unionByName(pick(False)), "sample")
     sample = shaped.join(sized(chosen, 2 * sample_rows), "__h").groupBy("__h").agg(F.min("__text").alias("__text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
