@@ -94,15 +94,34 @@ def kept(owner: str, key: str, make: Callable[[], object]) -> object:
     return _kept[owner, key]
 
 
+_M_TRIM_THRESHOLD, _M_MMAP_THRESHOLD = -1, -3       # fixed values of mallopt
+_steady = False
+
+
+def _allocator(call: str, *args: int) -> None:
+    try:
+        getattr(ctypes.CDLL(None), call)(*args)
+    except (AttributeError, OSError):             # an allocator without it
+        pass
+
+
+def steady() -> None:
+    """Arrays of 1 MB and more go back to the system when they are freed.  By
+    default the limit rises with the largest array freed, so that a worker
+    that waits for its next task would hold what its last block took."""
+    global _steady
+    if not _steady:
+        _allocator("mallopt", _M_MMAP_THRESHOLD, 1 << 20)
+        _allocator("mallopt", _M_TRIM_THRESHOLD, 1 << 22)
+        _steady = True
+
+
 def tidy() -> None:
     """Give back what a finished task no longer needs: arrays freed by numpy
     and Arrow stay in their allocators and would add up over the stages."""
     _powers.clear()
     pa.default_memory_pool().release_unused()
-    try:
-        ctypes.CDLL(None).malloc_trim(0)
-    except (AttributeError, OSError):             # an allocator without it
-        pass
+    _allocator("malloc_trim", 0)
 
 
 def blocks(batches: Iterator[pa.RecordBatch], text: str, limit: int = BLOCK_BYTES, owner: str = "") -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
@@ -110,6 +129,7 @@ def blocks(batches: Iterator[pa.RecordBatch], text: str, limit: int = BLOCK_BYTE
     bytes of text, or of one row.  Frees what operators other than ``owner``
     keep, and tidies up at the end of the partition."""
     global _open
+    steady()
     for own in [k for k in _kept if k[0] != owner] if not _open else ():
         del _kept[own]
     _open += 1
@@ -124,6 +144,7 @@ def blocks(batches: Iterator[pa.RecordBatch], text: str, limit: int = BLOCK_BYTE
                 end = min(max(end, row + 1), batch.num_rows, row + 65_536)
                 yield batch.slice(row, end - row), buf[off[row]:off[end]], off[row:end + 1] - off[row]
                 row = end
+            batch = buf = off = None              # before the next batch is read
     finally:
         _open -= 1
         if not _open:

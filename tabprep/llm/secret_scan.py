@@ -85,6 +85,7 @@ _HEX[list(b"0123456789abcdefABCDEF")] = True
 _SIGNS = (b".", b"/", b"+", b"-_")                     # signs a run may hold
 N_SHAPE = 8 * 16 * 2 * 4          # length bucket, classes present, hex only, changes of class
 N_NAME = 1 << 12
+BLOCK = 1 << 19                   # bytes of text at once: a token has some 200 bytes of features
 N_FILE = 4
 #: offsets of the feature families in the weight table
 OWN, LEFT, RIGHT, NAME1, NAME2, NEXT, FILE, SIZE, TURNS, SIGNS, MIXED, DENSE, AFTER, LONG = np.cumsum([0, N_SHAPE, N_SHAPE, N_SHAPE, N_NAME, N_NAME, N_NAME, N_FILE, 16, 64, 16 * 8, 16 * 16, 8 * 8, 8 * 8 * 4]).tolist()
@@ -507,7 +508,7 @@ def scan(documents: DataFrame, field: Field | None, *, keep: list[str], text: st
     names = [*keep, "n_assign", "n_access", "n_hex", "base_sha256", "spans"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, buf, off in blocks(batches, "__text"):
+        for rows, buf, off in blocks(batches, "__text", BLOCK):
             found = find_spans(buf, off, shared.value)
             base = [[x for x in f if x[1] < 3] for f in found]
             yield pa.RecordBatch.from_arrays(
@@ -527,7 +528,7 @@ def redact(documents: DataFrame, field: Field | None, *, text: str = "text", mar
     at = names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, buf, off in blocks(batches, text):
+        for rows, buf, off in blocks(batches, text, BLOCK):
             texts = rows.column(at).to_pylist()
             for i, spans in enumerate(find_spans(buf, off, shared.value)):
                 parts, done = [], 0
