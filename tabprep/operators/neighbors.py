@@ -79,12 +79,16 @@ class PivotTree:
     size: np.ndarray
     radius: np.ndarray
 
-    def grow(self, node: int, centres: np.ndarray) -> None:
-        self.first[node], self.many[node] = len(self.size), len(centres)
-        none = np.zeros(len(centres), np.int64)
-        self.centre = np.concatenate([self.centre, centres])
+    def grow(self, centres: dict[int, np.ndarray]) -> None:
+        """The children of each node, by their centres; all nodes at once, for
+        one copy of the arrays."""
+        count = np.array([len(x) for x in centres.values()], np.int64)
+        nodes = np.fromiter(centres, np.int64, len(centres))
+        self.first[nodes], self.many[nodes] = len(self.size) + np.cumsum(count) - count, count
+        none = np.zeros(int(count.sum()), np.int64)
+        self.centre = np.concatenate([self.centre, *centres.values()])
         self.first, self.many, self.size = (np.concatenate([old, none]) for old in (self.first, self.many, self.size))
-        self.radius = np.concatenate([self.radius, np.zeros(len(centres))])
+        self.radius = np.concatenate([self.radius, np.zeros(len(none))])
 
     def children(self, node: int) -> slice:
         return slice(int(self.first[node]), int(self.first[node] + self.many[node]))
@@ -133,9 +137,10 @@ def _dealt(rows: DataFrame, to: dict[int, tuple[np.ndarray, np.ndarray]], dim: i
 
 
 def _stats(rows: DataFrame, tree: PivotTree) -> None:
-    for r in rows.groupBy("cell").agg(F.count("*").alias("n"), F.max("d").alias("u")).collect():   # a row per leaf
-        # a hair of slack for rounding
-        tree.size[r["cell"]], tree.radius[r["cell"]] = r["n"], r["u"] * (1 + 1e-9) + 1e-12 if r["cell"] else np.inf
+    found = rows.groupBy("cell").agg(F.count("*").alias("n"), F.max("d").alias("u")).toArrow()   # a row per leaf, as columns
+    cell, n, u = (found.column(j).to_numpy() for j in range(3))
+    # a hair of slack for rounding
+    tree.size[cell], tree.radius[cell] = n, np.where(cell > 0, u * (1 + 1e-9) + 1e-12, np.inf)
 
 
 def pivot_tree(rows: DataFrame, dim: int, n: int, least: int, seed: int, fanout: int, leaf: int) -> tuple[DataFrame, PivotTree]:
@@ -148,18 +153,16 @@ def pivot_tree(rows: DataFrame, dim: int, n: int, least: int, seed: int, fanout:
         want = {node: min(fanout, -(-2 * int(tree.size[node]) // leaf)) for node in open_}
         if not open_ or (len(tree.size) + 2 * sum(want.values())) * (8 * dim + 32) > TREE_BYTES:
             break
-        shares = rows.sparkSession.createDataFrame([(node, float(m) / int(tree.size[node])) for node, m in want.items()], "cell int, share double")
+        shares = rows.sparkSession.createDataFrame(pa.table({"cell": pa.array(list(want), pa.int32()), "share": [m / int(tree.size[node]) for node, m in want.items()]}))
         drawn = (F.xxhash64("id", F.lit(seed), F.lit(level)).cast("double") / 2.0 ** 64 + 0.5) < F.col("share")
+        got = rows.join(F.broadcast(shares), "cell").where(drawn).select("cell", "vec").toArrow()      # the next nodes: part of the bounded tree
         chosen: dict[int, list[bytes]] = {}
-        for r in rows.join(F.broadcast(shares), "cell").where(drawn).select("cell", "vec").collect():   # the next nodes: part of the bounded tree
-            chosen.setdefault(r["cell"], []).append(bytes(r["vec"]))
-        to = {}
-        for node in open_:
-            centres = sorted(chosen.get(node, []))[:2 * fanout]
-            if len(centres) > 1:
-                tree.grow(node, np.frombuffer(b"".join(centres), np.float64).reshape(-1, dim))
-                own = tree.children(node)
-                to[node] = (np.arange(own.start, own.stop), tree.centre[own])
+        for node, vec in zip(got.column(0).to_numpy().tolist(), got.column(1)):
+            chosen.setdefault(node, []).append(vec.as_py())
+        centres = {node: sorted(chosen[node])[:2 * fanout] for node in open_ if len(chosen.get(node, [])) > 1}
+        if centres:
+            tree.grow({node: np.frombuffer(b"".join(own), np.float64).reshape(-1, dim) for node, own in centres.items()})
+        to = {node: (np.arange(own.start, own.stop), tree.centre[own]) for node in centres for own in (tree.children(node),)}
         if not to:
             break
         rows = save_table(_dealt(rows, to, dim), "knn-dealt")
@@ -168,7 +171,8 @@ def pivot_tree(rows: DataFrame, dim: int, n: int, least: int, seed: int, fanout:
         for node, (ids, centres) in to.items():
             enough = tree.size[ids] >= least
             if not enough.all():                              # at least one child has enough: the node has many points
-                back |= {int(i): (ids[enough], centres[enough]) for i in ids[~enough & (tree.size[ids] > 0)]}
+                rest = ids[enough], centres[enough]           # one for all of the node's children that are given up
+                back |= {int(i): rest for i in ids[~enough & (tree.size[ids] > 0)]}
                 tree.size[ids[~enough]] = 0
         if back:
             rows = _dealt(rows, back, dim)
@@ -200,7 +204,7 @@ def candidate_cells(df: DataFrame, id_col: str, feature_cols: Sequence[str], k:
     small = leaf or max(LEAF_ROWS, -(-4 * n * (8 * dim + 32) // TREE_BYTES))     # two nodes for each leaf's worth of points
     dealt, tree = pivot_tree(rows, dim, n, k + 1, seed, pivots or FANOUT, small)
     leaves = np.flatnonzero((tree.many == 0) & (tree.size > 0))
-    cuts = spark.createDataFrame([(int(i), max(1, int(tree.size[i]) // block)) for i in leaves], "cell int, cuts int")
+    cuts = spark.createDataFrame(pa.table({"cell": leaves.astype(np.int32), "cuts": np.maximum(1, tree.size[leaves] // block).astype(np.int32)}))
     points = dealt.join(F.broadcast(cuts), "cell").select("cell", F.pmod(F.xxhash64("id"), F.col("cuts")).cast("int").alias("blk"), "id", "vec", "d")
     shared = spark.sparkContext.broadcast(tree)
 

@@ -199,3 +199,21 @@ def test_knn_of_few_points(spark):
     assert {(r["id"], r["nbr_id"], r["dist"]) for r in neighbors.knn(df, "id", ["a"], k=5).collect()} == {(1, 2, 1.0), (2, 1, 1.0)}
     assert neighbors.knn(df.where("id = 1"), "id", ["a"], k=5).collect() == []
     assert neighbors.knn(df.where("id = 9"), "id", ["a"], k=5).collect() == []
+
+
+def test_tree_keeps_one_copy_of_its_centres(spark, monkeypatch):
+    """What a level holds on the driver grows with the tree, not with its square."""
+    x = np.random.default_rng(3).random((6000, 3))
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "id long, f0 double, f1 double, f2 double")
+    held, dealt = [], neighbors._dealt
+
+    def watched(rows, to, dim):
+        arrays = {id(a if a.base is None else a.base): a if a.base is None else a.base for pair in to.values() for a in pair}
+        held.append((len(to), sum(a.nbytes for a in arrays.values())))
+        return dealt(rows, to, dim)
+
+    monkeypatch.setattr(neighbors, "_dealt", watched)
+    points, _, _ = neighbors.candidate_cells(df, "id", ["f0", "f1", "f2"], 5, 0, 8, 1024, leaf=16)
+    nodes = points.agg(F.max("cell")).first()[0] + 1
+    assert max(n for n, _ in held) > 50                        # many nodes are split at once
+    assert max(b for _, b in held) <= 2 * nodes * (3 + 1) * 8
