@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import c
 from ..functions.numeric import safe_div
+from ..session import save_table
 from .cumulative import running_totals
 
 # fixed values: the names that may be monitored
@@ -48,6 +49,15 @@ def metric_history(scored: DataFrame, label_col: str, score_col: str, round_col:
     counts = (scored.select(*[c(k) for k in keys], val.alias("__val"), c(score_col).cast("double").alias("__s"), c(label_col).alias("__y"))
               .groupBy(*[c(k) for k in keys], "__val", "__s")
               .agg(F.count_if(F.col("__y") == 1).alias("__pos"), F.count_if(F.col("__y") == 0).alias("__neg")))
+    return history_of_counts(counts, keys, metrics, threshold)
+
+
+def history_of_counts(counts: DataFrame, keys: Sequence[str], metrics: Sequence[str] = METRICS, threshold: float = 0.5) -> DataFrame:
+    """``metric_history`` of counted rows: the keys, ``__val``, the score
+    ``__s`` and how many rows of it are positive (``__pos``) and negative
+    (``__neg``); one row per key, ``__val`` and score."""
+    if "auc" in metrics:
+        counts = save_table(counts, "score-counts")    # read twice: for the bounds of the running totals and for the totals
     ranked = running_totals(counts, "__s", ["__neg"], [*keys, "__val"]) if "auc" in metrics else counts.withColumn("cum___neg", F.lit(0))
     hit = F.col("__s") >= F.lit(float(threshold))
     total = lambda col, when=None: F.coalesce(F.sum(F.when(when, col) if when is not None else col), F.lit(0)).cast("double")

@@ -15,11 +15,12 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Model
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +34,7 @@ from .train import ModelConfig, ModelType, fit
 #: Series of a fit's history, each for training and (``val_``) validation rows.
 SERIES = ("loss", *history.METRICS)
 _CHUNK = 4096                                         # rows traversed at once
+_COUNTED = 1 << 21                                    # margins counted at once
 
 
 class _Saved:
@@ -117,14 +119,53 @@ def by_round(staged: DataFrame) -> DataFrame:
     return rows.select(*kept, (F.col("__k") + 1).alias("round"), "margin", (1 / (1 + F.exp(F.col("margin") * -2))).alias("probability"))
 
 
+def staged_counts(model: Model, df: DataFrame, feature_cols: Sequence[str], label_col: str, val_col: str) -> DataFrame:
+    """(``__val``, round, margin, ``__pos``, ``__neg``): positive and negative
+    rows by the margin they have after each round.  Rows are counted in their
+    task, _COUNTED margins at a time; a margin may have several rows here."""
+    trees = df.sparkSession.sparkContext.broadcast(flatten(model, df.sparkSession))   # bounded by the model
+    is_label = lambda v: F.coalesce((c(label_col) == v).cast("long"), F.lit(0).cast("long"))
+    rows = df.select(c(val_col).alias("__val"), is_label(1).alias("__pos"), is_label(0).alias("__neg"), F.array(*[c(f).cast("double") for f in feature_cols]).alias("x"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        most = max(1, _COUNTED // max(len(trees.value.roots), 1))
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            table = pa.Table.from_batches(held).combine_chunks()
+            held.clear()
+            val, pos, neg = (table.column(k).to_numpy() for k in range(3))
+            x = table.column(3).combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(val), -1)
+            margins = trees.value.margins(x)
+            for side in (False, True):
+                own = np.flatnonzero(val == side)
+                for k in range(margins.shape[1] if len(own) else 0):
+                    margin, at = np.unique(margins[own, k], return_inverse=True)
+                    per = [np.bincount(at, weights=n[own], minlength=len(margin)).astype(np.int64) for n in (pos, neg)]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(margin), side)), pa.array(np.full(len(margin), k + 1, np.int32)), pa.array(margin), *map(pa.array, per)],
+                                                     names=["__val", "round", "margin", "__pos", "__neg"])
+
+        for batch in batches:
+            for k in range(0, batch.num_rows, most):
+                held.append(batch.slice(k, most))
+                if sum(b.num_rows for b in held) >= most:
+                    yield from counted()
+        if held:
+            yield from counted()
+
+    return rows.mapInArrow(run, "__val boolean, round int, margin double, __pos bigint, __neg bigint")
+
+
 def fit_history(model: Model, train: DataFrame, val: DataFrame, feature_cols: Sequence[str], label_col: str,
                 metrics: Sequence[str] = SERIES, threshold: float = 0.5) -> DataFrame:
     """(round, metric, value) of a boosted fit: the series of ``metrics`` on
     the training rows and, as ``val_<metric>``, on the validation rows."""
     wanted = [*feature_cols, label_col]
     rows = [d.select(*[c(n) for n in dict.fromkeys(wanted)]).withColumn("__is_val", F.lit(v)) for d, v in ((train, False), (val, True))]
-    staged = staged_margins(model, rows[0].unionByName(rows[1]), feature_cols, [label_col, "__is_val"])
-    return history.metric_history(by_round(staged), label_col, "probability", "round", "__is_val", metrics=metrics, threshold=threshold)
+    counted = staged_counts(model, rows[0].unionByName(rows[1]), feature_cols, label_col, "__is_val")
+    scored = counted.select("round", "__val", (1 / (1 + F.exp(F.col("margin") * -2))).alias("__s"), "__pos", "__neg")
+    counts = scored.groupBy("round", "__val", "__s").agg(F.sum("__pos").alias("__pos"), F.sum("__neg").alias("__neg"))
+    return history.history_of_counts(counts, ["round"], metrics, threshold)
 
 
 def truncated(model: Model, rounds: int, spark: SparkSession) -> GBTClassificationModel:

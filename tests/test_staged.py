@@ -100,3 +100,17 @@ def test_settings_and_empty_rows(spark, rows, model):
     none = rows[1].where("id < 0")
     assert staged.staged_margins(model, none, FEATURES, ["id"]).collect() == []
     assert {r["metric"] for r in staged.fit_history(model, rows[0], none, FEATURES, "y").collect()} == set(staged.SERIES)
+
+
+@pytest.mark.parametrize("counted", [1 << 21, 96])
+def test_counted_margins_equal_the_rows_exploded_by_round(spark, rows, model, monkeypatch, counted):
+    monkeypatch.setattr(staged, "_COUNTED", counted)
+    both = rows[0].withColumn("v", F.lit(False)).unionByName(rows[1].withColumn("v", F.lit(True))).withColumn("y", F.when(F.col("id") % 11 > 0, F.col("y")))
+    got = staged.staged_counts(model, both, FEATURES, "y", "v")
+    assert got.groupBy("round").count().count() == 12
+    if counted > 96:
+        assert got.where("round = 1").count() < both.count()    # counted within the task, not a row per row and round
+    keys = ["__val", "round", "margin"]
+    total = {tuple(r) for r in got.groupBy(*keys).agg(F.sum("__pos"), F.sum("__neg")).collect()}
+    exploded = staged.by_round(staged.staged_margins(model, both, FEATURES, ["y", "v"])).withColumnRenamed("v", "__val")
+    assert total == {tuple(r) for r in exploded.groupBy(*keys).agg(F.count_if(F.col("y") == 1), F.count_if(F.col("y") == 0)).collect()}
