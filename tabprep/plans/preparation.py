@@ -7,6 +7,7 @@ same transformation can be applied to new (or streaming) data.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -20,6 +21,11 @@ from ..operators.split import stratified_split
 from ..functions.columns import string_columns
 from ..session import ensure_checkpoint_dir
 
+#: Tables of up to so many rows stay in the partitions they come in.
+SMALL_ROWS = 250_000
+#: Rows of a partition at most, beyond which every core gets several.
+TASK_ROWS = 2_000_000
+
 
 @dataclass(frozen=True)
 class PreparedData:
@@ -47,6 +53,17 @@ class PreparedData:
         return self.part("test")
 
 
+def spread(data: DataFrame, rows: int) -> DataFrame:
+    """Rows dealt evenly over all cores.  A scan of narrow columns gives few
+    and uneven partitions, by bytes, where a fit's work goes by rows.  Each
+    core gets the same number of partitions: a forest sends its statistics
+    once per partition, so there are no more than the rows call for."""
+    if rows <= SMALL_ROWS:
+        return data
+    cores = data.sparkSession.sparkContext.defaultParallelism
+    return data.repartition(cores * math.ceil(rows / (cores * TASK_ROWS)))
+
+
 def prepare_data(df: DataFrame, target_col: str, key_col: str,
                  categorical_cols: Sequence[str] | None = None, test_size: float = 0.3,
                  val_size: float = 0.2, scale_features: bool = True, random_state: int = 42,
@@ -75,5 +92,5 @@ def prepare_data(df: DataFrame, target_col: str, key_col: str,
         # every fit and report reads this table many times: cut the lineage
         # (split windows, joins, scaler) once, in the shared checkpoint folder
         ensure_checkpoint_dir(df.sparkSession)
-        data = data.checkpoint()
+        data = spread(data, df.count()).checkpoint()
     return PreparedData(data, encoded, tuple(features), target_col, key_col, cats, scaler)

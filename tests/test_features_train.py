@@ -96,3 +96,17 @@ def test_early_stopping_stops(loans):
     with pytest.raises(ValueError):
         fit_with_early_stopping(ModelConfig(ModelType.RANDOM_FOREST, "rf"), p.train, p.val,
                                 list(p.feature_names), "not.fully.paid")
+
+
+def test_prepared_rows_are_spread_over_all_cores(spark, monkeypatch):
+    rows = [(i, float(i % 7), "ab"[i % 2], int(i % 5 == 0)) for i in range(2000)]
+    narrow = spark.createDataFrame(rows, "id long, x double, kind string, y int").coalesce(1)
+    few = preparation.prepare_data(narrow, "y", "id").data
+    monkeypatch.setattr(preparation, "SMALL_ROWS", 500)
+    dealt = preparation.prepare_data(narrow, "y", "id").data
+    cores = spark.sparkContext.defaultParallelism
+    sizes = dealt.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+    assert len(sizes) == cores and min(sizes) > 0.8 * 2000 / cores
+    assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, few.collect()))
+    monkeypatch.setattr(preparation, "TASK_ROWS", 2000 // cores - 1)
+    assert preparation.spread(narrow, 2000).rdd.getNumPartitions() == 2 * cores
