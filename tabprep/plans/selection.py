@@ -22,6 +22,7 @@ from ..operators import metrics as M
 from ..operators.imbalance import class_weight_dict
 from ..operators.resample import SmoteBasis, class_distribution, smote_basis, smote_from
 from ..operators.train import ModelConfig, ModelType, feature_importance, fit, score
+from ..session import save_table
 
 
 class ImbalanceStrategy(Enum):
@@ -71,7 +72,9 @@ def resample_for_strategy(train: DataFrame, key_col: str, label_col: str, featur
 
 
 def validation_metrics(scored: DataFrame, label_col: str) -> dict:
-    """accuracy, precision, recall, f1 (threshold already applied) and AUC."""
+    """accuracy, precision, recall, f1 (threshold already applied) and AUC.
+    Rows are scored once and saved: each figure reads the scores several times."""
+    scored = save_table(scored.select(c(label_col), "probability", "prediction"), "scored")
     m = M.basic_metrics(scored, label_col, "prediction").first().asDict()
     m["roc_auc"] = M.roc_auc_value(scored, label_col, "probability")
     return m

@@ -103,3 +103,19 @@ def test_compared_models_and_importance(parts):
     importance = {r["feature"]: r["importance"] for r in results["forest"].importance.collect()}
     assert set(importance) == set(FEATURES) and sum(importance.values()) == pytest.approx(1) and max(importance, key=importance.get) == "a" and min(importance, key=importance.get) == "noise"
     assert results["linear"].importance is None and results["net"].importance is None
+
+
+def test_rows_are_scored_once(spark):
+    scored_rows = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def proba(x):
+        scored_rows.add(1)
+        return x / 100
+
+    rows = spark.range(100).select((F.col("id") % 3 == 0).cast("int").alias("the label"), proba(F.col("id").cast("double")).alias("probability"))
+    scored = rows.withColumn("prediction", (F.col("probability") >= 0.5).cast("int"))
+    found = selection.validation_metrics(scored, "the label")
+    assert scored_rows.value == 100
+    assert found["accuracy"] == 0.5 and found["recall"] == 0.5
+    assert found["roc_auc"] == pytest.approx(0.5, abs=0.02)
