@@ -217,3 +217,23 @@ def test_tree_keeps_one_copy_of_its_centres(spark, monkeypatch):
     nodes = points.agg(F.max("cell")).first()[0] + 1
     assert max(n for n, _ in held) > 50                        # many nodes are split at once
     assert max(b for _, b in held) <= 2 * nodes * (3 + 1) * 8
+
+
+def test_smote_driver_share_grows_as_its_rows(spark, monkeypatch):
+    """Four times the rows: about four times what SMOTE's neighbour search holds
+    on the driver, not sixteen times; and all rows are there."""
+    dealt, most = neighbors._dealt, {}
+
+    def watched(rows, to, dim):
+        arrays = {id(a if a.base is None else a.base): a if a.base is None else a.base for pair in to.values() for a in pair}
+        most[n] = max(most.get(n, 0), sum(a.nbytes for a in arrays.values()))
+        return dealt(rows, to, dim)
+
+    monkeypatch.setattr(neighbors, "_dealt", watched)
+    monkeypatch.setattr(neighbors, "LEAF_ROWS", 16)
+    x = np.random.default_rng(5).random((14_000, 3))
+    table = spark.createDataFrame([(i, int(i % 7 < 3), *map(float, r)) for i, r in enumerate(x)], "id long, y int, f0 double, f1 double, f2 double")
+    for n in (3_500, 14_000):
+        out = resample.smote(table.where(F.col("id") < n), "id", "y", ["f0", "f1", "f2"], ratio=1.0)
+        assert {tuple(r) for r in resample.class_distribution(out, "y").collect()} == {(0, n * 4 // 7), (1, n * 4 // 7)}
+    assert most[14_000] <= 6 * most[3_500]
