@@ -25,12 +25,13 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import StorageLevel, TaskContext
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import save_table
+from .hist_trees import added_up
 
 #: Task results that the driver adds up itself; more are added up in so many groups first.
 GROUPS = 32
@@ -69,30 +70,56 @@ def forward(flat: np.ndarray, sizes: Sequence[int], x: np.ndarray) -> np.ndarray
 def gradient(flat: np.ndarray, sizes: Sequence[int], x: np.ndarray, y: np.ndarray, weight: np.ndarray,
              dropout: float = 0.0, rng: np.random.Generator | None = None) -> tuple[np.ndarray, float]:
     """Gradient of the weighted sum of cross-entropies, and that sum."""
-    layers, inputs, masks = unpack(flat, sizes), [x], []
+    layers, inputs = unpack(flat, sizes), [x]
+    drop = dropout if rng is not None else 0.0
     for w, b in layers[:-1]:
-        h = np.maximum(inputs[-1] @ w + b, 0)
-        keep = (rng.random(h.shape) >= dropout) / (1 - dropout) if dropout and rng is not None else 1.0
-        masks.append(keep)
-        inputs.append(h * keep)
+        h = inputs[-1] @ w
+        h += b
+        np.maximum(h, 0, out=h)
+        if drop:
+            h *= rng.random(h.shape) >= drop
+            h *= 1 / (1 - drop)
+        inputs.append(h)
     w, b = layers[-1]
-    p = 0.5 * (1 + np.tanh(0.5 * (inputs[-1] @ w + b)[:, 0]))
+    p = (inputs[-1] @ w)[:, 0]
+    p += b
+    p *= 0.5
+    np.tanh(p, out=p)
+    p += 1
+    p *= 0.5
     sure = np.clip(p, _CLIP, 1 - _CLIP)
     loss = -float((weight * (y * np.log(sure) + (1 - y) * np.log(1 - sure))).sum())
-    out = np.zeros_like(flat)
-    grads, error = unpack(out, sizes), ((p - y) * weight)[:, None]
+    out = np.empty_like(flat)
+    p -= y
+    p *= weight
+    grads, error = unpack(out, sizes), p[:, None]
     for k in range(len(layers) - 1, -1, -1):
-        grads[k][0][:], grads[k][1][:] = inputs[k].T @ error, error.sum(0)
+        np.matmul(inputs[k].T, error, out=grads[k][0])
+        np.add.reduce(error, axis=0, out=grads[k][1])
         if k:
-            error = (error @ layers[k][0].T) * masks[k - 1] * (inputs[k] > 0)
+            error = error @ layers[k][0].T
+            error *= inputs[k] > 0                    # neither cut off nor dropped
+            if drop:
+                error *= 1 / (1 - drop)
     return out, loss
 
 
 def adam(flat: np.ndarray, m: np.ndarray, v: np.ndarray, g: np.ndarray, step: int, rate: float) -> None:
     """One step, in place."""
-    m += (1 - _BETAS[0]) * (g - m)
-    v += (1 - _BETAS[1]) * (g * g - v)
-    flat -= rate * (m / (1 - _BETAS[0] ** step)) / (np.sqrt(v / (1 - _BETAS[1] ** step)) + _TINY)
+    change = g - m
+    change *= 1 - _BETAS[0]
+    m += change
+    np.multiply(g, g, out=change)
+    change -= v
+    change *= 1 - _BETAS[1]
+    v += change
+    scale = v / (1 - _BETAS[1] ** step)
+    np.sqrt(scale, out=scale)
+    scale += _TINY
+    np.divide(m, 1 - _BETAS[0] ** step, out=change)
+    change *= rate
+    change /= scale
+    flat -= change
 
 
 @dataclass
@@ -146,10 +173,12 @@ class NetworkClassifier:
         sizes = (len(first["x"]), *self.hidden, 1)
         flat = initial(sizes, self.seed)
         m, v, step, losses = np.zeros_like(flat), np.zeros_like(flat), 0, []
-        tasks = rows.rdd.getNumPartitions()
+        # every epoch reads all rows: as blocks of bytes, in the same tasks and batches
+        blocks = rows.mapInArrow(_packed, "x binary, y binary, w binary").rdd.map(lambda r: tuple(map(bytes, r))).persist(StorageLevel.DISK_ONLY)
+        tasks = blocks.getNumPartitions()
         for epoch in range(self.epochs):
             shared = spark.sparkContext.broadcast((flat, m, v, step))
-            total = _added_up(rows.mapInArrow(self._epoch(shared, sizes, epoch), "s binary"), tasks)
+            total, = added_up(blocks.mapPartitions(self._epoch(shared, sizes, epoch)), tasks, GROUPS)
             size, n, loss, steps = len(flat), total[0], total[1], total[2]
             losses.append(loss / n)
             if self.batch_size is None:
@@ -159,25 +188,28 @@ class NetworkClassifier:
                 flat, m, v = (total[3 + k * size:3 + (k + 1) * size] / n for k in range(3))
                 step += int(round(steps / n))
             shared.unpersist()
+        blocks.unpersist()
         return NetworkModel(flat, sizes, self.features_col, tuple(losses))
 
     def _epoch(self, shared, sizes: tuple[int, ...], epoch: int):
         batch, rate, dropout, seed = self.batch_size, self.learning_rate, self.dropout_rate, self.seed
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def run(blocks: Iterator[tuple]) -> Iterator[tuple]:
             """Sum of weights, of losses and of steps times weights; then the
             gradient, or parameters and moments times weights."""
             flat, m, v, step = (np.copy(s) for s in shared.value)
-            rng = np.random.default_rng((seed, epoch, TaskContext.get().partitionId()))
+            task = TaskContext.get().partitionId()
+            rng = np.random.default_rng((seed, epoch, task))
             n = loss = 0.0
             taken, grad, begun = 0, np.zeros_like(flat), int(step)
-            for part in batches:
-                size = part.num_rows
-                x = part.column(0).flatten().to_numpy(zero_copy_only=False).reshape(size, -1) if size else np.zeros((0, sizes[0]))
-                y, w = part.column(1).to_numpy(), part.column(2).to_numpy()
-                order = rng.permutation(size) if batch else np.arange(size)
+            for block in blocks:
+                x, y, w = map(np.frombuffer, block)
+                size, x = len(y), x.reshape(len(y), -1) if len(y) else np.zeros((0, sizes[0]))
+                if batch:
+                    order = rng.permutation(size)
+                    x, y, w = x[order], y[order], w[order]
                 for k in range(0, size, batch or 8192):
-                    own = order[k:k + (batch or 8192)]
+                    own = slice(k, k + (batch or 8192))
                     g, lost = gradient(flat, sizes, x[own], y[own], w[own], dropout, rng)
                     n, loss = n + w[own].sum(), loss + lost
                     if batch:
@@ -186,23 +218,12 @@ class NetworkClassifier:
                     else:
                         grad += g
             tail = [flat * n, m * n, v * n] if batch else [grad]
-            yield pa.RecordBatch.from_arrays([pa.array([np.concatenate([[n, loss, taken * n], *tail]).tobytes()], pa.binary())], names=["s"])
+            yield task, [np.concatenate([[n, loss, taken * n], *tail])]
 
         return run
 
 
-def _sum_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = None
-    for batch in batches:
-        for raw in batch.column(0).to_pylist():
-            own = np.frombuffer(raw, float)
-            total = own.copy() if total is None else total + own
-    if total is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["s"])
-
-
-def _added_up(parts: DataFrame, tasks: int) -> np.ndarray:
-    while tasks > GROUPS:
-        tasks = max(GROUPS, -(-tasks // GROUPS))
-        parts = parts.repartition(tasks).mapInArrow(_sum_rows, "s binary")
-    return sum(np.frombuffer(r.s, float) for r in parts.collect())      # GROUPS copies of the model at most
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        x, y, w = b.column(0).flatten(), b.column(1), b.column(2)
+        yield pa.RecordBatch.from_arrays([pa.array([v.to_numpy(zero_copy_only=False).tobytes()], pa.binary()) for v in (x, y, w)], names=["x", "y", "w"])
