@@ -215,7 +215,7 @@ def add_histograms(out: list[np.ndarray], x: np.ndarray, slot: np.ndarray, y: np
             at[size] = base * size
         index = at[size] + x[j]
         for total, weight in zip(out, weights):
-            if total is not None and (len(total) > own.start):
+            if len(total) > own.start:
                 total[own] += np.bincount(index, weights=weight, minlength=own.stop - own.start)
 
 
@@ -372,10 +372,10 @@ def boost(blocks: RDD, layout: Layout, class_weight: np.ndarray, rounds: int, de
     tasks, trees = blocks.getNumPartitions(), []
     state, kept = blocks.persist(StorageLevel.MEMORY_AND_DISK), None
 
-    def level(levels: list, slots: int, last: bool):
+    def level(levels: list, slots: int, last: bool, counted: bool):
         def run(got) -> Iterator[tuple]:
             ends, lead = [s.stop for s in _slices(sizes, slots)], [tables(layout, s) for s in levels]
-            out = [np.zeros(ends[-1]), np.zeros(ends[-1]), np.zeros(ends[-1] if last else ends[0])]
+            out = [np.zeros(0 if counted else ends[-1]), np.zeros(ends[-1]), np.zeros(ends[-1] if last else ends[0])]
             for block in got:
                 y, x = _read(block, width)
                 target = _target(block, y)
@@ -395,11 +395,15 @@ def boost(blocks: RDD, layout: Layout, class_weight: np.ndarray, rounds: int, de
                 yield (*block[:3], (np.frombuffer(block[3]) + step if block[3] else step).tobytes())
         return run
 
-    old = None
+    old = whole = None                                # the counts at the root are those of the first round
     for k in range(rounds):
         tree = Tree()
         for at in range(depth):
-            found = added_up(state.mapPartitions(level(tree.levels, len(tree.open), at + 1 == depth)), tasks)
+            counted = at == 0 and whole is not None
+            found = added_up(state.mapPartitions(level(tree.levels, len(tree.open), at + 1 == depth, counted)), tasks)
+            if counted:
+                found[0] = whole
+            whole = found[0] if whole is None else whole
             if old is not None:                       # the new margins are cached by now
                 old.unpersist()
                 old = None
@@ -434,15 +438,17 @@ def _poisson_edges() -> np.ndarray:
     return np.unique(np.minimum(np.floor(p * 2.0 ** 32), 2.0 ** 32 - 1)).astype(np.uint32)
 
 
+_EDGES = _poisson_edges()
+
+
 def bootstrap(seed: int, tree: int, block: tuple[int, int], n: int) -> np.ndarray:
     """How often each row of a block is in a tree's bootstrap draw."""
     bits = np.random.Generator(np.random.SFC64((seed, tree, *block))).integers(0, 2 ** 32, n, dtype=np.uint32)
-    edges = _poisson_edges()
-    out = (bits >= edges[0]).view(np.uint8)
-    for edge in edges[1:_OFTEN]:
+    out = (bits >= _EDGES[0]).view(np.uint8)
+    for edge in _EDGES[1:_OFTEN]:
         out += bits >= edge
-    rare = np.flatnonzero(bits >= edges[_OFTEN])
-    out[rare] = np.searchsorted(edges, bits[rare], side="right")
+    rare = np.flatnonzero(bits >= _EDGES[_OFTEN])
+    out[rare] = np.searchsorted(_EDGES, bits[rare], side="right")
     return out.astype(float)
 
 
@@ -526,12 +532,6 @@ class Grown:
             return 1 / (1 + np.exp(-2 * total)) if self.boosted else total / len(self.steps)
 
 
-def ready(trees: Sequence[Tree], layout: Layout, weights: Sequence[float], boosted: bool) -> Grown:
-    found = [t.leaves() for t in trees]
-    share = [np.array([n.prediction * w if boosted else n.stats[1] / sum(n.stats) for n in nodes]) for (_, nodes), w in zip(found, weights)]
-    return Grown(layout, tuple(tuple(s.astype(np.int32) for s in steps) for steps, _ in found), tuple(share), boosted)
-
-
 def scored(grown: Grown, df: DataFrame, features_col: str, keep: Sequence[str]) -> DataFrame:
     """The kept columns and ``probability``; row-local."""
     shared = df.sparkSession.sparkContext.broadcast(grown)      # bounded by the model
@@ -595,7 +595,7 @@ _NODE = """struct(cast(id as int) as id, prediction, impurity, impurityStats, ra
 _NAMES = ("id", "prediction", "impurity", "impurityStats", "rawCount", "gain", "leftChild", "rightChild", "featureIndex", "threshold")
 
 
-def as_mllib(spark: SparkSession, est: Estimator, trees: Sequence[Tree], layout: Layout, weights: Sequence[float]) -> Model:
+def as_mllib(spark: SparkSession, est: Estimator, trees: list[Tree], layout: Layout, weights: Sequence[float]) -> Model:
     """The model of ``est`` with these trees, saved in the shared folder in
     MLlib's format and loaded; ``grown`` scores rows as it does."""
     boosted = isinstance(est, GBTClassifier)
@@ -607,17 +607,23 @@ def as_mllib(spark: SparkSession, est: Estimator, trees: Sequence[Tree], layout:
     one = meta | {"class": f"org.apache.spark.ml.{'regression.DecisionTreeRegressionModel' if boosted else 'classification.DecisionTreeClassificationModel'}",
                   "paramMap": {"maxDepth": est.getMaxDepth()}, "defaultParamMap": {}}
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/models/{uuid.uuid4().hex}"
-    rows = [(t, *row) for t, tree in enumerate(trees) for row in _nodes(tree, layout)]
     types = (pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.list_(pa.float64()), pa.int64(), pa.float64(), pa.int32(), pa.int32(), pa.int32(), pa.float64())
-    table = pa.Table.from_arrays([pa.array(column, kind) for column, kind in zip(zip(*rows), types)], names=["treeID", *_NAMES])
-    del rows
+    batches, steps, values = [], [], []
+    for t, weight in enumerate(weights):              # a tree's nodes as objects go once they are written down
+        tree, trees[t] = trees[t], None
+        rows = [(t, *row) for row in _nodes(tree, layout)]
+        batches.append(pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(zip(*rows), types)], names=["treeID", *_NAMES]))
+        levels, nodes = tree.leaves()                 # of the pruned tree
+        steps.append(tuple(s.astype(np.int32) for s in levels))
+        values.append(np.array([n.prediction * weight if boosted else n.stats[1] / sum(n.stats) for n in nodes]))
+    table = pa.Table.from_batches(batches)
     spark.createDataFrame(table).selectExpr("treeID", _NODE).coalesce(1).write.parquet(f"{path}/data")
     spark.createDataFrame([(t, json.dumps(one | {"uid": f"{'dtr' if boosted else 'dtc'}_{uuid.uuid4().hex[:12]}"}), float(w)) for t, w in enumerate(weights)],
                           "_1 int, _2 string, _3 double").coalesce(1).write.parquet(f"{path}/treesMetadata")
     spark.createDataFrame([(json.dumps(whole),)], "value string").coalesce(1).write.text(f"{path}/metadata")
     try:
         out = model.load(path)
-        out.grown = ready(trees, layout, weights, boosted)     # of the pruned trees
+        out.grown = Grown(layout, tuple(steps), tuple(values), boosted)
         return out
     finally:
         at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -647,6 +653,7 @@ def fit(est: Estimator, data: DataFrame, rows: int, weights: Sequence[float] = (
     if not got:
         return None
     x, of = np.array([g[0] for g in got], float), weight[np.array([int(g[1]) for g in got])]
+    del got
     layout = layout_of([cuts_of(x[:, f], of, bins) for f in range(x.shape[1])])
     if not layout.cols:
         return None
